@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packloom.llm import urlfilter, warc
+from packloom.llm import decontam, neardup, substring, urlfilter, warc
 from packloom.llm._store import cut, remove_dir, scratch
 
 
@@ -56,11 +56,71 @@ SELECT page_id, host, path, rule, CASE
 FROM r
 """
 
+#: Words of a whole text, A-Z lower-cased, and its distinct 5-word shingles (fewer words: the whole).
+_SHINGLES = r"""
+SELECT DISTINCT {id}, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+FROM (SELECT {id}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM {table})
+"""
+
+
+def op6_containment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leak_pairs(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+OP6_SQL = f"""
+WITH d AS ({_SHINGLES.format(id="doc_id", table="documents")}), b AS ({_SHINGLES.format(id="item_id", table="benchmark")}),
+n AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id),
+x AS (SELECT d.doc_id, b.item_id, count(*) AS n_shared FROM d JOIN b ON d.s = b.s GROUP BY 1, 2)
+SELECT doc_id, x.item_id, n AS n_item_shingles, n_shared, n_shared / n AS containment
+FROM x JOIN n ON x.item_id = n.item_id WHERE 100 * n_shared >= 75 * n
+"""
+
+
+def op7_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+OP7_SQL = f"""
+WITH RECURSIVE s AS MATERIALIZED ({_SHINGLES.format(id="doc_id", table="documents")}),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+x AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS MATERIALIZED (SELECT u, v FROM x JOIN n nu ON nu.doc_id = u JOIN n nv ON nv.doc_id = v WHERE 100 * k >= 75 * (nu.n + nv.n - k)),
+r(doc_id, reach) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.v FROM r JOIN e ON r.reach = e.u),
+c AS (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
+
+def op9_debruijn_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.cut_repeats(_read(spark, sf_dir, "documents"), with_text=False)
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20),
+g AS (SELECT p.doc_id, i, array_to_string(w[i:i+19], ' ') AS s FROM p JOIN d USING (doc_id)),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM g),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS j FROM f WHERE k > 1),
+gl AS (SELECT doc_id, list(j) AS js FROM gone GROUP BY doc_id),
+x AS (SELECT d.doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d),
+k AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.j) AS kept FROM x LEFT JOIN gone ON x.doc_id = gone.doc_id AND x.j = gone.j WHERE gone.j IS NULL GROUP BY 1)
+SELECT d.doc_id, len(w) AS n_words, coalesce(len(js), 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN gl ON d.doc_id = gl.doc_id LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+
 QUERIES = {
     "op1_warc_salvage": op1_warc_salvage,
+    "op6_containment_search": op6_containment_search,
+    "op7_superminhash": op7_superminhash,
+    "op9_debruijn_spans": op9_debruijn_spans,
     "op10_url_cascade": op10_url_cascade,
 }
 SQL = {
     "op1_warc_salvage": OP1_SQL,
+    "op6_containment_search": OP6_SQL,
+    "op7_superminhash": OP7_SQL,
+    "op9_debruijn_spans": OP9_SQL,
     "op10_url_cascade": OP10_SQL,
 }
