@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packloom.llm import decontam, neardup, substring, urlfilter, warc
+from packloom.llm import decontam, neardup, sharding, substring, tokens, urlfilter, warc
 from packloom.llm._store import cut, remove_dir, scratch
 
 
@@ -56,6 +56,23 @@ SELECT page_id, host, path, rule, CASE
 FROM r
 """
 
+def op2_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(_read(spark, sf_dir, "documents"))
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op8_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "tokens")
+    out = cut(tokens.token_rows(_read(spark, sf_dir, "documents"), folder, tokenizer_path()))
+    remove_dir(folder)
+    return out
+
+
 #: Words of a whole text, A-Z lower-cased, and its distinct 5-word shingles (fewer words: the whole).
 _SHINGLES = r"""
 SELECT DISTINCT {id}, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
@@ -112,8 +129,10 @@ FROM d LEFT JOIN gl ON d.doc_id = gl.doc_id LEFT JOIN k ON d.doc_id = k.doc_id
 
 QUERIES = {
     "op1_warc_salvage": op1_warc_salvage,
+    "op2_minimax_shards": op2_minimax_shards,
     "op6_containment_search": op6_containment_search,
     "op7_superminhash": op7_superminhash,
+    "op8_rans_tokens": op8_rans_tokens,
     "op9_debruijn_spans": op9_debruijn_spans,
     "op10_url_cascade": op10_url_cascade,
 }
