@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
 
@@ -63,3 +64,18 @@ def remove_dir(uri: str) -> None:
     where, path = _fs(uri)
     if where.get_file_info(path).type == fs.FileType.Directory:
         where.delete_dir(path)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` as a written table of ``__row``, a key that doesn't change, and ``doc``, a struct of all its columns (their names clash with nothing)."""
+    folder = scratch(docs.sparkSession, "docs")
+    docs.select(F.monotonically_increasing_id().alias("__row"), F.struct("*").alias("doc")).write.parquet(folder)
+    return docs.sparkSession.read.parquet(folder)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packloom.llm import _text
+from packloom.llm._store import fresh
 
 WORDS = 5
 PERCENT = 75
@@ -115,5 +116,6 @@ def leak_pairs(docs: DataFrame, items: DataFrame, k: int = WORDS, percent: int =
 
 def without_leaks(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """``docs`` without the documents that hold an item. Rows with a null doc_id are judged together: all go if one of them leaks."""
-    leaks = leak_pairs(docs, items, **how).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(leaks, F.col("doc_id").cast("long").eqNullSafe(F.col("__leak")), "left_anti")
+    name = fresh(docs, "leaking")
+    leaks = leak_pairs(docs, items, **how).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(leaks, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_anti")

@@ -146,6 +146,38 @@ def fit_rows(docs: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS) -> l
 _tables: dict[str, np.ndarray] = {}
 
 
+def _predict(m: Model | None, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    """Languages and scores of whole texts, in slabs of bounded size."""
+    if m is not None and m.letters not in _tables:
+        _tables[m.letters] = letter_table(m.letters)
+    pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    todo, size = [], 0
+    for i in range(len(texts) + 1):
+        if todo and (i == len(texts) or size > SLAB_CHARS or len(todo) == 64):
+            got = m.score([texts[k] for k in todo], _tables[m.letters])
+            best = got.argmax(1)
+            score[todo] = np.clip((got[np.arange(len(todo)), best] + 1) / 2, 0, 1)
+            for k, b in zip(todo, best.tolist()):
+                pred[k] = m.langs[b]
+            todo, size = [], 0
+        if i < len(texts) and m is not None and texts[i] and any(map(str.isalpha, texts[i])):
+            todo.append(i)
+            size += len(texts[i])
+    return pred, score
+
+
+def identified(docs: DataFrame, min_score: float) -> DataFrame:
+    """``docs`` without those that are ``und`` or score less than ``min_score``; all columns stay as they are."""
+    model = docs.sparkSession.sparkContext.broadcast(fit(fit_rows(docs)))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pred, score = _predict(model.value, batch.column("text").to_pylist())
+            yield batch.filter(pa.array([p != UNKNOWN and s >= min_score for p, s in zip(pred, score.tolist())], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score (0 to 1) of every row.
 
@@ -155,24 +187,8 @@ def identify(docs: DataFrame) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(fit(fit_rows(docs)))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
-        if m is not None and m.letters not in _tables:
-            _tables[m.letters] = letter_table(m.letters)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            todo, size = [], 0
-            for i in range(len(texts) + 1):
-                if todo and (i == len(texts) or size > SLAB_CHARS or len(todo) == 64):
-                    got = m.score([texts[k] for k in todo], _tables[m.letters])
-                    best = got.argmax(1)
-                    score[todo] = np.clip((got[np.arange(len(todo)), best] + 1) / 2, 0, 1)
-                    for k, b in zip(todo, best.tolist()):
-                        pred[k] = m.langs[b]
-                    todo, size = [], 0
-                if i < len(texts) and m is not None and texts[i] and any(map(str.isalpha, texts[i])):
-                    todo.append(i)
-                    size += len(texts[i])
+            pred, score = _predict(model.value, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(pred, pa.string()), pa.array(score)], names=["doc_id", "held_out", "lang_pred", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from packloom.llm._store import cut
+from packloom.llm._store import cut, keyed
 from packloom.llm.quality import words
 
 WEIGHTS = (5, 2, 1)
@@ -77,12 +77,12 @@ def permuted(index: Column, n: Column, key: Column, rounds: int = ROUNDS) -> Col
     return F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), index.cast("long"), one)
 
 
-def sized(docs: DataFrame) -> DataFrame:
+def sized(docs: DataFrame, row: str | None = None) -> DataFrame:
     """The narrow rows that ``mix`` works on: a row key, doc_id, source, size in words and hashes for the order."""
     return docs.select(
-        F.col("__row") if "__row" in docs.columns else F.monotonically_increasing_id().alias("__row"),
-        F.col("doc_id"),
-        F.col("source"),
+        F.monotonically_increasing_id().alias("__row") if row is None else F.col(row).alias("__row"),
+        "doc_id",
+        "source",
         F.when(F.col("text").isNull(), 0).otherwise(F.size(words(F.col("text")))).cast("long").alias("size"),
         F.xxhash64("doc_id", F.lit(SEED)).alias("h"),
         F.xxhash64("text").alias("th"),
@@ -149,15 +149,14 @@ def mix_shares(docs: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` (written in full, with a row key ``__row``) with each text replaced by the words that the mix takes of it, in their order,
-    a block's words as often as it is drawn; n_chars follows. Rows of which nothing is taken go. A text of which each word is taken once stays as it is."""
-    m = mix(cut(sized(docs)))
+    """``docs`` with each text replaced by the words that the mix takes of it, in their order, a block's words as often as it is drawn; n_chars
+    follows. Rows of which nothing is taken go. A text of which each word is taken once stays as it is. Other columns stay."""
+    rows = keyed(docs)
+    m = mix(cut(sized(rows.select("__row", "doc.doc_id", "doc.source", "doc.text"), "__row")))
     took = _draws(m).groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("from", "words", "draws"))).alias("p"), F.max("draws").alias("most"), F.sum("words").alias("n"))
-    rows = docs.join(took, "__row").withColumn("w", words(F.col("text")))
+    rows = rows.join(took, "__row").withColumn("w", words(F.col("doc.text")))
     part = lambda p: F.flatten(F.array_repeat(F.slice("w", (p["from"] + 1).cast("int"), p["words"].cast("int")), p["draws"].cast("int")))
     whole = (F.col("most") == 1) & (F.col("n") == F.size("w"))
-    text = F.when(whole, F.col("text")).otherwise(F.array_join(F.flatten(F.transform("p", part)), " "))
-    rows = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.drop("__row", "p", "most", "n", "w")
+    rows = rows.withColumn("text", F.when(whole, F.col("doc.text")).otherwise(F.array_join(F.flatten(F.transform("p", part)), " ")))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return rows.select(*[(new[c].cast(docs.schema[c].dataType) if c in new else F.col("doc")[c]).alias(c) for c in docs.columns])

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from packloom.llm._store import cut
+from packloom.llm._store import cut, keyed
 
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -82,12 +82,12 @@ def judge_quality(docs: DataFrame) -> DataFrame:
 
 
 def cleaned_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` with the removed lines cut from ``text`` (other lines unchanged); null texts stay null."""
-    lines = docs.withColumn("__row", F.monotonically_increasing_id())
-    lines = cut(lines)
-    gone = removed_lines(cut(_measures(lines.select("doc_id", "source", "text"))))
-    parts = lines.select("__row", F.xxhash64("source").alias("h"), "source", F.posexplode(F.split("text", "\n")).alias("i", "part"))
+    """``docs`` with the removed lines cut from ``text``, other lines unchanged; null texts stay null, other columns stay."""
+    rows = keyed(docs)
+    gone = removed_lines(cut(_measures(rows.select("doc.doc_id", "doc.source", "doc.text"))))
+    parts = rows.select("__row", F.col("doc.source").alias("source"), F.posexplode(F.split("doc.text", "\n")).alias("i", "part"))
     parts = parts.withColumn("line", F.when(F.col("part").rlike(r"[^\x20\x09-\x0D]"), F.xxhash64("source", F.trim(F.regexp_replace(F.lower("part"), SPACES, " ")))))
     kept = parts.join(gone, "line", "left_anti").groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("i", "part"))).alias("p"))
-    text = F.when(F.col("text").isNull(), None).otherwise(F.coalesce(F.array_join(F.transform("p", lambda x: x["part"]), "\n"), F.lit("")))
-    return lines.join(kept, "__row", "left").withColumn("text", text).drop("__row", "p")
+    rows = rows.join(kept, "__row", "left")
+    text = F.when(F.col("doc.text").isNotNull(), F.coalesce(F.array_join(F.transform("p", lambda x: x["part"]), "\n"), F.lit("")))
+    return rows.select(*[(text if c == "text" else F.col("doc")[c]).alias(c) for c in docs.columns])
