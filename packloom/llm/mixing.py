@@ -129,12 +129,13 @@ def mix(rows: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, s
 def mixed_blocks(docs: DataFrame) -> DataFrame:
     """The mix itself: shard, slot (within the shard), source number, block, and the words [from, from + words) of a row that lie in it."""
     m = mix(cut(sized(docs)))
-    return m["slots"].join(m["pieces"], ["src", "block"]).select("shard", "slot", "src", "block", "__row", "from", "words")
+    return m["slots"].join(m["pieces"].hint("merge"), ["src", "block"]).select("shard", "slot", "src", "block", "__row", "from", "words")
 
 
 def _draws(m: dict[str, DataFrame]) -> DataFrame:
-    """Each piece of a block that the mix takes, and how often."""
-    return m["pieces"].join(m["slots"].groupBy("src", "block").agg(F.count(F.lit(1)).alias("draws")), ["src", "block"])
+    """Each piece of a block that the mix takes, and how often. The plan's size says nothing of the slots', so that they must not be broadcast."""
+    draws = m["slots"].groupBy("src", "block").agg(F.count(F.lit(1)).alias("draws"))
+    return m["pieces"].join(draws.hint("merge"), ["src", "block"])
 
 
 def mix_shares(docs: DataFrame) -> DataFrame:
