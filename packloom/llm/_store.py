@@ -26,9 +26,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder: later steps survive the loss of executors."""
+    """``df`` computed once and kept in the shared folder: later steps survive the loss of executors.
+
+    A checkpoint keeps the size that was estimated for its plan. Joins multiply these estimates, which over the rounds of a loop become
+    numbers of millions of digits; the kept rows are therefore taken as a new table of unknown size.
+    """
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept, session = df.checkpoint(eager=True), df.sparkSession
+    rows = kept._jdf.queryExecution().toRdd()
+    return type(kept)(session._jsparkSession.internalCreateDataFrame(rows, kept._jdf.schema(), False), session)
 
 
 def scratch(spark: SparkSession, kind: str) -> str:
