@@ -1,4 +1,4 @@
-"""Connected components of edge lists: local union-find, then large-star and small-star rounds between partitions."""
+"""Connected components of edge lists: local union-find, then hooking and contraction between partitions."""
 
 from __future__ import annotations
 
@@ -36,18 +36,23 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): every node of ``edges`` (u, v: longs) that isn't itself the smallest node that it reaches, with that node.
 
-    Rounds go on until no edge changes. Each round's minima are a table of their own, so that the join with a hub's many edges can be split.
+    Each round hooks every node to the smallest of its neighbours and itself and contracts the edges along the hooks, which keeps what
+    is connected connected; each keeps only nodes that still have edges. Nodes' hooks are followed as they are found. Joins
+    are merges of shuffled sides with a table of their own: they can be split at hubs, and nothing is broadcast from the driver.
     """
     e = cut(edges.where("u <> v").select("u", "v").mapInArrow(_forest, "u long, v long").distinct())
-    seen = None
-    while True:
+    root = None
+    while not e.isEmpty():
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = cut(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")))
-        large = cut(both.join(low, "u").where("v > u").select(F.col("m").alias("u"), "v").distinct())
-        low = cut(large.groupBy(F.col("v").alias("v")).agg(F.min("u").alias("m")))
-        small = large.join(low, "v").select(F.col("m").alias("u"), F.greatest("u", "m").alias("v")).where("u <> v")
-        e = cut(small.unionByName(low.select(F.col("m").alias("u"), "v")).distinct())
-        now = e.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
-        if now == seen:
-            return e.select(F.col("v").alias("id"), F.col("u").alias("component"))
-        seen = now
+        if root is None:
+            root = low.select(F.col("u").alias("id"), F.col("m").alias("component"))
+        else:
+            hook = low.select(F.col("u").alias("component"), F.col("m").alias("m")).hint("merge")
+            root = cut(root.join(hook, "component", "left").select("id", F.coalesce("m", "component").alias("component")))
+        to = low.select(F.col("u").alias("v"), F.col("m").alias("mv")).hint("merge")
+        e = e.join(low.hint("merge"), "u").join(to, "v").where("m <> mv")
+        e = cut(e.select(F.least("m", "mv").alias("u"), F.greatest("m", "mv").alias("v")).distinct())
+    if root is None:
+        return e.select(F.col("v").alias("id"), F.col("u").alias("component"))
+    return root.where("id <> component")
