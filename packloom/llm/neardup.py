@@ -7,9 +7,9 @@ slot value of its document. Here all shingles of a batch walk level by level, wh
 Steps: texts of equal word sequences are one class, by its smallest doc_id. ``BANDS`` bands of ``ROWS`` slots deal the
 classes into buckets: a pair at similarity 0.75 shares none with probability 5e-6. A bucket never lists its pairs. First each
 class is held against one class, the bucket minimum with which it shares most bands; links make components. Only
-buckets that still span components go on: classes of different components are held against each other by one-bit
-sketches within blocks of bounded size, at first the closest of each component, then all that the sketches can't
-rule out. Links always come from the full shingle sets of both texts, never from signatures.
+buckets that still span components go on: within blocks of bounded size, classes of different components are held against each
+other by sketches (a byte of each slot, and the parity of hash counts, which bounds how many shingles differ), at first
+each with the three closest, then with all that the sketches can't rule out. Links always come from the full shingle sets of both texts, never from signatures.
 """
 
 from __future__ import annotations
@@ -22,17 +22,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packloom.llm import _text
-from packloom.llm._store import cut
+from packloom.llm._store import cut, fresh
 from packloom.llm.graph import components
 
 WORDS = 5
 PERCENT = 75
 BANDS, ROWS = 32, 4
 M = BANDS * ROWS
-#: Of 128 sketch bits, a pair at similarity 0.75 differs in 16 on average; more than this many in fewer than 1 of 10 million pairs.
-SKETCH_BITS = 38
+#: Of the ``M`` slots, a pair at similarity 0.75 agrees in 96 on average, with a deviation of 5; in fewer than this many, one pair of a million does.
+AGREE = 73
+#: Bits of the parity sketch: bit k tells whether an odd number of shingles hash to k.
+PARITY = 2048
 BLOCK = 1024
-SIGNED = "doc_id long, n_shingles long, seq_a long, seq_b long, bands array<long>, sketch_a long, sketch_b long"
+SIGNED = "doc_id long, n_shingles long, seq_a long, seq_b long, bands array<long>, sketch binary"
 _U = np.uint64
 
 
@@ -64,9 +66,26 @@ def super_minhash(elements: np.ndarray, owner: np.ndarray, n_owners: int, m: int
     return sig.reshape(n_owners, m)
 
 
+def parity(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of ``PARITY`` bits for each set. Two sets' rows differ in no more bits than the sets differ in elements."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    bit = (_text.mix(np.concatenate(sets) ^ _U(0xA5A5A5A5)) % _U(PARITY)).astype(np.int64)
+    return np.packbits((np.bincount(owner * PARITY + bit, minlength=len(sets) * PARITY) & 1).astype(np.uint8).reshape(len(sets), PARITY), axis=1)
+
+
+def most_odd(both: np.ndarray) -> np.ndarray:
+    """Differing parity bits above which sets of ``both`` elements together can't be linked.
+
+    A link's sets differ in d <= both / 7 elements, and so in d bits at most, which rules out for certain. Of large sets
+    many bits cancel out: they are ruled out six deviations above the number expected at the largest d.
+    """
+    d = both * (100 - PERCENT) / (100 + PERCENT)
+    expected = PARITY / 2 * (1 - np.exp(-2 * d / PARITY))
+    return np.minimum(d, expected + 6 * np.sqrt(PARITY / 4 * (1 - np.exp(-4 * d / PARITY))))
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     salt = _text.mix(np.arange(1, BANDS + 1, dtype=np.uint64))
-    weight = _U(1) << np.arange(64, dtype=np.uint64)
     for whole in batches:
         for at in range(0, whole.num_rows, 256):
             batch = whole.slice(at, 256)
@@ -81,15 +100,14 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for i in range(ROWS):
                     band = _text.mix(band * _U(0xD6E8FEB86659FD93) + b[:, :, i])
                 band = _text.mix(band ^ salt)
-                bits = (_text.mix(sig) & _U(1)).reshape(n, 2, 64)
-                sketch = (bits * weight).sum(2, dtype=np.uint64)
+                sketch = np.concatenate([(_text.mix(sig) & _U(255)).astype(np.uint8), parity(sets)], 1)
                 whole_a, whole_b = (_sequence(w, bounds, s) for s in (1, 2))
             live = sizes > 0
             flat = pa.array(band[live].ravel().view(np.int64))
             ends = np.concatenate([[0], np.cumsum(live) * BANDS]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes), pa.array(whole_a.view(np.int64)), pa.array(whole_b.view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), flat), pa.array(sketch[:, 0].view(np.int64)), pa.array(sketch[:, 1].view(np.int64))],
-                names=["doc_id", "n_shingles", "seq_a", "seq_b", "bands", "sketch_a", "sketch_b"],
+                [batch.column("doc_id"), pa.array(sizes), pa.array(whole_a.view(np.int64)), pa.array(whole_b.view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), flat), pa.array([x.tobytes() for x in sketch], pa.binary())],
+                names=["doc_id", "n_shingles", "seq_a", "seq_b", "bands", "sketch"],
             )
 
 
@@ -121,28 +139,36 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     v = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
     u = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u"))
-    both = pairs.join(v, "v").join(u, "u").select("u", "v", "text_u", "text_v")
+    both = pairs.join(v.hint("merge"), "v").join(u.hint("merge"), "u").select("u", "v", "text_u", "text_v")
     return cut(both.mapInArrow(verify, "u long, v long").distinct())
 
 
-def _across(group: pa.Table, closest: bool) -> pa.Table:
-    """Pairs of one block of a bucket that lie in different components and that their sketches don't rule out."""
+def _across(group: pa.Table, closest: int) -> pa.Table:
+    """Pairs of one block of a bucket that lie in different components and that their sketches don't rule out; if ``closest``, so many at most for each member."""
     ids, comp = np.asarray(group["id"]), np.asarray(group["component"])
-    size = np.asarray(group["n_shingles"])
-    sketch = np.stack([np.asarray(group[c]) for c in ("sketch_a", "sketch_b")], 1).view(np.uint64)
+    size = np.asarray(group["n_shingles"]).astype(np.int64)
+    sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(len(ids), M + PARITY // 8)
+    slots = np.ascontiguousarray(sketch[:, :M].T)
+    bits = np.ascontiguousarray(sketch[:, M:]).view(np.uint64)
     u, v = [], []
     for i in range(0, len(ids), 256):
         part = slice(i, min(i + 256, len(ids)))
-        apart = np.bitwise_count(sketch[part, None, :] ^ sketch[None, :, :]).sum(2, dtype=np.int64)
-        ratio = 100 * np.minimum(size[part, None], size[None, :]) >= PERCENT * np.maximum(size[part, None], size[None, :])
-        near = (apart <= SKETCH_BITS) & ratio & (comp[part, None] != comp[None, :])
-        x, y = np.nonzero(near)
-        if closest and len(x):  # of each component, the member closest to x
-            order = np.lexsort((ids[y], apart[x, y], comp[y], x))
+        agree = np.zeros((part.stop - i, len(ids)), np.uint8)
+        for slot in slots:
+            agree += slot[part, None] == slot[None, :]
+        x, y = np.nonzero((agree >= AGREE) & (comp[part, None] != comp[None, :]))
+        odd = np.zeros(len(x), np.int64)
+        for at in range(0, len(x), 1 << 16):
+            some = slice(at, at + (1 << 16))
+            odd[some] = np.bitwise_count(bits[x[some] + i] ^ bits[y[some]]).sum(1, dtype=np.int64)
+        both = size[x + i] + size[y]
+        near = odd <= most_odd(both)
+        x, y, apart = x[near], y[near], odd[near] / both[near]
+        if closest:
+            order = np.lexsort((ids[y], apart, x))
             x, y = x[order], y[order]
-            first = np.ones(len(x), bool)
-            first[1:] = (x[1:] != x[:-1]) | (comp[y[1:]] != comp[y[:-1]])
-            x, y = x[first], y[first]
+            rank = np.arange(len(x)) - np.searchsorted(x, x)
+            x, y = x[rank < closest], y[rank < closest]
         u.append(ids[x + i])
         v.append(ids[y])
     u, v = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (u, v))
@@ -150,16 +176,16 @@ def _across(group: pa.Table, closest: bool) -> pa.Table:
     return pa.table({"u": pa.array(pairs[:, 0], pa.int64()), "v": pa.array(pairs[:, 1], pa.int64())})
 
 
-def _candidates(members: DataFrame, nodes: DataFrame, comp: DataFrame, closest: bool) -> DataFrame:
+def _candidates(members: DataFrame, nodes: DataFrame, comp: DataFrame, closest: int) -> DataFrame:
     """Pairs (u, v) across components within buckets."""
-    known = nodes.join(comp, "id", "left").select("id", "n_shingles", "sketch_a", "sketch_b", F.coalesce("component", "id").alias("component"))
-    rows = members.join(known, "id")
+    known = nodes.join(comp.hint("merge"), "id", "left").select("id", "n_shingles", "sketch", F.coalesce("component", "id").alias("component"))
+    rows = members.join(known.hint("merge"), "id")
     mixed = cut(rows.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("n")).where("a < b").select("key", "n"))
     n = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int")
-    rows = rows.join(mixed, "key").withColumn("blocks", n).withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.join(mixed.hint("merge"), "key").withColumn("blocks", n).withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"x": F.least("mine", "other"), "y": F.greatest("mine", "other")})
-    rows = rows.select("key", "x", "y", "id", "component", "n_shingles", "sketch_a", "sketch_b")
+    rows = rows.select("key", "x", "y", "id", "component", "n_shingles", "sketch")
     return rows.groupBy("key", "x", "y").applyInArrow(lambda g: _across(g, closest), "u long, v long").distinct()
 
 
@@ -176,25 +202,36 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = alive.groupBy("seq_a", "seq_b").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
     classes = cut(classes)
     copies = classes.where("n > 1").select("seq_a", "seq_b", "rep")
-    member = cut(alive.select("doc_id", "seq_a", "seq_b").join(cut(copies), ["seq_a", "seq_b"]).where("doc_id <> rep").select(F.col("rep").alias("u"), F.col("doc_id").alias("v")))
-    nodes = alive.join(classes.select("seq_a", "seq_b", F.col("rep").alias("doc_id")), ["seq_a", "seq_b", "doc_id"], "left_semi")
-    nodes = cut(nodes.select(F.col("doc_id").alias("id"), "n_shingles", "bands", "sketch_a", "sketch_b").dropDuplicates(["id", "sketch_a", "sketch_b"]))
+    member = cut(alive.select("doc_id", "seq_a", "seq_b").join(cut(copies).hint("merge"), ["seq_a", "seq_b"]).where("doc_id <> rep").select(F.col("rep").alias("u"), F.col("doc_id").alias("v")))
+    nodes = alive.join(classes.select("seq_a", "seq_b", F.col("rep").alias("doc_id")).hint("merge"), ["seq_a", "seq_b", "doc_id"], "left_semi")
+    nodes = cut(nodes.select(F.col("doc_id").alias("id"), "n_shingles", "bands", "sketch").dropDuplicates(["id", "sketch"]))
     banded = nodes.select("id", F.explode("bands").alias("key"))
     buckets = cut(banded.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last").select("key", "pivot"))
-    members = cut(banded.join(buckets, "key"))
+    members = cut(banded.join(buckets.hint("merge"), "key"))
     texts = docs.where("doc_id IS NOT NULL")
 
     shared = members.where("id <> pivot").groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("n"))
     best = shared.groupBy("id").agg(F.max(F.struct("n", (-F.col("pivot")).alias("p"))).alias("b"))
-    pairs = cut(best.select((-F.col("b.p")).alias("u"), F.col("id").alias("v")))
+    pairs = tried = cut(best.select((-F.col("b.p")).alias("u"), F.col("id").alias("v")))
     links = _links(pairs, texts)
     nodes = nodes.drop("bands")
     members = members.select("key", "id")
-    for closest in (True, False):
+    for closest in (3, 0):
         comp = cut(components(links))
-        pairs = cut(_candidates(members, nodes, comp, closest).join(pairs, ["u", "v"], "left_anti"))
+        pairs = cut(_candidates(members, nodes, comp, closest).join(tried.hint("merge"), ["u", "v"], "left_anti"))
+        tried = tried.unionByName(pairs)
         links = cut(links.unionByName(_links(pairs, texts)))
     comp = cut(components(links.unionByName(member)))
-    rows = signed.select("doc_id", "n_shingles").join(comp, F.col("doc_id") == F.col("id"), "left")
+    rows = signed.select("doc_id", "n_shingles").join(comp.hint("merge"), F.col("doc_id") == F.col("id"), "left")
     component = F.coalesce("component", "doc_id")
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def without_duplicates(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each group: that with the smallest doc_id. Rows of a null doc_id all stay.
+
+    Rows that share the doc_id that stays all stay, whatever their texts: they are one document.
+    """
+    name = fresh(docs, "gone")
+    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(name), "left_anti")
