@@ -9,6 +9,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from packloom.ship import ship
+
 SCHEMA = (
     "path string, relative_path string, file_name string, size_bytes bigint, bytes_read bigint, "
     "sha256 string, head binary, pdf_markers bigint, content binary, error string"
@@ -96,5 +98,6 @@ class PackFiles(DataSource):
 
 
 def pack_files(spark: SparkSession, root: str, content: bool = True) -> DataFrame:
+    ship(spark)
     spark.dataSource.register(PackFiles)
     return spark.read.format("pack_files").option("content", str(content).lower()).load(root)

@@ -16,6 +16,7 @@ from xml.etree import ElementTree
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
+from packloom.ship import ship
 from packloom.sources.pack_files import filesystem
 
 SCHEMA = "row_number int, cells array<string>, types array<string>"
@@ -134,6 +135,7 @@ class SheetRows(DataSource):
 
 
 def sheet_rows(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
+    ship(spark)
     spark.dataSource.register(SheetRows)
     reader = spark.read.format("sheet_rows")
     return (reader.option("sheet", sheet) if sheet is not None else reader).load(path)
