@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from packloom.llm import decontam, langid, mixing, neardup, tokens
-from packloom.llm._store import cut, remove_dir, scratch
+from packloom.llm._store import cut, release, remove_dir, scratch
 from packloom.llm.entries import tokenizer_path
 
 #: Documents whose best language scores less are in none of the learned languages.
-MIN_SCORE = 0.3
+MIN_SCORE = 0.2
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,6 +64,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if i < len(STAGES) - 1:
             folder = scratch(spark, "stage")
             docs.write.parquet(folder)
+            release()
             docs = spark.read.parquet(folder)
             if previous:
                 remove_dir(previous)

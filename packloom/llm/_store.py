@@ -8,11 +8,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from packloom.ship import ship
+
 _OWN: dict[str, str] = {}
+_KEPT: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; where that is unset (local tests), a temporary one."""
+    ship(spark)
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not found:
@@ -83,5 +87,12 @@ def fresh(df: DataFrame, name: str) -> str:
 def keyed(docs: DataFrame) -> DataFrame:
     """``docs`` as a written table of ``__row``, a key that doesn't change, and ``doc``, a struct of all its columns (their names clash with nothing)."""
     folder = scratch(docs.sparkSession, "docs")
+    _KEPT.append(folder)
     docs.select(F.monotonically_increasing_id().alias("__row"), F.struct("*").alias("doc")).write.parquet(folder)
     return docs.sparkSession.read.parquet(folder)
+
+
+def release() -> None:
+    """Delete the tables of ``keyed``: for callers whose results don't read them any more."""
+    while _KEPT:
+        remove_dir(_KEPT.pop())

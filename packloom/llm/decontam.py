@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from packloom.llm import _text
 from packloom.llm._store import fresh
+from packloom.ship import ship
 
 WORDS = 5
 PERCENT = 75
@@ -77,6 +78,7 @@ def leak_pairs(docs: DataFrame, items: DataFrame, k: int = WORDS, percent: int =
     repeated rows give repeated pairs; empty tables give no pairs; other columns don't matter.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_item_shingles", pa.int64()), ("n_shared", pa.int64()), ("containment", pa.float64())])
+    ship(docs.sparkSession)
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from packloom.ship import ship
+
 FIT_ROWS = 300
 FIT_CHARS = 20_000
 LANDMARKS = 32
@@ -136,6 +138,7 @@ def held_out(doc_id=None):
 
 def fit_rows(docs: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS) -> list[tuple[str, str]]:
     """The bounded labelled sample: of each language, the rows with the smallest hashes among those not held out."""
+    ship(docs.sparkSession)
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").where(~held_out() & (F.length("text") <= chars))
     known = known.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(7)).alias("h"))
     picked = known.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("k") <= rows).select("doc_id", "lang", "h").distinct()

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packloom.llm import _text
+from packloom.ship import ship
 
 SPAN = 20
 ANCHOR = 6
@@ -141,6 +142,8 @@ def repeated_spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
     ``doc`` is doc_id (null: the largest long, so that such rows yield to all others), ``th`` a hash of the text, which tells rows of one doc_id apart.
     """
 
+    ship(docs.sparkSession)
+
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 2500):
