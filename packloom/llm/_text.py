@@ -103,6 +103,24 @@ def word_hashes(arr: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.searchsorted(starts, offsets, "left")
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the byte spans [start, end), as those of words."""
+    out = np.zeros(len(starts), np.uint64)
+    lens = ends - starts
+    total = np.cumsum(lens)
+    lo = 0
+    with np.errstate(over="ignore"):
+        while lo < len(starts):
+            hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + SLAB, "right")))
+            n = lens[lo:hi]
+            first = np.cumsum(n) - n
+            inner = np.arange(int(n.sum())) - np.repeat(first, n)
+            part = _BYTE[data[np.repeat(starts[lo:hi], n) + inner]] * powers(int(n.max()))[inner]
+            out[lo:hi] = mix(np.add.reduceat(part, first))
+            lo = hi
+    return out
+
+
 def sequences(w: np.ndarray, k: int) -> np.ndarray:
     """Hash of each k consecutive hashes, whatever rows they lie in."""
     n = len(w) - k + 1

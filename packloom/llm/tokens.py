@@ -20,17 +20,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from packloom.llm import _text
 from packloom.llm._store import cut, make_dir, open_read, open_write
 
 MAGIC = b"PLRANS1\n"
 BITS = 18
 LOW = np.uint64(1 << 31)
-LANES, FEW_LANES = 1024, 32
-BLOCK = 1 << 18
-CHECKPOINT = 1 << 17
-SEGMENT = 1 << 22
+LANES, FEW_LANES = 4096, 32
+BLOCK = 1 << 20
+CHECKPOINT = 1 << 19
+SEGMENT = 1 << 21
 END_ID = 0
-CACHE_WORDS = 300_000
+CACHE_PIECES = 2_000_000
 _U = np.uint64
 
 
@@ -45,7 +46,7 @@ def frequencies(counts: np.ndarray) -> np.ndarray:
 
 def encode_block(s: np.ndarray, f: np.ndarray, every: int = CHECKPOINT) -> tuple[int, np.ndarray, np.ndarray, list[tuple[int, int, np.ndarray]]]:
     """Lanes, states, words and checkpoints (step, place in the words, states) of the symbols ``s`` under frequencies ``f``."""
-    lanes = LANES if len(s) >= 64 * LANES else FEW_LANES
+    lanes = LANES if len(s) >= 32 * LANES else LANES // 8 if len(s) >= 4 * LANES else FEW_LANES
     c = np.concatenate([[0], np.cumsum(f)[:-1]]).astype(np.uint64)
     fs, cs = f[s], c[s]
     x = np.full(lanes, LOW)
@@ -91,7 +92,11 @@ def decode_block(n: int, lanes: int, x: np.ndarray, words: np.ndarray, f: np.nda
 
 
 def encode_segment(ids: np.ndarray, doc_ids: list[int | None], lengths: np.ndarray) -> bytes:
-    symbols, s, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    counts = np.bincount(ids, minlength=1)
+    symbols = np.flatnonzero(counts)
+    place = np.zeros(len(counts), np.int32)
+    place[symbols] = np.arange(len(symbols))
+    s, counts = place[ids], counts[symbols]
     f = frequencies(counts) if len(symbols) else np.zeros(0, np.uint64)
     index, blocks, at = [], [], 0
     for a in range(0, len(ids), BLOCK):
@@ -132,79 +137,191 @@ def read_segments(file) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarr
         yield [d if v else None for d, v in zip(known.tolist(), valid.tolist())], lengths, out
 
 
+def _byte_signs() -> dict[int, str]:
+    """The sign that byte-level BPE writes for each byte: printable ones stand for themselves, others follow from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)}
+
+
+BYTE_SIGNS = _byte_signs()
+SPACE_SIGN = BYTE_SIGNS[0x20]
+SIGNS = (",", ".", "|", ";", ":", "!", "?")
+#: Letters below are letters to every version of Unicode.
+LATIN_END = "\u0180"
+
+
+class _Table:
+    """Open addressing from 64-bit hashes (not 0) to entry numbers, by whole arrays."""
+
+    def __init__(self, bits: int = 16):
+        self.bits, self.used = bits, 0
+        self.keys, self.entries = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Entry numbers; -1 where there is none."""
+        mask = (1 << self.bits) - 1
+        at = (h >> _U(64 - self.bits)).astype(np.int64)
+        key = self.keys[at]
+        out = np.where(key == h, self.entries[at], np.int32(-1))
+        open_ = np.flatnonzero((key != h) & (key != 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & mask
+            key = self.keys[at[open_]]
+            hit = key == h[open_]
+            out[open_[hit]] = self.entries[at[open_[hit]]]
+            open_ = open_[~hit & (key != 0)]
+        return out
+
+    def add(self, h: np.ndarray, entries: np.ndarray) -> None:
+        """Add distinct hashes that aren't in the table."""
+        if (self.used + len(h)) * 2 > 1 << self.bits:
+            old = self.keys != 0
+            h, entries = np.concatenate([self.keys[old], h]), np.concatenate([self.entries[old], entries])
+            bits = max(self.bits, int(len(h) * 2).bit_length()) + 1
+            self.__init__(bits)
+        mask = (1 << self.bits) - 1
+        at = (h >> _U(64 - self.bits)).astype(np.int64)
+        self.used += len(h)
+        while len(h):
+            free = np.flatnonzero(self.keys[at] == 0)
+            _, first = np.unique(at[free], return_index=True)
+            put = free[first]
+            self.keys[at[put]], self.entries[at[put]] = h[put], entries[put]
+            rest = np.ones(len(h), bool)
+            rest[put] = False
+            h, entries, at = h[rest], entries[rest], (at[rest] + 1) & mask
+
+
 class Encoder:
     """Ids of texts by the tokenizers library, which sees each distinct piece once.
 
-    A text is cut before each single space that a non-space follows; the pre-tokenizer of byte-level BPE always cuts there too, so
-    the pieces' ids in a row are the text's ids.
+    Byte-level BPE never merges across the cuts of its pre-tokenizer. That cuts before each single space that a non-space follows, and around a
+    single line feed between non-spaces, so that the ids of such pieces in a row are the text's ids. Pieces are found and looked up by
+    64-bit hashes of their bytes, in whole batches. A piece that is one word goes to the tokenizer's model alone; other
+    pieces, and texts with any other white space, go through all of it.
     """
 
     def __init__(self, path: str):
         import os
-        import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.odd = re.compile(r" (?=\s)| $")
-        self.cuts = re.compile(r"(?<=.)(?= \S)", re.DOTALL)
+        self.model = self.tokenizer.model
+        self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.signs = {c: self.tokenizer.encode(c, add_special_tokens=False).ids for c in SIGNS}
         self.clear()
 
     def clear(self) -> None:
-        owner = self
-
-        class Pieces(dict):
-            def __init__(self, lead: str):
-                self.lead = lead
-
-            def __missing__(self, piece: str) -> int:
-                self[piece] = i = owner.known + len(owner.new)
-                owner.new.append(self.lead + piece)
-                return i
-
-        self.first, self.rest, self.new, self.known = Pieces(""), Pieces(" "), [], 1
-        self.flat, self.used = np.full(1 << 16, END_ID, np.uint32), 1
-        self.begin, self.size = np.zeros(1 << 16, np.int64), np.ones(1 << 16, np.int64)
-
-    def _learn(self) -> None:
-        for a in range(0, len(self.new), 4096):
-            got = [e.ids for e in self.tokenizer.encode_batch(self.new[a : a + 4096], add_special_tokens=False)]
-            sizes = np.array([len(g) for g in got], np.int64)
-            ids = np.array([i for g in got for i in g], np.uint32)
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            while self.known + len(got) > len(self.begin):
-                self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.begin[self.known : self.known + len(got)] = self.used + np.cumsum(sizes) - sizes
-            self.size[self.known : self.known + len(got)] = sizes
-            self.used, self.known = self.used + len(ids), self.known + len(got)
-        self.new = []
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, each text's followed by ``END_ID``, and how many each text has."""
-        if self.known > CACHE_WORDS:
+        """Entry 0 is the end id, entry 1 the line feed."""
+        self.table, self.known, self.used = _Table(), 0, 0
+        self.flat, self.begin, self.size = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+        self._keep([[END_ID], self.feed])
+
+    def _keep(self, ids: list[list[int]]) -> np.ndarray:
+        """New entries with these ids."""
+        size = np.array([len(x) for x in ids], np.int64)
+        flat = np.array([t for x in ids for t in x], np.uint32)
+        while self.used + len(flat) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.known + len(ids) > len(self.begin):
+            self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
+        new = np.arange(self.known, self.known + len(ids))
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.begin[new], self.size[new] = self.used + np.cumsum(size) - size, size
+        self.used, self.known = self.used + len(flat), self.known + len(ids)
+        return new.astype(np.int32)
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of pieces without white space but for a leading space."""
+        tokenize, out, slow = self.model.tokenize, [], []
+        for x in pieces:
+            y = x[1:] if x[:1] == " " else x
+            sign = ""
+            if y[-1:] in self.signs and y[-2:-1].isalpha():  # a word and the sign after it are two tokens of the pre-tokenizer
+                x, y, sign = x[:-1], y[:-1], y[-1]
+            if y.isalpha() and (y.isascii() or max(y) < LATIN_END):
+                ids = [t.id for t in tokenize(x.replace(" ", SPACE_SIGN) if y.isascii() else x.encode().decode("latin-1").translate(BYTE_SIGNS))]
+                out.append(ids + self.signs[sign] if sign else ids)
+            else:
+                slow.append((len(out), x + sign))
+                out.append([])
+        for a in range(0, len(slow), 4096):
+            for (i, _), ids in zip(slow[a : a + 4096], self._whole([x for _, x in slow[a : a + 4096]])):
+                out[i] = ids
+        return out
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, each text's followed by ``END_ID``, and how many each text has. Null texts are empty."""
+        if self.known > CACHE_PIECES:
             self.clear()
-        pieces, ends = [], []
-        first, rest = self.first, self.rest.__getitem__
-        for text in texts:
-            if text:
-                if self.odd.search(text):
-                    pieces.extend(map(first.__getitem__, self.cuts.split(text)))
-                else:
-                    head, *tail = text.split(" ")
-                    pieces.append(first[head])
-                    pieces.extend(map(rest, tail))
-            pieces.append(0)
-            ends.append(len(pieces))
-        self._learn()
-        at = np.array(pieces, np.int64)
-        n = self.size[at]
+        data, offsets = _text.column(column)
+        base, n_rows = int(offsets[0]), len(offsets) - 1
+        d, bounds = data[base : int(offsets[-1])], offsets - base
+        length = np.diff(bounds)
+        gap = (d == 0x20) | (d == 0x0A)
+        bad = _OTHER_SPACE[d]
+        i = np.flatnonzero(_LEADS[d])
+        more = np.concatenate([d, np.zeros(2, np.uint8)])
+        a, b, c = more[i], more[i + 1], more[i + 2]
+        wide = (a == 0xE2) & (((b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))) | ((b == 0x81) & (c == 0x9F)))
+        bad[i] |= ((a == 0xC2) & ((b == 0x85) | (b == 0xA0))) | wide | ((a == 0xE1) & (b == 0x9A) & (c == 0x80)) | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
+        start = np.zeros(len(d) + 1, bool)
+        start[bounds] = True
+        near = gap.copy()
+        near[1:] &= gap[:-1] | start[1:-1]
+        near[:1] &= True
+        near |= gap & start[1:]
+        bad |= near
+        odd = np.bincount(np.searchsorted(bounds, np.flatnonzero(bad), "right") - 1, minlength=n_rows) > 0
+        on = ~gap & ~np.repeat(odd, length)
+        first = on.copy()
+        first[1:] &= ~on[:-1] | start[1:-1]
+        last = on.copy()
+        last[:-1] &= ~on[1:] | start[1:-1]
+        s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
+        lead = np.where(start[s], 0, np.where(d[s - 1] == 0x20, 1, 2)) if len(s) else np.zeros(0, np.int64)
+        h = _text.span_hashes(d, s, e)
+        with np.errstate(over="ignore"):
+            h = _text.mix(h ^ ((lead == 1).astype(np.uint64) * _U(0x9E3779B97F4A7C15))) | _U(1)
+        entry = self.table.find(h)
+        missing = np.flatnonzero(entry < 0)
+        if len(missing):
+            new, at = np.unique(h[missing], return_index=True)
+            at = missing[at]
+            raw = d.tobytes()
+            texts = [(" " if k == 1 else "") + raw[a:b].decode("utf-8", "surrogatepass") for a, b, k in zip(s[at].tolist(), e[at].tolist(), lead[at].tolist())]
+            self.table.add(new, self._keep(self._learn(texts)))
+            entry[missing] = self.table.find(h[missing])
+        known, used = self.known, self.used
+        row = np.searchsorted(bounds, s, "right") - 1
+        whole = np.flatnonzero(odd)
+        extra = self._keep(self._whole([d[bounds[i] : bounds[i + 1]].tobytes().decode("utf-8", "surrogatepass") for i in whole.tolist()])) if len(whole) else np.zeros(0, np.int32)
+        feeds = lead == 2
+        before = np.concatenate([[0], np.cumsum(odd)])  # entries of odd texts, one each
+        place = np.arange(len(s)) + np.cumsum(feeds) + row + before[row]
+        per_row = np.bincount(row, minlength=n_rows) + np.bincount(row[feeds], minlength=n_rows) + 1 + odd
+        ends = np.cumsum(per_row)
+        entries = np.zeros(int(ends[-1]) if n_rows else 0, np.int32)
+        entries[place] = entry
+        entries[place[feeds] - 1] = 1
+        entries[ends[whole] - 2] = extra
+        n = self.size[entries].astype(np.int64)
         total = np.cumsum(n)
-        ids = self.flat[np.repeat(self.begin[at] - (total - n), n) + np.arange(int(total[-1]) if len(total) else 0)]
-        return ids, np.diff(np.concatenate([[0], total[np.array(ends, np.int64) - 1]])) if ends else np.zeros(0, np.int64)
+        ids = self.flat[np.repeat(self.begin[entries] - (total - n), n) + np.arange(int(total[-1]) if n_rows else 0)]
+        self.known, self.used = known, used  # odd texts aren't remembered
+        return ids, np.diff(np.concatenate([[0], total[ends - 1]])) if n_rows else np.zeros(0, np.int64)
+
 
+#: White space that is neither a space nor a line feed, and lead bytes of signs beyond ASCII of which some are white space.
+_OTHER_SPACE, _LEADS = np.zeros(256, bool), np.zeros(256, bool)
+_OTHER_SPACE[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F]] = True
+_LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 _encoders: dict[str, Encoder] = {}
 
@@ -239,7 +356,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                i, n = encoder.encode(batch.column("text").to_pylist())
+                i, n = encoder.encode(batch.column("text"))
                 ids.append(i)
                 lengths.append(n)
                 known.extend(batch.column("doc_id").to_pylist())
