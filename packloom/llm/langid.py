@@ -139,9 +139,15 @@ def held_out(doc_id=None):
 def fit_rows(docs: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS) -> list[tuple[str, str]]:
     """The bounded labelled sample: of each language, the rows with the smallest hashes among those not held out."""
     ship(docs.sparkSession)
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").where(~held_out() & (F.length("text") <= chars))
-    known = known.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(7)).alias("h"))
-    picked = known.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("k") <= rows).select("doc_id", "lang", "h").distinct()
+    known = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL").where(~held_out())
+    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
+    if not counts:
+        return []
+    # Only hashes small enough to be among the picked ones (three times as many, so that long texts may fall out) are ranked.
+    share = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 3 * rows / n))]), F.col("lang"))
+    h = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(7)), 1)
+    small = known.withColumn("h", h).where(F.col("h") <= share * float(2**63)).where(F.length("text") <= chars).select("doc_id", "lang", "h")
+    picked = small.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("k") <= rows).select("doc_id", "lang", "h").distinct()
     texts = docs.select("doc_id", "lang", "text").where(F.length("text") <= chars).join(F.broadcast(picked), ["doc_id", "lang"])  # rows x languages at most
     return [(r.text, r.lang) for r in texts.select("h", "doc_id", "lang", "text").orderBy("h", "doc_id", "text").collect()]
 
