@@ -11,6 +11,8 @@ from packloom.operators.schemas import DOMAINS
 
 #: Unicode white space and the four separators that Java's class leaves out.
 SPACE = r"(?U)[\s\x1c-\x1f]"
+#: The same signs one by one.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 # Words, markers and their order decide results.
 MULTIPLE_WORDS = ("y", "yes", "true", "1", "multiple")
@@ -25,7 +27,7 @@ RAW_CHARS = 200
 
 
 def strip(x: Column) -> Column:
-    return F.regexp_replace(x, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(x, F.lit(SPACES))
 
 
 def stripped(x: Column) -> Column:
