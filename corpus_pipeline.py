@@ -12,7 +12,7 @@ from packloom.llm import decontam, langid, mixing, neardup, tokens
 from packloom.llm._store import cut, release, remove_dir, scratch
 from packloom.llm.entries import tokenizer_path
 
-#: Documents whose best language scores less are in none of the learned languages.
+#: Documents whose best language scores less go. Those of none of the learned languages are und with score 0, see langid; the best of k languages scores 1 / k at least.
 MIN_SCORE = 0.2
 
 

@@ -6,6 +6,11 @@ labelled texts; a text's features are its kernels with the landmarks times the i
 which a ridge regression for each language is fitted. Scoring multiplies batches of presence matrices with the
 landmarks' presence matrix, and the kernels with the fitted weights.
 
+The best of k languages always scores at least 1 / k, so a score can't tell that a text is of none of them. That is told by the cover: the share
+of the text's distinct sequences that a language's landmarks have. A text whose cover is below the bound of every language is ``und``. A
+language's bound lies half way between the cover of all but the lowest hundredth of its own fitted rows (a landmark's by the other
+landmarks) and the median cover of the other languages' rows.
+
 Fitting takes at most ``FIT_ROWS`` labelled rows a language, none longer than ``FIT_CHARS`` characters, picked by a hash of doc_id; the driver
 fits, the executors score every whole text.
 """
@@ -81,22 +86,31 @@ class Model:
     presence: np.ndarray  # of each code (row) in each landmark, divided by the root of the landmark's number
     weights: np.ndarray  # landmarks x languages
     bias: np.ndarray
+    held: np.ndarray  # of each code (row), 1 where a landmark of the language has it
+    bounds: np.ndarray  # of each language, the cover that its texts reach
 
     @property
     def base(self) -> int:
         return len(self.letters) + 2
 
-    def kernels(self, texts: list[str], table: np.ndarray) -> np.ndarray:
+    def grid(self, texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which landmark sequences (columns) each text has, and the number of its own."""
         code, row = spectra(texts, table, self.base)
         own = np.bincount(row, minlength=len(texts))
         at = np.minimum(np.searchsorted(self.codes, code), max(0, len(self.codes) - 1))
         hit = self.codes[at] == code if len(self.codes) else np.zeros(len(code), bool)
         grid = np.zeros((len(texts), len(self.codes)), np.float32)
         grid[row[hit], at[hit]] = 1
-        return (grid @ self.presence) / np.sqrt(np.maximum(own, 1))[:, None]
+        return grid, np.maximum(own, 1)[:, None]
+
+    def kernels(self, texts: list[str], table: np.ndarray) -> np.ndarray:
+        grid, own = self.grid(texts, table)
+        return (grid @ self.presence) / np.sqrt(own)
 
-    def score(self, texts: list[str], table: np.ndarray) -> np.ndarray:
-        return self.kernels(texts, table) @ self.weights + self.bias
+    def score(self, texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The languages' outputs, and whether a text is of any of them."""
+        grid, own = self.grid(texts, table)
+        return (grid @ self.presence) / np.sqrt(own) @ self.weights + self.bias, ((grid @ self.held) / own >= self.bounds).any(1)
 
 
 def fit(rows: list[tuple[str, str]]) -> Model | None:
@@ -113,11 +127,14 @@ def fit(rows: list[tuple[str, str]]) -> Model | None:
                 count[c] = count.get(c, 0) + 1
     letters = "".join(sorted(sorted(count, key=lambda c: (-count[c], c))[:MOST_LETTERS]))
     table = letter_table(letters)
-    model = Model(langs, letters, np.zeros(0, np.uint64), np.zeros((0, 0), np.float32), np.zeros((0, 0)), np.zeros(0))
+    model = Model(langs, letters, np.zeros(0, np.uint64), np.zeros((0, 0), np.float32), np.zeros((0, 0)), np.zeros(0), np.zeros((0, 0), np.float32), np.zeros(0))
     code, row = spectra(marks, table, model.base)
     model.codes = np.unique(code)
     model.presence = np.zeros((len(model.codes), len(marks)), np.float32)
     model.presence[np.searchsorted(model.codes, code), row] = 1
+    mark_lang = np.array([k for k, lang in enumerate(langs) for _ in [t for t, x in rows if x == lang][:LANDMARKS]])
+    holders = np.stack([(model.presence[:, mark_lang == k] > 0).sum(1) for k in range(len(langs))], 1)
+    model.held = (holders > 0).astype(np.float32)
     model.presence /= np.sqrt(np.maximum(np.bincount(row, minlength=len(marks)), 1)).astype(np.float32)
     own = model.kernels(marks, table)
     value, vector = np.linalg.eigh((own + own.T) / 2)
@@ -129,9 +146,28 @@ def fit(rows: list[tuple[str, str]]) -> Model | None:
     x = x - mean_x
     beta = np.linalg.solve(x.T @ x + RIDGE * np.eye(x.shape[1]), x.T @ (y - mean_y))
     model.weights, model.bias = (root @ beta).astype(np.float32), mean_y - mean_x @ beta
+    model.bounds = cover_bounds(model, rows, holders, table)
     return model
 
 
+def cover_bounds(model: Model, rows: list[tuple[str, str]], holders: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Each language's bound on the cover; ``holders`` counts the landmarks of each language (column) that have a code. One row alone binds nothing."""
+    lang = np.array([model.langs.index(x) for _, x in rows])
+    twice, cover, used = (holders > 1).astype(np.float32), np.zeros((len(rows), len(model.langs))), [0] * len(model.langs)
+    for a in range(0, len(rows), 64):
+        grid, own = model.grid([t for t, _ in rows[a : a + 64]], table)
+        cover[a : a + 64], others = (grid @ model.held) / own, (grid @ twice) / own
+        for i, k in enumerate(lang[a : a + 64].tolist()):
+            if used[k] < LANDMARKS:  # a landmark
+                cover[a + i, k] = others[i, k]
+                used[k] += 1
+    bounds = []
+    for k in range(len(model.langs)):
+        mine, rest = np.quantile(cover[lang == k, k], 0.01), cover[lang != k, k]
+        bounds.append(min(mine, (mine + (np.median(rest) if len(rest) else 0)) / 2))
+    return np.array(bounds)
+
+
 def held_out(doc_id=None):
     return F.coalesce(F.crc32(F.col(doc_id or "doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
@@ -163,11 +199,11 @@ def _predict(m: Model | None, texts: list[str | None]) -> tuple[list[str], np.nd
     todo, size = [], 0
     for i in range(len(texts) + 1):
         if todo and (i == len(texts) or size > SLAB_CHARS or len(todo) == 64):
-            got = m.score([texts[k] for k in todo], _tables[m.letters])
+            got, known = m.score([texts[k] for k in todo], _tables[m.letters])
             best = got.argmax(1)
-            score[todo] = np.clip((got[np.arange(len(todo)), best] + 1) / 2, 0, 1)
-            for k, b in zip(todo, best.tolist()):
-                pred[k] = m.langs[b]
+            score[todo] = np.where(known, np.clip((got[np.arange(len(todo)), best] + 1) / 2, 0, 1), 0)
+            for k, b, ok in zip(todo, best.tolist(), known.tolist()):
+                pred[k] = m.langs[b] if ok else UNKNOWN
             todo, size = [], 0
         if i < len(texts) and m is not None and texts[i] and any(map(str.isalpha, texts[i])):
             todo.append(i)
@@ -190,7 +226,7 @@ def identified(docs: DataFrame, min_score: float) -> DataFrame:
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score (0 to 1) of every row.
 
-    Null texts and texts without letters, and all texts where nothing can be learned, are ``und`` with score 0. Null doc_ids are not held
+    Null texts, texts without letters or of none of the learned languages, and all texts where nothing can be learned, are ``und`` with score 0. Null doc_ids are not held
     out and not learned from. Repeated rows are predicted alike; an empty table gives no rows; other columns don't matter.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(fit_rows(docs)))

@@ -48,3 +48,26 @@ def test_stages(spark, tmp_path):
     assert Counter(tuple(r) for r in after.collect()) == expected
     assert Counter(tuple(r) for r in corpus_pipeline.run(spark, folder).collect()) == expected
     assert decontam.leak_pairs(outs[2][1], spark.read.parquet(f"{folder}/benchmark.parquet")).count() == 0
+
+
+def test_language_stage_rejects_unlearned_languages(spark, tmp_path):
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    clean = [r[:5] for r in make_docs() if r[0] is not None and r[0] < 60]
+    learned = [(400 + i, " ".join(t.split()[:60]), None, s, 0) for i, t, _, s, _ in clean]
+    words_of = {
+        "el": "το σπίτι και ο ποταμός είναι πράσινος στη χώρα",
+        "fi": "hyvä päivä kaikki pidämme kylmästä jäätelöstä myös syksyllä",
+        "junk": "xqzj vkwp zzxq jjkq wvxz qpzk jxvq kkzw",
+    }
+    bad = [(300 + i, " ".join(w.split() * 8), None, "src0", 0) for i, w in enumerate(words_of.values())]
+    docs = spark.createDataFrame([*clean, *learned, *bad], columns)
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs, str(tmp_path)).collect()}
+    assert kept == {r[0] for r in [*clean, *learned]}
+
+
+def test_language_stage_rejects_with_four_languages(spark, tmp_path):
+    vocab = {"en": "the of and house water green thing with that", "fr": "le la été maison rivière où vert chose dans", "de": "der die und ist nicht straße wasser grün über", "es": "el los niño agua verde cosa para señor más"}
+    rows = [(100 * k + i, " ".join((v.split() * 9)[i % 9 : i % 9 + 50]), lang, "s", 0) for k, (lang, v) in enumerate(vocab.items()) for i in range(20)]
+    bad = [(900, "дом и река " * 20, None, "s", 0), (901, "xqzj vkwp zzxq " * 20, None, "s", 0)]
+    docs = spark.createDataFrame([*rows, *bad], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in corpus_pipeline.language(spark, docs, str(tmp_path)).collect()} == {r[0] for r in rows}
