@@ -18,6 +18,9 @@ def op1_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = warc.write_archives(warc.with_revisits(_read(spark, sf_dir, "pages")), folder)
     read = warc.read_archives(archives, with_payload=False).where("kind = 'record'")
     out = cut(read.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"))
+    written, found = archives.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0], out.count()
+    if found != written:
+        raise RuntimeError(f"{written} records were written, {found} were read back")
     remove_dir(folder)
     return out
 

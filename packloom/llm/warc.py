@@ -26,7 +26,6 @@ from packloom.llm._store import cut, make_dir, open_read, open_write
 MIN_SHARED_BYTES = 1000
 ROLL_BYTES = 64 << 20
 BLOCK = 1 << 20
-MAX_RECORD_BYTES = 1 << 30
 _GZIP = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"WARC/[01]\.\d+\r\n")
 
@@ -76,7 +75,7 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
     m = _VERSION.match(data, at)
     if not m:
         raise ValueError("no version line")
-    stop = data.find(b"\r\n\r\n", m.end(), m.end() + 65536)
+    stop = data.find(b"\r\n\r\n", m.end())
     if stop < 0:
         raise ValueError("no end of header")
     fields = {}
@@ -129,6 +128,19 @@ class _Window:
             self.over = not more
             self.data += more
 
+    def peek(self, at: int, n: int) -> bytes:
+        """``n`` bytes at ``at``, without holding those before."""
+        here = self.base + len(self.data)
+        if at + n <= here or self.over:
+            return self.data[at - self.base : at - self.base + n]
+        try:
+            self.file.seek(at)
+            return self.file.read(n)
+        except (OSError, ValueError, OverflowError):
+            return b""  # beyond the file
+        finally:
+            self.file.seek(here)
+
     def drop(self, to: int) -> None:
         self.data, self.base = self.data[to - self.base :], to
 
@@ -140,7 +152,6 @@ class _Window:
 def _member(w: _Window, at: int) -> tuple[bytes, int]:
     """The gzip member at ``at`` inflated, and where it ends."""
     d, out, pos = zlib.decompressobj(31), [], at
-    total = 0
     while not d.eof:
         w.fill(pos + BLOCK)
         chunk = w.data[pos - w.base : pos - w.base + BLOCK]
@@ -150,14 +161,39 @@ def _member(w: _Window, at: int) -> tuple[bytes, int]:
             got = d.decompress(chunk)
         except zlib.error as e:
             raise ValueError(f"gzip check failed: {str(e)[:60]}") from None
-        total += len(got)
-        if total > MAX_RECORD_BYTES:
-            raise ValueError("record over the size bound")
         out.append(got)
         pos += len(chunk)
     return b"".join(out), pos - len(d.unused_data)
 
 
+def _plain_header(w: _Window, at: int) -> tuple[int, int]:
+    """Where the block of the record at ``at`` begins, and its length. The search goes on as long as each line looks like a header's."""
+    step = 1 << 16
+    w.fill(at + step)
+    m = _VERSION.match(w.data, at - w.base)
+    if not m:
+        raise ValueError("no version line")
+    done = m.end() + w.base
+    while True:
+        stop = w.data.find(b"\r\n\r\n", done - w.base)
+        last = stop if stop >= 0 else w.data.rfind(b"\r\n", done - w.base)
+        if last >= 0:
+            lines = w.data[done - w.base : last].split(b"\r\n")
+            if any(b":" not in x for x in lines if x and x[:1] not in b" \t"):
+                raise ValueError("header line without colon")
+            if stop >= 0:
+                break
+            done = last + w.base
+        if w.over:
+            raise ValueError("no end of header")
+        step *= 2
+        w.fill(w.base + len(w.data) + step)
+    m = re.search(rb"(?im)^content-length[ \t]*:[ \t]*(\d{1,18})[ \t]*\r$", w.data[at - w.base : stop + 2])
+    if not m:
+        raise ValueError("no content length")
+    return stop + 4 + w.base, int(m[1])
+
+
 def _one(w: _Window, at: int, gz: bool) -> tuple[dict, int]:
     if gz:
         data, end = _member(w, at)
@@ -165,13 +201,11 @@ def _one(w: _Window, at: int, gz: bool) -> tuple[dict, int]:
         if used != len(data):
             raise ValueError("member holds more than one record")
         return record, end
-    w.fill(at + 65536)
-    head = w.data[at - w.base : at - w.base + 65536]
-    if m := re.search(rb"(?im)^content-length:[ \t]*(\d{1,10})\r\n", head[: head.find(b"\r\n\r\n") + 2]):
-        if int(m[1]) > MAX_RECORD_BYTES:
-            raise ValueError("record over the size bound")
-        w.fill(at + len(head) + int(m[1]) + 8)
-    record, end = parse_record(w.data[at - w.base :])
+    begin, size = _plain_header(w, at)
+    if w.peek(begin + size, 4) != b"\r\n\r\n":  # before the bytes are held: a damaged length may name any number
+        raise ValueError("record doesn't end where its length says")
+    w.fill(begin + size + 4)
+    record, end = parse_record(w.data[at - w.base : begin + size + 4 - w.base])
     return record, at + end
 
 

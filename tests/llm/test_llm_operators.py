@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from packloom.llm import _text, decontam, graph, langid, mixing, neardup, quality, sharding, substring, tokens, urlfilter, warc
+from packloom.llm import _text, decontam, entries, graph, langid, mixing, neardup, quality, sharding, substring, tokens, urlfilter, warc
 from packloom.llm._store import scratch
 from packloom.llm.entries import tokenizer_path
 
@@ -123,6 +123,23 @@ def test_warc_salvage(gz):
     assert all(r["reason"] for r in got if r["kind"] == "gap")
 
 
+@pytest.mark.parametrize("gz", [True, False])
+def test_warc_long_url(spark, gz):
+    pages = spark.createDataFrame([(1, "http://h/" + "a" * 70_000, "x"), (2, "http://h/" + "\x01" * 500_000, "y" * 3_000_000), (3, "z", "z")], "page_id long, url string, html string")
+    archives = warc.write_archives(warc.with_revisits(pages.coalesce(1)), scratch(spark, "t"), gzip=gz)
+    got = warc.read_archives(archives).collect()
+    assert sorted((r.kind, r.record_id, len(r.target_uri), r.payload_bytes) for r in got) == [("record", 1, 70_009, 1), ("record", 2, 1_500_009, 3_000_000), ("record", 3, 1, 1)]
+
+
+def test_warc_query_fails_on_lost_records(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(1, "u", "x"), (2, "v", "y")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert entries.op1_warc_salvage(spark, str(tmp_path)).count() == 2
+    read = warc.read_archives
+    monkeypatch.setattr(warc, "read_archives", lambda *a, **b: read(*a, **b).where("record_id <> 2"))
+    with pytest.raises(RuntimeError, match="2 records were written, 1 were read back"):
+        entries.op1_warc_salvage(spark, str(tmp_path))
+
+
 # 2
 
 
