@@ -2,8 +2,9 @@
 
 Archives are ``.warc.gz`` files of one gzip member a record (``gzip=False``: plain ``.warc``). A task writes
 to files named by itself and only the manifest rows of finished tasks name the archives, so that repeated
-or lost tasks leave nothing that is read twice. The reader checks each record (gzip checksum and length,
-version line, header syntax, Content-Length, payload digest). Where a check fails, it searches for the next gzip member
+or lost tasks leave nothing that is read twice. The reader takes any writer's archives and checks what WARC requires of a record (gzip checksum and
+length, version line, header syntax, Content-Length, closing CRLFs), and its digests where they can be read. A gzip member may hold many records; they
+are read as a stream, and of a member that breaks off all but the last one before the break stay. Where a check fails, it searches for the next gzip member
 whose content begins with a version line, or for the next version line of a plain archive, that passes the same
 checks; the bytes between are logged as one quarantined gap, and reading goes on.
 """
@@ -11,6 +12,7 @@ checks; the bytes between are logged as one quarantined gap, and reading goes on
 from __future__ import annotations
 
 import base64
+import contextlib
 import hashlib
 import re
 import uuid
@@ -26,12 +28,13 @@ from packloom.llm._store import cut, make_dir, open_read, open_write
 MIN_SHARED_BYTES = 1000
 ROLL_BYTES = 64 << 20
 BLOCK = 1 << 20
+STEP = 1 << 16
 _GZIP = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"WARC/[01]\.\d+\r\n")
 
 RECORD_SCHEMA = (
     "archive string, start long, end long, kind string, reason string, record_type string, record_id long, "
-    "target_uri string, payload_bytes long, payload_digest string, refers_to long, payload binary"
+    "target_uri string, payload_bytes long, payload_digest string, refers_to long, payload binary, record_uri string"
 )
 
 
@@ -52,6 +55,8 @@ def page_of(uri: str | None) -> int | None:
     if not value:
         return None
     bits = (value >> 96) << 32 | (value & 0xFFFFFFFF)
+    if value != (bits >> 32) << 96 | 8 << 76 | 2 << 62 | (bits & 0xFFFFFFFF):
+        return None  # another writer's
     return bits - 2**64 if bits >= 2**63 else bits
 
 
@@ -70,46 +75,92 @@ def encode_record(page_id: int | None, url: str | None, payload: bytes, sha1: st
     return "\r\n".join(lines).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
+class _Short(ValueError):
+    """The data end within a record that needs ``need`` bytes at least."""
+
+    def __init__(self, why: str, need: int):
+        super().__init__(why)
+        self.need = need
+
+
+def read_digest(value: str | None) -> tuple[str, bytes] | None:
+    """Algorithm and bytes of a labelled digest in base32 or hex; None if it isn't one."""
+    name, _, text = (value or "").partition(":")
+    name, text = name.strip().lower().replace("-", ""), text.strip()
+    if name not in ("md5", "sha1", "sha256", "sha384", "sha512"):
+        return None
+    size = hashlib.new(name).digest_size
+    try:
+        raw = bytes.fromhex(text) if len(text) == 2 * size else base64.b32decode(text.rstrip("=").upper() + "=" * (-len(text.rstrip("=")) % 8))
+    except ValueError:
+        return None
+    return (name, raw) if len(raw) == size else None
+
+
+def _matches(digest: tuple[str, bytes], data: bytes) -> bool:
+    return hashlib.new(digest[0], data).digest() == digest[1]
+
+
+def _dechunked(data: bytes) -> bytes:
+    """The body that chunks carry; what isn't chunked ends it."""
+    out, at = [], 0
+    while m := re.compile(rb"([0-9A-Fa-f]+)[^\r\n]*\r\n").match(data, at):
+        size = int(m[1], 16)
+        if not size:
+            break
+        out.append(data[m.end() : m.end() + size])
+        at = m.end() + size + 2
+    return b"".join(out)
+
+
+def parse_record(data: bytes | bytearray, at: int = 0) -> tuple[dict, int]:
     """The record at ``at`` and where it ends; ValueError names the check that failed."""
-    m = _VERSION.match(data, at)
+    m = _VERSION.match(bytes(data[at : at + 16]))
     if not m:
-        raise ValueError("no version line")
-    stop = data.find(b"\r\n\r\n", m.end())
-    if stop < 0:
-        raise ValueError("no end of header")
-    fields = {}
-    for line in data[m.end() : stop].split(b"\r\n"):
-        name, colon, value = line.partition(b":")
+        raise _Short("no version line", 16) if len(data) - at < 16 else ValueError("no version line")
+    first = at + m.end()
+    stop = data.find(b"\r\n\r\n", first)
+    last = stop if stop >= 0 else max(first, data.rfind(b"\r\n", first))
+    fields, name = {}, ""
+    for line in bytes(data[first:last]).split(b"\r\n") if last > first else []:
+        if name and line[:1] in (b" ", b"\t"):  # a folded line
+            fields[name] += " " + line.strip().decode("utf-8", "replace")
+            continue
+        key, colon, value = line.partition(b":")
         if not colon:
             raise ValueError("header line without colon")
-        fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+        name = key.strip().lower().decode("latin-1")
+        fields[name] = value.strip().decode("utf-8", "replace")
+    if stop < 0:
+        raise _Short("no end of header", 2 * (len(data) - at))
     size = fields.get("content-length", "")
-    if not size.isdigit():
+    if not (size.isascii() and size.isdigit()):
         raise ValueError("no content length")
     begin, end = stop + 4, stop + 4 + int(size)
+    if len(data) < end + 4:
+        raise _Short("record doesn't end where its length says", end + 4 - at)
     if data[end : end + 4] != b"\r\n\r\n":
         raise ValueError("record doesn't end where its length says")
-    block = data[begin:end]
-    head, gap, payload = block.partition(b"\r\n\r\n")
-    if not gap:
-        raise ValueError("no HTTP head")
+    block = bytes(data[begin:end])
     revisit = fields.get("warc-type") == "revisit"
+    head, payload = b"", block
+    if fields.get("content-type", "").lower().startswith("application/http"):
+        head, _, payload = block.partition(b"\r\n\r\n")
     length = re.search(rb"(?im)^content-length:\s*(\d+)\s*$", head)
-    if not length:
-        raise ValueError("no HTTP content length")
-    try:
-        digest = base64.b32decode(fields.get("warc-payload-digest", "").removeprefix("sha1:")).hex()
-    except ValueError:
-        raise ValueError("payload digest can't be read") from None
-    if not revisit and (len(payload) != int(length[1]) or hashlib.sha1(payload).hexdigest() != digest):
-        raise ValueError("payload doesn't match its digest")
+    digest, whole = read_digest(fields.get("warc-payload-digest")), read_digest(fields.get("warc-block-digest"))
+    if whole and not _matches(whole, block):
+        raise ValueError("block doesn't match its digest")
+    partial = "warc-truncated" in fields or "warc-segment-number" in fields  # the digest is of more than this record
+    if digest and not revisit and not partial and not _matches(digest, payload):
+        if not re.search(rb"(?im)^transfer-encoding:.*chunked", head) or not _matches(digest, _dechunked(payload)):
+            raise ValueError("payload doesn't match its digest")
     return {
         "record_type": fields.get("warc-type"),
         "record_id": page_of(fields.get("warc-record-id")),
+        "record_uri": fields.get("warc-record-id"),
         "target_uri": fields.get("warc-target-uri"),
-        "payload_bytes": int(length[1]),
-        "payload_digest": digest,
+        "payload_bytes": len(payload) if not revisit else int(length[1]) if length else None,
+        "payload_digest": digest and ("" if digest[0] == "sha1" else digest[0] + ":") + digest[1].hex(),
         "refers_to": page_of(fields.get("warc-refers-to")) if revisit else None,
         "payload": None if revisit else payload,
     }, end + 4
@@ -149,21 +200,43 @@ class _Window:
         return at >= self.base + len(self.data)
 
 
-def _member(w: _Window, at: int) -> tuple[bytes, int]:
-    """The gzip member at ``at`` inflated, and where it ends."""
-    d, out, pos = zlib.decompressobj(31), [], at
+def _member(w: _Window, at: int) -> Iterator[tuple[dict, int]]:
+    """The records of the gzip member at ``at``, each with a place up to which the file is read; the last one's is the member's end.
+
+    A record is given when the next one is whole or the member has ended and passed its check, so that the only record of a damaged member never is.
+    """
+    d, data, pos, held, need = zlib.decompressobj(31), bytearray(), at, None, 1
     while not d.eof:
-        w.fill(pos + BLOCK)
-        chunk = w.data[pos - w.base : pos - w.base + BLOCK]
+        w.fill(pos + STEP)
+        chunk = w.data[pos - w.base : pos - w.base + STEP]
         if not chunk:
             raise ValueError("member is cut off")
+        before, broken = d.copy() if pos > at else zlib.decompressobj(31), None
         try:
-            got = d.decompress(chunk)
+            data += d.decompress(chunk)
         except zlib.error as e:
-            raise ValueError(f"gzip check failed: {str(e)[:60]}") from None
-        out.append(got)
-        pos += len(chunk)
-    return b"".join(out), pos - len(d.unused_data)
+            broken = ValueError(f"gzip check failed: {str(e)[:60]}")
+            with contextlib.suppress(zlib.error):  # what inflates before the break
+                for i in range(len(chunk)):
+                    data += before.decompress(chunk[i : i + 1])
+        began, pos = pos, pos + len(chunk) - len(d.unused_data)
+        while data and (d.eof or len(data) >= need):
+            try:
+                record, used = parse_record(data)
+            except _Short as e:
+                if d.eof:
+                    raise
+                need = e.need
+                break
+            if held is not None:
+                yield held, began
+            held, need = record, 1
+            del data[:used]
+        if broken:
+            raise broken
+    if held is None:
+        raise ValueError("member holds no record")
+    yield held, pos
 
 
 def _plain_header(w: _Window, at: int) -> tuple[int, int]:
@@ -194,19 +267,16 @@ def _plain_header(w: _Window, at: int) -> tuple[int, int]:
     return stop + 4 + w.base, int(m[1])
 
 
-def _one(w: _Window, at: int, gz: bool) -> tuple[dict, int]:
+def _records(w: _Window, at: int, gz: bool) -> Iterator[tuple[dict, int]]:
     if gz:
-        data, end = _member(w, at)
-        record, used = parse_record(data)
-        if used != len(data):
-            raise ValueError("member holds more than one record")
-        return record, end
+        yield from _member(w, at)
+        return
     begin, size = _plain_header(w, at)
     if w.peek(begin + size, 4) != b"\r\n\r\n":  # before the bytes are held: a damaged length may name any number
         raise ValueError("record doesn't end where its length says")
     w.fill(begin + size + 4)
     record, end = parse_record(w.data[at - w.base : begin + size + 4 - w.base])
-    return record, at + end
+    yield record, at + end
 
 
 def _next_start(w: _Window, at: int, gz: bool) -> int:
@@ -236,18 +306,17 @@ def salvage(file, name: str) -> Iterator[dict]:
     w, at, gap, why = _Window(file), 0, None, None
     while not w.ends(at):
         try:
-            record, end = _one(w, at, gz)
+            for record, end in _records(w, at, gz):
+                if gap is not None:
+                    yield {"archive": name, "start": gap, "end": at, "kind": "gap", "reason": why}
+                    gap = None
+                yield {"archive": name, "start": at, "end": end, "kind": "record", **record}
+                at = end
+                w.drop(at)
         except ValueError as e:
             if gap is None:
                 gap, why = at, str(e)
             at = _next_start(w, at + 1, gz)
-            continue
-        if gap is not None:
-            yield {"archive": name, "start": gap, "end": at, "kind": "gap", "reason": why}
-            gap = None
-        yield {"archive": name, "start": at, "end": end, "kind": "record", **record}
-        at = end
-        w.drop(at)
     if gap is not None:
         yield {"archive": name, "start": gap, "end": at, "kind": "gap", "reason": why}
 

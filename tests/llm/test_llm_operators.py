@@ -131,6 +131,38 @@ def test_warc_long_url(spark, gz):
     assert sorted((r.kind, r.record_id, len(r.target_uri), r.payload_bytes) for r in got) == [("record", 1, 70_009, 1), ("record", 2, 1_500_009, 3_000_000), ("record", 3, 1, 1)]
 
 
+def foreign(kind, block, *fields, content="application/http; msgtype=response"):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:0f1e2d3c-4b5a-4978-8695-a4b3c2d1e0f1>", f"Content-Type: {content}", *fields, f"Content-Length: {len(block)}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("how", ["plain", "members", "one member", "broken member"])
+def test_warc_foreign_archives(how):
+    body = b"5\r\nhello\r\n0\r\n\r\n"
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + body
+    parts = [
+        foreign("warcinfo", b"software: x\r\n", content="application/warc-fields"),
+        foreign("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n"),
+        foreign("response", chunked, "WARC-Payload-Digest: sha1:" + hashlib.sha1(b"hello").hexdigest()),
+        foreign("response", chunked, "WARC-Payload-Digest: sha256:" + hashlib.sha256(body).hexdigest(), "X-Folded: a", " b"),
+        foreign("response", b"HTTP/1.1 200 OK\r\n\r\nno length", "WARC-Payload-Digest: other:xyz"),
+        foreign("metadata", random.Random(1).randbytes(300_000), content="text/plain"),
+        foreign("response", b"20240101\nexample.org. 1 IN A 192.0.2.1", content="text/dns"),
+    ]
+    z = lambda x: (c := zlib.compressobj(6, zlib.DEFLATED, 31)).compress(x) + c.flush()
+    data = {"plain": b"".join(parts), "members": b"".join(map(z, parts)), "one member": z(b"".join(parts)), "broken member": z(b"".join(parts))[:-8] + z(parts[0])}[how]
+    got = list(warc.salvage(io.BytesIO(data), "f.warc" if how == "plain" else "f.warc.gz"))
+    kinds = ["warcinfo", "request", "response", "response", "response", "metadata", "response"]
+    if how == "broken member":
+        assert [r.get("record_type") for r in got] == [*kinds[:-1], None, "warcinfo"] and got[-2]["kind"] == "gap"
+    else:
+        assert [r.get("record_type") for r in got] == kinds and {r["record_id"] for r in got} == {None}
+        assert [r["payload_bytes"] for r in got] == [13, 0, 15, 15, 9, 300_000, 38]
+    assert got[0]["start"] == 0 and got[-1]["end"] == len(data) and all(a["end"] == b["start"] for a, b in zip(got, got[1:]))
+    bad = foreign("response", chunked, "WARC-Payload-Digest: sha256:" + "0" * 64)
+    assert [r["kind"] for r in warc.salvage(io.BytesIO(bad), "b.warc")] == ["gap"]
+
+
 def test_warc_query_fails_on_lost_records(spark, tmp_path, monkeypatch):
     spark.createDataFrame([(1, "u", "x"), (2, "v", "y")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     assert entries.op1_warc_salvage(spark, str(tmp_path)).count() == 2
