@@ -1,11 +1,11 @@
-"""Benchmark decontamination: a size-partitioned MinHash containment search with exact verification.
+"""Benchmark decontamination: a bottom-k MinHash containment search with exact verification.
 
 A test item of n shingles leaks into a document that has at least ``need`` = ceil(share * n) of them. An item's
 sketch is its n - need + 1 smallest shingle hashes (a bottom-k MinHash): a document that has ``need`` of
 the n shingles can miss at most n - need, so it shares one with the sketch. The search therefore finds every leak,
 however long the document is; MinHash banding of whole documents can't (30 shingles in 20,000 have a Jaccard
-similarity of 0.0015). Items are partitioned by the size that a document needs to hold them, and a document only
-meets the partitions that fit into it. Candidates are verified on the full shingle sets.
+similarity of 0.0015). One list holds the hashes of all items; candidates of too few shingles are dropped
+after the lookup. Candidates are verified on the full shingle sets.
 
 The items are the stated query set: they are carried to the documents in blocks of at most ``block_bytes`` of text,
 one pass over the documents each. Documents are never shuffled.
