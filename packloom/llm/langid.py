@@ -9,7 +9,8 @@ landmarks' presence matrix, and the kernels with the fitted weights.
 The best of k languages always scores at least 1 / k, so a score can't tell that a text is of none of them. That is told by the cover: the share
 of the text's distinct sequences that a language's landmarks have. A text whose cover is below the bound of every language is ``und``. A
 language's bound lies half way between the cover of all but the lowest hundredth of its own fitted rows (a landmark's by the other
-landmarks) and the median cover of the other languages' rows.
+landmarks) and the median cover of the other languages' rows. The
+longer a text, the more rare sequences it has: a long one below the bounds is ``und`` only if most of its pieces of ``PIECE_CHARS`` are, too.
 
 Fitting takes at most ``FIT_ROWS`` labelled rows a language, none longer than ``FIT_CHARS`` characters, picked by a hash of doc_id; the driver
 fits, the executors score every whole text.
@@ -36,6 +37,7 @@ MOST_LETTERS = 1022
 RIDGE = 0.05
 UNKNOWN = "und"
 SLAB_CHARS = 1 << 18
+PIECE_CHARS = 2000
 
 
 def letter_table(letters: str) -> np.ndarray:
@@ -200,6 +202,10 @@ def _predict(m: Model | None, texts: list[str | None]) -> tuple[list[str], np.nd
     for i in range(len(texts) + 1):
         if todo and (i == len(texts) or size > SLAB_CHARS or len(todo) == 64):
             got, known = m.score([texts[k] for k in todo], _tables[m.letters])
+            for j in [j for j, k in enumerate(todo) if not known[j] and len(texts[k]) > PIECE_CHARS]:
+                text = texts[todo[j]]
+                pieces = [text[a : a + PIECE_CHARS] for a in range(0, len(text), PIECE_CHARS)]
+                known[j] = 2 * sum(int(m.score(pieces[a : a + 64], _tables[m.letters])[1].sum()) for a in range(0, len(pieces), 64)) >= len(pieces)
             best = got.argmax(1)
             score[todo] = np.where(known, np.clip((got[np.arange(len(todo)), best] + 1) / 2, 0, 1), 0)
             for k, b, ok in zip(todo, best.tolist(), known.tolist()):

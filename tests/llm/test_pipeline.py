@@ -68,6 +68,10 @@ def test_language_stage_rejects_unlearned_languages(spark, tmp_path):
 def test_language_stage_rejects_with_four_languages(spark, tmp_path):
     vocab = {"en": "the of and house water green thing with that", "fr": "le la été maison rivière où vert chose dans", "de": "der die und ist nicht straße wasser grün über", "es": "el los niño agua verde cosa para señor más"}
     rows = [(100 * k + i, " ".join((v.split() * 9)[i % 9 : i % 9 + 50]), lang, "s", 0) for k, (lang, v) in enumerate(vocab.items()) for i in range(20)]
+    rows.append((800, " ".join(f"{v} " * 150 for v in vocab.values()), None, "s", 0))  # long, and of all four
+    model = langid.fit([(r[1], r[2]) for r in rows if r[2]])
+    texts = [rows[-1][1], *(r[1] for r in rows[:70]), rows[-1][1], rows[3][1]]  # over a slab's end
+    assert langid.UNKNOWN not in langid._predict(model, texts)[0]
     bad = [(900, "дом и река " * 20, None, "s", 0), (901, "xqzj vkwp zzxq " * 20, None, "s", 0)]
     docs = spark.createDataFrame([*rows, *bad], "doc_id long, text string, lang string, source string, n_chars long")
     assert {r.doc_id for r in corpus_pipeline.language(spark, docs, str(tmp_path)).collect()} == {r[0] for r in rows}
