@@ -64,7 +64,7 @@ def _pieces(batch: pa.RecordBatch, span: int) -> pa.RecordBatch | None:
     key = small[anchor[first]]
     inner = np.arange(len(at)) - np.repeat(first, n)
     with np.errstate(over="ignore"):
-        content = _text.mix(np.add.reduceat(edge[at] * _text.powers(span + 1)[inner], first) + n.astype(np.uint64)) ^ key
+        content = _text.mix(np.add.reduceat(_text.mix(edge[at] ^ _text.mix(inner.astype(np.uint64))), first) + n.astype(np.uint64)) ^ key
     r = row[at[first]]
     start = at[first] - bounds[r]
     order = np.lexsort((start, doc[r], content))

@@ -10,6 +10,7 @@ checkpoint has the lanes' states and the place in the stream, from which decodin
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -32,6 +33,8 @@ CHECKPOINT = 1 << 19
 SEGMENT = 1 << 21
 END_ID = 0
 CACHE_PIECES = 2_000_000
+#: New pieces that the tokenizer gets at once.
+LINES = 512
 _U = np.uint64
 
 
@@ -137,20 +140,6 @@ def read_segments(file) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarr
         yield [d if v else None for d, v in zip(known.tolist(), valid.tolist())], lengths, out
 
 
-def _byte_signs() -> dict[int, str]:
-    """The sign that byte-level BPE writes for each byte: printable ones stand for themselves, others follow from 256 on."""
-    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = [b for b in range(256) if b not in plain]
-    return {b: chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)}
-
-
-BYTE_SIGNS = _byte_signs()
-SPACE_SIGN = BYTE_SIGNS[0x20]
-SIGNS = (",", ".", "|", ";", ":", "!", "?")
-#: Letters below are letters to every version of Unicode.
-LATIN_END = "\u0180"
-
-
 class _Table:
     """Open addressing from 64-bit hashes (not 0) to entry numbers, by whole arrays."""
 
@@ -197,9 +186,11 @@ class Encoder:
     """Ids of texts by the tokenizers library, which sees each distinct piece once.
 
     Byte-level BPE never merges across the cuts of its pre-tokenizer. That cuts before each single space that a non-space follows, and around a
-    single line feed between non-spaces, so that the ids of such pieces in a row are the text's ids. Pieces are found and looked up by
-    64-bit hashes of their bytes, in whole batches. A piece that is one word goes to the tokenizer's model alone; other
-    pieces, and texts with any other white space, go through all of it.
+    single line feed between non-spaces, so that the ids of such pieces in a row are the text's ids. Pieces are found in whole batches by 64-bit
+    hashes of their bytes, and their bytes are compared with those of the entry that was found: a text in which a piece shares its hash with
+    another goes through all of the tokenizer, and so does a text with any other white space. New pieces of Latin letters, digits and signs go to the
+    tokenizer's model alone, cut as its pre-tokenizer does and many in a row; between them are line feeds, which the model joins with none of these. Other pieces, and
+    those with the text of a special token, go to the tokenizer one by one.
     """
 
     def __init__(self, path: str):
@@ -209,103 +200,158 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
         self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.signs = {c: self.tokenizer.encode(c, add_special_tokens=False).ids for c in SIGNS}
+        self.bare = Tokenizer(self.tokenizer.model)
+        beside = re.compile(f"{_CODE[0x0A]}[{_EASY}]|[{_EASY}]{_CODE[0x0A]}")
+        self.lone = len(self.feed) == 1 and not any(beside.search(t) for t in self.tokenizer.get_vocab())
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.clear()
 
     def clear(self) -> None:
-        """Entry 0 is the end id, entry 1 the line feed."""
-        self.table, self.known, self.used = _Table(), 0, 0
+        """Entry 0 is the end id, entry 1 the line feed; no piece is equal to them."""
+        self.table, self.known, self.used, self.spelled = _Table(), 0, 0, 0
         self.flat, self.begin, self.size = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
-        self._keep([[END_ID], self.feed])
+        self.bytes, self.where, self.meta = np.zeros(1 << 18, np.uint8), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self._keep(np.array([END_ID, *self.feed], np.uint32), np.array([1, len(self.feed)]))
 
-    def _keep(self, ids: list[list[int]]) -> np.ndarray:
+    def _keep(self, flat: np.ndarray, size: np.ndarray) -> np.ndarray:
         """New entries with these ids."""
-        size = np.array([len(x) for x in ids], np.int64)
-        flat = np.array([t for x in ids for t in x], np.uint32)
-        while self.used + len(flat) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while self.known + len(ids) > len(self.begin):
-            self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
-        new = np.arange(self.known, self.known + len(ids))
+        self.flat = _room(self.flat, self.used + len(flat))
+        self.begin, self.size, self.where, self.meta = (_room(x, self.known + len(size)) for x in (self.begin, self.size, self.where, self.meta))
+        new = np.arange(self.known, self.known + len(size))
         self.flat[self.used : self.used + len(flat)] = flat
-        self.begin[new], self.size[new] = self.used + np.cumsum(size) - size, size
-        self.used, self.known = self.used + len(flat), self.known + len(ids)
+        self.begin[new], self.size[new], self.meta[new] = self.used + np.cumsum(size) - size, size, -1
+        self.used, self.known = self.used + len(flat), self.known + len(size)
         return new.astype(np.int32)
 
-    def _whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of pieces without white space but for a leading space."""
-        tokenize, out, slow = self.model.tokenize, [], []
-        for x in pieces:
-            y = x[1:] if x[:1] == " " else x
-            sign = ""
-            if y[-1:] in self.signs and y[-2:-1].isalpha():  # a word and the sign after it are two tokens of the pre-tokenizer
-                x, y, sign = x[:-1], y[:-1], y[-1]
-            if y.isalpha() and (y.isascii() or max(y) < LATIN_END):
-                ids = [t.id for t in tokenize(x.replace(" ", SPACE_SIGN) if y.isascii() else x.encode().decode("latin-1").translate(BYTE_SIGNS))]
-                out.append(ids + self.signs[sign] if sign else ids)
-            else:
-                slow.append((len(out), x + sign))
-                out.append([])
-        for a in range(0, len(slow), 4096):
-            for (i, _), ids in zip(slow[a : a + 4096], self._whole([x for _, x in slow[a : a + 4096]])):
-                out[i] = ids
-        return out
-
-    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, each text's followed by ``END_ID``, and how many each text has. Null texts are empty."""
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, lines: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces in ``lines`` (each with a line feed behind it, which is before ``ends``) in a row, and how many each has."""
+        begins = np.concatenate([[0], ends[:-1]])
+        kind = _SIGN[lines]
+        pair = np.flatnonzero(kind[:-1] == 4)
+        kind[pair + 1] = np.where((lines[pair] != 0xC3) | ((lines[pair + 1] != 0x97) & (lines[pair + 1] != 0xB7)), 1, 0)
+        kind[kind == 4] = 1
+        kind[ends - 1] = 5
+        hard = np.logical_or.reduceat(kind == 0, begins)
+        raw = lines.tobytes()
+        if not self.lone or any(x in raw for x in self.special):
+            hard[:] = True
+        ids, at = [], np.flatnonzero(hard)
+        for i in range(0, len(at), LINES):
+            ids += self._whole([raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(begins[at[i : i + LINES]].tolist(), (ends[at[i : i + LINES]] - 1).tolist())])
+        size = np.zeros(len(ends), np.int64)
+        size[at] = [len(x) for x in ids]
+        easy = np.flatnonzero(~hard)
+        if not len(easy):
+            return np.concatenate(ids), size
+        # The model alone gets the others, cut between letters, digits and signs; a feed ends each part.
+        stay = np.repeat(~hard, ends - begins)
+        lines, kind = lines[stay], kind[stay]
+        parts = (kind[1:] != kind[:-1]) & (kind[1:] < 5) & (kind[:-1] < 5)
+        last = np.flatnonzero(kind == 5)
+        cut = np.flatnonzero(parts) + 1
+        spelled = np.insert(lines, cut, 0x0A)
+        last += np.searchsorted(cut, last, "right")
+        text = _SPELLED[spelled].tobytes().decode("utf-32-le")
+        stops = [0, *(last[LINES - 1 :: LINES] + 1).tolist()]
+        if stops[-1] < len(text):
+            stops.append(len(text))
+        got = np.concatenate([np.array(e.ids, np.uint32) for e in self.bare.encode_batch_fast([text[a:b] for a, b in zip(stops[:-1], stops[1:])], add_special_tokens=False)])
+        feed = got == self.feed[0]
+        place = np.flatnonzero(feed)[np.searchsorted(np.flatnonzero(spelled == 0x0A), last)]
+        size[easy] = np.diff(np.cumsum(~feed)[place], prepend=0)
+        out = np.zeros(int(size.sum()), np.uint32)
+        of_hard = np.repeat(hard, size)
+        out[~of_hard] = got[~feed]
+        if ids:
+            out[of_hard] = np.concatenate(ids)
+        return out, size
+
+    def _add(self, h: np.ndarray, d: np.ndarray, s: np.ndarray, e: np.ndarray, lead: np.ndarray) -> None:
+        """Learn the pieces [s, e) of ``d`` with distinct hashes ``h``."""
+        space = (lead == 1).astype(np.int64)
+        size = e - s + space + 1
+        ends = np.cumsum(size)
+        lines = np.full(int(ends[-1]), 0x20, np.uint8)
+        lines[ends - 1] = 0x0A
+        begins = ends - 1 - (e - s)
+        put = np.repeat(begins, e - s) + (inner := np.arange(int((e - s).sum())) - np.repeat(np.cumsum(e - s) - (e - s), e - s))
+        lines[put] = d[np.repeat(s, e - s) + inner]
+        new = self._keep(*self._learn(lines, ends))
+        self.bytes = _room(self.bytes, self.spelled + len(lines) + 16)
+        self.bytes[self.spelled : self.spelled + len(lines)] = lines
+        self.where[new], self.meta[new] = self.spelled + begins, 2 * (e - s) + space
+        self.spelled += len(lines)
+        self.table.add(h, new)
+
+    def encode(self, column: pa.Array, plain: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, each text's followed by ``END_ID``, and how many each text has. Null texts are empty. Rows marked in ``plain`` go to the tokenizer whole."""
         if self.known > CACHE_PIECES:
             self.clear()
         data, offsets = _text.column(column)
         base, n_rows = int(offsets[0]), len(offsets) - 1
-        d, bounds = data[base : int(offsets[-1])], offsets - base
+        d, view = _text.padded(data[base : int(offsets[-1])])
+        d, bounds = d[: len(d) - 16], offsets - base
         length = np.diff(bounds)
-        gap = (d == 0x20) | (d == 0x0A)
-        bad = _OTHER_SPACE[d]
-        i = np.flatnonzero(_LEADS[d])
+        kind = _KIND[d]
+        gap = kind == 1
+        bad = kind == 2
+        i = np.flatnonzero(kind == 3)
         more = np.concatenate([d, np.zeros(2, np.uint8)])
         a, b, c = more[i], more[i + 1], more[i + 2]
         wide = (a == 0xE2) & (((b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))) | ((b == 0x81) & (c == 0x9F)))
         bad[i] |= ((a == 0xC2) & ((b == 0x85) | (b == 0xA0))) | wide | ((a == 0xE1) & (b == 0x9A) & (c == 0x80)) | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
         start = np.zeros(len(d) + 1, bool)
         start[bounds] = True
-        near = gap.copy()
-        near[1:] &= gap[:-1] | start[1:-1]
-        near[:1] &= True
-        near |= gap & start[1:]
-        bad |= near
-        odd = np.bincount(np.searchsorted(bounds, np.flatnonzero(bad), "right") - 1, minlength=n_rows) > 0
-        on = ~gap & ~np.repeat(odd, length)
+        before_gap = np.ones(len(d), bool)
+        before_gap[1:] = gap[:-1] | start[1:-1]
+        bad |= gap & (before_gap | start[1:])
+        at_bad = np.searchsorted(np.flatnonzero(bad), bounds)
+        odd = np.diff(at_bad) > 0
+        if plain is not None:
+            odd |= plain
+        on = ~gap
+        for r in np.flatnonzero(odd).tolist():
+            on[bounds[r] : bounds[r + 1]] = False
         first = on.copy()
         first[1:] &= ~on[:-1] | start[1:-1]
         last = on.copy()
         last[:-1] &= ~on[1:] | start[1:-1]
         s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
         lead = np.where(start[s], 0, np.where(d[s - 1] == 0x20, 1, 2)) if len(s) else np.zeros(0, np.int64)
-        h = _text.span_hashes(d, s, e)
-        with np.errstate(over="ignore"):
-            h = _text.mix(h ^ ((lead == 1).astype(np.uint64) * _U(0x9E3779B97F4A7C15))) | _U(1)
+        spaced = lead == 1
+        h = _text.span_hashes(view, s, e)
+        h[spaced] = _text.mix(h[spaced])
+        h |= _U(1)
         entry = self.table.find(h)
         missing = np.flatnonzero(entry < 0)
         if len(missing):
             new, at = np.unique(h[missing], return_index=True)
             at = missing[at]
-            raw = d.tobytes()
-            texts = [(" " if k == 1 else "") + raw[a:b].decode("utf-8", "surrogatepass") for a, b, k in zip(s[at].tolist(), e[at].tolist(), lead[at].tolist())]
-            self.table.add(new, self._keep(self._learn(texts)))
+            self._add(new, d, s[at], e[at], lead[at])
             entry[missing] = self.table.find(h[missing])
+        counts = np.diff(np.searchsorted(s, bounds))
+        row = np.repeat(np.arange(n_rows), counts)
+        same = self.meta[entry] == 2 * (e - s) + spaced
+        at = np.flatnonzero(same)
+        begin = self.where[entry[at]]
+        same[at] = _text.same_spans(view, s[at], e[at], _text.numbers(self.bytes), begin, begin + (e - s)[at])
+        if not same.all():  # two pieces of one hash
+            odd[row[~same]] = True
+            return self.encode(column, odd)
         known, used = self.known, self.used
-        row = np.searchsorted(bounds, s, "right") - 1
         whole = np.flatnonzero(odd)
-        extra = self._keep(self._whole([d[bounds[i] : bounds[i + 1]].tobytes().decode("utf-8", "surrogatepass") for i in whole.tolist()])) if len(whole) else np.zeros(0, np.int32)
+        extra = np.zeros(0, np.int32)
+        if len(whole):
+            ids = self._whole([d[bounds[i] : bounds[i + 1]].tobytes().decode("utf-8", "surrogatepass") for i in whole.tolist()])
+            extra = self._keep(np.concatenate(ids), np.array([len(x) for x in ids]))
         feeds = lead == 2
         before = np.concatenate([[0], np.cumsum(odd)])  # entries of odd texts, one each
         place = np.arange(len(s)) + np.cumsum(feeds) + row + before[row]
-        per_row = np.bincount(row, minlength=n_rows) + np.bincount(row[feeds], minlength=n_rows) + 1 + odd
+        per_row = counts + np.bincount(row[feeds], minlength=n_rows) + 1 + odd
         ends = np.cumsum(per_row)
         entries = np.zeros(int(ends[-1]) if n_rows else 0, np.int32)
         entries[place] = entry
@@ -318,16 +364,43 @@ class Encoder:
         return ids, np.diff(np.concatenate([[0], total[ends - 1]])) if n_rows else np.zeros(0, np.int64)
 
 
-#: White space that is neither a space nor a line feed, and lead bytes of signs beyond ASCII of which some are white space.
-_OTHER_SPACE, _LEADS = np.zeros(256, bool), np.zeros(256, bool)
-_OTHER_SPACE[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F]] = True
-_LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+def _room(x: np.ndarray, n: int) -> np.ndarray:
+    """``x``, or a copy twice as long or longer that holds ``n``."""
+    if n <= len(x):
+        return x
+    out = np.zeros(max(n, 2 * len(x)), x.dtype)
+    out[: len(x)] = x
+    return out
+
+
+def _codes() -> str:
+    """The sign that byte-level BPE writes for each byte: printable ones stand for themselves, others follow from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return "".join(chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256))
+
+
+_CODE = _codes()
+_SPELLED = np.frombuffer(_CODE.encode("utf-32-le"), "<u4")
+#: 1: ASCII letters; 2: digits; 3: signs but the apostrophe (it may begin an English ending); 4: lead bytes of Latin letters up to U+017F; 0: others. A space is of the kind of none.
+_SIGN = np.zeros(256, np.uint8)
+_SIGN[[*range(0x21, 0x27), *range(0x28, 0x7F)]] = 3
+_SIGN[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+_SIGN[[*range(0x30, 0x3A)]] = 2
+_SIGN[[0xC3, 0xC4, 0xC5]] = 4
+_SIGN[0x20] = 6
+_EASY = re.escape("".join(_CODE[b] for b in range(256) if _SIGN[b]))
+#: 1: space and line feed; 2: other white space; 3: lead bytes of signs beyond ASCII of which some are white space.
+_KIND = np.zeros(256, np.uint8)
+_KIND[[0x20, 0x0A]] = 1
+_KIND[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F]] = 2
+_KIND[[0xC2, 0xE1, 0xE2, 0xE3]] = 3
 
 _encoders: dict[str, Encoder] = {}
 
 
 def write_tokens(docs: DataFrame, folder: str, path: str) -> DataFrame:
-    """Write the ids of all ``docs`` in ascending doc_id order (nulls first, equal ones by text) to files below ``folder``; return the manifest.
+    """Write the ids of all ``docs`` in ascending doc_id order (nulls first, equal ones by the xxhash64 of their texts) to files below ``folder``; return the manifest.
 
     A task writes files named by itself; only the manifest rows (file, part, seq, n_tokens) of finished tasks name files, and
     files in the order of (part, seq) hold all documents in order. ``path`` is the tokenizer's file.
@@ -369,8 +442,8 @@ def write_tokens(docs: DataFrame, folder: str, path: str) -> DataFrame:
             part = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([part], pa.int64()), pa.array([total], pa.int64())], names=["file", "part", "n_tokens"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
+    ordered = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")  # rows of one doc_id can be split
     return cut(ordered.mapInArrow(write, "file string, part long, n_tokens long"))
 
 
@@ -399,6 +472,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
 def token_rows(docs: DataFrame, folder: str, path: str) -> DataFrame:
     """Write ``docs`` as token files below ``folder`` and read them back: doc_id, start, n_tokens (with the end id) and ids_crc32 of every row.
 
-    Null and empty texts have the end id alone; null doc_ids come first; an empty table writes nothing and gives no rows; other columns don't matter.
+    Null and empty texts have the end id alone; null doc_ids come first, and rows of one doc_id follow each other by the hash of their texts; a very long text is
+    encoded in one piece (some 100 bytes of memory a byte of it); an empty table writes nothing and gives no rows; other columns don't matter.
     """
     return read_tokens(write_tokens(docs, folder, path))

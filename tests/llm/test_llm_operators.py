@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
 from packloom.llm import _text, decontam, entries, graph, langid, mixing, neardup, quality, sharding, substring, tokens, urlfilter, warc
 from packloom.llm._store import scratch
@@ -68,8 +69,16 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
 
 
+def thue_morse(n):
+    """Two different words of 2**n letters that collide under polynomials modulo 2**64."""
+    a, b = "a", "b"
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b
+
+
 def test_word_hashes_match_words():
-    texts = ["a b", None, "", " x\ty\x0bz ", "Ab aB ab", "w" * 3_000_000 + " tail", "ab", "é è é"]
+    texts = ["a b", None, "", " x\ty\x0bz ", "Ab aB ab", "w" * 3_000_000 + " tail", "ab", "é è é", " ".join(thue_morse(10)), "12345678 123456789 1234567812345678 1234567812345679 x" * 3]
     w, bounds = _text.word_hashes(pa.array(texts), lower=True)
     counts = np.diff(bounds).tolist()
     assert counts == [len(words(t)) for t in texts]
@@ -430,7 +439,8 @@ def test_token_rows(spark, docs, no_docs, rows):
     tok = Tokenizer.from_file(tokenizer_path())
     got = tokens.token_rows(docs, scratch(spark, "t"), tokenizer_path()).collect()
     start, expected = 0, []
-    for i, t, *_ in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
+    h = lambda t: 42 if t is None else np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).astype(np.int64)
+    for i, t, *_ in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, h(r[1]))):
         ids = [*tok.encode(t or "", add_special_tokens=False).ids, 0]
         expected.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
@@ -438,15 +448,32 @@ def test_token_rows(spark, docs, no_docs, rows):
     assert tokens.token_rows(no_docs, scratch(spark, "t"), tokenizer_path()).count() == 0
 
 
+def encoded(own, texts):
+    ids, n = own.encode(pa.array(texts, pa.string()))
+    return [x.tolist() for x in np.split(ids, np.cumsum(n))[:-1]]
+
+
 def test_encoder_cuts_where_the_tokenizer_does():
     from tokenizers import Tokenizer
 
     tok, own = Tokenizer.from_file(tokenizer_path()), tokens.Encoder(tokenizer_path())
     rnd = random.Random(4)
-    signs = [" ", " ", " ", "\n", "\t", " ", "\x1c", "\x85", "a", "b", "é", "1", "'s", "!", "漢", "<|endoftext|>", "​"]
-    for _ in range(3000):
-        t = "".join(rnd.choice(signs) for _ in range(rnd.randint(0, 9)))
-        assert own.encode(pa.array([t]))[0].tolist() == [*tok.encode(t, add_special_tokens=False).ids, 0], repr(t)
+    signs = [*" " * 8, "\n", "\n", "\t", "\u2003", "\x1c", "\x85", "a", "b", "Z", "é", "ß", "ſ", "Ŀ", "ƀ", "×", "÷", "µ", "1", "2", "²", "٣", "'", "'s", "!", ",", "-", "漢", "<|endoftext|>", "<|", "\u200b", "\x00", "\U0001f600", "ing", "the"]
+    for _ in range(60):
+        texts = ["".join(rnd.choice(signs) for _ in range(rnd.randint(0, 12))) for _ in range(100)] + [None, "", "w" * 100_000, *thue_morse(10)]
+        assert encoded(own, texts) == [[*tok.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
+    assert own.encode(pa.array([], pa.string()))[0].tolist() == []
+
+
+def test_encoder_compares_bytes(monkeypatch):
+    """Pieces that share a hash are told apart."""
+    from tokenizers import Tokenizer
+
+    tok, own, real = Tokenizer.from_file(tokenizer_path()), tokens.Encoder(tokenizer_path()), _text.span_hashes
+    monkeypatch.setattr(_text, "span_hashes", lambda *a: real(*a) & np.uint64(7))
+    texts = [r[1] for r in make_docs()[:30]] + ["one two", "one two\nthree"]
+    for _ in range(2):
+        assert encoded(own, texts) == [[*tok.encode(t, add_special_tokens=False).ids, 0] for t in texts]
 
 
 # 9
