@@ -4,16 +4,18 @@ SuperMinHash walks a random permutation of the ``M`` slots for every shingle; th
 slots of one walk differ, so that signatures vary less than with independent hashes; a walk stops early, once j passes the largest
 slot value of its document. Here all shingles of a batch walk level by level, which gives the same signatures.
 
-Steps: texts of equal word sequences are one class, by its smallest doc_id. ``BANDS`` bands of ``ROWS`` slots deal the
-classes into buckets: a pair at similarity 0.75 shares none with probability 5e-6. A bucket never lists its pairs. First each
-class is held against one class, the bucket minimum with which it shares most bands; links make components. Only
-buckets that still span components go on: within blocks of bounded size, classes of different components are held against each
-other by sketches (a byte of each slot, and the parity of hash counts, which bounds how many shingles differ), at first
-each with the three closest, then with all that the sketches can't rule out. Links always come from the full shingle sets of both texts, never from signatures.
+Steps: texts of equal word sequences (by a cryptographic digest of the words) are one class, by its smallest doc_id. ``BANDS`` bands of ``ROWS`` slots deal the
+classes into buckets: a pair at similarity 0.75 shares none with probability 5e-6. First each class is held against one class, the bucket
+minimum with which it shares most bands; links make components. Only buckets that still span components go on: each class outside the
+component of the bucket's minimum is held against those of other components by sketches (a byte of each slot, and the parity of hash counts, which bounds how
+many shingles differ), in blocks of bounded size, at first each with the three closest, then with all that the sketches can't rule out. What is done is in proportion to
+a bucket's classes times those that the first step left outside its main component. Links always come from the full shingle sets of both texts, compared as words, never from
+signatures or hashes alone. Only texts that share a bucket are moved, once.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -89,8 +91,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for at in range(0, whole.num_rows, 256):
             batch = whole.slice(at, 256)
-            w, bounds = _text.word_hashes(batch.column("text"), lower=True)
-            sets = _text.shingles(w, bounds, WORDS)
+            words = _text.Words(batch.column("text"), lower=True)
+            sets = _text.shingles(words.w, words.bounds, WORDS)
             sizes = np.array([len(s) for s in sets], np.int64)
             n = len(sets)
             sig = super_minhash(np.concatenate(sets), np.repeat(np.arange(n), sizes), n)
@@ -101,26 +103,34 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     band = _text.mix(band * _U(0xD6E8FEB86659FD93) + b[:, :, i])
                 band = _text.mix(band ^ salt)
                 sketch = np.concatenate([(_text.mix(sig) & _U(255)).astype(np.uint8), parity(sets)], 1)
-                whole_a, whole_b = (_sequence(w, bounds, s) for s in (1, 2))
+            digest = _digests(words)
             live = sizes > 0
             flat = pa.array(band[live].ravel().view(np.int64))
             ends = np.concatenate([[0], np.cumsum(live) * BANDS]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes), pa.array(whole_a.view(np.int64)), pa.array(whole_b.view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), flat), pa.array([x.tobytes() for x in sketch], pa.binary())],
+                [batch.column("doc_id"), pa.array(sizes), pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.ListArray.from_arrays(pa.array(ends), flat), pa.array([x.tobytes() for x in sketch], pa.binary())],
                 names=["doc_id", "n_shingles", "seq_a", "seq_b", "bands", "sketch"],
             )
 
 
-def _sequence(w: np.ndarray, bounds: np.ndarray, seed: int) -> np.ndarray:
-    """A hash of each row's whole word sequence."""
-    n = np.diff(bounds)
-    out = np.zeros(len(n), np.uint64)
-    if len(w):
-        inner = np.arange(len(w)) - np.repeat(bounds[:-1] - bounds[0], n)
-        part = _text.mix(w ^ _text.mix(inner.astype(np.uint64) * _U(2) + _U(seed << 40)))
-        some = n > 0
-        out[some] = np.add.reduceat(part, (bounds[:-1] - bounds[0])[some])
-    return _text.mix(out + n.astype(np.uint64) * _U(0x9E3779B97F4A7C15))
+def _digests(words: _text.Words) -> np.ndarray:
+    """A 128-bit digest of each row's word sequence, as two longs."""
+    raw, bounds = words.spelled()
+    raw = memoryview(raw)
+    found = b"".join(hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+    return np.frombuffer(found, "<i8").reshape(-1, 2)
+
+
+def similar(u: pa.Array, v: pa.Array) -> list[bool]:
+    """Whether the full shingle sets of each two texts are similar enough. Hashes decide only where no two different words or shingles of the batch share one; else the words do."""
+    n, words = len(u), _text.Words(pa.concat_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (u, v)]), lower=True)
+    if words.sound() and words.sound_sequences(_text.sequences(words.w, WORDS), WORDS):
+        sets = _text.shingles(words.w, words.bounds, WORDS)
+        counts = [(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)) for x, y in zip(sets[:n], sets[n:])]
+    else:
+        sets = [{tuple(w[i : i + WORDS]) for i in range(max(1, len(w) - WORDS + 1))} if w else set() for w in words.lists()]
+        counts = [(len(x & y), len(x), len(y)) for x, y in zip(sets[:n], sets[n:])]
+    return [both > 0 and 100 * both >= PERCENT * (x + y - both) for both, x, y in counts]
 
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -128,14 +138,9 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                a, b = (_text.shingles(*_text.word_hashes(batch.column(c), lower=True), WORDS) for c in ("text_u", "text_v"))
-                ok = []
-                for x, y in zip(a, b):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    ok.append(both > 0 and 100 * both >= PERCENT * (len(x) + len(y) - both))
-                yield batch.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                yield batch.select(["u", "v"]).filter(pa.array(similar(batch.column("text_u"), batch.column("text_v")), pa.bool_()))
 
     v = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
     u = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u"))
@@ -143,25 +148,32 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return cut(both.mapInArrow(verify, "u long, v long").distinct())
 
 
-def _across(group: pa.Table, closest: int) -> pa.Table:
-    """Pairs of one block of a bucket that lie in different components and that their sketches don't rule out; if ``closest``, so many at most for each member."""
+def _across(key: tuple, group: pa.Table, closest: int) -> pa.Table:
+    """Pairs between two blocks of a bucket (or within one) that lie in different components and that their sketches don't rule out; if ``closest``, so many at most for each member."""
+    block = np.asarray(group["block"])
+    one, two = key[1].as_py(), key[2].as_py()
+    order = np.argsort(block, kind="stable")
+    group, block = group.take(pa.array(order)), block[order]
     ids, comp = np.asarray(group["id"]), np.asarray(group["component"])
     size = np.asarray(group["n_shingles"]).astype(np.int64)
     sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(len(ids), M + PARITY // 8)
     slots = np.ascontiguousarray(sketch[:, :M].T)
     bits = np.ascontiguousarray(sketch[:, M:]).view(np.uint64)
+    rows = np.flatnonzero(block == two)
+    cols = slice(*np.searchsorted(block, [one, one + 1]).tolist())
     u, v = [], []
-    for i in range(0, len(ids), 256):
-        part = slice(i, min(i + 256, len(ids)))
-        agree = np.zeros((part.stop - i, len(ids)), np.uint8)
+    for i in range(0, len(rows), 256):
+        part = slice(int(rows[i]), int(rows[min(i + 256, len(rows)) - 1]) + 1)
+        agree = np.zeros((part.stop - part.start, cols.stop - cols.start), np.uint8)
         for slot in slots:
-            agree += slot[part, None] == slot[None, :]
-        x, y = np.nonzero((agree >= AGREE) & (comp[part, None] != comp[None, :]))
+            agree += slot[part, None] == slot[None, cols]
+        x, y = np.nonzero((agree >= AGREE) & (comp[part, None] != comp[None, cols]))
+        x, y = x + part.start, y + cols.start
         odd = np.zeros(len(x), np.int64)
         for at in range(0, len(x), 1 << 16):
             some = slice(at, at + (1 << 16))
-            odd[some] = np.bitwise_count(bits[x[some] + i] ^ bits[y[some]]).sum(1, dtype=np.int64)
-        both = size[x + i] + size[y]
+            odd[some] = np.bitwise_count(bits[x[some]] ^ bits[y[some]]).sum(1, dtype=np.int64)
+        both = size[x] + size[y]
         near = odd <= most_odd(both)
         x, y, apart = x[near], y[near], odd[near] / both[near]
         if closest:
@@ -169,24 +181,34 @@ def _across(group: pa.Table, closest: int) -> pa.Table:
             x, y = x[order], y[order]
             rank = np.arange(len(x)) - np.searchsorted(x, x)
             x, y = x[rank < closest], y[rank < closest]
-        u.append(ids[x + i])
+        u.append(ids[x])
         v.append(ids[y])
     u, v = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (u, v))
     pairs = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], 1), axis=0) if len(u) else np.zeros((0, 2), np.int64)
     return pa.table({"u": pa.array(pairs[:, 0], pa.int64()), "v": pa.array(pairs[:, 1], pa.int64())})
 
 
-def _candidates(members: DataFrame, nodes: DataFrame, comp: DataFrame, closest: int) -> DataFrame:
-    """Pairs (u, v) across components within buckets."""
-    known = nodes.join(comp.hint("merge"), "id", "left").select("id", "n_shingles", "sketch", F.coalesce("component", "id").alias("component"))
-    rows = members.join(known.hint("merge"), "id")
-    mixed = cut(rows.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("n")).where("a < b").select("key", "n"))
-    n = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int")
-    rows = rows.join(mixed.hint("merge"), "key").withColumn("blocks", n).withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumns({"x": F.least("mine", "other"), "y": F.greatest("mine", "other")})
-    rows = rows.select("key", "x", "y", "id", "component", "n_shingles", "sketch")
-    return rows.groupBy("key", "x", "y").applyInArrow(lambda g: _across(g, closest), "u long, v long").distinct()
+def _candidates(members: DataFrame, known: DataFrame, comp: DataFrame, closest: int) -> DataFrame:
+    """Pairs (u, v) across components within buckets.
+
+    A bucket's main component is that of the smallest id. Its classes and the others are dealt into blocks; blocks of others meet all
+    blocks, those of the main component never each other, and no group holds more than two blocks.
+    """
+    rows = cut(members.join(comp.hint("merge"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")))
+    mixed = rows.groupBy("key").agg(F.min("component").alias("main"), F.max("component").alias("last"), F.count(F.lit(1)).alias("n"))
+    mixed = mixed.where("main < last").select("key", "main", "n")
+    rows = rows.join(cut(mixed).hint("merge"), "key")
+    others = rows.where("component <> main").groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+    rows = rows.join(cut(others).hint("merge"), "key")
+    deal = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK)).cast("int")
+    rows = rows.withColumns({"i": deal(F.col("n") - F.col("m")), "j": deal(F.col("m")), "own": F.col("component") == F.col("main")})
+    h = F.xxhash64("id")
+    rows = rows.withColumn("block", F.when(F.col("own"), F.pmod(h, F.col("i"))).otherwise(F.col("i") + F.pmod(h, F.col("j"))).cast("int"))
+    rows = rows.join(known.hint("merge"), "id")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.when(F.col("own"), F.col("i")).otherwise(0), F.col("i") + F.col("j") - 1)))
+    rows = rows.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
+    rows = rows.select("key", "x", "y", "id", "component", "block", "n_shingles", "sketch")
+    return rows.groupBy("key", "x", "y").applyInArrow(lambda k, g: _across(k, g, closest), "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -194,31 +216,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Links have 100 * intersection >= 75 * union of distinct 5-word shingles (words outside ASCII white space, A-Z lower-cased; fewer
     words: one shingle of all). Texts without words are linked with nothing. Rows of one doc_id are one node. A row with a null doc_id
-    is linked with nothing: its component_id is null and it is kept. An empty table gives no rows; other columns don't matter.
+    is linked with nothing: its component_id is null and it is kept. Very long texts are signed and compared whole, some 30 bytes of memory a byte. An empty table gives no rows; other columns don't matter.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = cut(docs.mapInArrow(_sign, SIGNED))
     alive = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = alive.groupBy("seq_a", "seq_b").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    classes = cut(classes)
-    copies = classes.where("n > 1").select("seq_a", "seq_b", "rep")
-    member = cut(alive.select("doc_id", "seq_a", "seq_b").join(cut(copies).hint("merge"), ["seq_a", "seq_b"]).where("doc_id <> rep").select(F.col("rep").alias("u"), F.col("doc_id").alias("v")))
-    nodes = alive.join(classes.select("seq_a", "seq_b", F.col("rep").alias("doc_id")).hint("merge"), ["seq_a", "seq_b", "doc_id"], "left_semi")
-    nodes = cut(nodes.select(F.col("doc_id").alias("id"), "n_shingles", "bands", "sketch").dropDuplicates(["id", "sketch"]))
-    banded = nodes.select("id", F.explode("bands").alias("key"))
+    classes = alive.groupBy("seq_a", "seq_b").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "sketch")).alias("r"), F.count(F.lit(1)).alias("n"))
+    classes = cut(classes.select("seq_a", "seq_b", "n", F.col("r.doc_id").alias("id"), "r.n_shingles", "r.bands", "r.sketch"))
+    copies = cut(classes.where("n > 1").select("seq_a", "seq_b", F.col("id").alias("u")))
+    member = alive.select("seq_a", "seq_b", F.col("doc_id").alias("v")).join(copies.hint("merge"), ["seq_a", "seq_b"])
+    member = cut(member.where("u <> v").select("u", "v"))
+    banded = classes.select("id", F.explode("bands").alias("key"))
     buckets = cut(banded.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last").select("key", "pivot"))
     members = cut(banded.join(buckets.hint("merge"), "key"))
-    texts = docs.where("doc_id IS NOT NULL")
+    near = cut(members.select("id").distinct())  # only these can have links
+    known = cut(classes.select("id", "n_shingles", "sketch").join(near.hint("merge"), "id", "left_semi"))
+    texts = cut(docs.join(near.withColumnRenamed("id", "doc_id").hint("merge"), "doc_id", "left_semi"))
 
     shared = members.where("id <> pivot").groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("n"))
     best = shared.groupBy("id").agg(F.max(F.struct("n", (-F.col("pivot")).alias("p"))).alias("b"))
     pairs = tried = cut(best.select((-F.col("b.p")).alias("u"), F.col("id").alias("v")))
     links = _links(pairs, texts)
-    nodes = nodes.drop("bands")
     members = members.select("key", "id")
     for closest in (3, 0):
         comp = cut(components(links))
-        pairs = cut(_candidates(members, nodes, comp, closest).join(tried.hint("merge"), ["u", "v"], "left_anti"))
+        pairs = cut(_candidates(members, known, comp, closest).join(tried.hint("merge"), ["u", "v"], "left_anti"))
         tried = tried.unionByName(pairs)
         links = cut(links.unionByName(_links(pairs, texts)))
     comp = cut(components(links.unionByName(member)))
