@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -41,6 +42,19 @@ def cut(df: DataFrame) -> DataFrame:
     return type(kept)(session._jsparkSession.internalCreateDataFrame(rows, kept._jdf.schema(), False), session)
 
 
+def table(df: DataFrame, kind: str) -> tuple[DataFrame, str]:
+    """``df`` as a written table in the shared folder, and the folder: for large tables, which a checkpoint would keep row by row and unpacked."""
+    folder = scratch(df.sparkSession, kind)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder), folder
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let go of the shuffle files of plans that nothing refers to any more; Spark finds out by the driver's garbage collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def scratch(spark: SparkSession, kind: str) -> str:
     """A new folder name below the shared folder."""
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
