@@ -4,10 +4,11 @@ A test item of n shingles leaks into a document that has at least ``need`` = cei
 sketch is its n - need + 1 smallest shingle hashes (a bottom-k MinHash): a document that has ``need`` of
 the n shingles can miss at most n - need, so it shares one with the sketch. The search therefore finds every leak,
 however long the document is; MinHash banding of whole documents can't (30 shingles in 20,000 have a Jaccard
-similarity of 0.0015). One list holds the hashes of all items; candidates of too few shingles are dropped
-after the lookup. Candidates are verified on the full shingle sets.
+similarity of 0.0015). Items are partitioned by size, one partition for each power of two of shingles: a partition has the list of its sketches, and a document
+is looked up in those partitions only of which it is large enough to hold an item. Candidates are verified on the full shingle sets: where a document has the hash of one of the item's
+shingles, the words themselves are compared.
 
-The items are the stated query set: they are carried to the documents in blocks of at most ``block_bytes`` of text,
+The items are the stated query set: the driver builds the index of at most ``block_bytes`` of text at a time, which is carried to the documents,
 one pass over the documents each. Documents are never shuffled.
 """
 
@@ -44,30 +45,62 @@ def windows(w: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return np.concatenate(hashes), np.concatenate(rows)
 
 
-class _Index:
-    """Items' full shingle sets and the sketches by which they are found."""
+def grams(words: list[bytes], k: int) -> list[tuple[bytes, ...]]:
+    """The k-word sequences of a text in order; of fewer words, the whole."""
+    return [tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))] if words else []
+
+
+def lowered(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+class Index:
+    """Items' shingles, each with its hash and its words, and the sketches by which they are found."""
 
     def __init__(self, ids: list[int | None], texts: list[str | None], k: int, percent: int):
         w, bounds = _text.word_hashes(pa.array(texts, pa.string()), lower=True)
-        self.ids, self.sets = ids, _text.shingles(w, bounds, k)
-        self.need = np.array([-(-percent * len(s) // 100) for s in self.sets], np.int64)
-        sketch = [s[np.argsort(_text.mix(s))[: len(s) - n + 1]] if len(s) else s for s, n in zip(self.sets, self.need.tolist())]
+        hashes, rows = windows(w, bounds, k)
+        order = np.argsort(rows, kind="stable")
+        hashes, begin = hashes[order], np.searchsorted(rows[order], np.arange(len(texts) + 1))
+        self.ids, self.shingles, self.need, sketch = ids, [], np.zeros(len(ids), np.int64), []
+        for i, text in enumerate(texts):
+            mine = dict(zip(grams(lowered(text), k), hashes[begin[i] : begin[i + 1]]))  # distinct by their words
+            n, need = len(mine), -(-percent * len(mine) // 100)
+            h = np.fromiter(mine.values(), np.uint64, n)
+            self.shingles.append((h, list(mine)))
+            self.need[i] = need
+            sketch.append(h[np.argsort(_text.mix(h), kind="stable")[: n - need + 1]])
         item = np.repeat(np.arange(len(ids)), [len(s) for s in sketch])
         hashes = np.concatenate([*sketch, np.zeros(0, np.uint64)])
-        order = np.argsort(hashes, kind="stable")
-        self.hashes, self.item = hashes[order], item[order]
         self.seen = np.zeros(int(_MASK) + 1, bool)
-        self.seen[(self.hashes & _MASK).astype(np.int64)] = True
+        self.seen[(hashes & _MASK).astype(np.int64)] = True
+        size = np.array([len(mine) for _, mine in self.shingles], np.int64)
+        part = np.floor(np.log2(np.maximum(size, 1))).astype(np.int64)[item]
+        self.parts = []  # (least need, sketch hashes in order, their items)
+        for p in np.unique(part).tolist():
+            mine = np.flatnonzero(part == p)
+            mine = mine[np.argsort(hashes[mine], kind="stable")]
+            self.parts.append((int(self.need[item[mine]].min()), hashes[mine], item[mine]))
 
     def candidates(self, hashes: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Distinct (row, item) whose row has a sketch hash of the item and the size to hold it."""
-        near = np.flatnonzero(self.seen[(hashes & _MASK).astype(np.int64)])
-        lo = np.searchsorted(self.hashes, hashes[near], "left")
-        n = np.searchsorted(self.hashes, hashes[near], "right") - lo
-        inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        row, item = np.repeat(rows[near], n), self.item[np.repeat(lo, n) + inner]
-        fits = sizes[row] >= self.need[item]
-        return np.unique(np.stack([row[fits], item[fits]], 1), axis=0)
+        near, found = np.flatnonzero(self.seen[(hashes & _MASK).astype(np.int64)]), [np.zeros((0, 2), np.int64)]
+        for least, own, items in self.parts:
+            fit = near[sizes[rows[near]] >= least]
+            lo = np.searchsorted(own, hashes[fit], "left")
+            n = np.searchsorted(own, hashes[fit], "right") - lo
+            inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            row, item = np.repeat(rows[fit], n), items[np.repeat(lo, n) + inner]
+            fits = sizes[row] >= self.need[item]
+            found.append(np.stack([row[fits], item[fits]], 1))
+        return np.unique(np.concatenate(found), axis=0)
+
+    def shared(self, item: int, hashes: np.ndarray, places: np.ndarray, words: list[bytes], k: int) -> int:
+        """How many of the item's shingles a text has, by its sorted hashes, their places and its words."""
+        h, mine = self.shingles[item]
+        lo, hi = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
+        at = np.flatnonzero(hi > lo)
+        return sum(any(tuple(words[p : p + k]) == mine[j] for p in places[a:b].tolist()) for j, a, b in zip(at.tolist(), lo[at].tolist(), hi[at].tolist()))
 
 
 def leak_pairs(docs: DataFrame, items: DataFrame, k: int = WORDS, percent: int = PERCENT, block_bytes: int = 16 << 20) -> DataFrame:
@@ -75,7 +108,7 @@ def leak_pairs(docs: DataFrame, items: DataFrame, k: int = WORDS, percent: int =
 
     Words are runs outside ASCII white space, A-Z lower-cased; a text of fewer than ``k`` words has one shingle, the whole.
     Null and empty texts have none: such items leak nowhere, such documents hold nothing. Null ids are carried as null;
-    repeated rows give repeated pairs; empty tables give no pairs; other columns don't matter.
+    repeated rows give repeated pairs; very long texts are searched whole, some 40 bytes of memory a word; empty tables give no pairs; other columns don't matter.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_item_shingles", pa.int64()), ("n_shared", pa.int64()), ("containment", pa.float64())])
     ship(docs.sparkSession)
@@ -86,10 +119,10 @@ def leak_pairs(docs: DataFrame, items: DataFrame, k: int = WORDS, percent: int =
     out = None
     for i in range(n_blocks):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == i).collect()
-        index = docs.sparkSession.sparkContext.broadcast(([r.item_id for r in block], [r.text for r in block]))
+        index = docs.sparkSession.sparkContext.broadcast(Index([r.item_id for r in block], [r.text for r in block], k, percent))
 
         def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            found = _Index(*index.value, k, percent)
+            found = index.value
             for whole in batches:
                 for at in range(0, whole.num_rows, 2000):
                     batch = whole.slice(at, 2000)
@@ -100,14 +133,15 @@ def leak_pairs(docs: DataFrame, items: DataFrame, k: int = WORDS, percent: int =
                         hashes, rows = hashes[order], rows[order]
                     pairs = found.candidates(hashes, rows, np.bincount(rows, minlength=batch.num_rows))
                     begin = np.searchsorted(rows, np.arange(batch.num_rows + 1))
-                    doc_ids, got, last, mine = batch.column("doc_id"), [], -1, None
+                    doc_ids, got, last = batch.column("doc_id"), [], -1
                     for r, item in pairs.tolist():
                         if r != last:
-                            last, mine = r, np.unique(hashes[begin[r] : begin[r + 1]])
-                        s = found.sets[item]
-                        shared = int(np.isin(s, mine, assume_unique=True).sum())
-                        if 100 * shared >= percent * len(s):
-                            got.append((doc_ids[r].as_py(), found.ids[item], len(s), shared, shared / len(s)))
+                            last, mine, words = r, hashes[begin[r] : begin[r + 1]], lowered(batch.column("text")[r].as_py())
+                            places = np.argsort(mine, kind="stable")
+                            mine = mine[places]
+                        shared, n = found.shared(item, mine, places, words, k), len(found.shingles[item][1])
+                        if 100 * shared >= percent * n:
+                            got.append((doc_ids[r].as_py(), found.ids[item], n, shared, shared / n))
                     if got:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*got), schema)], schema=schema)
 

@@ -362,9 +362,71 @@ def test_leaks(spark, docs, no_docs, rows):
     assert decontam.leak_pairs(no_docs, table).count() == 0 and decontam.leak_pairs(docs, table.limit(0)).count() == 0
 
 
+def test_leaks_compare_words(monkeypatch, spark):
+    """Words and shingles that share a hash are told apart."""
+    real = _text.span_hashes
+    words_of = [f"w{i}" for i in range(40)]
+    items = [" ".join(words_of[:12]), " ".join(words_of[20:40]), "w1 w2"]
+    texts = [" ".join(words_of[1:12]), " ".join(words_of[5:30]), " ".join(["zz", *words_of[20:38]]), "w1 w2", "w2 w1", None]
+    for bits in (64, 2):
+        monkeypatch.setattr(_text, "span_hashes", lambda *a, m=np.uint64(2**bits - 1): real(*a) & m)
+        index = decontam.Index(list(range(3)), items, 5, 75)
+        assert index.need.tolist() == [6, 12, 1] and [len(s) for _, s in index.shingles] == [8, 16, 1] and len(index.parts) == 3
+        w, bounds = _text.word_hashes(pa.array(texts), lower=True)
+        hashes, rows = decontam.windows(w, bounds, 5)
+        order = np.argsort(rows, kind="stable")
+        hashes, rows = hashes[order], rows[order]
+        got = {}
+        for r, i in index.candidates(hashes, rows, np.bincount(rows, minlength=len(texts))).tolist():
+            mine = hashes[rows == r]
+            places = np.argsort(mine, kind="stable")
+            got[r, i] = index.shared(i, mine[places], places, decontam.lowered(texts[r]), 5)
+        sets = [shingles(t) for t in texts]
+        assert {k: v for k, v in got.items() if v >= index.need[k[1]]} == {(r, i): len(shingles(items[i]) & s) for i in range(3) for r, s in enumerate(sets) if len(shingles(items[i]) & s) >= index.need[i]}
+    monkeypatch.undo()
+    left, right = thue_morse(10)
+    docs = spark.createDataFrame([(1, f"a {left} c d e f"), (2, f"a {right} c d e f")], "doc_id long, text string")
+    table = spark.createDataFrame([(1, f"A {left} c d e f")], "item_id long, text string")
+    assert [tuple(r) for r in decontam.leak_pairs(docs, table).collect()] == [(1, 1, 2, 2, 1.0)]
+
+
 # 7
 
 
+def test_similar_compares_words(monkeypatch, spark):
+    real, rnd = _text.span_hashes, random.Random(6)
+    texts = [" ".join(rnd.choice("abcdefgh") + rnd.choice("xy") for _ in range(rnd.randint(0, 40))) for _ in range(30)]
+    u = [rnd.choice(texts) for _ in range(60)] + [None, "A b"]
+    v = [rnd.choice(texts) if i % 2 else t + " tail" for i, t in enumerate(u[:60])] + ["x", "a B"]
+    want = []
+    for a, b in zip(u, v):
+        x, y = shingles(a), shingles(b)
+        want.append(bool(x & y) and 100 * len(x & y) >= 75 * len(x | y))
+    assert any(want) and not all(want)
+    for bits in (64, 2):
+        monkeypatch.setattr(_text, "span_hashes", lambda *a, m=np.uint64(2**bits - 1): real(*a) & m)
+        assert neardup.similar(pa.array(u), pa.array(v)) == want
+    monkeypatch.undo()
+    left, right = thue_morse(10)
+    docs = spark.createDataFrame([(1, left), (2, right), (3, left.upper())], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(docs).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_large_mixed_buckets_are_compared_in_blocks(monkeypatch, spark):
+    """Classes of several components in one bucket, in more than one block: each pair across components once, none twice."""
+    rnd = np.random.default_rng(5)
+    n = 40
+    sketch = rnd.integers(0, 256, neardup.M + neardup.PARITY // 8).astype(np.uint8).tobytes()
+    known = spark.createDataFrame([(i, 50, bytearray(sketch)) for i in range(n)], "id long, n_shingles long, sketch binary")
+    members = spark.createDataFrame([(k, i) for i in range(n) for k in (7, 8)], "key long, id long")
+    comp = spark.createDataFrame([(i, 0) for i in range(1, 25)] + [(i, 30) for i in range(31, 34)], "id long, component long")
+    of = {i: 0 if i < 25 else 30 if 30 <= i < 34 else i for i in range(n)}
+    monkeypatch.setattr(neardup, "BLOCK", 6)
+    monkeypatch.setattr(neardup, "cut", lambda df: df)
+    got = [tuple(r) for r in neardup._candidates(members, known, comp, 0).collect()]
+    assert Counter(got) == Counter((a, b) for a in range(n) for b in range(a + 1, n) if of[a] != of[b])
+
+
 def test_near_duplicates(docs, no_docs, rows):
     sets = [(r[0], shingles(r[1])) for r in rows]
     root = {i: i for i, _ in sets if i is not None}
@@ -498,9 +560,58 @@ def brute_spans(rows, span=20):
     return Counter(out)
 
 
-def test_substring_dedup(docs, no_docs, rows):
+@pytest.mark.parametrize("how", [{}, {"sample": 1, "hot_rows": 5}])
+def test_substring_dedup(docs, no_docs, rows, how):
+    assert Counter(tuple(r) for r in substring.cut_repeats(docs, **how).collect()) == brute_spans(rows)
+    assert substring.cut_repeats(no_docs, **how).count() == 0
+
+
+def test_substring_dedup_of_branching_paths(spark):
+    """Passages that begin, end, branch and meet within each other, periodic texts, and words that collide under polynomials."""
+    rnd = random.Random(8)
+    line = [f"w{i}" for i in range(120)]
+    left, right = thue_morse(10)
+    texts = [" ".join(line), " ".join(line[:50] + ["x"] * 25 + line[70:]), " ".join(line[10:60]), " ".join(line[40:90] + line[:45]), "a b c " * 30, "x " * 50, " ".join(line[:20] + [left] + line[30:49]), " ".join(line[:20] + [right] + line[30:49])]
+    for _ in range(25):
+        texts.append(" ".join(x for _ in range(rnd.randint(1, 4)) for x in (lambda a: line[a : a + rnd.randint(5, 60)])(rnd.randrange(100))))
+    rows = [(i % 28, t) for i, t in enumerate(texts)] + [(3, texts[3]), (3, texts[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert Counter(tuple(r) for r in substring.cut_repeats(docs).collect()) == brute_spans(rows)
-    assert substring.cut_repeats(no_docs).count() == 0
+
+
+def test_paths_without_branches_are_compacted(spark, monkeypatch):
+    """A passage in several documents is one path, cut where another document leaves it or where one ends in it."""
+    monkeypatch.setattr(substring, "BATCH_DOCS", 1)
+    passage = [f"p{i}" for i in range(100)]
+    rows = [(i, " ".join([f"a{i}", *passage, f"b{i}"])) for i in range(4)]
+    rows += [(10 + i, " ".join(passage[50:] + [f"c{i}"] * 3)) for i in range(2)]  # begin within it
+    rows += [(20 + i, " ".join([f"q{j}" for j in range(30)] + [str(i)])) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substring.segments(docs).cache()
+    got = Counter((s.doc, s.begin, s.end, s.first) for s in substring.spans(found).collect())
+    want = Counter((i, 1, 70, i == 0) for i in range(4)) + Counter((i, 51, 101, i == 0) for i in range(4))
+    want += Counter((10 + i, 0, 50, False) for i in range(2)) + Counter((20 + i, 0, 30, i == 0) for i in range(2))
+    assert got == want and found.count() > sum(want.values())
+    assert Counter(tuple(r) for r in substring.cut_repeats(docs).collect()) == brute_spans(rows)
+
+
+def test_substring_dedup_tries_other_hashes(monkeypatch, spark):
+    """Windows of one hash are found out by their words, and compared again under another seed."""
+    tried = []
+    real = substring.segments
+    words_of = [f"w{i}" for i in range(30)]
+    docs = spark.createDataFrame([(1, " ".join(words_of)), (2, " ".join(words_of[:15] + ["zz"] * 15)), (3, " ".join(words_of))], "doc_id long, text string")
+
+    def wrong(docs, span, seed, *a):
+        tried.append(seed)
+        out = real(docs, span, seed, *a)
+        if seed == 0:  # as if the second text had windows of the first
+            out = out.where("seg <> 0").unionByName(spark.createDataFrame([(5, 1, 0, 0, 3, 2, True), (5, 2, 0, 0, 3, 2, False)], substring.SEGMENT).drop("th").join(docs.selectExpr("doc_id AS doc", "xxhash64(text) AS th"), "doc").select(*out.columns))
+        return out
+
+    monkeypatch.setattr(substring, "segments", wrong)
+    got = {r.doc_id: r.n_removed for r in substring.cut_repeats(docs).collect()}
+    assert got == {1: 0, 2: 0, 3: 30} and tried == [0, 1]
 
 
 # 10
