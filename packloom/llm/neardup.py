@@ -36,6 +36,8 @@ AGREE = 73
 #: Bits of the parity sketch: bit k tells whether an odd number of shingles hash to k.
 PARITY = 2048
 BLOCK = 1024
+#: Rows of blocks compared at once, and more until their group ends.
+GROUP_ROWS = 20_000
 SIGNED = "doc_id long, n_shingles long, seq_a long, seq_b long, bands array<long>, sketch binary"
 _U = np.uint64
 
@@ -148,44 +150,93 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return cut(both.mapInArrow(verify, "u long, v long").distinct())
 
 
-def _across(key: tuple, group: pa.Table, closest: int) -> pa.Table:
-    """Pairs between two blocks of a bucket (or within one) that lie in different components and that their sketches don't rule out; if ``closest``, so many at most for each member."""
-    block = np.asarray(group["block"])
-    one, two = key[1].as_py(), key[2].as_py()
-    order = np.argsort(block, kind="stable")
-    group, block = group.take(pa.array(order)), block[order]
-    ids, comp = np.asarray(group["id"]), np.asarray(group["component"])
-    size = np.asarray(group["n_shingles"]).astype(np.int64)
-    sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(len(ids), M + PARITY // 8)
-    slots = np.ascontiguousarray(sketch[:, :M].T)
-    bits = np.ascontiguousarray(sketch[:, M:]).view(np.uint64)
-    rows = np.flatnonzero(block == two)
-    cols = slice(*np.searchsorted(block, [one, one + 1]).tolist())
-    u, v = [], []
-    for i in range(0, len(rows), 256):
-        part = slice(int(rows[i]), int(rows[min(i + 256, len(rows)) - 1]) + 1)
-        agree = np.zeros((part.stop - part.start, cols.stop - cols.start), np.uint8)
+def _apart(sketch: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the pairs (x, y) their sketches don't rule out, and the share of parity bits in which these differ."""
+    near, odd = np.zeros(len(x), bool), np.zeros(len(x), np.int64)
+    bits = sketch[:, M:].view(np.uint64)
+    for at in range(0, len(x), 1 << 15):
+        a, b = x[at : at + (1 << 15)], y[at : at + (1 << 15)]
+        some = np.flatnonzero(np.count_nonzero(sketch[a, :M] == sketch[b, :M], axis=1) >= AGREE)
+        odd[at + some] = np.bitwise_count(bits[a[some]] ^ bits[b[some]]).sum(1, dtype=np.int64)
+        near[at + some] = True
+    at = np.flatnonzero(near)
+    both = size[x[at]] + size[y[at]]
+    ok = odd[at] <= most_odd(both)
+    return at[ok], odd[at[ok]] / both[ok]
+
+
+def _agreeing(slots: np.ndarray, comp: np.ndarray, rows: slice, cols: slice) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of two large blocks in different components whose sketches agree in enough slots."""
+    x, y = [], []
+    for i in range(rows.start, rows.stop, 256):
+        part = slice(i, min(i + 256, rows.stop))
+        agree = np.zeros((part.stop - i, cols.stop - cols.start), np.uint8)
         for slot in slots:
             agree += slot[part, None] == slot[None, cols]
-        x, y = np.nonzero((agree >= AGREE) & (comp[part, None] != comp[None, cols]))
-        x, y = x + part.start, y + cols.start
-        odd = np.zeros(len(x), np.int64)
-        for at in range(0, len(x), 1 << 16):
-            some = slice(at, at + (1 << 16))
-            odd[some] = np.bitwise_count(bits[x[some]] ^ bits[y[some]]).sum(1, dtype=np.int64)
-        both = size[x] + size[y]
-        near = odd <= most_odd(both)
-        x, y, apart = x[near], y[near], odd[near] / both[near]
-        if closest:
-            order = np.lexsort((ids[y], apart, x))
-            x, y = x[order], y[order]
-            rank = np.arange(len(x)) - np.searchsorted(x, x)
-            x, y = x[rank < closest], y[rank < closest]
-        u.append(ids[x])
-        v.append(ids[y])
-    u, v = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (u, v))
-    pairs = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], 1), axis=0) if len(u) else np.zeros((0, 2), np.int64)
-    return pa.table({"u": pa.array(pairs[:, 0], pa.int64()), "v": pa.array(pairs[:, 1], pa.int64())})
+        a, b = np.nonzero((agree >= AGREE) & (comp[part, None] != comp[None, cols]))
+        x.append(a + i)
+        y.append(b + cols.start)
+    return np.concatenate(x), np.concatenate(y)
+
+
+def _across(rows: pa.RecordBatch, closest: int) -> pa.RecordBatch:
+    """Pairs between the two blocks of each group (or within its one) that lie in different components and that their sketches don't rule out; if ``closest``, so many at most for each
+    member of the second block. Groups are whole and sorted by key, x, y and block."""
+    ids, comp, block, size = (np.asarray(rows[c]) for c in ("id", "component", "block", "n_shingles"))
+    group = [np.asarray(rows[c]) for c in ("key", "x", "y")]
+    sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(len(ids), M + PARITY // 8)
+    new = np.ones(len(ids), bool)
+    new[1:] = np.any([g[1:] != g[:-1] for g in group], axis=0)
+    begin = np.flatnonzero(new)
+    end = np.append(begin[1:], len(ids))
+    second = begin + np.add.reduceat((block != group[2]).astype(np.int64), begin)  # where the second block begins
+    alone = group[1][begin] == group[2][begin]
+    first_end = np.where(alone, end, second)
+    a, b = end - second, first_end - begin
+    small = a * b <= 1 << 16
+    n = np.where(small, a * b, 0)
+    of = np.repeat(np.arange(len(n)), n)
+    k = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    x, y = second[of] + k // b[of], begin[of] + k % b[of]
+    keep = (comp[x] != comp[y]) & (~alone[of] | (x > y))
+    x, y = [x[keep]], [y[keep]]
+    if not small.all():
+        slots = np.ascontiguousarray(sketch[:, :M].T)
+        for g in np.flatnonzero(~small).tolist():
+            found = _agreeing(slots, comp, slice(int(second[g]), int(end[g])), slice(int(begin[g]), int(first_end[g])))
+            x.append(found[0])
+            y.append(found[1])
+    x, y = np.concatenate(x), np.concatenate(y)
+    at, apart = _apart(sketch, size, x, y)
+    x, y = x[at], y[at]
+    if closest:
+        order = np.lexsort((ids[y], apart, x))
+        x, y = x[order], y[order]
+        rank = np.arange(len(x)) - np.searchsorted(x, x)
+        x, y = x[rank < closest], y[rank < closest]
+    pairs = np.stack([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])], 1)
+    pairs = np.unique(pairs, axis=0) if len(pairs) else pairs
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["u", "v"])
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of whole groups (key, x, y)."""
+    held, rows = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        rows += batch.num_rows
+        if rows < GROUP_ROWS:
+            continue
+        every = pa.concat_batches(held)
+        same = np.all([(c := np.asarray(every[name])) == c[-1] for name in ("key", "x", "y")], axis=0)
+        at = int(np.flatnonzero(~same).max(initial=-1)) + 1
+        if at:
+            yield every.slice(0, at)
+        held, rows = [every.slice(at)], len(every) - at
+    if held:
+        yield pa.concat_batches(held)
 
 
 def _candidates(members: DataFrame, known: DataFrame, comp: DataFrame, closest: int) -> DataFrame:
@@ -208,7 +259,13 @@ def _candidates(members: DataFrame, known: DataFrame, comp: DataFrame, closest:
     rows = rows.withColumn("other", F.explode(F.sequence(F.when(F.col("own"), F.col("i")).otherwise(0), F.col("i") + F.col("j") - 1)))
     rows = rows.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
     rows = rows.select("key", "x", "y", "id", "component", "block", "n_shingles", "sketch")
-    return rows.groupBy("key", "x", "y").applyInArrow(lambda k, g: _across(k, g, closest), "u long, v long").distinct()
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_groups(batches):
+            yield _across(batch, closest)
+
+    dealt = rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "block")  # groups hold two blocks at most
+    return dealt.mapInArrow(compare, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
