@@ -1,10 +1,15 @@
-"""Shared scratch space: checkpoints and files that every executor and the driver can read."""
+"""Shared scratch space: tables and files that every executor and the driver can read."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import gc
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +17,7 @@ from pyspark.sql import functions as F
 from packloom.ship import ship
 
 _OWN: dict[str, str] = {}
-_KEPT: list[str] = []
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -23,30 +28,40 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         if not sc.master.startswith("local[") and sc.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = _OWN.setdefault(sc.applicationId, None) or tempfile.mkdtemp(prefix="packloom-")
-        _OWN[sc.applicationId] = found
+        if sc.applicationId not in _OWN:
+            _OWN[sc.applicationId] = tempfile.mkdtemp(prefix="packloom-")
+            atexit.register(shutil.rmtree, _OWN[sc.applicationId], ignore_errors=True)
+        found = _OWN[sc.applicationId]
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(found)
     return found.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder: later steps survive the loss of executors.
-
-    A checkpoint keeps the size that was estimated for its plan. Joins multiply these estimates, which over the rounds of a loop become
-    numbers of millions of digits; the kept rows are therefore taken as a new table of unknown size.
-    """
-    shared_dir(df.sparkSession)
-    kept, session = df.checkpoint(eager=True), df.sparkSession
-    rows = kept._jdf.queryExecution().toRdd()
-    return type(kept)(session._jsparkSession.internalCreateDataFrame(rows, kept._jdf.schema(), False), session)
+@contextlib.contextmanager
+def freed() -> Iterator[None]:
+    """Delete the tables written within: for callers whose results don't read them afterwards. Without it tables stay until the shared folder is cleared."""
+    folders: list[str] = []
+    token = _SCOPE.set(folders)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for folder in folders:
+            remove_dir(folder)
 
 
 def table(df: DataFrame, kind: str) -> tuple[DataFrame, str]:
-    """``df`` as a written table in the shared folder, and the folder: for large tables, which a checkpoint would keep row by row and unpacked."""
-    folder = scratch(df.sparkSession, kind)
+    """``df`` computed once, as a written table in the shared folder, and that folder."""
+    spark, folder = df.sparkSession, scratch(df.sparkSession, kind)
+    if (folders := _SCOPE.get()) is not None:
+        folders.append(folder)
     df.write.parquet(folder)
-    return df.sparkSession.read.parquet(folder), folder
+    return spark.read.schema(df.schema).parquet(folder), folder
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder: later steps survive the loss of executors, start from a short plan and know the table's size."""
+    return table(df, "cut")[0]
 
 
 def tidy(spark: SparkSession) -> None:
@@ -100,13 +115,4 @@ def fresh(df: DataFrame, name: str) -> str:
 
 def keyed(docs: DataFrame) -> DataFrame:
     """``docs`` as a written table of ``__row``, a key that doesn't change, and ``doc``, a struct of all its columns (their names clash with nothing)."""
-    folder = scratch(docs.sparkSession, "docs")
-    _KEPT.append(folder)
-    docs.select(F.monotonically_increasing_id().alias("__row"), F.struct("*").alias("doc")).write.parquet(folder)
-    return docs.sparkSession.read.parquet(folder)
-
-
-def release() -> None:
-    """Delete the tables of ``keyed``: for callers whose results don't read them any more."""
-    while _KEPT:
-        remove_dir(_KEPT.pop())
+    return table(docs.select(F.monotonically_increasing_id().alias("__row"), F.struct("*").alias("doc")), "docs")[0]

@@ -38,7 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round hooks every node to the smallest of its neighbours and itself and contracts the edges along the hooks, which keeps what
     is connected connected; each keeps only nodes that still have edges. Nodes' hooks are followed as they are found. Joins
-    are merges of shuffled sides with a table of their own: they can be split at hubs, and nothing is broadcast from the driver.
+    are with written tables, whose sizes are known: Spark carries a side to all tasks only if it is below its threshold, and can split shuffled ones at hubs.
     """
     e = cut(edges.where("u <> v").select("u", "v").mapInArrow(_forest, "u long, v long").distinct())
     root = None
@@ -48,10 +48,10 @@ def components(edges: DataFrame) -> DataFrame:
         if root is None:
             root = low.select(F.col("u").alias("id"), F.col("m").alias("component"))
         else:
-            hook = low.select(F.col("u").alias("component"), F.col("m").alias("m")).hint("merge")
+            hook = low.select(F.col("u").alias("component"), F.col("m").alias("m"))
             root = cut(root.join(hook, "component", "left").select("id", F.coalesce("m", "component").alias("component")))
-        to = low.select(F.col("u").alias("v"), F.col("m").alias("mv")).hint("merge")
-        e = e.join(low.hint("merge"), "u").join(to, "v").where("m <> mv")
+        to = low.select(F.col("u").alias("v"), F.col("m").alias("mv"))
+        e = e.join(low, "u").join(to, "v").where("m <> mv")
         e = cut(e.select(F.least("m", "mv").alias("u"), F.greatest("m", "mv").alias("v")).distinct())
     if root is None:
         return e.select(F.col("v").alias("id"), F.col("u").alias("component"))

@@ -146,7 +146,7 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     v = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
     u = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u"))
-    both = pairs.join(v.hint("merge"), "v").join(u.hint("merge"), "u").select("u", "v", "text_u", "text_v")
+    both = pairs.join(v, "v").join(u, "u").select("u", "v", "text_u", "text_v")
     return cut(both.mapInArrow(verify, "u long, v long").distinct())
 
 
@@ -245,17 +245,17 @@ def _candidates(members: DataFrame, known: DataFrame, comp: DataFrame, closest:
     A bucket's main component is that of the smallest id. Its classes and the others are dealt into blocks; blocks of others meet all
     blocks, those of the main component never each other, and no group holds more than two blocks.
     """
-    rows = cut(members.join(comp.hint("merge"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")))
+    rows = cut(members.join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")))
     mixed = rows.groupBy("key").agg(F.min("component").alias("main"), F.max("component").alias("last"), F.count(F.lit(1)).alias("n"))
     mixed = mixed.where("main < last").select("key", "main", "n")
-    rows = rows.join(cut(mixed).hint("merge"), "key")
+    rows = rows.join(cut(mixed), "key")
     others = rows.where("component <> main").groupBy("key").agg(F.count(F.lit(1)).alias("m"))
-    rows = rows.join(cut(others).hint("merge"), "key")
+    rows = rows.join(cut(others), "key")
     deal = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK)).cast("int")
     rows = rows.withColumns({"i": deal(F.col("n") - F.col("m")), "j": deal(F.col("m")), "own": F.col("component") == F.col("main")})
     h = F.xxhash64("id")
     rows = rows.withColumn("block", F.when(F.col("own"), F.pmod(h, F.col("i"))).otherwise(F.col("i") + F.pmod(h, F.col("j"))).cast("int"))
-    rows = rows.join(known.hint("merge"), "id")
+    rows = rows.join(known, "id")
     rows = rows.withColumn("other", F.explode(F.sequence(F.when(F.col("own"), F.col("i")).otherwise(0), F.col("i") + F.col("j") - 1)))
     rows = rows.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
     rows = rows.select("key", "x", "y", "id", "component", "block", "n_shingles", "sketch")
@@ -281,14 +281,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = alive.groupBy("seq_a", "seq_b").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "sketch")).alias("r"), F.count(F.lit(1)).alias("n"))
     classes = cut(classes.select("seq_a", "seq_b", "n", F.col("r.doc_id").alias("id"), "r.n_shingles", "r.bands", "r.sketch"))
     copies = cut(classes.where("n > 1").select("seq_a", "seq_b", F.col("id").alias("u")))
-    member = alive.select("seq_a", "seq_b", F.col("doc_id").alias("v")).join(copies.hint("merge"), ["seq_a", "seq_b"])
+    member = alive.select("seq_a", "seq_b", F.col("doc_id").alias("v")).join(copies, ["seq_a", "seq_b"])
     member = cut(member.where("u <> v").select("u", "v"))
     banded = classes.select("id", F.explode("bands").alias("key"))
     buckets = cut(banded.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last").select("key", "pivot"))
-    members = cut(banded.join(buckets.hint("merge"), "key"))
+    members = cut(banded.join(buckets, "key"))
     near = cut(members.select("id").distinct())  # only these can have links
-    known = cut(classes.select("id", "n_shingles", "sketch").join(near.hint("merge"), "id", "left_semi"))
-    texts = cut(docs.join(near.withColumnRenamed("id", "doc_id").hint("merge"), "doc_id", "left_semi"))
+    known = cut(classes.select("id", "n_shingles", "sketch").join(near, "id", "left_semi"))
+    texts = cut(docs.join(near.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"))
 
     shared = members.where("id <> pivot").groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("n"))
     best = shared.groupBy("id").agg(F.max(F.struct("n", (-F.col("pivot")).alias("p"))).alias("b"))
@@ -297,11 +297,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = members.select("key", "id")
     for closest in (3, 0):
         comp = cut(components(links))
-        pairs = cut(_candidates(members, known, comp, closest).join(tried.hint("merge"), ["u", "v"], "left_anti"))
+        pairs = cut(_candidates(members, known, comp, closest).join(tried, ["u", "v"], "left_anti"))
         tried = tried.unionByName(pairs)
         links = cut(links.unionByName(_links(pairs, texts)))
     comp = cut(components(links.unionByName(member)))
-    rows = signed.select("doc_id", "n_shingles").join(comp.hint("merge"), F.col("doc_id") == F.col("id"), "left")
+    rows = signed.select("doc_id", "n_shingles").join(comp, F.col("doc_id") == F.col("id"), "left")
     component = F.coalesce("component", "doc_id")
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 

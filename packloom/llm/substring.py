@@ -33,11 +33,11 @@ SPAN = 20
 ANCHOR = 6
 #: Bytes kept of a window's hash; windows are only compared under one 64-bit anchor.
 HASH_BYTES = 7
-BATCH_DOCS = 2500
+BATCH_DOCS = 1500
 #: One document of so many is looked at for hot anchors; those with at least so many windows among them are, but for more than so many anchors in all.
 SAMPLE, HOT_ROWS, HOT_ANCHORS = 32, 512, 65_536
 #: Pieces read at once, and more until the anchor changes.
-CHUNK_ROWS = 200_000
+CHUNK_ROWS = 120_000
 ATTEMPTS = 5
 _LAST = 2**63 - 1
 PIECE = "key long, doc long, th long, start long, n int, windows binary"
@@ -267,36 +267,41 @@ def spans(found: DataFrame, span: int = SPAN) -> DataFrame:
     """Occurrences of whole paths as spans of words: path (0: a copy that went in its batch), doc, th, begin, end, first."""
     linked = paths(found)
     heads = linked.groupBy(F.col("up").alias("seg")).agg(F.max(F.col("d") + F.col("len")).alias("whole"))
-    rows = found.join(linked.select("seg"), "seg", "left_anti").join(heads, "seg", "left")
-    return rows.select(F.col("seg").alias("path"), "doc", "th", "begin", (F.col("begin") + F.coalesce("whole", "len") + (span - 1)).alias("end"), "first")
+    rows = found.where("seg <> 0").join(linked.select("seg"), "seg", "left_anti").join(heads, "seg", "left")
+    copies = found.where("seg = 0").withColumn("whole", F.col("len"))  # meet nothing
+    every = rows.unionByName(copies.select(rows.columns))
+    return every.select(F.col("seg").alias("path"), "doc", "th", "begin", (F.col("begin") + F.coalesce("whole", "len") + (span - 1)).alias("end"), "first")
 
 
 def _apply(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
-    digests = pa.list_(pa.struct([("path", pa.int64()), ("first", pa.bool_()), ("a", pa.int64()), ("b", pa.int64())]))
-    types = (pa.int64(), pa.int64(), pa.string(), pa.string(), digests)
     for batch in batches:
-        ids, texts, out = batch.column("doc_id"), batch.column("text"), []
-        lists = batch.column("spans").to_pylist()
+        ids, texts, found = batch.column("doc_id"), batch.column("text"), batch.column("spans")
+        path, begin, end, first = ([] if found.null_count == len(found) else found.values.field(c).to_pylist() for c in ("path", "begin", "end", "first"))
+        at, valid = found.offsets.to_pylist(), found.is_valid().to_pylist()
+        out, seen, sizes = [], [], [0]
         for i in range(batch.num_rows):
-            text, seen = texts[i].as_py(), []
+            text = texts[i].as_py()
             words = text.encode().split() if text is not None else []
             n = len(words)
-            if lists[i]:
+            if valid[i]:
                 keep = bytearray(b"\1") * n
-                for s in lists[i]:
-                    a, b = s["begin"], s["end"]
+                for p, a, b, f in zip(path[at[i] : at[i + 1]], begin[at[i] : at[i + 1]], end[at[i] : at[i + 1]], first[at[i] : at[i + 1]]):
                     if not 0 <= a < b <= n:
                         raise ValueError(f"a span [{a}, {b}) doesn't lie in a text of {n} words")
-                    if s["path"]:
-                        x, y = np.frombuffer(hashlib.blake2b(b" ".join(words[a:b]), digest_size=16).digest(), "<i8").tolist()
-                        seen.append({"path": s["path"], "first": s["first"], "a": x, "b": y})
-                    if not s["first"]:
+                    if p:
+                        seen.append((p, f, hashlib.blake2b(b" ".join(words[a:b]), digest_size=16).digest()))
+                    if not f:
                         keep[a:b] = bytes(b - a)
                 words = [x for x, k in zip(words, keep) if k]
             kept = b" ".join(words)
-            out.append((n, n - len(words), hashlib.sha256(kept).hexdigest(), kept.decode() if with_text else None, seen))
+            out.append((n, n - len(words), hashlib.sha256(kept).hexdigest(), kept.decode() if with_text else None))
+            sizes.append(len(seen))
+        types = (pa.int64(), pa.int64(), pa.string(), pa.string())
         cols = [pa.array(c, t) for c, t in zip(zip(*out), types)] if out else [pa.array([], t) for t in types]
-        yield pa.RecordBatch.from_arrays([ids, *cols], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "seen"])
+        p, f, d = zip(*seen) if seen else ((), (), ())
+        digest = np.frombuffer(b"".join(d), "<i8").reshape(-1, 2)
+        marks = pa.StructArray.from_arrays([pa.array(p, pa.int64()), pa.array(f, pa.bool_()), pa.array(digest[:, 0]), pa.array(digest[:, 1])], names=["path", "first", "a", "b"])
+        yield pa.RecordBatch.from_arrays([ids, *cols, pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), marks)], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "seen"])
 
 
 def cut_repeats(docs: DataFrame, span: int = SPAN, with_text: bool = True, sample: int = SAMPLE, hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -164,7 +164,7 @@ def judge_urls(pages: DataFrame, listed_hosts: DataFrame | None = None, rules=RU
 
     ``listed_hosts`` has a column ``host``; by default the listed hosts are those whose every page came
     without TLS (no https url). Null urls and urls without ``://`` have an empty host and path, no rule, and
-    the host is never listed. Repeated rows are judged alike; an empty table gives no rows; further columns of ``pages`` are dropped.
+    the host is never listed. Very long urls are judged whole. Repeated rows are judged alike; an empty table gives no rows; further columns of ``pages`` are dropped.
     """
     rows = pages.select("page_id", "url").withColumns({"host": url_host(F.col("url")), "path": url_path(F.col("url"))})
     hosts = rows.where("host <> ''")
