@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from packloom.llm import decontam, langid, mixing, neardup, tokens
-from packloom.llm._store import cut, release, remove_dir, scratch
+from packloom.llm._store import cut, freed, remove_dir, scratch
 from packloom.llm.entries import tokenizer_path
 
 #: Documents whose best language scores less go. Those of none of the learned languages are und with score 0, see langid; the best of k languages scores 1 / k at least.
@@ -57,18 +57,24 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in a row over the documents of ``sf_dir``.
+
+    Null texts, empty ones and such without letters go in the first stage, so that the later ones see none; null doc_ids are carried through and come first in the
+    token files; null sources are one source; rows of one doc_id are one document to near-dedup and apart to all other stages; very long texts are worked on whole. Columns beyond those of
+    documents pass all stages but the last. Without any document each stage writes an empty table and the result has no rows.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     previous = None
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            folder = scratch(spark, "stage")
-            docs.write.parquet(folder)
-            release()
-            docs = spark.read.parquet(folder)
-            if previous:
-                remove_dir(previous)
-            previous = folder
+    for _, stage in STAGES[:-1]:
+        folder = scratch(spark, "stage")
+        with freed():
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(folder)
+        docs = spark.read.schema(out.schema).parquet(folder)
+        if previous:
+            remove_dir(previous)
+        previous = folder
+    out = STAGES[-1][1](spark, docs, sf_dir)
     if previous:
         remove_dir(previous)  # the last stage has kept its result
-    return docs
+    return out
