@@ -117,6 +117,7 @@ def blank_row(cells: Column) -> Column:
 
 def _issue(when: Column, code: str, severity: str, row: Column, column: str | None, raw: Column | None = None) -> Column:
     """An issue struct where ``when`` holds."""
+    message, action = MESSAGES[code]
     return F.when(
         when,
         F.struct(
@@ -124,66 +125,82 @@ def _issue(when: Column, code: str, severity: str, row: Column, column: str | No
             F.lit(severity).alias("severity"),
             row.cast("int").alias("source_row"),
             F.lit(column).cast("string").alias("source_column"),
-            F.lit(MESSAGES[code]).alias("message"),
+            F.lit(message).alias("message"),
             (F.lit(None) if raw is None else raw).cast("string").alias("raw_value"),
+            F.lit(action).alias("suggested_action"),
         ),
     )
 
 
+#: What is said of each finding, and what to do about it.
 MESSAGES = {
-    "BLANK_MANDATORY_COLUMN": "A mandatory cell is blank.",
-    "MISSING_DESCRIPTIVE_FIELD": "Neither a name nor a definition is given.",
-    "MISSING_REQUIREMENT_ID": "No requirement id; the row number stands in.",
-    "MISSING_CARDINALITY": "No cardinality; unknown is kept.",
-    "INVALID_CARDINALITY": "The cardinality isn't one of the known words; unknown is kept.",
-    "UNSUPPORTED_EXPECTED_TYPE": "Nothing suggests a type; unknown is kept.",
-    "MALFORMED_ACCEPTED_VALUES": "Too many accepted values; none is kept.",
-    "TARGET_SPEC_VALIDATION_FAILED": "Accepted values differ in case alone.",
+    "BLANK_MANDATORY_COLUMN": ("A mandatory cell is blank.", "Fill the cell."),
+    "MISSING_DESCRIPTIVE_FIELD": ("Neither a name nor a definition is given.", "Give a name or a definition."),
+    "MISSING_REQUIREMENT_ID": ("No requirement id; the row number stands in.", "Give an id that stays."),
+    "MISSING_CARDINALITY": ("No cardinality; unknown is kept.", "Say whether several values may be given."),
+    "INVALID_CARDINALITY": ("The cardinality isn't one of the known words; unknown is kept.", "Use one of the known words."),
+    "UNSUPPORTED_EXPECTED_TYPE": ("Nothing suggests a type; unknown is kept.", "Name the type in the definition."),
+    "MALFORMED_ACCEPTED_VALUES": ("Too many accepted values; none is kept.", "Check the list in the guidance."),
+    "TARGET_SPEC_VALIDATION_FAILED": ("Accepted values differ in case alone.", "Remove values that repeat others."),
+    "DUPLICATE_TARGET_ID": ("Several rows have this identity.", "Check the cells that identities are made of."),
+    "DUPLICATE_PHYSICAL_ROW": ("Several rows have this number.", "Check how the file was read."),
 }
 
 
+def _held(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` with more columns, each computed once: what is read or filtered later isn't pushed below a generator, nor spelled out in its place."""
+    fields = [F.col(c).alias(c) for c in df.columns] + [v.alias(k) for k, v in columns.items()]
+    return df.select(F.inline(F.array(F.struct(*fields))))
+
+
 def normalize_rows(rows: DataFrame, mapping: Mapping, source_name: str, file_name: str, dictionary_id: str | None = None) -> DataFrame:
-    """``rows`` (row_number, cells) to row_number, disposition, target and issues; a narrow projection without a shuffle.
+    """``rows`` (row_number, cells) to row_number, disposition, target and issues; narrow projections without a shuffle.
 
-    Blank rows are ignored. Rows with an error have no target, and their warnings aren't looked for.
+    Blank rows are ignored. Rows with an error have no target, and their warnings aren't looked for. Each step's columns are computed once and read by
+    the next ones.
     """
     did = F.lit(dictionary_id or mapping.dictionary_id)
     raw = lambda f: F.try_element_at("cells", F.lit(mapping.fields[f])) if f in mapping.fields else F.lit(None).cast("string")
     names = ["expected_field", "sub_domain", "requirement_name", "field_label", "requirement_text", "requirement_id", "component_type", "component_subtype"]
-    r = rows.withColumns({f"f_{n}": T.stripped(raw(n)) for n in names} | {"f_guidance": raw("source_guidance"), "f_cardinality": raw("cardinality"), "blank": blank_row(F.col("cells"))})
     c, n = F.col, F.col("row_number")
-    errors = F.array_compact(
-        F.array(
-            _issue(c("f_expected_field") == "", "BLANK_MANDATORY_COLUMN", "error", n, "expected_field", raw("expected_field")),
-            _issue(c("f_sub_domain") == "", "BLANK_MANDATORY_COLUMN", "error", n, "sub_domain", raw("sub_domain")),
-            _issue((c("f_requirement_name") == "") & (c("f_requirement_text") == ""), "MISSING_DESCRIPTIVE_FIELD", "error", n, "requirement_text", raw("requirement_text")),
-        )
-    )
-    r = r.withColumns(
+    stripped = {f"f_{name}": T.stripped(raw(name)) for name in names} | {"f_guidance": T.stripped(raw("source_guidance")), "f_cardinality": F.lower(T.stripped(raw("cardinality")))}
+    r = _held(rows.select("row_number", "cells"), stripped | {"blank": blank_row(c("cells"))})
+    r = _held(
+        r,
         {
-            "errors": errors,
             "kind": T.expected_type(c("f_field_label"), c("f_requirement_text"), c("f_guidance")),
             "listed": T.listed_values(c("f_guidance")),
             "card": T.cardinality(c("f_cardinality")),
-        }
+            "rid": F.coalesce(T.or_null(c("f_requirement_id")), F.concat(F.lit("row_"), n)),
+            "errors": F.array_compact(
+                F.array(
+                    _issue(c("f_expected_field") == "", "BLANK_MANDATORY_COLUMN", "error", n, "expected_field", raw("expected_field")),
+                    _issue(c("f_sub_domain") == "", "BLANK_MANDATORY_COLUMN", "error", n, "sub_domain", raw("sub_domain")),
+                    _issue((c("f_requirement_name") == "") & (c("f_requirement_text") == ""), "MISSING_DESCRIPTIVE_FIELD", "error", n, "requirement_text", raw("requirement_text")),
+                )
+            ),
+        },
     )
-    card_text = F.lower(T.stripped(c("f_cardinality")))
-    warnings = F.array_compact(
-        F.array(
-            _issue(c("f_requirement_id") == "", "MISSING_REQUIREMENT_ID", "warning", n, mapping.fields.get("requirement_id")),
-            _issue(card_text == "", "MISSING_CARDINALITY", "warning", n, mapping.fields.get("cardinality")),
-            _issue((card_text != "") & (c("card") == "unknown"), "INVALID_CARDINALITY", "warning", n, mapping.fields.get("cardinality"), card_text),
-            _issue(c("kind") == "unknown", "UNSUPPORTED_EXPECTED_TYPE", "warning", n, None),
-            _issue(F.size("listed") > T.MOST_ACCEPTED, "MALFORMED_ACCEPTED_VALUES", "warning", n, mapping.fields.get("source_guidance"), T.stripped(c("f_guidance"))),
-        )
+    r = _held(
+        r,
+        {
+            "accepted": F.when(F.size("listed") > T.MOST_ACCEPTED, F.array().cast("array<string>")).otherwise(c("listed")),
+            "warnings": F.array_compact(
+                F.array(
+                    _issue(c("f_requirement_id") == "", "MISSING_REQUIREMENT_ID", "warning", n, mapping.fields.get("requirement_id")),
+                    _issue(c("f_cardinality") == "", "MISSING_CARDINALITY", "warning", n, mapping.fields.get("cardinality")),
+                    _issue((c("f_cardinality") != "") & (c("card") == "unknown"), "INVALID_CARDINALITY", "warning", n, mapping.fields.get("cardinality"), c("f_cardinality")),
+                    _issue(c("kind") == "unknown", "UNSUPPORTED_EXPECTED_TYPE", "warning", n, None),
+                    _issue(F.size("listed") > T.MOST_ACCEPTED, "MALFORMED_ACCEPTED_VALUES", "warning", n, mapping.fields.get("source_guidance"), c("f_guidance")),
+                )
+            ),
+        },
     )
-    r = r.withColumns({"warnings": warnings, "accepted": T.accepted_values(c("f_guidance")), "rid": F.coalesce(T.or_null(c("f_requirement_id")), F.concat(F.lit("row_"), n))})
     clash = F.size(F.array_distinct(F.transform("accepted", T.casefold))) < F.size("accepted")
-    failed = _issue(clash, "TARGET_SPEC_VALIDATION_FAILED", "error", n, None)
+    r = _held(r, {"failed": F.array_compact(F.array(_issue(clash, "TARGET_SPEC_VALIDATION_FAILED", "error", n, None)))})
     none = F.array().cast(r.schema["errors"].dataType)
-    issues = F.when(c("blank"), none).when(F.size("errors") > 0, c("errors")).otherwise(F.concat("warnings", F.array_compact(F.array(failed))))
-    meta = F.map_filter(F.create_map(*[x for f in mapping.metadata_fields if f in mapping.fields for x in (F.lit(f), raw(f))]), lambda k, v: v.isNotNull()) if any(f in mapping.fields for f in mapping.metadata_fields) else F.create_map().cast("map<string,string>")
-    disposition = F.when(c("blank"), "ignored_blank").when((F.size("errors") > 0) | clash, "rejected").when(F.size("warnings") > 0, "normalized_with_warnings").otherwise("normalized")
+    meta_fields = [f for f in mapping.metadata_fields if f in mapping.fields]
+    meta = F.map_filter(F.create_map(*[x for f in meta_fields for x in (F.lit(f), raw(f))]), lambda k, v: v.isNotNull()) if meta_fields else F.create_map().cast("map<string,string>")
     target = F.struct(
         ids.target_row_id(did, F.lit(source_name), n, c("rid"), c("f_expected_field")).alias("target_row_id"),
         c("rid").alias("requirement_id"),
@@ -195,7 +212,7 @@ def normalize_rows(rows: DataFrame, mapping: Mapping, source_name: str, file_nam
         c("card").alias("cardinality"),
         T.or_null(c("f_component_type")).alias("component_type"),
         T.or_null(c("f_component_subtype")).alias("component_subtype"),
-        T.or_null(T.stripped(c("f_guidance"))).alias("source_guidance"),
+        T.or_null(c("f_guidance")).alias("source_guidance"),
         c("accepted").alias("accepted_values"),
         T.evidence_types({"source_guidance": c("f_guidance")} | {f: raw(f) for f in mapping.evidence_rules if f != "source_guidance"}, mapping.evidence_rules).alias("likely_evidence_types"),
         meta.alias("metadata"),
@@ -212,30 +229,60 @@ def normalize_rows(rows: DataFrame, mapping: Mapping, source_name: str, file_nam
             T.compact_cells(c("cells")).alias("raw_value_provenance"),
         ).alias("provenance"),
     )
-    out = r.select("row_number", disposition.alias("disposition"), target.alias("t"), issues.alias("issues"))
-    return out.select("row_number", "disposition", F.when(c("disposition").startswith("normalized"), c("t")).alias("target"), "issues")
+    bad = (F.size("errors") > 0) | (F.size("failed") > 0)
+    disposition = F.when(c("blank"), "ignored_blank").when(bad, "rejected").when(F.size("warnings") > 0, "normalized_with_warnings").otherwise("normalized")
+    issues = F.when(c("blank"), none).when(F.size("errors") > 0, c("errors")).otherwise(F.concat("warnings", "failed"))
+    r = _held(r, {"disposition": disposition, "issues": issues})
+    return r.select("row_number", "disposition", F.when(NORMALIZED, target).alias("target"), "issues")
+
+
+#: Rows that have a target.
+NORMALIZED = F.col("disposition").isin("normalized", "normalized_with_warnings")
 
 
 def duplicate_findings(results: DataFrame) -> DataFrame:
     """Target ids and row numbers that more than one row has: issue_code, raw_value, and the rows."""
-    targets = results.where("target IS NOT NULL").select(F.lit("DUPLICATE_TARGET_ID").alias("issue_code"), F.col("target.target_row_id").alias("raw_value"), "row_number")
+    targets = results.where(NORMALIZED).select(F.lit("DUPLICATE_TARGET_ID").alias("issue_code"), F.col("target.target_row_id").alias("raw_value"), "row_number")
     physical = results.select(F.lit("DUPLICATE_PHYSICAL_ROW").alias("issue_code"), F.col("row_number").cast("string").alias("raw_value"), "row_number")
-    both = targets.unionByName(physical).groupBy("issue_code", "raw_value").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("row_number")).alias("rows"))
-    return both.where("n > 1").drop("n")
-
-
-def summary(results: DataFrame) -> DataFrame:
-    """One row of counts; physical = blank + candidate and candidate = normalized + rejected."""
-    d, has = F.col("disposition"), F.col("target").isNotNull()
-    return results.agg(
-        F.count(F.lit(1)).alias("physical_rows"),
-        F.count_if(d == "ignored_blank").alias("blank_rows"),
-        F.count_if(d != "ignored_blank").alias("candidate_rows"),
-        F.count_if(has).alias("normalized_rows"),
-        F.count_if(d == "normalized_with_warnings").alias("rows_with_warnings"),
-        F.count_if(d == "rejected").alias("rejected_rows"),
-        F.count_distinct("target.target_row_id").alias("unique_ids"),
+    both = targets.unionByName(physical)
+    often = both.groupBy("issue_code", "raw_value").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return both.join(often, ["issue_code", "raw_value"]).groupBy("issue_code", "raw_value").agg(F.array_sort(F.collect_list("row_number")).alias("rows"))
+
+
+def finding_issues(findings: DataFrame) -> DataFrame:
+    """Findings of ``duplicate_findings`` as issue rows."""
+    text = lambda i: F.create_map(*[F.lit(x) for k in ("DUPLICATE_TARGET_ID", "DUPLICATE_PHYSICAL_ROW") for x in (k, MESSAGES[k][i])])[F.col("issue_code")]
+    return findings.select("issue_code", F.lit("error").alias("severity"), F.element_at("rows", 1).cast("int").alias("source_row"), F.lit(None).cast("string").alias("source_column"), text(0).alias("message"), "raw_value", text(1).alias("suggested_action"))
+
+
+def summary(results: DataFrame, mapping: Mapping | None = None) -> DataFrame:
+    """One row of counts, in one pass over the results; physical = blank + candidate and candidate = normalized + rejected. The maps have an entry for each sub-domain, type and evidence type."""
+    pair = lambda m, k: F.struct(F.lit(m).alias("m"), k.alias("k"))
+    t = F.col("target")
+    good = F.concat(
+        F.array(pair("id", t["target_row_id"]), pair("sub_domain", t["sub_domain"]), pair("type", t["expected_data_type"])),
+        F.transform(t["likely_evidence_types"], lambda e: pair("evidence", e)),
+    )
+    every = results.select(F.explode(F.concat(F.array(pair("row", F.col("disposition"))), F.when(NORMALIZED, good).otherwise(F.array().cast("array<struct<m:string,k:string>>")))).alias("p"))
+    counts = every.groupBy("p.m", "p.k").agg(F.count(F.lit(1)).alias("n"))
+    m, k, n = (F.col(c) for c in ("m", "k", "n"))
+    rows = lambda *of: F.coalesce(F.sum(F.when((m == "row") & (k.isin(*of) if of else F.lit(True)), n)), F.lit(0))
+    bars = lambda of: F.map_from_entries(F.array_sort(F.collect_list(F.when(m == of, F.struct("k", "n")))))
+    out = counts.agg(
+        rows().alias("physical_rows"),
+        rows("ignored_blank").alias("blank_rows"),
+        (rows() - rows("ignored_blank")).alias("candidate_rows"),
+        rows("normalized", "normalized_with_warnings").alias("normalized_rows"),
+        rows("normalized_with_warnings").alias("rows_with_warnings"),
+        rows("rejected").alias("rejected_rows"),
+        F.count_if(m == "id").alias("unique_ids"),
+        F.count_if((m == "id") & (n > 1)).alias("duplicate_ids"),
+        bars("sub_domain").alias("counts_by_sub_domain"),
+        bars("type").alias("counts_by_expected_type"),
+        bars("evidence").alias("counts_by_likely_evidence_type"),
     )
+    lists = {"unmapped_columns": mapping.unused if mapping else [], "ambiguous_mappings": mapping.ambiguous if mapping else []}
+    return out.withColumns({k: F.array(*map(F.lit, v)).cast("array<string>") for k, v in lists.items()})
 
 
 def histogram(df: DataFrame, column: Column | str, name: str = "value") -> DataFrame:
@@ -244,7 +291,7 @@ def histogram(df: DataFrame, column: Column | str, name: str = "value") -> DataF
 
 
 def evidence_histogram(results: DataFrame) -> DataFrame:
-    return histogram(results.where("target IS NOT NULL"), F.explode("target.likely_evidence_types"), "evidence_type")
+    return histogram(results.where(NORMALIZED), F.explode("target.likely_evidence_types"), "evidence_type")
 
 
 def issue_rows(results: DataFrame) -> DataFrame:

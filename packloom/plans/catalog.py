@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -301,7 +302,7 @@ def rejected_rows(spark, d):
 
 
 def _of_target(spark, d, **columns):
-    return _results(spark, d).where("target IS NOT NULL").select("row_number", *[c.alias(k) for k, c in columns.items()])
+    return _results(spark, d).where(dictionary.NORMALIZED).select("row_number", *[c.alias(k) for k, c in columns.items()])
 
 
 @query(f"WITH {V.DICT} SELECT row_number, target_row_id FROM dict WHERE {_OK}")
@@ -350,19 +351,34 @@ def row_warnings(spark, d):
     return _of_target(spark, d, warnings=F.array_join("target.provenance.normalization_warnings", "|"))
 
 
-@query(f"WITH {V.DICT} SELECT count(*) AS physical_rows, count(*) FILTER (blank) AS blank_rows, count(*) FILTER (NOT blank) AS candidate_rows, count(*) FILTER ({_OK}) AS normalized_rows, count(*) FILTER (disposition = 'normalized_with_warnings') AS rows_with_warnings, count(*) FILTER (disposition = 'rejected') AS rejected_rows, count(DISTINCT target_row_id) FILTER ({_OK}) AS unique_ids FROM dict")
+def _bars(counts: str) -> str:
+    """SQL for a map as text, of a query of (k, n)."""
+    return f"(SELECT coalesce(string_agg(k || '=' || n, '|' ORDER BY k), '') FROM ({counts}))"
+
+
+def _as_text(*maps: str) -> dict:
+    return {m: F.array_join(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|") for m in maps}
+
+
+@query(f"""WITH {V.DICT}, ok AS (SELECT * FROM dict WHERE {_OK}) SELECT count(*) AS physical_rows, count(*) FILTER (blank) AS blank_rows, count(*) FILTER (NOT blank) AS candidate_rows, count(*) FILTER ({_OK}) AS normalized_rows,
+  count(*) FILTER (disposition = 'normalized_with_warnings') AS rows_with_warnings, count(*) FILTER (disposition = 'rejected') AS rejected_rows, count(DISTINCT target_row_id) FILTER ({_OK}) AS unique_ids,
+  (SELECT count(*) FROM (SELECT target_row_id FROM ok GROUP BY 1 HAVING count(*) > 1)) AS duplicate_ids, {_bars("SELECT sub_domain AS k, count(*) AS n FROM ok GROUP BY 1")} AS counts_by_sub_domain,
+  {_bars("SELECT kind AS k, count(*) AS n FROM ok GROUP BY 1")} AS counts_by_expected_type, {_bars("SELECT k, count(*) AS n FROM (SELECT unnest(evidence) AS k FROM ok) GROUP BY 1")} AS counts_by_likely_evidence_type,
+  'Notes2' AS unmapped_columns, 'sub_domain' AS ambiguous_mappings FROM dict""")
 def dict_summary(spark, d):
-    return dictionary.summary(_results(spark, d))
+    mapping = replace(_MAPPING, unused=["Notes2"], ambiguous=["sub_domain"])
+    lists = {c: F.array_join(c, "|") for c in ("unmapped_columns", "ambiguous_mappings")}
+    return dictionary.summary(_results(spark, d), mapping).withColumns(_as_text("counts_by_sub_domain", "counts_by_expected_type", "counts_by_likely_evidence_type") | lists)
 
 
 @query(f"WITH {V.DICT} SELECT sub_domain, count(*) AS n FROM dict WHERE {_OK} GROUP BY sub_domain")
 def counts_by_subdomain(spark, d):
-    return dictionary.histogram(_results(spark, d).where("target IS NOT NULL"), "target.sub_domain", "sub_domain")
+    return dictionary.histogram(_results(spark, d).where(dictionary.NORMALIZED), "target.sub_domain", "sub_domain")
 
 
 @query(f"WITH {V.DICT} SELECT kind AS expected_type, count(*) AS n FROM dict WHERE {_OK} GROUP BY kind")
 def counts_by_type(spark, d):
-    return dictionary.histogram(_results(spark, d).where("target IS NOT NULL"), "target.expected_data_type", "expected_type")
+    return dictionary.histogram(_results(spark, d).where(dictionary.NORMALIZED), "target.expected_data_type", "expected_type")
 
 
 @query(f"WITH {V.DICT} SELECT e AS evidence_type, count(*) AS n FROM (SELECT unnest(evidence) AS e FROM dict WHERE {_OK}) GROUP BY e")

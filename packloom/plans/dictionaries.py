@@ -22,7 +22,7 @@ class DictionaryResult:
 
     @property
     def targets(self) -> DataFrame:
-        return self.results.where("target IS NOT NULL").select("target.*")
+        return self.results.where(D.NORMALIZED).select("target.*")
 
     @property
     def issues(self) -> DataFrame:
@@ -97,4 +97,4 @@ def ingest_dictionary(spark: SparkSession, path: str, config: dict = D.TEMPLATE,
     mapping = D.bind_columns(config, names)
     rows = keyed_rows(raw, names, header_row)
     results = D.normalize_rows(rows, mapping, source, _base(path)).cache()
-    return DictionaryResult(mapping, rows, results, D.duplicate_findings(results), D.summary(results))
+    return DictionaryResult(mapping, rows, results, D.duplicate_findings(results), D.summary(results, mapping))
