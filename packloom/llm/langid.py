@@ -12,7 +12,7 @@ language's bound lies half way between the cover of all but the lowest hundredth
 landmarks) and the median cover of the other languages' rows. The
 longer a text, the more rare sequences it has: a long one below the bounds is ``und`` only if most of its pieces of ``PIECE_CHARS`` are, too.
 
-Fitting takes at most ``FIT_ROWS`` labelled rows a language, none longer than ``FIT_CHARS`` characters, picked by a hash of doc_id; the driver
+Fitting takes at most ``fit_rows`` labelled rows a language, none longer than ``fit_chars`` characters, picked by a hash of doc_id; the driver
 fits, the executors score every whole text.
 """
 
@@ -33,7 +33,6 @@ FIT_ROWS = 300
 FIT_CHARS = 20_000
 LANDMARKS = 32
 ORDER = 3
-MOST_LETTERS = 1022
 RIDGE = 0.05
 UNKNOWN = "und"
 SLAB_CHARS = 1 << 18
@@ -43,7 +42,7 @@ PIECE_CHARS = 2000
 def letter_table(letters: str) -> np.ndarray:
     """For each code point: 0 for a gap, the place of a known letter from 1 on, or the number of letters and 1 for other letters."""
     place = {c: i + 1 for i, c in enumerate(letters)}
-    table = np.zeros(0x110000, np.uint16)
+    table = np.zeros(0x110000, np.uint32)
     for cp in range(0x110000):
         c = chr(cp)
         if c.isalpha():
@@ -53,31 +52,34 @@ def letter_table(letters: str) -> np.ndarray:
 
 
 def spectra(texts: list[str], table: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct sequences of all texts in order of (text, code), and their texts. A code tells a sequence of up to ORDER signs from all others."""
-    points = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+    """Of 64 texts or fewer, the distinct sequences of all texts in order of (text, code), and their texts. A code tells a sequence of up to ORDER signs from all others."""
+    points = np.frombuffer("".join(t + "\n" for t in texts).encode("utf-32-le", "surrogatepass"), "<u4")
     lens = np.array([len(t) for t in texts], np.int64)
-    row = np.repeat(np.arange(len(texts)), lens + 1)[: len(points)]
-    sign = table[points].astype(np.uint64)
+    row = np.repeat(np.arange(len(texts), dtype=np.int32), lens + 1)[: len(points)]
+    sign = table[points]
     stay = np.ones(len(sign), bool)
     stay[1:] = (sign[1:] > 0) | (sign[:-1] > 0) | (row[1:] != row[:-1])
     sign, row = sign[stay], row[stay]
-    top = np.uint64(ORDER + 1) * np.uint64(base) ** np.uint64(ORDER)
-    parts = []
-    code = np.zeros(len(sign), np.uint64)
-    for n in range(1, ORDER + 1):
-        if len(sign) < n:
-            break
-        code = code[: len(sign) - n + 1] * np.uint64(base) + sign[n - 1 :]
-        ok = row[: len(code)] == row[n - 1 :]
-        parts.append(row[: len(code)][ok].astype(np.uint64) * top + np.uint64(n) * np.uint64(base) ** np.uint64(ORDER) + code[ok])
-    every = np.concatenate([*parts, np.zeros(0, np.uint64)])
-    if int(top) * len(texts) < 2**32:
-        every = every.astype(np.uint32)
-    every = np.sort(every)
-    if len(every):
-        every = every[np.concatenate([[True], every[1:] != every[:-1]])]
-    every = every.astype(np.uint64)
-    return every % top, (every // top).astype(np.int64)
+    top = (ORDER + 1) * base**ORDER
+    kind = np.uint32 if top * len(texts) < 2**32 else np.uint64
+    slabs = [np.zeros(0, kind)]
+    for a in range(0, len(sign), SLAB_CHARS):  # sequences that begin in one slab
+        parts, code = [], np.uint64(0)
+        for n in range(1, ORDER + 1):
+            b = min(a + SLAB_CHARS, len(sign) - n + 1)
+            if b <= a:
+                break
+            code = (code if n == 1 else code[: b - a]) * np.uint64(base) + sign[a + n - 1 : b + n - 1]
+            ok = row[a:b] == row[a + n - 1 : b + n - 1]
+            parts.append((row[a:b][ok].astype(np.uint64) * np.uint64(top) + np.uint64(n * base**ORDER) + code[ok]).astype(kind))
+        slabs.append(_distinct(np.concatenate(parts)))
+    every = (_distinct(np.concatenate(slabs)) if len(slabs) > 2 else slabs[-1]).astype(np.uint64)
+    return every % np.uint64(top), (every // np.uint64(top)).astype(np.int64)
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
 
 
 @dataclass
@@ -122,15 +124,12 @@ def fit(rows: list[tuple[str, str]]) -> Model | None:
         return None
     langs = sorted({lang for _, lang in rows})
     marks = [t for lang in langs for t in [t for t, x in rows if x == lang][:LANDMARKS]]
-    count: dict[str, int] = {}
-    for t in marks:
-        for c in t.lower():
-            if c.isalpha():
-                count[c] = count.get(c, 0) + 1
-    letters = "".join(sorted(sorted(count, key=lambda c: (-count[c], c))[:MOST_LETTERS]))
+    letters = {c for t in marks for c in t.lower() if c.isalpha()}
+    letters = "".join(sorted(letters))
     table = letter_table(letters)
     model = Model(langs, letters, np.zeros(0, np.uint64), np.zeros((0, 0), np.float32), np.zeros((0, 0)), np.zeros(0), np.zeros((0, 0), np.float32), np.zeros(0))
-    code, row = spectra(marks, table, model.base)
+    found = [spectra(marks[a : a + 64], table, model.base) for a in range(0, len(marks), 64)]
+    code, row = (np.concatenate(x) for x in zip(*((c, r + 64 * i) for i, (c, r) in enumerate(found))))
     model.codes = np.unique(code)
     model.presence = np.zeros((len(model.codes), len(marks)), np.float32)
     model.presence[np.searchsorted(model.codes, code), row] = 1
@@ -138,7 +137,7 @@ def fit(rows: list[tuple[str, str]]) -> Model | None:
     holders = np.stack([(model.presence[:, mark_lang == k] > 0).sum(1) for k in range(len(langs))], 1)
     model.held = (holders > 0).astype(np.float32)
     model.presence /= np.sqrt(np.maximum(np.bincount(row, minlength=len(marks)), 1)).astype(np.float32)
-    own = model.kernels(marks, table)
+    own = np.concatenate([model.kernels(marks[a : a + 64], table) for a in range(0, len(marks), 64)])
     value, vector = np.linalg.eigh((own + own.T) / 2)
     good = value > 1e-6 * value.max()
     root = vector[:, good] / np.sqrt(value[good])
@@ -217,9 +216,9 @@ def _predict(m: Model | None, texts: list[str | None]) -> tuple[list[str], np.nd
     return pred, score
 
 
-def identified(docs: DataFrame, min_score: float) -> DataFrame:
-    """``docs`` without those that are ``und`` or score less than ``min_score``; all columns stay as they are."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(fit_rows(docs)))
+def identified(docs: DataFrame, min_score: float, rows: int = FIT_ROWS, chars: int = FIT_CHARS) -> DataFrame:
+    """``docs`` without those that are ``und`` or score less than ``min_score``; all columns stay as they are. ``rows`` and ``chars`` bound the sample that the model is fitted on."""
+    model = docs.sparkSession.sparkContext.broadcast(fit(fit_rows(docs, rows, chars)))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,13 +228,14 @@ def identified(docs: DataFrame, min_score: float) -> DataFrame:
     return docs.mapInArrow(keep, docs.schema)
 
 
-def identify(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred and score (0 to 1) of every row.
+def identify(docs: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS) -> DataFrame:
+    """doc_id, held_out, lang_pred and score (0 to 1) of every row. ``rows`` (a language) and ``chars`` bound the sample that the model is fitted on.
 
     Null texts, texts without letters or of none of the learned languages, and all texts where nothing can be learned, are ``und`` with score 0. Null doc_ids are not held
-    out and not learned from. Repeated rows are predicted alike; an empty table gives no rows; other columns don't matter.
+    out and not learned from. Of languages that score alike the first by name is taken. A very long text is read whole, some 20 bytes of memory a character. Repeated rows are
+    predicted alike; an empty table gives no rows; other columns don't matter.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fit(fit_rows(docs)))
+    model = docs.sparkSession.sparkContext.broadcast(fit(fit_rows(docs, rows, chars)))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -4,6 +4,9 @@ A capacity is feasible if filling shards greedily in order, each as far as it ho
 there are; a group above the capacity has a shard alone, so that one huge group doesn't raise the capacity of all others (the
 largest shard is as small as it can be either way). The smallest feasible capacity is found by binary search.
 
+Greedy filling leaves the last shards small. Among the cuts that keep the capacity, those are taken that make the smallest shard largest: each shard
+may begin where the greedy walk begins it, or at one of the ``NEAR`` boundaries nearest to its equal share of the sum.
+
 The greedy walk only asks for the last group boundary up to a value. The driver knows the boundaries by bins of equal width, each
 with its least and largest boundary; a walk with lower and one with upper bounds bracket the answer, and only bins in which
 the two still differ are split further, by one aggregation each round. What the driver holds is bounded by the number of
@@ -16,6 +19,7 @@ import bisect
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from packloom.llm._order import ranked
 from packloom.llm._store import cut
@@ -23,6 +27,8 @@ from packloom.llm._store import cut
 SHARDS = 40
 BINS = 4096
 SPLIT = 64
+#: Boundaries beside each equal share among which the cuts are chosen.
+NEAR = 33
 
 
 class _Known:
@@ -102,8 +108,35 @@ def minimax_cuts(boundaries: DataFrame, total: int, shards: int = SHARDS, bins:
         fine = finer
 
 
+def level_cuts(boundaries: DataFrame, total: int, capacity: int, greedy: list[int], shards: int = SHARDS, near: int = NEAR) -> list[int]:
+    """Where the shards begin if the smallest is to be as large as the choice allows; none is above the capacity that isn't a group alone in ``greedy``."""
+    if total <= 0 or shards < 2:
+        return greedy
+    share = total / shards
+    k = F.round(F.col("start") / share).cast("int")
+    rows = boundaries.select("start").distinct().withColumn("k", k).where((F.col("k") > 0) & (F.col("k") < shards))
+    rows = rows.withColumn("rank", F.row_number().over(W.partitionBy("k").orderBy(F.abs(F.col("start") - F.col("k") * share), "start"))).where(F.col("rank") <= near)
+    path = [*greedy, *[total] * (shards + 1 - len(greedy))]
+    may: list[set[int]] = [{0}, *({x} for x in path[1:shards]), {total}]
+    for r in rows.select("k", "start").collect():
+        may[r.k].add(r.start)
+    best, back = {0: total + 1}, []
+    for i in range(1, shards + 1):
+        now, came = {}, {}
+        for v in sorted(may[i]):
+            for u, least in best.items():
+                if u <= v and (v - u <= capacity or (u, v) == (path[i - 1], path[i])) and min(least, v - u) > now.get(v, -1):
+                    now[v], came[v] = min(least, v - u), u
+        back.append(came)
+        best = now
+    cuts = [total]
+    for came in reversed(back):
+        cuts.append(came[cuts[-1]])
+    return sorted({x for x in cuts if x < total})
+
+
 def minimax_shards(rows: DataFrame, group: list[str], within: list[str], size: str, shards: int = SHARDS) -> tuple[DataFrame, int]:
-    """``rows`` with ``shard`` and ``slot`` (gapless from 0 in each shard), and the capacity.
+    """``rows`` with ``shard`` and ``slot`` (gapless from 0 in each shard), and the capacity. A group above the capacity is a shard larger than it.
 
     Groups are rows of equal ``group`` columns and are never cut; they are laid out in the order of those columns (nulls first), and within a
     group by ``within``. ``size`` must be positive. An empty table gives no rows.
@@ -112,6 +145,7 @@ def minimax_shards(rows: DataFrame, group: list[str], within: list[str], size: s
     starts = cut(placed.groupBy(*group).agg(F.min("__before").alias("start")).select("start"))
     total = placed.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     capacity, cuts = minimax_cuts(starts, total, shards)
+    cuts = level_cuts(starts, total, capacity, cuts, shards)
     shard = F.lit(0)
     for at in cuts[1:]:
         shard = shard + F.when(F.col("__before") >= at, 1).otherwise(0)
@@ -124,8 +158,9 @@ def minimax_shards(rows: DataFrame, group: list[str], within: list[str], size: s
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size (UTF-8 bytes of the text and 16), text_crc32, law (``bytes``), shard, slot and grown_shard (null) of every row.
 
-    Rows of equal text are one group (null texts are one, apart from empty ones); groups are ordered by their smallest doc_id. Null
-    texts have no bytes and the crc32 of nothing. Null doc_ids come first within their group, a group without any other comes first.
+    Rows of equal text are one group (null texts are one, apart from empty ones), repeated rows too; groups are ordered by their smallest doc_id, those of one smallest
+    doc_id by a hash of the text. Null texts have no bytes and the crc32 of nothing. Null doc_ids come first within their group, a group without any other comes first. Very long
+    texts are only hashed and measured. An empty table gives no rows; other columns don't matter.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     key = F.when(F.col("text").isNull(), "").otherwise(F.sha2(text, 256))
@@ -138,5 +173,6 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     shared = rows.groupBy("text_key").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = cut(shared.select("text_key", "first_id"))  # a table of its own: the join with a hot text can be split
     rows = rows.join(shared, "text_key", "left").withColumn("first_id", F.coalesce("first_id", "doc_id"))
-    out, _ = minimax_shards(rows, ["first_id", "text_key"], ["doc_id"], "size", shards)
+    rows = rows.select("doc_id", "size", "text_crc32", "first_id", F.xxhash64("text_key").alias("text_hash"))  # narrow: the order's keys are sampled
+    out, _ = minimax_shards(rows, ["first_id", "text_hash"], ["doc_id"], "size", shards)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -4,6 +4,7 @@ import hashlib
 import io
 import random
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
@@ -200,6 +201,20 @@ def brute_capacity(sizes, shards):
     return hi
 
 
+def best_least(sizes, capacity, shards):
+    """The largest smallest shard of all partitions that keep the capacity."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+    best = {0: sum(sizes)}
+    for _ in range(shards):
+        now = {}
+        for j, e in enumerate(ends):
+            found = [min(v, e - ends[i]) for i, v in best.items() if i < j and e - ends[i] <= capacity]
+            if found:
+                now[j] = max(found)
+        best = now
+    return best[len(sizes)]
+
+
 def test_minimax_cuts_against_brute_force(spark):
     rnd = random.Random(3)
     for n, shards, bins, split, huge in [(50, 4, 8, 2, 0), (300, 7, 16, 4, 5000), (5, 9, 4, 2, 0), (400, 40, 4096, 64, 90_000)]:
@@ -210,8 +225,15 @@ def test_minimax_cuts_against_brute_force(spark):
         got, cuts = sharding.minimax_cuts(spark.createDataFrame([(s,) for s in starts], "start long"), sum(sizes), shards, bins, split)
         assert got == brute_capacity(sizes, shards)
         assert len(cuts) <= shards and set(cuts) <= set(starts)
-        spans = [sum(sizes[i] for i, s in enumerate(starts) if a <= s < b) for a, b in zip(cuts, [*cuts[1:], sum(sizes)])]
+        measure = lambda cuts: [sum(sizes[i] for i, s in enumerate(starts) if a <= s < b) for a, b in zip(cuts, [*cuts[1:], sum(sizes)])]
+        spans = measure(cuts)
         assert max(spans) <= max(got, max(sizes)) and all(s <= got or s in sizes for s in spans)
+        level = sharding.level_cuts(spark.createDataFrame([(s,) for s in starts], "start long"), sum(sizes), got, cuts, shards)
+        even = measure(level)
+        assert level[0] == 0 and set(level) <= set(starts) and all(s <= got or s in sizes for s in even) and len(level) <= shards
+        assert min([*even, *[0] * (shards - len(even))]) >= min([*spans, *[0] * (shards - len(spans))])
+        if n <= 50 and len(even) == shards:  # the best of all choices
+            assert min(even) == best_least(sizes, got, shards)
 
 
 def test_shard_documents(docs, no_docs, rows):
@@ -221,12 +243,29 @@ def test_shard_documents(docs, no_docs, rows):
     slots = defaultdict(list)
     for r in got:
         slots[r.shard].append(r.slot)
-    assert all(sorted(v) == list(range(len(v))) for v in slots.values()) and max(slots) < 40
-    of = defaultdict(set)
+        assert r.law == "bytes" and r.grown_shard is None
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values()) and sorted(slots) == list(range(40))
+    # shards in order, filled by whole groups in order of their smallest doc_id
+    group = lambda t: ("n", "") if t is None else ("t", t)
+    first = {}
+    for i, t, *_ in rows:
+        if i is not None:
+            first[group(t)] = min(first.get(group(t), i), i)
+    laid = sorted(got, key=lambda r: (r.shard, r.slot))
+    of = {(len((t or "").encode()) + 16, zlib.crc32((t or "").encode()), i): first.get(group(t), -1) for i, t, *_ in rows}
+    place = [of[r.size, r.text_crc32, r.doc_id] for r in laid]
+    assert place == sorted(place)
+    homes, total = defaultdict(set), defaultdict(int)
     for r in got:
+        total[r.shard] += r.size
         if r.text_crc32:
-            of[r.text_crc32, r.size].add(r.shard)
-    assert all(len(v) == 1 for v in of.values())
+            homes[r.text_crc32, r.size].add(r.shard)
+    assert all(len(v) == 1 for v in homes.values())
+    size = Counter()
+    for _, t, *_ in rows:
+        size[group(t)] += len((t or "").encode()) + 16
+    capacity = brute_capacity([size[g] for g in sorted(size, key=lambda g: first.get(g, -1))], 40)
+    assert all(v <= capacity or v in size.values() for v in total.values())
     assert sharding.shard_documents(no_docs).count() == 0
 
 
@@ -288,36 +327,131 @@ def test_kernel_is_the_presence_kernel():
     letters = "".join(sorted({c for t in texts for c in t.lower() if c.isalpha()}))
     table = langid.letter_table(letters)
 
-    def grams(t):
-        t = re.sub(r"[^a-zé]+", " ", t.lower())
-        return {t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
-
     m = langid.fit([(t, str(i)) for i, t in enumerate(texts)])
     k = m.kernels(texts, table)
     for i, a in enumerate(texts):
         for j, b in enumerate(texts):
-            a_, b_ = (grams(t + ("" if x == len(texts) - 1 else "\n")) for x, t in ((i, a), (j, b)))
-            assert abs(k[i, j] - len(a_ & b_) / (len(a_) * len(b_)) ** 0.5) < 1e-5
+            x, y = grams(a), grams(b)
+            assert abs(k[i, j] - len(x & y) / (len(x) * len(y)) ** 0.5) < 1e-5
+
+
+def grams(text, n=3):
+    """The distinct sequences of 1 to n signs of a text and the line end behind it."""
+    signs = re.sub(r"\x00+", "\x00", "".join(c if c.isalpha() else "\x00" for c in text.lower() + "\n"))
+    return {signs[i : i + k] for k in range(1, n + 1) for i in range(len(signs) - k + 1)}
+
+
+def test_scores_are_those_of_a_dense_solve(rows):
+    """Kernel ridge regression solved over all rows with the kernel that Nyström landmarks give, in plain double precision."""
+    labelled = [(r[1], r[2]) for r in rows if r[2] and any(map(str.isalpha, r[1] or "")) and len(r[1]) < 20_000]
+    model = langid.fit(labelled)
+    spectra = [grams(t) for t, _ in labelled]
+    k = lambda a, b: len(a & b) / (len(a) * len(b)) ** 0.5
+    marks = [x for lang in model.langs for x in [x for x, (_, y) in zip(spectra, labelled) if y == lang][: langid.LANDMARKS]]
+    between = np.array([[k(a, b) for b in marks] for a in marks])
+    value, vector = np.linalg.eigh(between)
+    good = value > 1e-6 * value.max()
+    inverse = (vector[:, good] / value[good]) @ vector[:, good].T
+    cross = np.array([[k(a, b) for b in marks] for a in spectra])
+    gram = cross @ inverse @ cross.T
+    center = np.eye(len(gram)) - 1 / len(gram)
+    y = np.array([[1.0 if lang == x else -1.0 for x in model.langs] for _, lang in labelled])
+    dual = np.linalg.solve(center @ gram @ center + langid.RIDGE * np.eye(len(gram)), y - y.mean(0))
+    fresh = [r[1] for r in rows if not r[2] and r[1] and any(map(str.isalpha, r[1]))] + ["la maison verte", "the green house " * 30]
+    new = np.array([[k(grams(t), b) for b in marks] for t in fresh]) @ inverse @ cross.T
+    want = (new - gram.mean(0)) @ center @ dual + y.mean(0)
+    got, _ = model.score(fresh, langid.letter_table(model.letters))
+    assert np.abs(got - want).max() < 1e-2 and (got.argmax(1) == want.argmax(1)).all()
+
+
+def test_spectra_of_long_texts_and_many_letters(monkeypatch):
+    letters = "".join(map(chr, [*range(0x61, 0x7B), *range(0x4E00, 0x9000), *range(0xAC00, 0xD7A4)]))
+    table = langid.letter_table(letters)
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice(letters[:40] + "   ..") for _ in range(900)), "", "漢字かな 한글 漢", "abc" * 50]
+    want = []
+    for i, t in enumerate(texts):
+        signs = re.sub(r"\x00+", "\x00", "".join(c if c.isalpha() else "\x00" for c in t + "\n"))
+        place = {c: letters.index(c) + 1 if c in letters else 0 if c == "\x00" else len(letters) + 1 for c in set(signs)}
+        base = len(letters) + 2
+        want += [(i, v) for v in sorted({n * base**3 + sum(place[c] * base ** (n - 1 - j) for j, c in enumerate(signs[a : a + n])) for n in (1, 2, 3) for a in range(len(signs) - n + 1)})]
+    for slab in (1 << 18, 100):
+        monkeypatch.setattr(langid, "SLAB_CHARS", slab)
+        code, row = langid.spectra(texts, table, len(letters) + 2)
+        assert list(zip(row.tolist(), code.tolist())) == want
 
 
 # 5
 
 
-def test_mixing(spark, docs, no_docs, rows):
+def spark_hash(*values):
+    """Spark's xxhash64 of longs, ints, strings and nulls."""
+    h = 42
+    for v, kind in values:
+        if v is not None:
+            h = xxhash.xxh64_intdigest(v.encode() if kind == "s" else struct.pack("<" + kind, v), h)
+    return h - 2**64 if h >= 2**63 else h
+
+
+def brute_permuted(x, n, key, rounds=24):
+    for i in range(rounds):
+        other = (spark_hash((key, "q"), (i, "i")) % n - x) % n
+        if spark_hash((key, "q"), (i, "i"), (max(x, other), "q"), (1, "i")) & 1:
+            x = other
+    return x
+
+
+def brute_mix(rows):
+    """Of each row (doc_id, size, source_size, target, taken, first_shard), by plain loops."""
+    rows = [(r[0], r[1], r[3], len(words(r[1]))) for r in rows]
+    names = sorted({r[2] for r in rows}, key=lambda s: (s is None, s or ""))
+    goal = mixing.targets([sum(r[3] for r in rows if r[2] == s) for s in names])
+    out, plan = [], []
+    for src, (name, target) in enumerate(zip(names, goal)):
+        mine = [r for r in rows if r[2] == name]
+        order = lambda r: spark_hash((r[0], "q"), (mixing.SEED, "i"), (spark_hash((r[1], "s")), "q"))
+        parts = max(1, -(-len(mine) // mixing.BUCKET_ROWS))
+        mine.sort(key=lambda r: (order(r) % parts, order(r), r[0] is not None, r[0] or 0, r[3]))
+        size = sum(r[3] for r in mine)
+        blocks = -(-size // mixing.BLOCK_WORDS)
+        quota = int(target * blocks / size + 0.5) if size else 0
+        plan.append((src, mine, size, target, blocks, quota))
+    slots, base = sum(p[5] for p in plan), 0
+    for src, mine, size, target, blocks, quota in plan:
+        drawn, shard = Counter(), {}
+        for j in range(quota):
+            place = brute_permuted(base + j, slots, spark_hash((mixing.SEED, "i"), ("shards", "s")))
+            block = brute_permuted(j % blocks, blocks, spark_hash((mixing.SEED, "i"), (src, "q"), (j // blocks, "q")))
+            drawn[block] += 1
+            shard[block] = min(shard.get(block, 2**62), place // mixing.SHARD_SLOTS)
+        base += quota
+        at = 0
+        for doc_id, _, _, n in mine:
+            at, spans_ = at + n, [(at + i) // mixing.BLOCK_WORDS for i in range(n)]
+            first = min((shard[b] for b in set(spans_) if b in shard), default=None)
+            out.append((doc_id, n, size, target, sum(drawn[b] for b in spans_), first))
+    return Counter(out)
+
+
+def test_mixing(spark, docs, no_docs, rows, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 100)
+    monkeypatch.setattr(mixing, "RANGE_SLOTS", 64)
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 10)
+    monkeypatch.setattr(mixing.slots_of, "__defaults__", (mixing.SEED, 100))
     got = mixing.mix_shares(docs).collect()
-    assert Counter((r.doc_id, r.size) for r in got) == Counter((r[0], len(words(r[1]))) for r in rows)
+    assert Counter(tuple(r) for r in got) == brute_mix(rows)
+    assert len({r.first_shard for r in got}) > 2
     assert Counter((r.doc_id, r.size, r.taken) for r in got) == Counter((r.doc_id, r.size, r.taken) for r in mixing.mix_shares(docs.repartition(3)).collect())
-    by = defaultdict(lambda: [0, 0.0, 0, 0])
+    by = defaultdict(lambda: [0, 0])
     for r in got:
         assert 0 <= r.taken <= 3 * r.size
-        by[r.source_size, r.target][2] += r.taken
-        by[r.source_size, r.target][3] += r.size
-    names = sorted({r[3] for r in rows}, key=lambda s: (s is None, s or ""))
-    sizes = [sum(len(words(r[1])) for r in rows if r[3] == s) for s in names]
-    goal = mixing.targets(sizes)
-    assert sorted(by) == sorted(set(zip(sizes, goal))) and abs(sum(goal) - sum(sizes)) < 1e-6
-    for (size, target), (_, _, taken, own) in by.items():
+        by[r.source_size, r.target][0] += r.taken
+        by[r.source_size, r.target][1] += r.size
+    for (size, target), (taken, own) in by.items():
         assert size == own and abs(taken - target) <= 2 * mixing.BLOCK_WORDS
+    blocks = mixing.mixed_blocks(docs).collect()
+    slots = {(r.shard, r.slot) for r in blocks}
+    assert sorted(slots) == [(i // 100, i % 100) for i in range(len(slots))]
     assert mixing.mix_shares(no_docs).count() == 0
     out = mixing.mixed_documents(docs)
     assert out.columns == docs.columns
@@ -336,8 +470,17 @@ def test_permutation(spark):
     from pyspark.sql import functions as F
 
     for n in (1, 2, 7, 100):
-        got = [r.p for r in spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n), F.lit(5)).alias("p")).collect()]
-        assert sorted(got) == list(range(n)) and (n < 100 or got != list(range(n)))
+        rows = spark.createDataFrame([(i,) for i in range(n)], "id long")
+        got = {r.id: r.p for r in mixing.permuted(rows, "p", F.col("id"), F.lit(n), F.lit(5).cast("long")).collect()}
+        assert sorted(got.values()) == list(range(n)) and (n < 100 or got != {i: i for i in range(n)})
+        assert got == {i: brute_permuted(i, n, 5) for i in range(n)}
+
+
+def test_mix_of_many_sources(spark):
+    """Levels are raised until no target is above its bound."""
+    rows = [(i, "w " * (i % 9 + (300 if i % 50 == 0 else 0)), f"s{i % 60}" if i % 61 else None) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert Counter(tuple(r) for r in mixing.mix_shares(docs).collect()) == brute_mix([(i, t, None, s) for i, t, s in rows])
 
 
 # 6
@@ -625,6 +768,9 @@ def test_url_rules_and_cascade(spark):
     assert rule == {0: "com/", 1: "example.com/en/", 2: "www.example.com/en/", 3: "www.example.com/en/", 4: "com/", 5: "net/es/", 6: None, 7: "net/fr/", **{i: None for i in range(8, 17)}}
     verdict = {i: r.verdict for i, r in got.items()}
     assert [verdict[i] for i in (0, 1, 2, 5, 6, 8, 9, 12, 13, 14, 15, 16)] == ["allow", "block", "allow", "block", "block", "allow", "allow", "block", "allow", "allow", "block", "block"]
+    long = spark.createDataFrame([(1, "http://a.com/en/" + "x" * 3_000_000), (2, "http://" + "h" * 100_000 + ".net/es/"), (3, None)], "page_id long, url string")
+    got_long = {r.page_id: r for r in urlfilter.judge_urls(long).collect()}
+    assert (got_long[1].rule, len(got_long[1].path), got_long[2].rule, got_long[2].verdict, got_long[3].verdict) == ("com/", 3_000_004, "net/es/", "block", "allow")
     assert (got[1].host, got[1].path, got[13].path, got[15].path, got[9].host) == ("example.com", "/en/1", "", "", "")
     assert urlfilter.judge_urls(pages.limit(0)).count() == 0
 

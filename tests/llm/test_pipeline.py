@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import xxhash
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -13,7 +14,7 @@ from test_llm_operators import SCHEMA, make_docs, shingles, words
 
 
 def test_stages(spark, tmp_path):
-    rows = [r for r in make_docs() if r[0] is not None]
+    rows = make_docs()
     folder = str(tmp_path / "sf")
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{folder}/documents.parquet")
     item = " ".join(words(rows[7][1])[:20])
@@ -29,19 +30,21 @@ def test_stages(spark, tmp_path):
     key = lambda df: Counter(map(str, df.collect()))
     before, after = outs[0]
     kept = {r.doc_id for r in langid.identify(before).collect() if r.lang_pred != "und" and r.score >= corpus_pipeline.MIN_SCORE}
-    assert key(after) == key(before.where(before.doc_id.isin(sorted(kept)))) and 150 not in kept
+    assert None in kept  # a null doc_id with a text
+    assert key(after) == key(before.where("text IS NOT NULL").where(before.doc_id.isNull() | before.doc_id.isin(sorted(kept - {None})))) and 150 not in kept
     before, after = outs[1]
     kept = {r.doc_id for r in neardup.near_duplicates(before).collect() if r.kept}
-    assert key(after) == key(before.where(before.doc_id.isin(sorted(kept)))) and len({r.doc_id for r in after.collect()} & set(range(100, 105))) == 1
+    assert key(after) == key(before.where(before.doc_id.isNull() | before.doc_id.isin(sorted(kept - {None})))) and len({r.doc_id for r in after.collect()} & set(range(100, 105))) == 1
     before, after = outs[2]
     bad = {r.doc_id for r in before.collect() if 100 * len(shingles(item) & shingles(r.text)) >= 75 * len(shingles(item))}
-    assert bad == {7} and key(after) == key(before.where("doc_id <> 7"))
+    assert bad == {7} and key(after) == key(before.where("doc_id IS NULL OR doc_id <> 7"))
     before, after = outs[3]
     taken = Counter((r.doc_id, r.taken) for r in mixing.mix_shares(before).collect() if r.taken)
     assert Counter((r.doc_id, len(words(r.text))) for r in after.collect()) == taken
     before, after = outs[4]
     tok, start, expected = Tokenizer.from_file(tokenizer_path()), 0, Counter()
-    for r in sorted(before.collect(), key=lambda r: (r.doc_id, r.text)):
+    h = lambda t: np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).astype(np.int64)
+    for r in sorted(before.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, h(r.text))):
         ids = [*tok.encode(r.text, add_special_tokens=False).ids, 0]
         expected[r.doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())] += 1
         start += len(ids)
@@ -75,3 +78,14 @@ def test_language_stage_rejects_with_four_languages(spark, tmp_path):
     bad = [(900, "дом и река " * 20, None, "s", 0), (901, "xqzj vkwp zzxq " * 20, None, "s", 0)]
     docs = spark.createDataFrame([*rows, *bad], "doc_id long, text string, lang string, source string, n_chars long")
     assert {r.doc_id for r in corpus_pipeline.language(spark, docs, str(tmp_path)).collect()} == {r[0] for r in rows}
+
+
+def test_without_documents(spark, tmp_path):
+    folder = str(tmp_path)
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, folder).collect() == []
+    rows = [(1, None, None, None, 0), (None, None, "en", "a", None), (2, "", "en", "b", 0), (3, " \n", None, "b", 2)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/no/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/no/benchmark.parquet")
+    assert corpus_pipeline.run(spark, f"{folder}/no").collect() == []
