@@ -8,6 +8,7 @@ import sys
 
 from packloom.operators.dictionary import TEMPLATE, MappingError
 from packloom.operators.members import ArchiveLimits
+from packloom.operators.timings import to_stderr
 from packloom.plans import dictionaries, pack, sinks
 from packloom.settings import load_settings
 from packloom.sources.sheets import SheetError
@@ -48,6 +49,8 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--max-archive-members", type=_at_least(1), default=500)
     ingest.add_argument("--max-uncompressed-bytes", type=_at_least(1), default=500_000_000)
     ingest.add_argument("--fail-on-unreadable", action="store_true")
+    for x in (validate, ingest):
+        x.add_argument("--folders", action="store_true", help="write each table as a folder of files, by many tasks")
     return p
 
 
@@ -81,22 +84,26 @@ def main(argv: list[str] | None = None, spark=None) -> int:
 
                 with open(a.mapping_config, encoding="utf-8") as f:
                     config = yaml.safe_load(f)
-            result = dictionaries.ingest_dictionary(spark, a.dictionary_path, config, a.sheet_name)
+            result = dictionaries.ingest_dictionary(spark, a.dictionary_path, config, a.sheet_name, to_stderr)
         except (SheetError, MappingError) as e:
             print(e, file=sys.stderr)
             return INVALID
-        sinks.write_dictionary(result, a.output_dir)
-        summary = result.summary.first().asDict()
+        to_stderr("write_artifacts", a.output_dir)
+        sinks.write_dictionary(result, a.output_dir, not a.folders)
+        summary = result.summary.first().asDict(recursive=True)
         _show(summary)
         repeats = result.duplicates.where("issue_code = 'DUPLICATE_TARGET_ID'").count()
+        result.release()
         return REJECTED if summary["rejected_rows"] or repeats else 0
     if a.action == "inspect":
         _show({k: [r.asDict() for r in df.toLocalIterator()] for k, df in pack.inspect_source_pack(spark, a.source_path).items()})
         return 0
     limits = ArchiveLimits(max_depth=a.max_archive_depth, max_member_count=a.max_archive_members, max_uncompressed_bytes=a.max_uncompressed_bytes)
-    result = pack.ingest_source_pack(spark, a.source_path, limits, a.fail_on_unreadable)
-    sinks.write_pack(result, a.output_dir)
+    result = pack.ingest_source_pack(spark, a.source_path, limits, a.fail_on_unreadable, to_stderr)
+    to_stderr("write_artifacts", a.output_dir)
+    sinks.write_pack(result, a.output_dir, not a.folders)
     _show(result.summary.first().asDict(recursive=True))
+    result.release()
     return 0
 
 

@@ -83,6 +83,7 @@ def classify_sources(registry: DataFrame) -> DataFrame:
         "secondary_labels",
         "confidence",
         "alternative_labels",
+        F.lit("The first rule that holds for the file's type, path and sheets.").alias("rationale"),
         F.lit("rule").alias("method_type"),
         F.when(F.col("primary_label") == "unknown", F.array(F.lit("unknown classification"))).otherwise(F.array().cast("array<string>")).alias("warnings"),
     )

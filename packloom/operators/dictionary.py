@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from packloom.functions import ids, text as T
+from packloom.functions.barrier import held
 
 VERSION = "0.2.0"
 
@@ -147,12 +148,6 @@ MESSAGES = {
 }
 
 
-def _held(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """``df`` with more columns, each computed once: what is read or filtered later isn't pushed below a generator, nor spelled out in its place."""
-    fields = [F.col(c).alias(c) for c in df.columns] + [v.alias(k) for k, v in columns.items()]
-    return df.select(F.inline(F.array(F.struct(*fields))))
-
-
 def normalize_rows(rows: DataFrame, mapping: Mapping, source_name: str, file_name: str, dictionary_id: str | None = None) -> DataFrame:
     """``rows`` (row_number, cells) to row_number, disposition, target and issues; narrow projections without a shuffle.
 
@@ -164,8 +159,8 @@ def normalize_rows(rows: DataFrame, mapping: Mapping, source_name: str, file_nam
     names = ["expected_field", "sub_domain", "requirement_name", "field_label", "requirement_text", "requirement_id", "component_type", "component_subtype"]
     c, n = F.col, F.col("row_number")
     stripped = {f"f_{name}": T.stripped(raw(name)) for name in names} | {"f_guidance": T.stripped(raw("source_guidance")), "f_cardinality": F.lower(T.stripped(raw("cardinality")))}
-    r = _held(rows.select("row_number", "cells"), stripped | {"blank": blank_row(c("cells"))})
-    r = _held(
+    r = held(rows.select("row_number", "cells"), stripped | {"blank": blank_row(c("cells"))})
+    r = held(
         r,
         {
             "kind": T.expected_type(c("f_field_label"), c("f_requirement_text"), c("f_guidance")),
@@ -181,7 +176,7 @@ def normalize_rows(rows: DataFrame, mapping: Mapping, source_name: str, file_nam
             ),
         },
     )
-    r = _held(
+    r = held(
         r,
         {
             "accepted": F.when(F.size("listed") > T.MOST_ACCEPTED, F.array().cast("array<string>")).otherwise(c("listed")),
@@ -197,7 +192,7 @@ def normalize_rows(rows: DataFrame, mapping: Mapping, source_name: str, file_nam
         },
     )
     clash = F.size(F.array_distinct(F.transform("accepted", T.casefold))) < F.size("accepted")
-    r = _held(r, {"failed": F.array_compact(F.array(_issue(clash, "TARGET_SPEC_VALIDATION_FAILED", "error", n, None)))})
+    r = held(r, {"failed": F.array_compact(F.array(_issue(clash, "TARGET_SPEC_VALIDATION_FAILED", "error", n, None)))})
     none = F.array().cast(r.schema["errors"].dataType)
     meta_fields = [f for f in mapping.metadata_fields if f in mapping.fields]
     meta = F.map_filter(F.create_map(*[x for f in meta_fields for x in (F.lit(f), raw(f))]), lambda k, v: v.isNotNull()) if meta_fields else F.create_map().cast("map<string,string>")
@@ -232,12 +227,12 @@ def normalize_rows(rows: DataFrame, mapping: Mapping, source_name: str, file_nam
     bad = (F.size("errors") > 0) | (F.size("failed") > 0)
     disposition = F.when(c("blank"), "ignored_blank").when(bad, "rejected").when(F.size("warnings") > 0, "normalized_with_warnings").otherwise("normalized")
     issues = F.when(c("blank"), none).when(F.size("errors") > 0, c("errors")).otherwise(F.concat("warnings", "failed"))
-    r = _held(r, {"disposition": disposition, "issues": issues})
-    return r.select("row_number", "disposition", F.when(NORMALIZED, target).alias("target"), "issues")
+    r = held(r, {"disposition": disposition, "issues": issues})
+    return r.select("row_number", "disposition", F.when(F.expr(NORMALIZED), target).alias("target"), "issues")
 
 
 #: Rows that have a target.
-NORMALIZED = F.col("disposition").isin("normalized", "normalized_with_warnings")
+NORMALIZED = "disposition IN ('normalized', 'normalized_with_warnings')"
 
 
 def duplicate_findings(results: DataFrame) -> DataFrame:
@@ -263,7 +258,7 @@ def summary(results: DataFrame, mapping: Mapping | None = None) -> DataFrame:
         F.array(pair("id", t["target_row_id"]), pair("sub_domain", t["sub_domain"]), pair("type", t["expected_data_type"])),
         F.transform(t["likely_evidence_types"], lambda e: pair("evidence", e)),
     )
-    every = results.select(F.explode(F.concat(F.array(pair("row", F.col("disposition"))), F.when(NORMALIZED, good).otherwise(F.array().cast("array<struct<m:string,k:string>>")))).alias("p"))
+    every = results.select(F.explode(F.concat(F.array(pair("row", F.col("disposition"))), F.when(F.expr(NORMALIZED), good).otherwise(F.array().cast("array<struct<m:string,k:string>>")))).alias("p"))
     counts = every.groupBy("p.m", "p.k").agg(F.count(F.lit(1)).alias("n"))
     m, k, n = (F.col(c) for c in ("m", "k", "n"))
     rows = lambda *of: F.coalesce(F.sum(F.when((m == "row") & (k.isin(*of) if of else F.lit(True)), n)), F.lit(0))

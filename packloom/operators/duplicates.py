@@ -1,4 +1,4 @@
-"""Duplicate groups of registered sources. Groups are as large as the pack's copies; ids and paths alone meet in them."""
+"""Duplicate groups of registered sources. Keys are counted first; ids and paths of repeated ones alone meet in groups, which are as large as the pack's copies."""
 
 from __future__ import annotations
 
@@ -9,44 +9,52 @@ from packloom.functions import ids
 from packloom.functions.files import file_name
 from packloom.functions.text import casefold
 
-
-def _grouped(sources: DataFrame, keys: dict[str, Column], having: Column, kind: Column, content_hash: Column | None = None) -> DataFrame:
-    """Groups by ``keys``; ``having`` and ``kind`` may use n, hashes and names (distinct counts) of the group."""
-    member = F.struct(casefold(F.col("logical_path")).alias("k"), F.col("source_id").alias("id"))
-    rows = sources.withColumns(keys).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_distinct("file_hash").alias("hashes"),
-        F.count_distinct(file_name(F.col("logical_path"))).alias("names"),
-        F.array_sort(F.collect_list(member)).alias("members"),
-    )
-    rows = rows.where(having).select(kind.alias("duplicate_type"), F.transform("members", lambda m: m["id"]).alias("source_ids"), (F.lit(None).cast("string") if content_hash is None else content_hash).alias("content_hash"))
-    return rows.select(
+#: In the order in which groups are listed.
+RATIONALE = {
+    "content": "The files' SHA-256 hashes are equal.",
+    "path": "Several sources have one logical path.",
+    "member": "An archive has several members of one path.",
+    "name": "Files of one name differ in content.",
+}
+
+
+def _grouped(sources: DataFrame, of: str, keys: dict[str, Column], having: Column, kind: Column, content_hash: Column | None = None) -> DataFrame:
+    """Groups by ``keys``; ``having`` and ``kind`` may use n, and hashes and names: whether those of the group differ."""
+    rows = sources.select(F.col("source_id").alias("id"), "logical_path", "file_hash", file_name(F.col("logical_path")).alias("name"), *[v.alias(k) for k, v in keys.items()])
+    differ = lambda c: F.min(c) != F.max(c)
+    often = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), differ("file_hash").alias("hashes"), differ("name").alias("names"))
+    often = often.where(having).select(*[F.col(k).alias(f"of_{k}") for k in keys], kind.alias("duplicate_type"))
+    members = rows.join(often, [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys]).select(*keys, "duplicate_type", F.struct(casefold(F.col("logical_path")).alias("k"), "id").alias("m"))
+    groups = members.groupBy(*keys, "duplicate_type").agg(F.transform(F.array_sort(F.collect_list("m")), lambda m: m["id"]).alias("source_ids"))
+    return groups.select(
         ids.group_id(F.col("duplicate_type"), F.col("source_ids")).alias("group_id"),
         "duplicate_type",
         "source_ids",
-        "content_hash",
+        (F.lit(None).cast("string") if content_hash is None else content_hash).alias("content_hash"),
         F.element_at("source_ids", 1).alias("recommended_canonical_source_id"),
+        F.lit(RATIONALE[of]).alias("rationale"),
+        F.struct(F.lit(list(RATIONALE).index(of)).alias("rank"), *[F.col(k).cast("string").alias(f"key{i}") for i, k in enumerate([*keys, *keys][:2])]).alias("place"),
     )
 
 
 def content_groups(sources: DataFrame) -> DataFrame:
-    kind = F.when(F.col("names") > 1, "same_content_different_filenames").otherwise("identical_content")
-    return _grouped(sources, {"key": F.col("file_hash")}, F.col("n") > 1, kind, F.col("key"))
+    kind = F.when(F.col("names"), "same_content_different_filenames").otherwise("identical_content")
+    return _grouped(sources, "content", {"key": F.col("file_hash")}, F.col("n") > 1, kind, F.col("key"))
 
 
 def path_groups(sources: DataFrame) -> DataFrame:
-    return _grouped(sources, {"key": F.col("logical_path")}, F.col("n") > 1, F.lit("duplicate_relative_path"))
+    return _grouped(sources, "path", {"key": F.col("logical_path")}, F.col("n") > 1, F.lit("duplicate_relative_path"))
 
 
 def member_groups(sources: DataFrame) -> DataFrame:
     inside = sources.where(F.coalesce(F.col("archive_member_path"), F.lit("")) != "")
-    return _grouped(inside, {"key": F.col("parent_archive_source_id"), "key2": F.col("archive_member_path")}, F.col("n") > 1, F.lit("duplicate_archive_member_path"))
+    return _grouped(inside, "member", {"key": F.col("parent_archive_source_id"), "key2": F.col("archive_member_path")}, F.col("n") > 1, F.lit("duplicate_archive_member_path"))
 
 
 def name_groups(sources: DataFrame) -> DataFrame:
-    return _grouped(sources, {"key": casefold(file_name(F.col("logical_path")))}, F.col("hashes") > 1, F.lit("same_filename_different_content"))
+    return _grouped(sources, "name", {"key": casefold(file_name(F.col("logical_path")))}, F.col("hashes"), F.lit("same_filename_different_content"))
 
 
 def all_groups(sources: DataFrame) -> DataFrame:
-    """The bag union of the four kinds; a source can be in several groups."""
+    """The bag union of the four kinds; a source can be in several groups. ``place`` orders them."""
     return content_groups(sources).unionByName(path_groups(sources)).unionByName(member_groups(sources)).unionByName(name_groups(sources))

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 
 @dataclass(frozen=True)
@@ -20,53 +19,60 @@ class ArchiveLimits:
     max_compression_ratio: float = 100.0
 
 
+def _codes(e: Column, repeats: Column, limits: ArchiveLimits) -> Column:
+    """Issue codes of an entry in order, but for the bound on the sum."""
+    size, packed = e["uncompressed_size"], e["compressed_size"]
+    ratio = F.when(packed != 0, size / packed).otherwise(size.cast("double"))
+    checks = [
+        (e["member_path"].startswith("/"), "ARCHIVE_ABSOLUTE_PATH"),
+        (F.array_contains(F.split(e["member_path"], "/"), ".."), "ARCHIVE_PATH_TRAVERSAL"),
+        (repeats, "ARCHIVE_DUPLICATE_MEMBER"),
+        (e["encrypted"], "ARCHIVE_ENCRYPTED_MEMBER"),
+        (size > limits.max_member_bytes, "ARCHIVE_MEMBER_SIZE_LIMIT"),
+        (ratio > limits.max_compression_ratio, "ARCHIVE_COMPRESSION_RATIO_LIMIT"),
+    ]
+    return F.array_compact(F.array(*[F.when(c, code) for c, code in checks]))
+
+
 def check_members(members: DataFrame, limits: ArchiveLimits = ArchiveLimits()) -> DataFrame:
-    """``members`` (archive, idx, member_path, is_dir, encrypted, compressed_size, uncompressed_size) with issue codes in order, and status.
+    """``members`` (archive, idx, member_path, is_dir, encrypted, compressed_size, uncompressed_size and further narrow columns) with issue codes in order, and status.
 
     Only the first ``max_member_count`` entries of an archive count. An entry repeats another if its path came before it, rejected
     entries included. The bound on the sum is greedy: an entry that would pass it is rejected and adds nothing, so that later, smaller
-    ones may fit; entries that fail another check and directories add nothing either. The fold sees one bounded array an archive.
+    ones may fit; entries that fail another check and directories add nothing either. One shuffle brings an archive's entries together, a bounded
+    array, through which one pass goes.
     """
     m = members.where(F.col("idx") < limits.max_member_count).withColumn("member_path", F.replace("member_path", F.lit("\\"), F.lit("/")))
-    size, packed = F.col("uncompressed_size"), F.col("compressed_size")
-    ratio = F.when(packed != 0, size / packed).otherwise(size.cast("double"))
-    earlier = F.row_number().over(W.partitionBy("archive", "member_path").orderBy("idx")) > 1
-    codes = [
-        (F.col("member_path").startswith("/") | F.col("member_path").rlike("^[A-Za-z]:"), "ARCHIVE_ABSOLUTE_PATH"),
-        (F.array_contains(F.split("member_path", "/"), ".."), "ARCHIVE_PATH_TRAVERSAL"),
-        (earlier, "ARCHIVE_DUPLICATE_MEMBER"),
-        (F.col("encrypted"), "ARCHIVE_ENCRYPTED_MEMBER"),
-        (size > limits.max_member_bytes, "ARCHIVE_MEMBER_SIZE_LIMIT"),
-        (ratio > limits.max_compression_ratio, "ARCHIVE_COMPRESSION_RATIO_LIMIT"),
-    ]
-    m = m.withColumn("issues", F.array_compact(F.array(*[F.when(c, code) for c, code in codes])))
-    adds = (F.size("issues") == 0) & ~F.col("is_dir")
-    m = m.withColumn("adds", adds)
-    entry = F.struct("idx", size.cast("bigint").alias("size"), "adds")
+    names = [c for c in m.columns if c != "archive"]
+    entries = m.groupBy("archive").agg(F.array_sort(F.collect_list(F.struct("idx", *[c for c in names if c != "idx"]))).alias("e"))
+    entries = entries.select("archive", "e", F.transform("e", lambda x: x["member_path"]).alias("paths"))
+    checked = F.transform("e", lambda x, i: F.struct(x.alias("x"), _codes(x, F.array_position("paths", x["member_path"]) <= i, limits).alias("codes")))
+    entries = entries.select("archive", F.inline(F.array(F.struct(checked.alias("c")))))
     most = F.lit(limits.max_uncompressed_bytes).cast("bigint")
 
-    def step(acc, x):
-        over = acc["sum"] + x["size"] > most
-        return F.struct(
-            F.when(x["adds"] & ~over, acc["sum"] + x["size"]).otherwise(acc["sum"]).alias("sum"),
-            F.when(over, F.concat(acc["over"], F.array(x["idx"]))).otherwise(acc["over"]).alias("over"),
-        )
+    def step(acc, c):
+        size = c["x"]["uncompressed_size"].cast("bigint")
+        over = acc["sum"] + size > most
+        adds = (F.size(c["codes"]) == 0) & ~c["x"]["is_dir"] & ~over
+        return F.struct(F.when(adds, acc["sum"] + size).otherwise(acc["sum"]).alias("sum"), F.concat(acc["over"], F.array(over)).alias("over"))
 
-    start = F.struct(F.lit(0).cast("bigint").alias("sum"), F.array().cast("array<int>").alias("over"))
-    over = m.groupBy("archive").agg(F.array_sort(F.collect_list(entry)).alias("e")).select("archive", F.aggregate("e", start, step)["over"].alias("over"))
-    m = m.join(over, "archive").withColumn("issues", F.when(F.array_contains("over", F.col("idx")), F.concat("issues", F.array(F.lit("ARCHIVE_UNCOMPRESSED_LIMIT")))).otherwise(F.col("issues")))
+    start = F.struct(F.lit(0).cast("bigint").alias("sum"), F.array().cast("array<boolean>").alias("over"))
+    rows = entries.select("archive", F.inline(F.arrays_zip("c", F.aggregate("c", start, step)["over"].alias("over"))))
+    issues = F.when(F.col("over"), F.concat("c.codes", F.array(F.lit("ARCHIVE_UNCOMPRESSED_LIMIT")))).otherwise(F.col("c.codes"))
+    rows = rows.select("archive", *[F.col(f"c.x.{n}").alias(n) for n in names], issues.alias("issues"))
     status = F.when(F.size("issues") > 0, "rejected").when(F.col("is_dir"), "ignored").otherwise("registered")
-    return m.withColumn("status", status).drop("adds", "over")
+    return rows.withColumn("status", status)
 
 
 def archive_summaries(checked: DataFrame, total: DataFrame | None = None, limits: ArchiveLimits = ArchiveLimits()) -> DataFrame:
-    """Counters by archive; ``total`` (archive, entries) tells which archives have more entries than count."""
+    """Counters by archive; ``total`` (archive, entries) tells which archives have more entries than count. Members that passed the checks add their bytes even if their extraction failed."""
+    passed = (F.col("status") == "registered") | F.array_contains("issues", "ARCHIVE_EXTRACTION_FAILED")
     out = checked.groupBy("archive").agg(
         F.count(F.lit(1)).alias("member_count"),
         F.count_if(F.col("status") == "registered").alias("extracted_count"),
         F.count_if(F.col("status") == "rejected").alias("rejected_count"),
         F.count_if(F.col("status") == "ignored").alias("ignored_count"),
-        F.coalesce(F.sum(F.when(F.col("status") == "registered", F.col("uncompressed_size"))), F.lit(0)).cast("bigint").alias("total_uncompressed_bytes"),
+        F.coalesce(F.sum(F.when(passed, F.col("uncompressed_size"))), F.lit(0)).cast("bigint").alias("total_uncompressed_bytes"),
     )
     if total is None:
         return out

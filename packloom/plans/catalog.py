@@ -30,7 +30,7 @@ def query(sql: str | None = None):
 
 
 def _flat(groups: DataFrame) -> DataFrame:
-    return groups.withColumn("source_ids", F.array_join("source_ids", "|"))
+    return groups.withColumn("source_ids", F.array_join("source_ids", "|")).drop("rationale", "place")
 
 
 def _group_sql(keys: str, having: str, kind: str, content: str, where: str = "") -> str:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packloom.functions import text as T
 from packloom.operators import dictionary as D
+from packloom.operators.timings import DICTIONARY_STAGES, Clock
 from packloom.sources.sheets import SheetError, sheet_rows, sheets_of
 
 
@@ -19,6 +22,11 @@ class DictionaryResult:
     results: DataFrame
     duplicates: DataFrame
     summary: DataFrame
+    metadata: dict
+    timings: dict[str, float]
+
+    def release(self) -> None:
+        self.results.unpersist()
 
     @property
     def targets(self) -> DataFrame:
@@ -89,12 +97,36 @@ def inspect_dictionary(spark: SparkSession, path: str, sheet: str | None = None,
     }
 
 
-def ingest_dictionary(spark: SparkSession, path: str, config: dict = D.TEMPLATE, sheet: str | None = None) -> DictionaryResult:
+def ingest_dictionary(spark: SparkSession, path: str, config: dict = D.TEMPLATE, sheet: str | None = None, progress: Callable[[str, str], None] | None = None) -> DictionaryResult:
     """Targets, issues and counts of a dictionary file. SheetError and MappingError tell files and columns that can't be used."""
+    clock = Clock(progress, DICTIONARY_STAGES)
     header_row = int(config.get("header_row", 1)) if isinstance(config, dict) else 1
-    raw, headers, source = _selected(spark, path, sheet, header_row)
+    with clock("file_read_ms", path):
+        sheets = sheets_of(path)
+    with clock("worksheet_read_ms", path):
+        raw, headers, source = _selected(spark, path, sheet, header_row)
     names = unique_names(headers)
     mapping = D.bind_columns(config, names)
     rows = keyed_rows(raw, names, header_row)
-    results = D.normalize_rows(rows, mapping, source, _base(path)).cache()
-    return DictionaryResult(mapping, rows, results, D.duplicate_findings(results), D.summary(results, mapping))
+    with clock("normalization_ms", path):
+        results = D.normalize_rows(rows, mapping, source, _base(path)).persist()
+        results.count()
+    raw.unpersist()
+    with clock("validation_ms", path):
+        found = D.duplicate_findings(results)
+        summary = D.summary(results, mapping)
+    metadata = {
+        "dictionary_path": path,
+        "dictionary_filename": _base(path),
+        "dictionary_id": mapping.dictionary_id,
+        "source_name": source,
+        "format": path.rsplit(".", 1)[-1].lower(),
+        "sheet_names": sheets,
+        "selected_sheet": source if sheets else None,
+        "header_row": header_row,
+        "columns": names,
+        "mapping_version": mapping.mapping_version,
+        "ingestion_version": D.VERSION,
+        "ingested_at": datetime.now(UTC).isoformat(),
+    }
+    return DictionaryResult(mapping, rows, results, found, summary, metadata, clock.total)

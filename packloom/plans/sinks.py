@@ -1,16 +1,18 @@
-"""Artifacts of a run. Tables are written by Spark; ``single_file`` streams a table's rows through the driver into one file."""
+"""Artifacts of a run. Tables are written by Spark, as folders of files; ``single_file`` has one task write a table and moves its only file into place."""
 
 from __future__ import annotations
 
-import csv
 import json
-import os
+import time
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from packloom.operators import dictionary
 from packloom.plans.dictionaries import DictionaryResult
 from packloom.plans.pack import PackResult
+from packloom.sources.pack_files import filesystem
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -23,29 +25,47 @@ def flat(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def write_jsonl(df: DataFrame, path: str, single_file: bool = True) -> None:
+def _write(df: DataFrame, path: str, single_file: bool, order: list, kind: str, **options) -> None:
+    """``df`` by ``order`` as files of a kind: a folder at ``path``, or one file there."""
+    rows = df.repartition(1).sortWithinPartitions(*order) if single_file and order else df.orderBy(*order) if order else df.repartition(1) if single_file else df
+    rows = rows.select(*[c for c in rows.columns if c != "place"])
     if not single_file:
-        df.write.mode("overwrite").json(path)
+        rows.write.mode("overwrite").format(kind).options(**options).save(path)
         return
-    with open(path, "w", encoding="utf-8", newline="\n") as out:
-        for r in df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j")).toLocalIterator():
-            out.write(r.j + "\n")
+    folder = f"{path}.{uuid.uuid4().hex}"
+    rows.write.format(kind).options(**options).save(folder)
+    from pyarrow import fs
 
+    where, base = filesystem(folder)
+    parts = [f.path for f in where.get_file_info(fs.FileSelector(base)) if f.base_name.startswith("part-")]
+    _, target = filesystem(path)
+    if where.get_file_info(target).type == fs.FileType.Directory:
+        where.delete_dir(target)
+    where.move(parts[0], target)
+    where.delete_dir(base)
 
-def write_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
-    if not single_file:
-        flat(df).write.mode("overwrite").csv(path, header=True)
-        return
-    with open(path, "w", encoding="utf-8", newline="") as out:
-        writer = csv.writer(out)
-        writer.writerow(df.columns)
-        for r in flat(df).toLocalIterator():
-            writer.writerow(["" if v is None else v for v in r])
+
+def write_jsonl(df: DataFrame, path: str, single_file: bool = False, order: list = ()) -> None:
+    """A JSON object a line; fields that are null are there."""
+    _write(df, path, single_file, list(order), "json", ignoreNullFields="false")
+
+
+def write_csv(df: DataFrame, path: str, single_file: bool = False, order: list = ()) -> None:
+    """A header and a record a row; nulls and empty texts are empty cells, quotes within cells are doubled."""
+    how = {"header": "true", "escape": '"', "emptyValue": "", "nullValue": ""}
+    if "place" in df.columns:  # CSV has no nested columns: it orders as text, and goes
+        df, order = df.withColumn("place", F.to_json("place")), ["place"]
+    _write(flat(df), path, single_file, list(order), "csv", **how)
+
+
+def _text(path: str, text: str) -> None:
+    where, name = filesystem(path)
+    with where.open_output_stream(name) as out:
+        out.write(text.encode())
 
 
 def _write_json(value, path: str) -> None:
-    with open(path, "w", encoding="utf-8") as out:
-        json.dump(value, out, indent=2, default=str)
+    _text(path, json.dumps(value, indent=2, default=str))
 
 
 def _one(df: DataFrame) -> dict:
@@ -59,62 +79,79 @@ def _markdown(title: str, counts: dict) -> str:
     return "\n".join(lines) + "\n"
 
 
-def write_pack(result: PackResult, folder: str, single_file: bool = True) -> dict[str, str]:
-    """The ten artifacts of a pack by name."""
-    os.makedirs(folder, exist_ok=True)
-    names = {
-        "source_pack_manifest": "source_pack_manifest.json",
-        "source_registry_jsonl": "source_registry.jsonl",
-        "source_registry_csv": "source_registry.csv",
-        "document_classifications_csv": "document_classifications.csv",
-        "duplicate_groups": "duplicate_groups.json",
-        "archive_manifest": "archive_manifest.json",
-        "ingestion_issues_csv": "ingestion_issues.csv",
-        "source_summary": "source_summary.json",
-        "source_summary_md": "source_summary.md",
-        "stage_timings": "stage_timings.json",
-    }
-    path = {k: os.path.join(folder, v) for k, v in names.items()}
-    ordered = result.registry.orderBy("logical_path", "source_id")
-    write_jsonl(ordered, path["source_registry_jsonl"], single_file)
-    write_csv(ordered.select("source_id", F.col("file_hash").alias("content_hash"), "logical_path", "file_type", "extension", "size_bytes", "page_count", "sheet_count", "classification", "extraction_status", "parent_archive_source_id", "archive_member_path", "archive_depth", "warnings"), path["source_registry_csv"], single_file)
+def _folder(folder: str) -> None:
+    where, name = filesystem(folder)
+    where.create_dir(name, recursive=True)
+
+
+PACK_ARTIFACTS = {
+    "source_pack_manifest": "source_pack_manifest.json",
+    "source_registry_jsonl": "source_registry.jsonl",
+    "source_registry_csv": "source_registry.csv",
+    "document_classifications_csv": "document_classifications.csv",
+    "duplicate_groups": "duplicate_groups.json",
+    "archive_manifest": "archive_manifest.json",
+    "ingestion_issues_csv": "ingestion_issues.csv",
+    "source_summary": "source_summary.json",
+    "source_summary_md": "source_summary.md",
+    "stage_timings": "stage_timings.json",
+    "file_timings_csv": "file_timings.csv",
+}
+
+
+def write_pack(result: PackResult, folder: str, single_file: bool = False) -> dict[str, str]:
+    """The artifacts of a pack by name. JSON tables have an object a line; the manifest has ids, counts, times and paths, and no rows."""
+    _folder(folder)
+    start = time.perf_counter()
+    path = {k: f"{folder.rstrip('/')}/{v}" for k, v in PACK_ARTIFACTS.items()}
+    by = ["logical_path", "source_id"]
+    write_jsonl(result.registry, path["source_registry_jsonl"], single_file, by)
+    table = result.registry.select("source_id", F.col("file_hash").alias("content_hash"), "logical_path", "file_type", "extension", "size_bytes", "page_count", "sheet_count", "parent_archive_source_id", "archive_member_path", "classification", "warnings")
+    write_csv(table, path["source_registry_csv"], single_file, by)
     labels = F.transform("alternative_labels", lambda x: x["label"])
-    write_csv(result.classifications.withColumn("alternative_labels", labels), path["document_classifications_csv"], single_file)
-    write_jsonl(result.duplicates, path["duplicate_groups"], single_file)
-    write_jsonl(result.archives, path["archive_manifest"], single_file)
-    write_csv(result.issues, path["ingestion_issues_csv"], single_file)
+    classes = result.classifications.select("classification_id", F.col("subject_id").alias("source_id"), "primary_label", "secondary_labels", "confidence", labels.alias("alternatives"), "rationale", "method_type", "warnings")
+    write_csv(classes, path["document_classifications_csv"], single_file, ["source_id"])
+    write_jsonl(result.duplicates, path["duplicate_groups"], single_file, ["place"])
+    write_jsonl(result.archives, path["archive_manifest"], single_file, ["archive_path"])
+    write_csv(result.issues.drop("origin"), path["ingestion_issues_csv"], single_file)
+    write_csv(result.file_timings, path["file_timings_csv"], single_file, ["relative_path"])
     summary = _one(result.summary)
     _write_json(summary, path["source_summary"])
-    with open(path["source_summary_md"], "w", encoding="utf-8") as out:
-        out.write(_markdown("Source pack", summary))
-    _write_json({"summary": summary, "artifacts": path}, path["source_pack_manifest"])
-    _write_json({}, path["stage_timings"])
+    _text(path["source_summary_md"], _markdown("Source pack", summary))
+    result.timings["artifact_writing_ms"] = (time.perf_counter() - start) * 1000
+    _write_json(result.timings, path["stage_timings"])
+    head = {"source_pack_id": result.source_pack_id, "root_path": result.root_path, "created_at": result.created_at.isoformat()}
+    _write_json(head | {"summary": summary, "timings": result.timings, "output_paths": path}, path["source_pack_manifest"])
     return path
 
 
-def write_dictionary(result: DictionaryResult, folder: str, single_file: bool = True) -> dict[str, str]:
+DICTIONARY_ARTIFACTS = {
+    "dictionary_manifest": "dictionary_manifest.json",
+    "normalized_targets_jsonl": "normalized_targets.jsonl",
+    "normalized_targets_csv": "normalized_targets.csv",
+    "validation_issues_csv": "validation_issues.csv",
+    "dictionary_summary": "dictionary_summary.json",
+    "dictionary_summary_md": "dictionary_summary.md",
+    "column_mapping_report": "column_mapping_report.json",
+}
+
+
+def write_dictionary(result: DictionaryResult, folder: str, single_file: bool = False) -> dict[str, str]:
     """The seven artifacts of a dictionary by name."""
-    os.makedirs(folder, exist_ok=True)
-    names = {
-        "dictionary_manifest": "dictionary_manifest.json",
-        "normalized_targets_jsonl": "normalized_targets.jsonl",
-        "normalized_targets_csv": "normalized_targets.csv",
-        "validation_issues_csv": "validation_issues.csv",
-        "dictionary_summary": "dictionary_summary.json",
-        "dictionary_summary_md": "dictionary_summary.md",
-        "column_mapping_report": "column_mapping_report.json",
-    }
-    path = {k: os.path.join(folder, v) for k, v in names.items()}
-    targets = result.targets.orderBy("provenance.row_number")
-    write_jsonl(targets, path["normalized_targets_jsonl"], single_file)
-    write_csv(targets.select("target_row_id", "requirement_id", "sub_domain", "expected_field", "expected_data_type", "cardinality", "unit", "component_type", "component_subtype", F.col("provenance.row_number").alias("source_row"), "likely_evidence_types", F.col("provenance.normalization_warnings").alias("warning_codes")), path["normalized_targets_csv"], single_file)
-    repeats = result.duplicates.select("issue_code", F.lit("error").alias("severity"), F.element_at("rows", 1).alias("source_row"), F.lit(None).cast("string").alias("source_column"), F.lit("Several rows have this value.").alias("message"), "raw_value")
-    write_csv(result.issues.unionByName(repeats), path["validation_issues_csv"], single_file)
+    _folder(folder)
+    start = time.perf_counter()
+    path = {k: f"{folder.rstrip('/')}/{v}" for k, v in DICTIONARY_ARTIFACTS.items()}
+    targets = result.targets
+    write_jsonl(targets, path["normalized_targets_jsonl"], single_file, ["provenance.row_number"])
+    table = targets.select("target_row_id", "requirement_id", "sub_domain", "expected_field", "expected_data_type", "cardinality", "unit", "component_type", "component_subtype", F.col("provenance.row_number").alias("source_row"), "likely_evidence_types", F.col("provenance.normalization_warnings").alias("warning_codes"))
+    write_csv(table, path["normalized_targets_csv"], single_file, ["source_row"])
+    place = lambda df, rank: df.withColumn("place", F.struct(F.lit(rank).alias("rank"), F.format_string("%012d", F.col("source_row")).alias("row")))
+    write_csv(place(result.issues, 0).unionByName(place(dictionary.finding_issues(result.duplicates), 1)), path["validation_issues_csv"], single_file)
     summary = _one(result.summary)
     _write_json(summary, path["dictionary_summary"])
-    with open(path["dictionary_summary_md"], "w", encoding="utf-8") as out:
-        out.write(_markdown("Dictionary", summary))
+    _text(path["dictionary_summary_md"], _markdown("Dictionary", summary))
     mapping = {k: getattr(result.mapping, k) for k in ("fields", "mapping_version", "dictionary_id", "header_row", "unused", "ambiguous")}
     _write_json(mapping | {"warnings": result.mapping.warnings()}, path["column_mapping_report"])
-    _write_json({"summary": summary, "mapping": mapping, "artifacts": path}, path["dictionary_manifest"])
+    result.timings["artifact_writing_ms"] = (time.perf_counter() - start) * 1000
+    _write_json(result.metadata | {"timings": result.timings, "output_paths": path}, path["dictionary_manifest"])
     return path

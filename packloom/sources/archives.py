@@ -1,61 +1,122 @@
-"""Members of ZIP archives, expanded where the archives' bytes are. Declared sizes are checked before anything is inflated, and reading stops at them."""
+"""Members of ZIP archives: entries are listed first, and only those that passed all checks are inflated, one by one, up to the sizes that they declare.
+
+Archives of any size are read where they lie, as seekable streams; only members of archives, whose size is bounded, are opened from their bytes.
+"""
 
 from __future__ import annotations
 
 import io
+import time
 import zipfile
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from packloom.operators.members import ArchiveLimits
+from packloom.sources.pack_files import filesystem, scan
 
-SCHEMA = (
+LISTED = (
     "archive string, archive_path string, archive_depth int, entries int, corrupt string, idx int, member_path string, is_dir boolean, "
-    "encrypted boolean, compressed_size bigint, uncompressed_size bigint, crc bigint, content binary, failure string"
+    "encrypted boolean, compressed_size bigint, uncompressed_size bigint, crc bigint, duration_ms double"
+)
+EXTRACTED = (
+    "archive string, archive_path string, archive_depth int, idx int, member_path string, size_bytes bigint, sha256 string, head binary, pdf_markers bigint, "
+    "content binary, failure string, duration_ms double"
 )
-_TYPES = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
-_SCHEMA = pa.schema([(x.split()[0], _TYPES[x.split()[1]]) for x in SCHEMA.split(", ")])
+BATCH_BYTES = 16 << 20
+_TYPES = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary(), "double": pa.float64()}
+_BROKEN = (zipfile.BadZipFile, OSError, ValueError)
+_UNREADABLE = (OSError, zipfile.BadZipFile, zlib.error, RuntimeError, ValueError, NotImplementedError, EOFError)
+
+
+def _schema(text: str) -> pa.Schema:
+    return pa.schema([(x.split()[0], _TYPES[x.split()[1]]) for x in text.split(", ")])
+
+
+def open_source(path: str, content: bytes | None):
+    """A seekable stream: over the bytes if there are some, else over the file."""
+    if content is not None:
+        return io.BytesIO(content)
+    where, name = filesystem(path)
+    return where.open_input_file(name)
 
 
-def _entries(content: bytes | None, limits: ArchiveLimits) -> Iterator[dict]:
+def _listed(path: str, content: bytes | None, most: int) -> Iterator[dict]:
+    start = time.perf_counter()
     try:
-        with zipfile.ZipFile(io.BytesIO(content or b"")) as z:
-            infos, taken = z.infolist(), 0
-            yield {"entries": len(infos)}
-            for i, info in enumerate(infos[: limits.max_member_count]):
-                row = {"idx": i, "member_path": info.filename.replace("\\", "/"), "is_dir": info.is_dir(), "encrypted": bool(info.flag_bits & 1), "compressed_size": info.compress_size, "uncompressed_size": info.file_size, "crc": info.CRC}
-                fits = info.file_size <= limits.max_member_bytes and info.file_size <= limits.max_compression_ratio * max(info.compress_size, 1)
-                if fits and not row["is_dir"] and not row["encrypted"] and taken + info.file_size <= limits.max_uncompressed_bytes:
-                    try:
-                        with z.open(info) as member:
-                            row["content"] = member.read(info.file_size + 1)
-                        if len(row["content"]) != info.file_size:
-                            raise ValueError("the member's size isn't the declared one")
-                        taken += info.file_size
-                    except (OSError, zipfile.BadZipFile, zlib.error, RuntimeError, ValueError, NotImplementedError, EOFError) as e:
-                        row |= {"content": None, "failure": str(e)[:200]}
-                yield row
-    except (zipfile.BadZipFile, OSError, ValueError) as e:
-        yield {"entries": 0, "corrupt": str(e)[:200]}
-
-
-def expand_archives(archives: DataFrame, limits: ArchiveLimits = ArchiveLimits()) -> DataFrame:
-    """(source_id, logical_path, archive_depth, content) rows to one row an archive (idx null) and one row an entry."""
+        with open_source(path, content) as stream, zipfile.ZipFile(stream) as z:
+            infos = z.infolist()
+    except _BROKEN as e:
+        yield {"entries": 0, "corrupt": str(e)[:200], "duration_ms": (time.perf_counter() - start) * 1000}
+        return
+    yield {"entries": len(infos), "duration_ms": (time.perf_counter() - start) * 1000}
+    for i, info in enumerate(infos[:most]):
+        yield {"idx": i, "member_path": info.filename.replace("\\", "/"), "is_dir": info.is_dir(), "encrypted": bool(info.flag_bits & 1), "compressed_size": info.compress_size, "uncompressed_size": info.file_size, "crc": info.CRC}
+
+
+def _opened_later(name: str):
+    """Whether a member's bytes are needed again, by its head: archives, workbooks and CSV files are."""
+    return lambda head: head[:4] == b"PK\3\4" or name.lower().endswith((".zip", ".csv"))
+
+
+def _extracted(path: str, content: bytes | None, wanted: list[dict]) -> Iterator[dict]:
+    try:
+        with open_source(path, content) as stream, zipfile.ZipFile(stream) as z:
+            infos = z.infolist()
+            for w in sorted(wanted, key=lambda w: w["idx"]):
+                start, info = time.perf_counter(), infos[w["idx"]]
+                try:
+                    with z.open(info) as member:
+                        digest, n, head, markers, data = scan(member, _opened_later(w["member_path"]))
+                    if n != info.file_size:
+                        raise ValueError("the member's size isn't the declared one")
+                    found = {"size_bytes": n, "sha256": digest, "head": head, "pdf_markers": markers, "content": data}
+                except _UNREADABLE as e:
+                    found = {"failure": str(e)[:200]}
+                yield w | found | {"duration_ms": (time.perf_counter() - start) * 1000}
+    except _BROKEN as e:  # it could be read when it was listed
+        for w in wanted:
+            yield w | {"failure": str(e)[:200]}
+
+
+def _batched(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += len(r.get("content") or b"") + 256
+        if size > BATCH_BYTES:
+            yield pa.RecordBatch.from_pylist(held, schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema=schema)
+
+
+def list_archives(archives: DataFrame, limits: ArchiveLimits = ArchiveLimits()) -> DataFrame:
+    """(source_id, original_path, logical_path, archive_depth, content) rows to one row an archive (idx null) and one row an entry. Null content: the file at original_path."""
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                of = {"archive": r["source_id"], "archive_path": r["logical_path"], "archive_depth": r["archive_depth"]}
+                yield from _batched((of | e for e in _listed(r["original_path"], r["content"], limits.max_member_count)), _schema(LISTED))
+
+    return archives.select("source_id", "original_path", "logical_path", "archive_depth", "content").mapInArrow(expand, LISTED)
+
+
+def extract_members(archives: DataFrame, accepted: DataFrame) -> DataFrame:
+    """What the ``accepted`` entries (archive, idx, member_path) of ``archives`` hold: size, hash, head, page markers, the bytes of those that are opened later, or why they can't be read.
+
+    An archive's members are read in one task, one by one, in blocks.
+    """
+    wanted = accepted.groupBy(F.col("archive").alias("source_id")).agg(F.collect_list(F.struct("idx", "member_path")).alias("wanted"))
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                rows, size = [], 0
-                for e in _entries(r["content"], limits):
-                    rows.append({"archive": r["source_id"], "archive_path": r["logical_path"], "archive_depth": r["archive_depth"], **e})
-                    size += len(e.get("content") or b"") + 256
-                    if size > 16 << 20:
-                        yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
-                        rows, size = [], 0
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
-
-    return archives.select("source_id", "logical_path", "archive_depth", "content").mapInArrow(expand, SCHEMA)
+                of = {"archive": r["source_id"], "archive_path": r["logical_path"], "archive_depth": r["archive_depth"]}
+                yield from _batched((of | e for e in _extracted(r["original_path"], r["content"], r["wanted"])), _schema(EXTRACTED))
+
+    return archives.join(wanted, "source_id").select("source_id", "original_path", "logical_path", "archive_depth", "content", "wanted").mapInArrow(expand, EXTRACTED)

@@ -4,21 +4,22 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from packloom.functions.files import IGNORED_NAMES, TEMPORARY_PREFIX
 from packloom.ship import ship
 
 SCHEMA = (
     "path string, relative_path string, file_name string, size_bytes bigint, bytes_read bigint, "
-    "sha256 string, head binary, pdf_markers bigint, content binary, error string"
+    "sha256 string, head binary, pdf_markers bigint, error string, sniff_ms double, hash_ms double"
 )
 BLOCK = 1 << 20
 HEAD_BYTES = 4096
 PARTITION_BYTES = 64 << 20
-MAX_CONTENT_BYTES = 128 << 20
 _MARKER = re.compile(rb"/Type ?/Page")
 _KEEP = 16  # a marker is shorter
 
@@ -34,24 +35,31 @@ class _Files(InputPartition):
         self.files = files
 
 
-def scan(stream) -> tuple[str, int, bytes, int, bytes | None]:
-    """SHA-256, length, head, page markers and (up to a bound) the bytes of a stream, in blocks; a marker across two blocks counts once."""
-    digest, n, head, markers, carry, parts = hashlib.sha256(), 0, b"", 0, b"", []
+def scan(stream, wanted=None) -> tuple[str, int, bytes, int, bytes | None]:
+    """SHA-256, length, head, page markers and, if ``wanted`` says so of the head, the bytes of a stream of any length, read in blocks; a marker across two blocks counts once."""
+    digest, n, head, markers, carry, parts = hashlib.sha256(), 0, b"", 0, b"", None
     while block := stream.read(BLOCK):
+        if n == 0 and wanted is not None and wanted(block[:HEAD_BYTES]):
+            parts = []
         digest.update(block)
         n += len(block)
         head += block[: HEAD_BYTES - len(head)]
         data = carry + block
-        found = list(_MARKER.finditer(data))
-        markers += sum(m.end() > len(carry) for m in found)
+        markers += sum(m.end() > len(carry) for m in _MARKER.finditer(data))
         carry = data[-_KEEP:]
-        parts = [*parts, block] if n <= MAX_CONTENT_BYTES else []
-    return digest.hexdigest(), n, head, markers, b"".join(parts) if n <= MAX_CONTENT_BYTES else None
+        if parts is not None:
+            parts.append(block)
+    return digest.hexdigest(), n, head, markers, None if parts is None else b"".join(parts)
+
+
+def ignored(name: str) -> bool:
+    low = name.casefold()
+    return low.startswith(TEMPORARY_PREFIX) or low in IGNORED_NAMES
 
 
 class PackReader(DataSourceReader):
-    def __init__(self, root: str, content: bool):
-        self.root, self.content = root.rstrip("/"), content
+    def __init__(self, root: str, hashed: bool):
+        self.root, self.hashed = root.rstrip("/"), hashed
 
     def partitions(self) -> list[InputPartition]:
         from pyarrow import fs
@@ -65,26 +73,29 @@ class PackReader(DataSourceReader):
                 out.append(_Files([]))
                 size = 0
             out[-1].files.append(f)
-            size += f[2] + BLOCK // 4 if self.content else BLOCK // 16
+            size += f[2] + BLOCK // 4 if self.hashed else BLOCK // 16
         return out or [_Files([])]
 
     def read(self, partition: _Files) -> Iterator[tuple]:
         where, _ = filesystem(self.root)
         for path, relative, size in partition.files:
             name = relative.rsplit("/", 1)[-1]
+            n, digest, head, markers, error, times = 0, None, b"", 0, None, [time.perf_counter()] * 3
             try:
                 with where.open_input_stream(path, compression=None) as stream:
-                    if self.content:
-                        digest, n, head, markers, data = scan(stream)
-                        yield path, relative, name, size, n, digest, head, markers, data, None
+                    if self.hashed and not ignored(name):  # ignored files are only sniffed
+                        digest, n, head, markers, _ = scan(stream)
+                        times[2] = time.perf_counter()
                     else:
-                        yield path, relative, name, size, 0, None, stream.read(HEAD_BYTES), 0, None, None
+                        head = stream.read(HEAD_BYTES)
+                        times[1] = times[2] = time.perf_counter()
             except OSError as e:
-                yield path, relative, name, size, 0, None, b"", 0, None, str(e)[:200]
+                digest, error = None, str(e)[:200]
+            yield path, relative, name, size, n, digest, head, markers, error, (times[1] - times[0]) * 1000, (times[2] - times[1]) * 1000
 
 
 class PackFiles(DataSource):
-    """``spark.read.format("pack_files").option("content", "true").load(root)``; without content files are only sniffed."""
+    """``spark.read.format("pack_files").option("hashed", "true").load(root)``; unless hashed, files are only sniffed."""
 
     @classmethod
     def name(cls) -> str:
@@ -94,10 +105,10 @@ class PackFiles(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> PackReader:
-        return PackReader(self.options["path"], self.options.get("content", "true").lower() == "true")
+        return PackReader(self.options["path"], self.options.get("hashed", "true").lower() == "true")
 
 
-def pack_files(spark: SparkSession, root: str, content: bool = True) -> DataFrame:
+def pack_files(spark: SparkSession, root: str, hashed: bool = True) -> DataFrame:
     ship(spark)
     spark.dataSource.register(PackFiles)
-    return spark.read.format("pack_files").option("content", str(content).lower()).load(root)
+    return spark.read.format("pack_files").option("hashed", str(hashed).lower()).load(root)

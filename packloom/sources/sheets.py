@@ -28,9 +28,10 @@ class SheetError(ValueError):
     """The file isn't a dictionary that can be read, or lacks the sheet or header row."""
 
 
-def sheet_names(content: bytes) -> list[str]:
+def sheet_names(content) -> list[str]:
+    """Names of the sheets of a workbook, given as bytes or as a seekable stream."""
     try:
-        with zipfile.ZipFile(io.BytesIO(content)) as z:
+        with zipfile.ZipFile(io.BytesIO(content) if isinstance(content, bytes) else content) as z:
             book = ElementTree.fromstring(z.read("xl/workbook.xml"))
     except (zipfile.BadZipFile, KeyError, ElementTree.ParseError, OSError) as e:
         raise SheetError(f"not a workbook: {e}") from e
@@ -89,20 +90,25 @@ def workbook_rows(content: bytes, sheet: str | None = None) -> Iterator[list]:
                 node.clear()
 
 
-def csv_rows(content: bytes) -> Iterator[list]:
+def csv_rows(stream) -> Iterator[list]:
+    """Records of a byte stream, read as it goes."""
     try:
-        yield from csv.reader(io.StringIO(content.decode("utf-8-sig"), newline=""))
+        yield from csv.reader(io.TextIOWrapper(stream, "utf-8-sig", newline=""))
     except (UnicodeDecodeError, csv.Error) as e:
         raise SheetError(f"not a CSV file in UTF-8: {e}") from e
 
 
-def file_rows(path: str, content: bytes, sheet: str | None) -> Iterator[list]:
+def file_rows(path: str, sheet: str | None) -> Iterator[list]:
+    """Rows of a dictionary file: of a CSV file one after the other, of a workbook from its sheet."""
     suffix = path.rsplit(".", 1)[-1].lower()
-    if suffix == "csv":
-        return csv_rows(content)
+    if suffix not in ("csv", "xlsx"):
+        raise SheetError(f"neither a CSV file nor a workbook: {path}")
     if suffix == "xlsx":
-        return workbook_rows(content, sheet)
-    raise SheetError(f"neither a CSV file nor a workbook: {path}")
+        yield from workbook_rows(_read(path), sheet)
+        return
+    where, name = filesystem(path)
+    with where.open_input_file(name) as stream:
+        yield from csv_rows(stream)
 
 
 def _read(path: str) -> bytes:
@@ -111,12 +117,19 @@ def _read(path: str) -> bytes:
         return stream.read()
 
 
-class SheetReader(DataSourceReader):
+class SheetSource(DataSourceReader):
+    """What readers of dictionary files share: physical rows as (row_number, cells, types); ``inspect`` reads the same rows as ``read``."""
+
     def __init__(self, path: str, sheet: str | None):
         self.path, self.sheet = path, sheet
 
+    def inspect(self) -> Iterator[tuple]:
+        return self.read(None)
+
+
+class SheetReader(SheetSource):
     def read(self, partition) -> Iterator[tuple]:
-        for i, row in enumerate(file_rows(self.path, _read(self.path), self.sheet), 1):
+        for i, row in enumerate(file_rows(self.path, self.sheet), 1):
             yield i, [None if v is None else v if isinstance(v, str) else str(v) for v in row], [None if v is None else type(v).__name__ for v in row]
 
 

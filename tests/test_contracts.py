@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from packloom.cli import main
-from packloom.operators import classify, contracts
+from packloom.operators import classify, contracts, schemas
 from packloom.operators.schemas import unknown_columns
 from packloom.settings import Settings, load_settings
 from test_dictionary import ORDER, ROWS, write_xlsx
@@ -19,10 +19,10 @@ def test_tree(spark):
 
 
 def test_telemetry(spark):
-    calls = spark.createDataFrame([(10, 4, 3, Decimal("0.02")), (5, 1, 0, Decimal("0.01"))], "input_tokens long, output_tokens long, cached_tokens long, estimated_cost decimal(38,10)")
-    r = contracts.telemetry_totals(calls).withColumn("c", contracts.cost_per_accepted(F.col("estimated_cost"), F.lit(2))).withColumn("n", contracts.cost_per_accepted(F.col("estimated_cost"), F.lit(0))).first()
-    assert (r.input_tokens, r.output_tokens, r.cached_tokens, r.total_tokens) == (15, 5, 3, 20)
-    assert r.estimated_cost == Decimal("0.03") and r.c == Decimal("0.015") and r.n is None
+    calls = spark.createDataFrame([(120, 31, 7, Decimal("0.5")), (40, 9, 0, Decimal("0.125"))], "input_tokens long, output_tokens long, cached_tokens long, estimated_cost decimal(38,10)")
+    r = contracts.telemetry_totals(calls).withColumn("c", contracts.cost_per_accepted(F.col("estimated_cost"), F.lit(5))).withColumn("n", contracts.cost_per_accepted(F.col("estimated_cost"), F.lit(0))).first()
+    assert (r.input_tokens, r.output_tokens, r.cached_tokens, r.total_tokens) == (160, 40, 7, 200)
+    assert r.estimated_cost == Decimal("0.625") and r.c == Decimal("0.125") and r.n is None
 
 
 def test_checks(spark):
@@ -33,9 +33,9 @@ def test_checks(spark):
 
 
 def test_overrides_keep_the_first_label(spark):
-    c = spark.createDataFrame([("s", "electrical"), ("t", "lighting")], "subject_id string, primary_label string")
-    o = spark.createDataFrame([("s", "lighting")], "subject_id string, override_label string")
-    assert {r.subject_id: (r.primary_label, r.effective_label) for r in classify.with_overrides(c, o).collect()} == {"s": ("electrical", "lighting"), "t": ("lighting", "lighting")}
+    c = spark.createDataFrame([("s", "roofing"), ("t", "drainage")], "subject_id string, primary_label string")
+    o = spark.createDataFrame([("s", "glazing")], "subject_id string, override_label string")
+    assert {r.subject_id: (r.primary_label, r.effective_label) for r in classify.with_overrides(c, o).collect()} == {"s": ("roofing", "glazing"), "t": ("drainage", "drainage")}
 
 
 @pytest.mark.parametrize(
@@ -76,3 +76,29 @@ def test_cli(spark, tmp_path, capsys):
     with pytest.raises(SystemExit):
         main(["dictionary", "inspect", "--dictionary-path", book, "--header-row", "0"], spark)
     capsys.readouterr()
+
+
+def test_records(spark):
+    """Each record's text is a type, and a strict table of it can be made."""
+    records = {k: v for k, v in vars(schemas).items() if isinstance(v, str) and v.startswith("struct<")}
+    assert len(records) >= 16
+    for text in records.values():
+        assert schemas.table_of(spark, text).columns == [f.name for f in schemas.fields(text).fields]
+    score = schemas.table_of(spark, schemas.RETRIEVAL_SCORE, [("i", 0.5, "s", None)])
+    assert contracts.violations(score, "item_id", {"score": contracts.between_0_and_1(F.col("score"))}).count() == 0
+    assert schemas.fields(schemas.VALIDATION_RESULT).names[3:12] == [f"{c}_result" for c in schemas.VALIDATION_CHECKS]
+
+
+def test_capability(spark):
+    """A capability maps bundles to candidates; one without that can't be made."""
+
+    class Echo(contracts.Capability):
+        name, version, supported_types = "echo", "1", frozenset({"text"})
+
+        def apply(self, bundles):
+            return bundles.select("target_row_id", F.lit("string").alias("value_type"), F.to_json("units").alias("value_json"), F.lit(1.0).alias("confidence"))
+
+    bundles = contracts.bundles(spark.createDataFrame([("t", 2, "b"), ("t", 1, "a")], "target_row_id string, pos int, text string"), "target_row_id", "pos", ["text"])
+    assert [json.loads(r.value_json) for r in Echo().apply(bundles).collect()] == [[{"pos": 1, "text": "a"}, {"pos": 2, "text": "b"}]]
+    with pytest.raises(TypeError):
+        contracts.Capability()

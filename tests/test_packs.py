@@ -1,11 +1,15 @@
+import csv
 import hashlib
 import io
 import json
+import os
+import random
 import zipfile
 
 import pytest
 
 from packloom.operators.members import ArchiveLimits
+from packloom.operators.timings import PACK_STAGES, to_stderr
 from packloom.plans import pack, sinks
 from packloom.sources.pack_files import BLOCK, scan
 from test_dictionary import write_xlsx
@@ -77,8 +81,20 @@ def test_ingest(spark, tree, tmp_path):
     assert any(t == "same_filename_different_content" for t, _ in groups)
     s = r.summary.first()
     assert (s.files_discovered, s.files_ignored, s.files_rejected) == (15, 1, 0) and s.warnings_by_code["CORRUPT_ARCHIVE"] == 1 and s.classification_counts["archive"] >= 2
-    paths = sinks.write_pack(r, str(tmp_path / "out"))
-    assert len(paths) == 10 and len(open(paths["source_registry_jsonl"]).read().splitlines()) == len(reg)
+    paths = sinks.write_pack(r, str(tmp_path / "out"), single_file=True)
+    times = json.load(open(paths["stage_timings"]))
+    assert set(times) == set(PACK_STAGES) and times["discovery_ms"] > 0 and times["artifact_writing_ms"] > 0
+    manifest = json.load(open(paths["source_pack_manifest"]))
+    assert manifest["source_pack_id"] == "sp_" + hashlib.sha256(str(root.resolve()).casefold().encode()).hexdigest()[:16] and manifest["output_paths"] == paths
+    by_file = {x["relative_path"]: x for x in csv.DictReader(open(paths["file_timings_csv"]))}
+    assert set(by_file) == set(found) and by_file["Thumbs.db"]["status"] == "ignored" and float(by_file["archive.zip"]["archive_duration_ms"]) > 0 and float(by_file["manual.pdf"]["total_duration_ms"]) > 0
+    issues = list(csv.DictReader(open(paths["ingestion_issues_csv"])))
+    assert list(issues[0]) == ["issue_code", "severity", "source_path", "archive_member_path", "message", "raw_value", "suggested_action"] and all(x["severity"] and x["message"] and x["suggested_action"] for x in issues)
+    ranks = [0 if x["issue_code"] == "UNSUPPORTED_FILE_TYPE" else 1 if x["issue_code"] == "CORRUPT_ARCHIVE" else 2 for x in issues]
+    assert ranks == sorted(ranks)
+    kinds = [json.loads(x)["duplicate_type"] for x in open(paths["duplicate_groups"])]
+    assert kinds[-1] == "same_filename_different_content" and kinds[0] in ("identical_content", "same_content_different_filenames")
+    assert len(paths) == 11 and len(open(paths["source_registry_jsonl"]).read().splitlines()) == len(reg)
     assert json.load(open(paths["source_summary"]))["files_discovered"] == 15
     again = {x.logical_path: x.source_id for x in pack.ingest_source_pack(spark, str(root)).registry.collect()}
     assert again == {k: v.source_id for k, v in reg.items()}
@@ -102,10 +118,64 @@ def test_inspect(spark, tree):
     assert [r.relative_path for r in got["unsupported_files"].collect()] == ["empty"]
 
 
+def test_archives_of_any_size(spark, tmp_path):
+    """An archive larger than what is held at once, opened where it lies; what the checks reject isn't read and adds nothing to the sum."""
+    root = tmp_path / "big"
+    root.mkdir()
+    noise = random.Random(1).randbytes(1 << 20)
+    with zipfile.ZipFile(root / "large.zip", "w", zipfile.ZIP_STORED) as z:
+        for i in range(140):
+            z.writestr(f"part{i:03}.bin", noise)
+    (root / "sum.zip").write_bytes(zipped([("/abs.txt", b"a" * 80), ("ok.txt", b"b" * 80), ("over.txt", b"c" * 30), ("small.txt", b"d" * 20)]))
+    (root / "broken.zip").write_bytes(zipped([("one.txt", b"1" * 50), ("two.txt", b"2" * 50)]).replace(b"1" * 10, b"x" * 10))
+    with zipfile.ZipFile(root / "broken.zip", "w", zipfile.ZIP_STORED) as z:
+        z.writestr("one.txt", b"1" * 50)
+        z.writestr("two.txt", b"2" * 40)
+    data = (root / "broken.zip").read_bytes()
+    (root / "broken.zip").write_bytes(data.replace(b"1" * 50, b"9" * 50, 1))
+    r = pack.ingest_source_pack(spark, str(root), ArchiveLimits(max_depth=1))
+    got = {x.archive_path: x for x in r.archives.collect()}
+    assert (got["large.zip"].member_count, got["large.zip"].extracted_count, got["large.zip"].corrupt, got["large.zip"].total_uncompressed_bytes) == (140, 140, None, 140 << 20)
+    assert r.registry.where("archive_depth = 1 AND logical_path LIKE 'large%'").select("file_hash").distinct().collect()[0][0] == hashlib.sha256(noise).hexdigest()
+    assert (got["broken.zip"].extracted_count, got["broken.zip"].rejected_count, got["broken.zip"].total_uncompressed_bytes) == (1, 1, 90)
+    failed = r.issues.where("issue_code = 'ARCHIVE_EXTRACTION_FAILED'").collect()
+    assert [(x.archive_member_path, x.severity) for x in failed] == [("one.txt", "error")] and "CRC" in failed[0].raw_value
+    r.release()
+    few = pack.ingest_source_pack(spark, str(root), ArchiveLimits(max_uncompressed_bytes=100))
+    status = {x.member_path: (x.status, x.issues) for x in few.members.where("archive_path = 'sum.zip'").collect()}
+    assert status == {"/abs.txt": ("rejected", ["ARCHIVE_ABSOLUTE_PATH"]), "ok.txt": ("registered", []), "over.txt": ("rejected", ["ARCHIVE_UNCOMPRESSED_LIMIT"]), "small.txt": ("registered", [])}
+    assert {x.archive_path: x for x in few.archives.collect()}["sum.zip"].total_uncompressed_bytes == 100
+    few.release()
+
+
+def test_unreadable_files(spark, tmp_path, monkeypatch):
+    root = tmp_path / "some"
+    root.mkdir()
+    (root / "good.txt").write_text("x")
+    os.symlink("/proc/self/mem", root / "bad.txt")  # opens, but can't be read from its start
+    r = pack.ingest_source_pack(spark, str(root))
+    got = {x.relative_path: x.disposition for x in r.discovered.collect()}
+    assert got == {"good.txt": "registered", "bad.txt": "rejected"} and [x.logical_path for x in r.registry.collect()] == ["good.txt"]
+    assert [(x.issue_code, x.source_path) for x in r.issues.orderBy("place").collect()] == [("SOURCE_REGISTRATION_FAILED", "bad.txt"), ("UNREADABLE_FILE", "bad.txt")]
+    assert r.summary.first().files_rejected == 1
+    with pytest.raises(OSError, match="bad.txt"):
+        pack.ingest_source_pack(spark, str(root), fail_on_unreadable=True)
+
+
+def test_progress(spark, tree, capsys):
+    root, _ = tree
+    told = []
+    pack.ingest_source_pack(spark, str(root), ArchiveLimits(max_depth=0), progress=lambda *x: told.append(x)).release()
+    assert [x for x, _ in told][:2] == ["discovery", "metadata"] and told[-1][0] == "duplicate_detection"
+    to_stderr("stage", "subject")
+    assert capsys.readouterr().err.endswith("[stage] subject\n")
+
+
 def test_scan_in_blocks():
     data = b"x" * (BLOCK - 6) + b"/Type /Page" + b"y" * 100 + b"/Type/Page"
     digest, n, head, markers, content = scan(io.BytesIO(data))
-    assert (digest, n, markers, content) == (hashlib.sha256(data).hexdigest(), len(data), 2, data) and head == data[:4096]
+    assert (digest, n, markers, content) == (hashlib.sha256(data).hexdigest(), len(data), 2, None) and head == data[:4096]
+    assert scan(io.BytesIO(data), lambda head: head == data[:4096])[4] == data
 
 
 def test_greedy_bound_is_not_a_running_sum(spark):
