@@ -2,41 +2,20 @@
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import gc
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packloom.ship import ship
+from packloom.sources.shared import make_dir, open_read, open_write, remove_dir, scratch, shared_dir, written
 
-_OWN: dict[str, str] = {}
+__all__ = ["cut", "freed", "fresh", "keyed", "make_dir", "open_read", "open_write", "remove_dir", "scratch", "shared_dir", "table", "tidy"]
 _SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where that is unset (local tests), a temporary one."""
-    ship(spark)
-    sc = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not found:
-        if not sc.master.startswith("local[") and sc.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        if sc.applicationId not in _OWN:
-            _OWN[sc.applicationId] = tempfile.mkdtemp(prefix="packloom-")
-            atexit.register(shutil.rmtree, _OWN[sc.applicationId], ignore_errors=True)
-        found = _OWN[sc.applicationId]
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
 @contextlib.contextmanager
 def freed() -> Iterator[None]:
     """Delete the tables written within: for callers whose results don't read them afterwards. Without it tables stay until the shared folder is cleared."""
@@ -52,11 +31,10 @@ def freed() -> Iterator[None]:
 
 def table(df: DataFrame, kind: str) -> tuple[DataFrame, str]:
     """``df`` computed once, as a written table in the shared folder, and that folder."""
-    spark, folder = df.sparkSession, scratch(df.sparkSession, kind)
+    folder = scratch(df.sparkSession, kind)
     if (folders := _SCOPE.get()) is not None:
         folders.append(folder)
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder), folder
+    return written(df, folder), folder
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -70,41 +48,6 @@ def tidy(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def scratch(spark: SparkSession, kind: str) -> str:
-    """A new folder name below the shared folder."""
-    return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
-
-
-def _fs(uri: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
-
-
-def make_dir(uri: str) -> None:
-    where, path = _fs(uri)
-    where.create_dir(path, recursive=True)
-
-
-def open_write(uri: str):
-    where, path = _fs(uri)
-    return where.open_output_stream(path, compression=None)
-
-
-def open_read(uri: str):
-    where, path = _fs(uri)
-    return where.open_input_file(path)
-
-
-def remove_dir(uri: str) -> None:
-    """Delete a scratch folder; one that is gone already is fine."""
-    from pyarrow import fs
-
-    where, path = _fs(uri)
-    if where.get_file_info(path).type == fs.FileType.Directory:
-        where.delete_dir(path)
-
-
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
