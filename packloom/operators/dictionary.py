@@ -98,6 +98,27 @@ def bind_columns(config: dict, headers: list[str]) -> Mapping:
     )
 
 
+def bind_headers(headers: DataFrame, config: dict) -> dict[str, DataFrame]:
+    """The binding of ``bind_columns`` for many dictionaries at once: ``headers`` has dictionary, pos and header.
+
+    bound: dictionary, field, source_column (that of the first alias; of headers that compare equal the last counts), ambiguous (several headers match). unused: headers bound to nothing.
+    missing: required columns that a dictionary lacks. Aliases are a configuration's: a few rows.
+    """
+    spark = headers.sparkSession
+    fields = config.get("columns") or {}
+    names = [(f, i, header_key(str(a))) for f, rule in fields.items() for i, a in enumerate(rule["aliases"] if isinstance(rule, dict) else rule if isinstance(rule, list) else [rule])]
+    aliases = F.broadcast(spark.createDataFrame(names, "field string, place int, key string"))
+    keyed = headers.withColumn("key", T.normalize_header(F.col("header")))
+    last = keyed.groupBy("dictionary", "key").agg(F.max_by("header", "pos").alias("header"))
+    bound = last.join(aliases, "key").groupBy("dictionary", "field").agg(F.min_by("header", "place").alias("source_column"), (F.min("header") != F.max("header")).alias("ambiguous"))
+    unused = headers.join(bound.select("dictionary", F.col("source_column").alias("header")).distinct(), ["dictionary", "header"], "left_anti")
+    required = [str(c) for c in config.get("required_source_columns") or []]
+    has = keyed.groupBy("dictionary").agg(F.collect_set("key").alias("keys"))
+    wanted = F.array(*[F.struct(F.lit(c).alias("source_column"), F.lit(header_key(c)).alias("key")) for c in required]) if required else F.array().cast("array<struct<source_column:string,key:string>>")
+    missing = has.select("dictionary", F.explode(F.filter(wanted, lambda w: ~F.array_contains("keys", w["key"]))).alias("w")).select("dictionary", "w.source_column")
+    return {"bound": bound, "unused": unused, "missing": missing}
+
+
 def unique_headers(headers: DataFrame) -> DataFrame:
     """(pos from 1, header) with ``name``: blank ones are named by place, later ones of a name by their number in it."""
     base = F.coalesce(T.or_null(T.stripped(F.col("header"))), F.concat(F.lit("blank_column_"), F.col("pos")))

@@ -7,9 +7,11 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from packloom.functions import files, ids, text as T
 from packloom.operators import classify, contracts, dictionary, duplicates, members
+from packloom.plans import pack as pack_plan
 from packloom.plans import views as V
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +28,15 @@ def query(sql: str | None = None):
     return add
 
 
+def _bars(counts: str) -> str:
+    """SQL for a map as text, of a query of (k, n)."""
+    return f"(SELECT coalesce(string_agg(k || '=' || n, '|' ORDER BY k), '') FROM ({counts}))"
+
+
+def _as_text(*maps: str) -> dict:
+    return {m: F.array_join(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|") for m in maps}
+
+
 # Duplicates
 
 
@@ -139,10 +150,13 @@ def effective_label(spark, d):
 
 # File signatures
 
+#: A header without a NUL that is UTF-8 to its last byte is text: the 513th byte doesn't go on with a sign.
 _BODY = """page0 AS (SELECT page_id, coalesce(html, '') AS html, CASE page_id % 8 WHEN 0 THEN '%PDF-1.4 /Type /Page /Type/Page ' WHEN 1 THEN 'PK' || chr(3) || chr(4) WHEN 2 THEN 'GIF89a' ELSE '' END AS head,
   'p' || page_id || CASE page_id % 6 WHEN 0 THEN '.xlsx' WHEN 1 THEN '.csv' WHEN 2 THEN '.JSON' WHEN 3 THEN '.zip' WHEN 4 THEN '.md' ELSE '' END AS name FROM pages),
-page AS (SELECT page_id, name, head || html AS body, CASE WHEN starts_with(head, '%PDF') THEN 'pdf' WHEN starts_with(head, 'PK') THEN CASE WHEN ends_with(name, '.xlsx') THEN 'xlsx' ELSE 'zip' END WHEN ends_with(name, '.zip') THEN 'zip'
-  WHEN starts_with(head, 'GIF') THEN 'image' WHEN ends_with(name, '.csv') THEN 'csv' WHEN ends_with(name, '.JSON') THEN 'json' ELSE 'text' END AS kind FROM page0)"""
+page1 AS (SELECT page_id, name, head, head || html AS body, hex(encode(head || html)) AS bytes FROM page0),
+page AS (SELECT page_id, name, body, CASE WHEN starts_with(head, '%PDF') THEN 'pdf' WHEN starts_with(head, 'PK') THEN CASE WHEN ends_with(name, '.xlsx') THEN 'xlsx' ELSE 'zip' END WHEN ends_with(name, '.zip') THEN 'zip'
+  WHEN starts_with(head, 'GIF') THEN 'image' WHEN ends_with(name, '.csv') THEN 'csv' WHEN ends_with(name, '.JSON') THEN 'json' WHEN ends_with(name, '.md') THEN 'text'
+  WHEN bytes <> '' AND NOT regexp_matches(substr(bytes, 1, 1024), '^(..)*00') AND NOT (substr(bytes, 1025, 2) >= '80' AND substr(bytes, 1025, 2) < 'C0') THEN 'text' ELSE 'unknown' END AS kind FROM page1)"""
 
 
 def _pages(spark, d):
@@ -156,15 +170,12 @@ def _pages(spark, d):
 
 @query(f"WITH {_BODY} SELECT page_id, kind FROM page")
 def sniff_types(spark, d):
-    # A multi-byte character cut at byte 512 makes a header no text; extensions decide first, so that only bare names are open to it.
-    t = _pages(spark, d)
-    return t.select("page_id", F.when(F.col("kind") == "unknown", files.file_type(F.substring("content", 1, 400).cast("string").cast("binary"), F.lit("x.txt"))).otherwise(F.col("kind")).alias("kind"))
+    return _pages(spark, d).select("page_id", "kind")
 
 
-@query(f"WITH {_BODY} SELECT kind, count(*) AS n FROM page WHERE NOT (name NOT LIKE '%.%' AND kind = 'text') GROUP BY kind")
+@query(f"WITH {_BODY} SELECT kind, count(*) AS n FROM page GROUP BY kind")
 def sniff_counts(spark, d):
-    t = _pages(spark, d).where(F.contains("name", F.lit(".")) | ~F.col("kind").isin("text", "unknown"))
-    return dictionary.histogram(t, "kind", "kind")
+    return dictionary.histogram(_pages(spark, d), "kind", "kind")
 
 
 @query(f"WITH {_BODY} SELECT page_id, CASE WHEN n > 0 THEN n END AS page_count FROM (SELECT page_id, len(regexp_extract_all(body, '/Type ?/Page')) AS n FROM page)")
@@ -210,17 +221,27 @@ def duplicate_names(spark, d):
     return V.pack(spark, d).groupBy(T.casefold(F.col("file_name")).alias("name")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-@query(f"WITH {V.PACK} SELECT count(*) AS files_discovered, count(*) FILTER (NOT {_IGNORED}) AS files_registered, count(*) FILTER ({_IGNORED}) AS files_ignored, CAST(coalesce(sum(size_bytes) FILTER (NOT {_IGNORED}), 0) AS BIGINT) AS total_source_bytes, count(DISTINCT file_type) AS types, count(*) FILTER (file_type = 'zip') AS archives FROM pack")
+@query(f"""WITH RECURSIVE {V.PACK}, {_LABEL}, {V.MEMBERS}, ok AS (SELECT * FROM pack WHERE NOT {_IGNORED}), counts AS (SELECT count(DISTINCT archive) AS archives, count(*) AS members FROM entry),
+g AS (SELECT count(*) FILTER (n > 1 AND names = 1) AS same FROM (SELECT count(*) AS n, count(DISTINCT file_name) AS names FROM ok GROUP BY file_hash)),
+n AS (SELECT count(*) AS differ FROM (SELECT lower(file_name) FROM ok GROUP BY 1 HAVING count(DISTINCT file_hash) > 1)),
+w AS (SELECT unnest(issues) AS k FROM entry UNION ALL SELECT 'UNSUPPORTED_FILE_TYPE' FROM ok WHERE doc_id % 17 = 0)
+SELECT (SELECT count(*) FROM pack) AS files_discovered, 0 AS files_rejected, (SELECT count(*) FROM pack WHERE {_IGNORED}) AS files_ignored, (SELECT count(*) FROM ok) AS files_registered,
+  (SELECT CAST(coalesce(sum(size_bytes), 0) AS BIGINT) FROM ok) AS total_source_bytes, archives, members AS archive_members, same AS identical_content_groups, differ AS same_name_different_content_findings,
+  (SELECT count(*) FROM c WHERE primary_label = 'unknown' AND NOT {_IGNORED}) AS unknown_classifications, {{kinds}} AS files_by_detected_type, {{labels}} AS classification_counts, {{codes}} AS warnings_by_code FROM counts, g, n""".format(
+    kinds="(SELECT string_agg(k || '=' || n, '|' ORDER BY k) FROM (SELECT file_type AS k, count(*) AS n FROM pack GROUP BY 1))",
+    labels=f"(SELECT string_agg(k || '=' || n, '|' ORDER BY k) FROM (SELECT primary_label AS k, count(*) AS n FROM c WHERE NOT {_IGNORED} GROUP BY 1))",
+    codes="(SELECT string_agg(k || '=' || n, '|' ORDER BY k) FROM (SELECT k, count(*) AS n FROM w GROUP BY 1))",
+))
 def pack_summary(spark, d):
-    ignored = files.is_ignored(F.col("file_name"))
-    return V.pack(spark, d).agg(
-        F.count(F.lit(1)).alias("files_discovered"),
-        F.count_if(~ignored).alias("files_registered"),
-        F.count_if(ignored).alias("files_ignored"),
-        F.coalesce(F.sum(F.when(~ignored, F.col("size_bytes"))), F.lit(0)).alias("total_source_bytes"),
-        F.count_distinct("file_type").alias("types"),
-        F.count_if(F.col("file_type") == "zip").alias("archives"),
-    )
+    """The plan's summary, over sources, archives and members that the tables stand for."""
+    rows = V.pack(spark, d)
+    odd = F.col("doc_id") % 17 == 0
+    found = rows.select("doc_id", F.col("logical_path").alias("relative_path"), F.col("file_type").alias("detected_type"), files.disposition(F.col("file_name"), F.when(odd, "unknown").otherwise(F.col("file_type"))).alias("disposition"), F.lit(None).cast("string").alias("error"))
+    sources = rows.where(~files.is_ignored(F.col("file_name")))
+    checked = _checked(spark, d).withColumns({"archive_path": F.col("archive").cast("string"), "failure": F.lit(None).cast("string")})
+    archives = members.archive_summaries(checked).withColumns({"archive_path": F.col("archive").cast("string"), "corrupt": F.lit(None).cast("string"), "issues": F.array().cast("array<string>")})
+    out = pack_plan.pack_summary(found, sources, archives, duplicates.all_groups(sources), classify.classify_sources(sources), pack_plan.pack_issues(found, archives, checked))
+    return out.withColumns(_as_text("files_by_detected_type", "classification_counts", "warnings_by_code"))
 
 
 # Dictionary cells and headers
@@ -351,15 +372,6 @@ def row_warnings(spark, d):
     return _of_target(spark, d, warnings=F.array_join("target.provenance.normalization_warnings", "|"))
 
 
-def _bars(counts: str) -> str:
-    """SQL for a map as text, of a query of (k, n)."""
-    return f"(SELECT coalesce(string_agg(k || '=' || n, '|' ORDER BY k), '') FROM ({counts}))"
-
-
-def _as_text(*maps: str) -> dict:
-    return {m: F.array_join(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|") for m in maps}
-
-
 @query(f"""WITH {V.DICT}, ok AS (SELECT * FROM dict WHERE {_OK}) SELECT count(*) AS physical_rows, count(*) FILTER (blank) AS blank_rows, count(*) FILTER (NOT blank) AS candidate_rows, count(*) FILTER ({_OK}) AS normalized_rows,
   count(*) FILTER (disposition = 'normalized_with_warnings') AS rows_with_warnings, count(*) FILTER (disposition = 'rejected') AS rejected_rows, count(DISTINCT target_row_id) FILTER ({_OK}) AS unique_ids,
   (SELECT count(*) FROM (SELECT target_row_id FROM ok GROUP BY 1 HAVING count(*) > 1)) AS duplicate_ids, {_bars("SELECT sub_domain AS k, count(*) AS n FROM ok GROUP BY 1")} AS counts_by_sub_domain,
@@ -403,38 +415,45 @@ def duplicate_rows(spark, d):
     return found.where("issue_code = 'DUPLICATE_PHYSICAL_ROW'").select("raw_value", F.size("rows").cast("bigint").alias("n"))
 
 
-# Column binding
+# Column binding: each order is a dictionary, its lines are the headers of its columns
+
 
-_SHEET = ["Field Name", "sub_domain", "Term  Name", "Sub-Domain", "Field Label", "Extra", "NOTES", "Data requirement ID", "Field_Name"]
+_CHOICES = ("Field Name", "sub_domain", "Term  Name", "Sub-Domain", "Field Label", "Extra", "NOTES", "Data requirement ID", "Field_Name", " ", "Data Requirement id")
+_FIELDS = [(f, i, dictionary.header_key(a)) for f, rule in dictionary.TEMPLATE["columns"].items() for i, a in enumerate(rule["aliases"])]
+_REQUIRED = [(c, dictionary.header_key(c)) for c in dictionary.TEMPLATE["required_source_columns"]]
+_values = lambda rows: ", ".join("(" + ", ".join(str(x) if isinstance(x, int) else f"'{x}'" for x in r) + ")" for r in rows)
+_BOUND = f"""line AS (SELECT l_orderkey AS dictionary, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount) AS pos, {V._pick_sql(_CHOICES, "l_partkey + l_suppkey")} AS header FROM lineitem),
+keyed AS (SELECT *, trim(regexp_replace(replace(lower(trim(header)), '_', ' '), '{_WS}', ' ', 'g')) AS key FROM line),
+last AS (SELECT dictionary, key, max_by(header, pos) AS header FROM keyed GROUP BY dictionary, key),
+alias(field, place, key) AS (VALUES {_values(_FIELDS)}), required(source_column, key) AS (VALUES {_values(_REQUIRED)}),
+found AS (SELECT dictionary, field, min_by(header, place) AS source_column, count(DISTINCT header) > 1 AS ambiguous FROM last JOIN alias USING (key) GROUP BY dictionary, field)"""
 
 
-def _bound():
-    return dictionary.bind_columns(dictionary.TEMPLATE, _SHEET)
+def _bound(spark, d):
+    t = V.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount")
+    order = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount")
+    headers = t.select(F.col("l_orderkey").alias("dictionary"), F.row_number().over(order).alias("pos"), V._pick(_CHOICES, F.col("l_partkey") + F.col("l_suppkey")).alias("header"))
+    return dictionary.bind_headers(headers, dictionary.TEMPLATE)
 
 
-@query("SELECT * FROM (VALUES ('expected_field', 'Field_Name'), ('requirement_id', 'Data requirement ID'), ('requirement_name', 'Term  Name'), ('sub_domain', 'Sub-Domain'), ('field_label', 'Field Label'), ('source_guidance', 'NOTES')) t(field, source_column)")
+@query(f"WITH {_BOUND} SELECT dictionary, field, source_column FROM found")
 def column_map(spark, d):
-    return spark.createDataFrame(sorted(_bound().fields.items()), "field string, source_column string")
+    return _bound(spark, d)["bound"].select("dictionary", "field", "source_column")
 
 
-@query("SELECT * FROM (VALUES ('Extra'), ('Field Name'), ('sub_domain')) t(source_column)")
+@query(f"WITH {_BOUND} SELECT dictionary, header AS source_column, count(*) AS n FROM line WHERE (dictionary, header) NOT IN (SELECT dictionary, source_column FROM found) GROUP BY 1, 2")
 def unused_columns(spark, d):
-    return spark.createDataFrame([(x,) for x in _bound().unused], "source_column string")
+    return _bound(spark, d)["unused"].groupBy("dictionary", F.col("header").alias("source_column")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT * FROM (VALUES ('sub_domain')) t(field)")
+@query(f"WITH {_BOUND} SELECT dictionary, field FROM found WHERE ambiguous")
 def ambiguous_mappings(spark, d):
-    return spark.createDataFrame([(x,) for x in _bound().ambiguous], "field string")
+    return _bound(spark, d)["bound"].where("ambiguous").select("dictionary", "field")
 
 
-@query("SELECT 'missing required columns: Sub-Domain, Field Label' AS error")
+@query(f"WITH {_BOUND} SELECT dictionary, source_column FROM (SELECT DISTINCT dictionary FROM line), required r WHERE NOT EXISTS (SELECT 1 FROM last WHERE last.dictionary = line.dictionary AND last.key = r.key)".replace("FROM (SELECT DISTINCT dictionary FROM line), required r", "FROM (SELECT DISTINCT dictionary FROM line) line, required r"))
 def missing_required(spark, d):
-    try:
-        dictionary.bind_columns(dictionary.TEMPLATE, ["Field Name", "Term Name"])
-        errors = []
-    except dictionary.MappingError as e:
-        errors = [(str(e),)]
-    return spark.createDataFrame(errors, "error string")
+    return _bound(spark, d)["missing"]
 
 
 # Archive members

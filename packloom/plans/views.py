@@ -12,6 +12,8 @@ WORDS = ("Maintenance", "schedule", "Certificate", "commissioning", "Drawing", "
 EXTENSIONS = (".pdf", ".xlsx", ".csv", ".zip", ".png", ".docx", ".txt")
 TYPES = ("pdf", "xlsx", "csv", "zip", "image", "zip", "text")
 PREFIXES = ("", "", "~$", "", "")
+#: So many documents have names of their own.
+NAMES = 90
 LABELS = ("Count", "Install Date", "Floor area", "Category", "Label", "Y / N flag", " \t ", "Update log")
 DEFINITIONS = ("Number of doors", "ISO 8601 stamp", "Rated capacity kW", "yes/no", "Class of asset", "Notes on operating rating", None, "", "Free text")
 GUIDANCE = ("e.g. Red, Green; Blue", "A / a", "See schedule and warranty list", None, "eg. one, two, two", "Rating in mm", "e.g. " + ", ".join(f"v{i}" for i in range(21)), "m2 plan; workbook", "", "E.g. x / y, x")
@@ -39,7 +41,8 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 def pack(spark: SparkSession, d: str) -> DataFrame:
     """Documents as registered sources."""
     t = table(spark, d, "documents").select("doc_id", "text", "lang", "source")
-    i = F.col("doc_id")
+    i = F.pmod(F.col("doc_id"), F.lit(NAMES))  # names repeat, and some of them in one folder
+    n = F.col("doc_id")
     name = F.concat(_pick(PREFIXES, F.floor(i / 3)), _pick(WORDS, i), F.lit("_"), i % 40, _pick(EXTENSIONS, i))
     rows = t.select(
         "doc_id",
@@ -48,16 +51,17 @@ def pack(spark: SparkSession, d: str) -> DataFrame:
         _pick(TYPES, i).alias("file_type"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("file_hash"),
         F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("size_bytes"),
-        F.when(i % 4 == 0, F.concat(F.lit("a"), i % 30)).alias("parent_archive_source_id"),
-        F.when(i % 4 == 0, F.concat(F.lit("m"), i % 50)).alias("archive_member_path"),
+        F.when(n % 4 == 0, F.concat(F.lit("a"), n % 30)).alias("parent_archive_source_id"),
+        F.when(n % 4 == 0, F.concat(F.lit("m"), n % 10)).alias("archive_member_path"),
     )
-    return rows.withColumn("source_id", ids.source_id("file_hash", "logical_path", F.col("parent_archive_source_id"), F.concat(F.coalesce("archive_member_path", F.lit("")), F.lit("#"), i)))
+    return rows.withColumn("source_id", ids.source_id("file_hash", "logical_path", F.col("parent_archive_source_id"), F.concat(F.coalesce("archive_member_path", F.lit("")), F.lit("#"), n)))
 
 
-PACK_NAME = f"{_pick_sql(PREFIXES, 'doc_id // 3')} || {_pick_sql(WORDS, 'doc_id')} || '_' || (doc_id % 40) || {_pick_sql(EXTENSIONS, 'doc_id')}"
+_I = f"(doc_id % {NAMES})"
+PACK_NAME = f"{_pick_sql(PREFIXES, f'{_I} // 3')} || {_pick_sql(WORDS, _I)} || '_' || ({_I} % 40) || {_pick_sql(EXTENSIONS, _I)}"
 PACK = f"""pack0 AS (SELECT doc_id, coalesce(source, '') || '/' || coalesce(lang, '') || '/' || {PACK_NAME} AS logical_path, {PACK_NAME} AS file_name,
-  {_pick_sql(TYPES, 'doc_id')} AS file_type, sha256(coalesce(text, '')) AS file_hash, strlen(coalesce(text, '')) AS size_bytes,
-  CASE WHEN doc_id % 4 = 0 THEN 'a' || (doc_id % 30) END AS parent_archive_source_id, CASE WHEN doc_id % 4 = 0 THEN 'm' || (doc_id % 50) END AS archive_member_path FROM documents),
+  {_pick_sql(TYPES, _I)} AS file_type, sha256(coalesce(text, '')) AS file_hash, strlen(coalesce(text, '')) AS size_bytes,
+  CASE WHEN doc_id % 4 = 0 THEN 'a' || (doc_id % 30) END AS parent_archive_source_id, CASE WHEN doc_id % 4 = 0 THEN 'm' || (doc_id % 10) END AS archive_member_path FROM documents),
 pack AS (SELECT *, 'src_' || substr(sha256(file_hash || '|' || logical_path || '|' || coalesce(parent_archive_source_id, '') || '|' || coalesce(archive_member_path, '') || '#' || doc_id), 1, 16) AS source_id FROM pack0)"""
 
 
