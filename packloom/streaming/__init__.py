@@ -1,5 +0,0 @@
-"""The same projections over streams.
-
-Classification, normalisation, sniffing and identifiers are Column expressions without shuffles: ``classify.label_of``,
-``dictionary.normalize_rows`` and ``files.file_type`` work on streaming DataFrames as they are.
-"""
