@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -11,8 +12,11 @@ from pyspark.sql import Window as W
 
 from packloom.functions import files, ids, text as T
 from packloom.operators import classify, contracts, dictionary, duplicates, members
+from packloom.plans import dictionaries, sinks
+from packloom.plans import fixtures as X
 from packloom.plans import pack as pack_plan
 from packloom.plans import views as V
+from packloom.sources.shared import remove_dir, scratch, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -616,3 +620,163 @@ def validation_pivot(spark, d):
         V._pick(_STATUS, F.col("toxic") + F.col("doc_id")).alias("status"),
     )
     return contracts.validation_wide(t)
+
+
+# Files: packs and dictionaries written from the tables, read and described by the engine
+
+
+@contextlib.contextmanager
+def _scratch(spark, kind):
+    folder = scratch(spark, kind)
+    try:
+        yield folder
+    finally:
+        remove_dir(folder)
+
+
+def _kept(df):
+    """A result that no longer reads the files that it was made of."""
+    return written(df, scratch(df.sparkSession, "result"))
+
+
+def _ingested(spark, d, write, take, **how):
+    with _scratch(spark, "pack") as folder:
+        write(spark, d, folder)
+        result = pack_plan.ingest_source_pack(spark, folder, **how)
+        out = _kept(take(result))
+        result.release()
+    return out
+
+
+_REGISTERED = f"""registered AS (SELECT *, CASE WHEN file_type = 'csv' THEN 'spreadsheet' WHEN file_type = 'zip' THEN 'archive' ELSE 'drawing set' END AS label, CASE WHEN file_type = 'pdf' THEN 1 + len(regexp_extract_all(substr(content, 21), '/Type ?/Page')) END AS pages FROM file WHERE NOT ignored)"""
+
+
+@query(f"WITH {X.DOCUMENT_FILES}, {_REGISTERED} SELECT source_id, logical_path, file_type, extension, file_hash, size_bytes, size_bytes AS bytes_read, CAST(pages AS INT) AS page_count, label AS classification, 'sha256:' || file_hash AS content_identity, 0 AS archive_depth FROM registered")
+def files_registered(spark, d):
+    names = ["source_id", "logical_path", "file_type", "extension", "file_hash", "size_bytes", "bytes_read", "page_count", "classification", "content_identity", "archive_depth"]
+    return _ingested(spark, d, X.write_document_pack, lambda r: r.registry.select(*names), limits=members.ArchiveLimits(max_depth=0))
+
+
+@query(f"WITH {X.DOCUMENT_FILES} SELECT logical_path AS relative_path, split_part(logical_path, '/', 2) AS file_name, extension, file_type AS detected_type, size_bytes, CASE WHEN ignored THEN 'ignored' ELSE 'registered' END AS disposition, ignored AS unhashed FROM file")
+def files_discovered(spark, d):
+    """Ignored files are listed, but neither hashed nor read to their end."""
+    names = ["relative_path", "file_name", "extension", "detected_type", "size_bytes", "disposition", F.col("sha256").isNull().alias("unhashed")]
+    return _ingested(spark, d, X.write_document_pack, lambda r: r.discovered.select(*names), limits=members.ArchiveLimits(max_depth=0))
+
+
+@query(f"WITH {X.DOCUMENT_FILES} SELECT extension, count(*) AS n FROM file GROUP BY extension")
+def inspected_extensions(spark, d):
+    with _scratch(spark, "pack") as folder:
+        X.write_document_pack(spark, d, folder)
+        return _kept(pack_plan.inspect_source_pack(spark, folder)["extensions"])
+
+
+@query(f"WITH {X.DOCUMENT_FILES}, {_REGISTERED} SELECT source_id, file_hash AS content_hash, logical_path, file_type, CAST(size_bytes AS VARCHAR) AS size_bytes, label AS classification FROM registered")
+def registry_artifact(spark, d):
+    """The registry as it was written to CSV and read back."""
+
+    def take(result):
+        paths = sinks.write_pack(result, result.root_path + "-out")
+        return spark.read.csv(paths["source_registry_csv"], header=True, escape='"', multiLine=True).select("source_id", "content_hash", "logical_path", "file_type", "size_bytes", "classification")
+
+    return _ingested(spark, d, X.write_document_pack, take, limits=members.ArchiveLimits(max_depth=0))
+
+
+@query(f"WITH {X.DOCUMENT_FILES}, {_REGISTERED} SELECT logical_path AS relative_path, size_bytes AS file_size, file_type AS detected_type, CASE WHEN ignored THEN 'ignored' WHEN file_type = 'csv' OR file_type = 'pdf' THEN 'told' ELSE 'registered' END AS status, true AS timed FROM file")
+def file_times(spark, d):
+    """Each file's times: none is negative, the total is their sum, and files that were hashed have some."""
+    parts = [F.col(c) for c in ("file_type_detection_ms", "hashing_duration_ms", "metadata_inspection_ms", "classification_ms", "archive_duration_ms")]
+    total = sum(parts, F.lit(0.0))
+    sound = F.forall(F.array(*parts), lambda x: x >= 0) & (F.abs(total - F.col("total_duration_ms")) < 1e-6) & (total > 0)
+    status = F.when(F.col("detected_type").isin("csv", "pdf") & (F.col("status") != "ignored"), "told").otherwise(F.col("status"))
+    return _ingested(spark, d, X.write_document_pack, lambda r: r.file_timings.select("relative_path", "file_size", "detected_type", status.alias("status"), sound.alias("timed")), limits=members.ArchiveLimits(max_depth=0))
+
+
+@query(f"WITH {X.ARCHIVE_MEMBERS} SELECT archive_path || '!/' || path AS logical_path, path AS archive_member_path, size AS size_bytes, sha256(content) AS file_hash, CASE WHEN a = 0 THEN 2 ELSE 1 END AS archive_depth FROM member WHERE good")
+def members_registered(spark, d):
+    """Members of archives, and of one within another."""
+    take = lambda r: r.registry.where("archive_depth > 0 AND file_type <> 'zip'").select("logical_path", "archive_member_path", "size_bytes", "file_hash", "archive_depth")
+    return _ingested(spark, d, X.write_archive_pack, take)
+
+
+@query(f"WITH {X.ARCHIVE_MEMBERS} SELECT archive_path, count(*) AS member_count, count(*) FILTER (good) AS extracted_count, count(*) FILTER (NOT good) AS rejected_count, 0 AS ignored_count, CAST(coalesce(sum(size) FILTER (good), 0) AS BIGINT) AS total_uncompressed_bytes FROM member GROUP BY archive_path")
+def archive_counters(spark, d):
+    names = ["archive_path", "member_count", "extracted_count", "rejected_count", "ignored_count", "total_uncompressed_bytes"]
+    return _ingested(spark, d, X.write_archive_pack, lambda r: r.archives.where("archive_path <> 'a0.zip'").select(*names))
+
+
+@query(f"WITH {X.ARCHIVE_MEMBERS} SELECT 'ARCHIVE_ABSOLUTE_PATH' AS issue_code, 'error' AS severity, archive_path AS source_path, path AS archive_member_path FROM member WHERE NOT good")
+def issues_artifact(spark, d):
+    """The issues as they were written to CSV and read back."""
+
+    def take(result):
+        paths = sinks.write_pack(result, result.root_path + "-out")
+        return spark.read.csv(paths["ingestion_issues_csv"], header=True, escape='"').select("issue_code", "severity", "source_path", "archive_member_path")
+
+    return _ingested(spark, d, X.write_archive_pack, take)
+
+
+def _dictionary_file(spark, d, write, name, take):
+    with _scratch(spark, "dictionary") as folder:
+        write(f"{folder}/{name}")
+        result = dictionaries.ingest_dictionary(spark, f"{folder}/{name}")
+        out = _kept(take(result, folder))
+        result.release()
+    return out
+
+
+def _dict_of(source: str) -> str:
+    """The view's rows as those of a file, which begin in its second row."""
+    return V.DICT.replace("extraction_template|part|", f"extraction_template|{source}|").replace("CAST(p_partkey + 1 AS INT)", "CAST(p_partkey + 2 AS INT)")
+
+
+_SPEC = "target_row_id, rid AS requirement_id, sub_domain, expected_field, kind AS expected_data_type, cardinality, unit, row_number AS source_row"
+
+
+@query(f"WITH {_dict_of('parts.csv')} SELECT {_SPEC} FROM dict WHERE {_OK}")
+def csv_dictionary_targets(spark, d):
+    names = ["target_row_id", "requirement_id", "sub_domain", "expected_field", "expected_data_type", "cardinality", "unit", F.col("provenance.row_number").alias("source_row")]
+    return _dictionary_file(spark, d, lambda p: X.write_dictionary_csv(spark, d, p), "parts.csv", lambda r, _: r.targets.select(*names))
+
+
+@query(f"WITH {_dict_of('Parts')} SELECT {_SPEC} FROM dict WHERE {_OK}")
+def xlsx_dictionary_targets(spark, d):
+    names = ["target_row_id", "requirement_id", "sub_domain", "expected_field", "expected_data_type", "cardinality", "unit", F.col("provenance.row_number").alias("source_row")]
+    return _dictionary_file(spark, d, lambda p: X.write_dictionary_xlsx(spark, d, p, "Parts"), "parts.xlsx", lambda r, _: r.targets.select(*names))
+
+
+@query(f"WITH {_dict_of('Parts')} SELECT target_row_id, rid AS requirement_id, sub_domain, expected_field, CAST(row_number AS VARCHAR) AS source_row, array_to_string(evidence, '|') AS likely_evidence_types, nullif(array_to_string(warned, '|'), '') AS warning_codes FROM dict WHERE {_OK}")
+def targets_artifact(spark, d):
+    """The targets as they were written to CSV and read back."""
+
+    def take(result, folder):
+        paths = sinks.write_dictionary(result, f"{folder}/out")
+        return spark.read.csv(paths["normalized_targets_csv"], header=True, escape='"').select("target_row_id", "requirement_id", "sub_domain", "expected_field", "source_row", "likely_evidence_types", "warning_codes")
+
+    return _dictionary_file(spark, d, lambda p: X.write_dictionary_xlsx(spark, d, p, "Parts"), "parts.xlsx", take)
+
+
+@query(f"WITH {V.DICT} SELECT i AS issue_code, count(*) AS n FROM (SELECT unnest(CASE WHEN blank THEN [] WHEN broken THEN (CASE WHEN expected_field = '' THEN ['BLANK_MANDATORY_COLUMN'] ELSE [] END) || (CASE WHEN sub_domain = '' THEN ['BLANK_MANDATORY_COLUMN'] ELSE [] END) || (CASE WHEN requirement_name = '' AND definition = '' THEN ['MISSING_DESCRIPTIVE_FIELD'] ELSE [] END) ELSE warned || (CASE WHEN clash THEN ['TARGET_SPEC_VALIDATION_FAILED'] ELSE [] END) END) AS i FROM dict) GROUP BY i")
+def dictionary_issues_artifact(spark, d):
+    def take(result, folder):
+        paths = sinks.write_dictionary(result, f"{folder}/out")
+        return dictionary.histogram(spark.read.csv(paths["validation_issues_csv"], header=True, escape='"').where("suggested_action IS NOT NULL"), "issue_code", "issue_code")
+
+    return _dictionary_file(spark, d, lambda p: X.write_dictionary_csv(spark, d, p), "parts.csv", take)
+
+
+@query(f"WITH {V.DICT} SELECT 'parts.csv' AS source_name, count(*) AS physical_rows, count(*) FILTER (blank) AS blank_rows FROM dict")
+def inspected_dictionary(spark, d):
+    with _scratch(spark, "dictionary") as folder:
+        X.write_dictionary_csv(spark, d, f"{folder}/parts.csv")
+        got = dictionaries.inspect_dictionary(spark, f"{folder}/parts.csv")
+    return spark.createDataFrame([(got["source_name"], got["physical_rows"], got["blank_rows"])], "source_name string, physical_rows long, blank_rows long")
+
+
+@query(f"WITH {V.DICT} SELECT row_number, array_to_string(list_filter([CASE WHEN expected_field <> '' THEN 'Field Name' END, CASE WHEN sub_domain <> '' THEN 'Sub-Domain' END, CASE WHEN example IS NOT NULL THEN 'Example=' || example END], lambda x: x IS NOT NULL), '|') AS cells FROM dict WHERE {_OK}")
+def raw_cells(spark, d):
+    """Non-blank cells that a target remembers."""
+    cells = F.col("target.provenance.raw_value_provenance")
+    has = lambda c: F.when(F.try_element_at(cells, F.lit(c)).isNotNull(), F.lit(c))
+    shown = F.array_compact(F.array(has("Field Name"), has("Sub-Domain"), F.concat(F.lit("Example="), F.try_element_at(cells, F.lit("Example")))))
+    return _of_target(spark, d, cells=F.array_join(shown, "|"))

@@ -65,6 +65,9 @@ PACK = f"""pack0 AS (SELECT doc_id, coalesce(source, '') || '/' || coalesce(lang
 pack AS (SELECT *, 'src_' || substr(sha256(file_hash || '|' || logical_path || '|' || coalesce(parent_archive_source_id, '') || '|' || coalesce(archive_member_path, '') || '#' || doc_id), 1, 16) AS source_id FROM pack0)"""
 
 
+DICTIONARY_COLUMNS = ("Field Name", "Data Requirement id", "Term Name", "Sub-Domain", "Field Label", "Business Definition", "Notes", "Multiple Records Possible (Y/N)", "Example")
+
+
 def dictionary(spark: SparkSession, d: str) -> DataFrame:
     """Parts as rows of an extraction template: row_number and cells."""
     t = table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_brand")
