@@ -7,8 +7,8 @@ from abc import ABC, abstractmethod
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from packloom.functions.text import strip
-from packloom.operators.schemas import DOMAINS, VALIDATION_CHECKS
+from packloom.functions.text import casefold, strip
+from packloom.operators.schemas import CANDIDATE, DOMAINS, VALIDATION_CHECKS
 
 
 def violations(df: DataFrame, key: str, checks: dict[str, Column]) -> DataFrame:
@@ -87,13 +87,74 @@ def cost_per_accepted(cost: Column, accepted: Column) -> Column:
     return F.try_divide(cost, F.nullif(accepted, F.lit(0)).cast("decimal(20,0)"))
 
 
+def retrieval_totals(operations: DataFrame, *by: str) -> DataFrame:
+    """Retrieval operations, candidates and selected items, summed."""
+    return operations.groupBy(*by).agg(F.count(F.lit(1)).alias("operations"), F.sum("candidate_count").alias("candidate_count"), F.sum("selected_count").alias("selected_count"))
+
+
+def _distinct_values(x: Column) -> Column:
+    """Whether no two values differ in case alone."""
+    return F.size(F.array_distinct(F.transform(x, casefold))) == F.size(x)
+
+
+def _least(x: Column, n: int) -> Column:
+    return x.isNull() | (x >= n)
+
+
+#: What holds for the rows of each kind of record, by name; checks take the record's columns.
+RECORD_CHECKS = {
+    "source": {
+        **{c: (lambda c: lambda: not_blank(F.col(c)))(c) for c in ("source_id", "original_path", "logical_path", "file_hash")},
+        "file_type": lambda: in_domain(F.col("file_type"), "file_type"),
+        "extraction_status": lambda: in_domain(F.col("extraction_status"), "extraction_status"),
+        "size_bytes": lambda: F.col("size_bytes") >= 0,
+        "page_count": lambda: _least(F.col("page_count"), 0),
+        "archive_depth": lambda: F.col("archive_depth") >= 0,
+    },
+    "target": {
+        **{c: (lambda c: lambda: not_blank(F.col(c)))(c) for c in ("target_row_id", "requirement_id", "sub_domain", "requirement_text", "expected_field")},
+        "expected_data_type": lambda: in_domain(F.col("expected_data_type"), "expected_data_type"),
+        "cardinality": lambda: in_domain(F.col("cardinality"), "cardinality"),
+        "accepted_values": lambda: _distinct_values(F.col("accepted_values")),
+        "likely_evidence_types": lambda: F.forall("likely_evidence_types", lambda e: in_domain(e, "evidence_type")),
+    },
+    "classification": {
+        **{c: (lambda c: lambda: not_blank(F.col(c)))(c) for c in ("classification_id", "subject_id", "primary_label", "rationale")},
+        "classification_stage": lambda: in_domain(F.col("classification_stage"), "classification_stage"),
+        "subject_type": lambda: in_domain(F.col("subject_type"), "subject_type"),
+        "method_type": lambda: in_domain(F.col("method_type"), "method_type"),
+        "confidence": lambda: between_0_and_1(F.col("confidence")),
+        "alternative_labels": lambda: F.forall("alternative_labels", lambda a: between_0_and_1(a["confidence"])),
+    },
+    "candidate": {
+        **{c: (lambda c: lambda: not_blank(F.col(c)))(c) for c in ("target_row_id", "requirement_id", "capability_id")},
+        "confidence": lambda: between_0_and_1(F.col("confidence")),
+    },
+    "index_node": {"node_id": lambda: not_blank(F.col("node_id")), "node_type": lambda: in_domain(F.col("node_type"), "node_type")},
+    "model_call": {c: (lambda c: lambda: F.col(c) >= 0)(c) for c in ("input_tokens", "output_tokens", "cached_tokens")},
+    "retrieval": {c: (lambda c: lambda: F.col(c) >= 0)(c) for c in ("candidate_count", "selected_count")},
+    "stage_timing": {"duration_ms": lambda: F.col("duration_ms") >= 0},
+}
+
+
+def record_violations(df: DataFrame, key: str, record: str) -> DataFrame:
+    """(key, check) for each check of a kind of record that a row breaks."""
+    return violations(df, key, {name: check() for name, check in RECORD_CHECKS[record].items()})
+
+
 class Capability(ABC):
     """An extraction capability: it maps evidence bundles to candidate values, both as DataFrames."""
 
-    name: str
+    capability_id: str
     version: str
-    supported_types: frozenset[str] = frozenset()
+    supported_evidence_types: frozenset[str] = frozenset()
+    supported_field_semantics: frozenset[str] = frozenset()
+    input_requirements: frozenset[str] = frozenset()
+    output_schema: str = CANDIDATE
+    confidence_approach: str = ""
+    rejection_rules: tuple[str, ...] = ()
+    validation_requirements: tuple[str, ...] = ()
 
     @abstractmethod
-    def apply(self, bundles: DataFrame) -> DataFrame:
-        """Candidates (target_row_id, value_type, value_json, confidence) of ``bundles``."""
+    def extract(self, bundles: DataFrame) -> DataFrame:
+        """Candidates of ``bundles``, in the columns of ``output_schema`` or some of them."""

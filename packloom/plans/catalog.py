@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from packloom.functions import files, ids, text as T
-from packloom.operators import classify, contracts, dictionary, duplicates, members
+from packloom.operators import classify, contracts, dictionary, duplicates, members, timings
 from packloom.plans import dictionaries, sinks
 from packloom.plans import fixtures as X
 from packloom.plans import pack as pack_plan
@@ -559,7 +559,8 @@ def cost_per_accepted(spark, d):
 
 @query("SELECT event_type AS stage, CAST(sum(CAST(floor(coalesce(value, 0) * 100) AS BIGINT)) AS BIGINT) AS ticks, count(*) AS n FROM events GROUP BY event_type")
 def stage_times(spark, d):
-    return V.table(spark, d, "events").groupBy(F.col("event_type").alias("stage")).agg(F.sum(F.floor(F.coalesce("value", F.lit(0.0)) * 100)).alias("ticks"), F.count(F.lit(1)).alias("n"))
+    t = V.table(spark, d, "events").select(F.col("event_type").alias("stage"), F.floor(F.coalesce("value", F.lit(0.0)) * 100).alias("duration_ms"))
+    return timings.stage_totals(t).withColumnRenamed("duration_ms", "ticks")
 
 
 # Expectations
@@ -598,6 +599,29 @@ def domain_violations(spark, d):
     return dictionary.histogram(t.where(~contracts.in_domain(F.col("status"), "validation_status")), "status", "status")
 
 
+@query(f"""WITH {V.PACK}, s AS (SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN ' ' ELSE source_id END AS source_id, CASE WHEN doc_id % 17 = 0 THEN 'tar' ELSE file_type END AS file_type, CASE WHEN doc_id % 19 = 0 THEN -1 ELSE size_bytes END AS size_bytes FROM pack)
+SELECT doc_id AS "key", unnest((CASE WHEN trim(source_id) = '' THEN ['source_id'] ELSE [] END) || (CASE WHEN file_type = 'tar' THEN ['file_type'] ELSE [] END) || (CASE WHEN size_bytes < 0 THEN ['size_bytes'] ELSE [] END)) AS "check" FROM s""")
+def source_record_violations(spark, d):
+    i = F.col("doc_id")
+    rows = V.pack(spark, d).withColumns({"source_id": F.when(i % 13 == 0, " ").otherwise(F.col("source_id")), "file_type": F.when(i % 17 == 0, "tar").otherwise(F.col("file_type")), "size_bytes": F.when(i % 19 == 0, -1).otherwise(F.col("size_bytes"))})
+    rows = rows.withColumns({"original_path": F.col("logical_path"), "extraction_status": F.lit("registered"), "page_count": F.lit(None).cast("int"), "archive_depth": F.lit(0)})
+    return contracts.record_violations(rows, "doc_id", "source")
+
+
+@query(f"WITH {V.DICT} SELECT row_number AS \"key\", 'sub_domain' AS \"check\" FROM dict WHERE {_OK} AND row_number % 10 = 0 UNION ALL SELECT row_number, 'accepted_values' FROM dict WHERE {_OK} AND row_number % 11 = 0 AND len(accepted) > 0")
+def target_record_violations(spark, d):
+    rows = _results(spark, d).where(dictionary.NORMALIZED).select("row_number", "target.*")
+    twice = F.concat("accepted_values", F.transform("accepted_values", F.upper))
+    rows = rows.withColumns({"sub_domain": F.when(F.col("row_number") % 10 == 0, "").otherwise(F.col("sub_domain")), "accepted_values": F.when(F.col("row_number") % 11 == 0, twice).otherwise(F.col("accepted_values"))})
+    return contracts.record_violations(rows, "row_number", "target")
+
+
+@query(f"WITH {V.CALLS} SELECT model_name AS strategy, count(*) AS operations, CAST(sum(input_tokens) AS BIGINT) AS candidate_count, CAST(sum(output_tokens) AS BIGINT) AS selected_count FROM calls GROUP BY model_name")
+def retrieval_totals(spark, d):
+    rows = V.calls(spark, d).select(F.col("model_name").alias("strategy"), F.col("input_tokens").alias("candidate_count"), F.col("output_tokens").alias("selected_count"))
+    return contracts.retrieval_totals(rows, "strategy")
+
+
 # Bundles and validations
 
 

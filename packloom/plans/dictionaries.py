@@ -85,6 +85,8 @@ def inspect_dictionary(spark: SparkSession, path: str, sheet: str | None = None,
     rows = keyed_rows(raw, unique_names(headers), header_row)
     n = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(D.blank_row(F.col("cells"))).alias("b")).first()
     cells = rows.select(F.explode(F.arrays_zip(F.map_keys("cells").alias("column"), F.map_values("cells").alias("value"), F.map_values("types").alias("type"))).alias("c")).select("c.*")
+    mixed = {r["column"]: r.types for r in D.mixed_types(cells).collect()}
+    raw.unpersist()
     return {
         "source_name": source,
         "sheet_names": sheets_of(path),
@@ -93,7 +95,7 @@ def inspect_dictionary(spark: SparkSession, path: str, sheet: str | None = None,
         "blank_rows": n.b,
         "non_target_rows": n.b,
         "duplicate_or_blank_columns": sorted({h for h in headers if h == "" or headers.count(h) > 1}),
-        "mixed_type_columns": {r["column"]: r.types for r in D.mixed_types(cells).collect()},
+        "mixed_type_columns": mixed,
     }
 
 

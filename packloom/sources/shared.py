@@ -66,7 +66,17 @@ def remove_dir(uri: str) -> None:
         where.delete_dir(path)
 
 
+#: Shuffle files go as soon as the write that needed them has ended.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, folder: str) -> DataFrame:
     """``df`` computed once, as a table written to ``folder``: later steps survive the loss of executors, start from a short plan and know the table's size."""
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    spark = df.sparkSession
+    before = spark.conf.get(CLEAN, "false")
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.set(CLEAN, before)
+    return spark.read.schema(df.schema).parquet(folder)

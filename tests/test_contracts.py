@@ -93,12 +93,14 @@ def test_capability(spark):
     """A capability maps bundles to candidates; one without that can't be made."""
 
     class Echo(contracts.Capability):
-        name, version, supported_types = "echo", "1", frozenset({"text"})
+        capability_id, version, supported_evidence_types = "echo", "1", frozenset({"text"})
 
-        def apply(self, bundles):
-            return bundles.select("target_row_id", F.lit("string").alias("value_type"), F.to_json("units").alias("value_json"), F.lit(1.0).alias("confidence"))
+        def extract(self, bundles):
+            return bundles.select("target_row_id", F.lit(self.capability_id).alias("capability_id"), F.to_json("units").alias("candidate_value"), F.lit(1.0).alias("confidence"))
 
     bundles = contracts.bundles(spark.createDataFrame([("t", 2, "b"), ("t", 1, "a")], "target_row_id string, pos int, text string"), "target_row_id", "pos", ["text"])
-    assert [json.loads(r.value_json) for r in Echo().apply(bundles).collect()] == [[{"pos": 1, "text": "a"}, {"pos": 2, "text": "b"}]]
+    got = Echo().extract(bundles)
+    assert [json.loads(r.candidate_value) for r in got.collect()] == [[{"pos": 1, "text": "a"}, {"pos": 2, "text": "b"}]]
+    assert unknown_columns(got.columns, schemas.fields(Echo.output_schema).names) == []
     with pytest.raises(TypeError):
         contracts.Capability()
