@@ -42,6 +42,17 @@ def column(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets if len(offsets) else np.zeros(1, np.int64)
 
 
+def slices(batch: pa.RecordBatch, name: str, rows: int, size: int):
+    """A batch in slices of at most so many rows and so many bytes of a string column; a longer text is a slice of its own."""
+    _, offsets = column(batch.column(name))
+    at = 0
+    while at < batch.num_rows:
+        to = int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1
+        to = min(max(to, at + 1), at + rows, batch.num_rows)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words in data[lo:hi]; lo and hi don't lie within a word."""
     on = ~_SPACE[data[lo:hi]]

@@ -26,6 +26,8 @@ from packloom.llm._store import fresh
 from packloom.ship import ship
 
 WORDS = 5
+#: Rows and bytes of text searched at once.
+BATCH = 2000, 8 << 20
 PERCENT = 75
 _MASK = np.uint64((1 << 20) - 1)
 
@@ -124,8 +126,7 @@ def leak_pairs(docs: DataFrame, items: DataFrame, k: int = WORDS, percent: int =
         def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             found = index.value
             for whole in batches:
-                for at in range(0, whole.num_rows, 2000):
-                    batch = whole.slice(at, 2000)
+                for batch in _text.slices(whole, "text", *BATCH):
                     w, bounds = _text.word_hashes(batch.column("text"), lower=True)
                     hashes, rows = windows(w, bounds, k)
                     order = np.argsort(rows, kind="stable") if np.any(np.diff(rows) < 0) else None

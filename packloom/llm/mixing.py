@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from packloom.llm._order import running
-from packloom.llm._store import cut, keyed, table
+from packloom.llm._store import alone, cut, keyed, table
 from packloom.llm.quality import words
 
 WEIGHTS = (5, 2, 1)
@@ -142,6 +142,7 @@ def _draws(m: dict[str, DataFrame]) -> DataFrame:
     return m["pieces"].join(draws, ["src", "block"])
 
 
+@alone
 def mix_shares(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken (words that the mix takes, repeats counted) and first_shard (null: none) of every row.
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packloom.llm import _text
-from packloom.llm._store import cut, fresh
+from packloom.llm._store import alone, cut, fresh
 from packloom.llm.graph import components
 
 WORDS = 5
@@ -36,6 +36,10 @@ AGREE = 73
 #: Bits of the parity sketch: bit k tells whether an odd number of shingles hash to k.
 PARITY = 2048
 BLOCK = 1024
+#: Elements whose permutations are held at once.
+WALKERS = 1 << 18
+#: Rows and bytes of text signed or compared at once.
+BATCH = 256, 4 << 20
 #: Rows of blocks compared at once, and more until their group ends.
 GROUP_ROWS = 20_000
 SIGNED = "doc_id long, n_shingles long, seq_a long, seq_b long, bands array<long>, sketch binary"
@@ -45,7 +49,13 @@ _U = np.uint64
 def super_minhash(elements: np.ndarray, owner: np.ndarray, n_owners: int, m: int = M) -> np.ndarray:
     """Signatures (n_owners x m) of sets of 64-bit elements; a value is level << 32 | fraction. Owners without elements keep the largest value."""
     sig = np.full(n_owners * m, ~_U(0))
-    live, who, perm = elements, owner, None
+    for a in range(0, len(elements), WALKERS):  # a set's signature is the least of its parts'
+        _walk(sig, elements[a : a + WALKERS], owner[a : a + WALKERS], m)
+    return sig.reshape(n_owners, m)
+
+
+def _walk(sig: np.ndarray, live: np.ndarray, who: np.ndarray, m: int) -> None:
+    perm = None
     for j in range(m):
         if not len(live):
             break
@@ -59,7 +69,7 @@ def super_minhash(elements: np.ndarray, owner: np.ndarray, n_owners: int, m: int
             slot = perm[i, k].astype(np.int64)
             perm[i, k] = perm[:, j]
         np.minimum.at(sig, who * m + slot, (_U(j) << _U(32)) | (x >> _U(32)))
-        done = sig.reshape(n_owners, m).max(1) < (_U(j + 1) << _U(32))
+        done = sig.reshape(-1, m).max(1) < (_U(j + 1) << _U(32))
         stay = ~done[who]
         if perm is None:
             live, who, k = live[stay], who[stay], k[stay]
@@ -67,7 +77,6 @@ def super_minhash(elements: np.ndarray, owner: np.ndarray, n_owners: int, m: int
             perm[np.arange(len(live)), k] = 0
         elif not stay.all():
             live, who, perm = live[stay], who[stay], perm[stay]
-    return sig.reshape(n_owners, m)
 
 
 def parity(sets: list[np.ndarray]) -> np.ndarray:
@@ -91,8 +100,7 @@ def most_odd(both: np.ndarray) -> np.ndarray:
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     salt = _text.mix(np.arange(1, BANDS + 1, dtype=np.uint64))
     for whole in batches:
-        for at in range(0, whole.num_rows, 256):
-            batch = whole.slice(at, 256)
+        for batch in _text.slices(whole, "text", *BATCH):
             words = _text.Words(batch.column("text"), lower=True)
             sets = _text.shingles(words.w, words.bounds, WORDS)
             sizes = np.array([len(s) for s in sets], np.int64)
@@ -140,8 +148,7 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            for batch in _text.slices(whole, "text_u", *BATCH):  # similar texts are of similar lengths
                 yield batch.select(["u", "v"]).filter(pa.array(similar(batch.column("text_u"), batch.column("text_v")), pa.bool_()))
 
     v = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
@@ -268,12 +275,13 @@ def _candidates(members: DataFrame, known: DataFrame, comp: DataFrame, closest:
     return dealt.mapInArrow(compare, "u long, v long").distinct()
 
 
+@alone
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Every row's doc_id, n_shingles, component_id (the smallest doc_id that links reach, itself included) and kept (doc_id = component_id).
 
     Links have 100 * intersection >= 75 * union of distinct 5-word shingles (words outside ASCII white space, A-Z lower-cased; fewer
     words: one shingle of all). Texts without words are linked with nothing. Rows of one doc_id are one node. A row with a null doc_id
-    is linked with nothing: its component_id is null and it is kept. Very long texts are signed and compared whole, some 30 bytes of memory a byte. An empty table gives no rows; other columns don't matter.
+    is linked with nothing: its component_id is null and it is kept. Very long texts are signed and compared whole, some 20 bytes of memory a byte. An empty table gives no rows; other columns don't matter.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = cut(docs.mapInArrow(_sign, SIGNED))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from packloom.llm._store import cut, keyed
+from packloom.llm._store import alone, cut, keyed
 
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -65,6 +65,7 @@ def removed_lines(measured: DataFrame, min_docs: int = MIN_DOCS, percent: int =
     return cut(often.join(hosts, "host").where(100 * F.col("docs") > percent * F.col("host_docs")).select("line"))
 
 
+@alone
 def judge_quality(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and kept of every row.
 

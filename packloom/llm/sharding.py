@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from packloom.llm._order import ranked
-from packloom.llm._store import cut
+from packloom.llm._store import alone, cut
 
 SHARDS = 40
 BINS = 4096
@@ -155,6 +155,7 @@ def minimax_shards(rows: DataFrame, group: list[str], within: list[str], size: s
     return placed.withColumn("slot", F.col("__pos") - base).drop("__pos", "__before"), capacity
 
 
+@alone
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size (UTF-8 bytes of the text and 16), text_crc32, law (``bytes``), shard, slot and grown_shard (null) of every row.
 

@@ -26,14 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packloom.llm import _text
-from packloom.llm._store import cut, remove_dir, table, tidy
+from packloom.llm._store import alone, cut, table
 from packloom.ship import ship
 
 SPAN = 20
 ANCHOR = 6
 #: Bytes kept of a window's hash; windows are only compared under one 64-bit anchor.
 HASH_BYTES = 7
-BATCH_DOCS = 1500
+#: Documents and bytes of text cut up at once.
+BATCH = 1500, 6 << 20
 #: One document of so many is looked at for hot anchors; those with at least so many windows among them are, but for more than so many anchors in all.
 SAMPLE, HOT_ROWS, HOT_ANCHORS = 32, 512, 65_536
 #: Pieces read at once, and more until the anchor changes.
@@ -208,7 +209,7 @@ def hot_anchors(docs: DataFrame, span: int, seed: int, sample: int = SAMPLE, row
     """Hashes of anchors that many windows of a sample of the documents have, sorted. They only decide how rows are dealt out."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (x for whole in batches for x in _text.slices(whole, "text", *BATCH)):
             if (found := _split(_text.Words(batch.column("text"), lower=False), span, seed)) is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(found[5].view(np.int64)), pa.array(found[4])], names=["key", "n"])
 
@@ -228,8 +229,8 @@ def segments(docs: DataFrame, span: int = SPAN, seed: int = 0, sample: int = SAM
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, BATCH_DOCS):
-                if (out := _pieces(whole.slice(at, BATCH_DOCS), span, seed, hot.value)) is not None:
+            for batch in _text.slices(whole, "text", *BATCH):
+                if (out := _pieces(batch, span, seed, hot.value)) is not None:
                     yield out
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,6 +305,16 @@ def _apply(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([ids, *cols, pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), marks)], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "seen"])
 
 
+def _checked(docs: DataFrame, span: int, seed: int, with_text: bool, sample: int, hot_rows: int) -> DataFrame:
+    """The result under one seed, with the digests that tell whether it holds."""
+    found = table(segments(docs, span, seed, sample, hot_rows), "segments")[0]
+    by_row = spans(found, span).groupBy("doc", "th").agg(F.collect_list(F.struct("path", "begin", "end", "first")).alias("spans"))
+    rows = _keyed(docs).join(by_row, ["doc", "th"], "left").select("doc_id", "text", "spans")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept_text string, seen array<struct<path:long,first:boolean,a:long,b:long>>"
+    return rows.mapInArrow(lambda b: _apply(b, with_text), schema)
+
+
 def cut_repeats(docs: DataFrame, span: int = SPAN, with_text: bool = True, sample: int = SAMPLE, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``doc_id``, n_words, n_removed, kept_sha256 and (``with_text``) kept_text of every row once the repeated spans are cut.
 
@@ -311,18 +322,9 @@ def cut_repeats(docs: DataFrame, span: int = SPAN, with_text: bool = True, sampl
     nothing. Rows of equal doc_id and text don't make each other go. Very long texts are cut up whole, some 200 bytes of memory a word. An empty table
     gives no rows; other columns don't matter.
     """
-    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     for seed in range(ATTEMPTS):
-        found, folder = table(segments(docs, span, seed, sample, hot_rows), "segments")
-        tidy(spark)
-        by_row = spans(found, span).groupBy("doc", "th").agg(F.collect_list(F.struct("path", "begin", "end", "first")).alias("spans"))
-        rows = _keyed(docs).join(by_row, ["doc", "th"], "left").select("doc_id", "text", "spans")
-        schema = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept_text string, seen array<struct<path:long,first:boolean,a:long,b:long>>"
-        out, kept = table(rows.mapInArrow(lambda b: _apply(b, with_text), schema), "cut")
-        remove_dir(folder)
+        out = alone(_checked)(docs, span, seed, with_text, sample, hot_rows)
         seen = out.select(F.explode("seen").alias("s")).select("s.path", "s.first", F.struct("s.a", "s.b").alias("d"))
         if seen.groupBy("path").agg(F.min("d").alias("x"), F.max("d").alias("y"), F.max("first").alias("f")).where("x <> y OR NOT f").isEmpty():
-            tidy(spark)
             return out.drop("seen") if with_text else out.drop("seen", "kept_text")
-        remove_dir(kept)
     raise RuntimeError("equal hashes of different windows under each of several seeds")

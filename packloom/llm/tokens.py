@@ -32,7 +32,9 @@ BLOCK = 1 << 20
 CHECKPOINT = 1 << 19
 SEGMENT = 1 << 21
 END_ID = 0
-CACHE_PIECES = 2_000_000
+CACHE_PIECES = 1_000_000
+#: Rows and bytes of text encoded at once.
+BATCH = 256, 4 << 20
 #: New pieces that the tokenizer gets at once.
 LINES = 512
 _U = np.uint64
@@ -427,8 +429,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str) -> DataFrame:
                 x.clear()
 
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            for batch in _text.slices(whole, "text", *BATCH):
                 i, n = encoder.encode(batch.column("text"))
                 ids.append(i)
                 lengths.append(n)

@@ -90,6 +90,22 @@ def test_word_hashes_match_words():
     assert len(set(seen.values())) == len(seen)
 
 
+def test_only_results_stay(spark, docs):
+    """The tables that a result was made of are deleted, and in a scope of ``freed`` the result's, too."""
+    import os
+
+    from packloom.llm._store import freed, shared_dir
+
+    here = lambda: {f for f in os.listdir(shared_dir(spark)) if "-" in f and not f.startswith("tokens")}
+    before = here()
+    out = substring.cut_repeats(docs.where("doc_id < 20"), with_text=False)
+    assert len(here() - before) == 1 and out.count() > 0
+    with freed():
+        assert neardup.near_duplicates(docs.where("doc_id < 20")).count() > 0
+        assert len(here() - before) == 2
+    assert len(here() - before) == 1
+
+
 # 1
 
 PAGES = [(1, "http://a/1", "x" * 1200), (2, "http://a/2", "x" * 1200), (3, None, "x" * 1200), (4, "u\r\nX: y", None), (5, "é", ""), (6, "b", "small"), (7, "b", "small"), (8, "c", "é" * 70_000), (None, "n", "x" * 1200), (2, "http://a/2", "x" * 1200)]
@@ -608,6 +624,21 @@ def test_super_minhash():
     assert abs((both[0] == both[1]).mean() - 0.5) < 0.12
 
 
+def test_slices_are_bounded():
+    texts = ["a" * n for n in (5, 0, 30, 3, 3, 3, 100, 1)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(texts)], names=["i", "text"])
+    got = [x.column("i").to_pylist() for x in _text.slices(batch.slice(1), "text", 3, 10)]
+    assert got == [[1], [2], [3, 4, 5], [6], [7, 8]]
+
+
+def test_signatures_in_parts(monkeypatch):
+    rnd = np.random.default_rng(2)
+    elements, owner = rnd.integers(0, 2**63, 5000).astype(np.uint64), np.sort(rnd.integers(0, 7, 5000))
+    whole = neardup.super_minhash(elements, owner, 7)
+    monkeypatch.setattr(neardup, "WALKERS", 300)
+    assert (neardup.super_minhash(elements, owner, 7) == whole).all()
+
+
 def test_components(spark):
     rnd = random.Random(2)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(50)]
@@ -724,7 +755,7 @@ def test_substring_dedup_of_branching_paths(spark):
 
 def test_paths_without_branches_are_compacted(spark, monkeypatch):
     """A passage in several documents is one path, cut where another document leaves it or where one ends in it."""
-    monkeypatch.setattr(substring, "BATCH_DOCS", 1)
+    monkeypatch.setattr(substring, "BATCH", (1, 1 << 20))
     passage = [f"p{i}" for i in range(100)]
     rows = [(i, " ".join([f"a{i}", *passage, f"b{i}"])) for i in range(4)]
     rows += [(10 + i, " ".join(passage[50:] + [f"c{i}"] * 3)) for i in range(2)]  # begin within it
