@@ -27,6 +27,8 @@ SHARD_SLOTS = 8192
 #: Slots of one range, made in one task.
 RANGE_SLOTS = 1 << 16
 ROUNDS = 24
+#: Rounds that are compiled together.
+LOOP = 12
 SEED = 20240607
 BUCKET_ROWS = 4096
 
@@ -47,14 +49,16 @@ def targets(sizes: list[int], weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return out
 
 
-def permuted(df: DataFrame, name: str, index: Column, n: Column, key: Column, rounds: int = ROUNDS) -> DataFrame:
-    """``df`` with a column ``name``: the image of ``index`` under a pseudorandom permutation of 0..n-1 that ``key`` picks, by swap-or-not rounds.
+def permuted(df: DataFrame, name: str, index: Column, n: Column, key: Column, tasks: int, rounds: int = ROUNDS) -> DataFrame:
+    """``df`` of ``tasks`` partitions with a column ``name``: the image of ``index`` under a pseudorandom permutation of 0..n-1 that ``key`` picks, by swap-or-not rounds.
 
-    Each round is a projection of its own, so that all of them are compiled into one loop.
+    Each round is a projection of its own, so that they are compiled into loops; a loop ends at a coalesce that changes nothing, before it is too long for the JVM to compile.
     """
     df = df.withColumns({name: index.cast("long"), "__n": n.cast("long"), "__key": key})
     x = F.col(name)
     for i in range(rounds):
+        if i % LOOP == 0:
+            df = df.coalesce(tasks)
         df = df.withColumn("__other", F.pmod(F.pmod(F.xxhash64("__key", F.lit(i)), F.col("__n")) - x, F.col("__n")))
         swap = F.xxhash64("__key", F.lit(i), F.greatest(x, F.col("__other")), F.lit(1)).bitwiseAND(F.lit(1).cast("long")) == 1
         df = df.withColumn(name, F.when(swap, F.col("__other")).otherwise(x))
@@ -101,11 +105,12 @@ def slots_of(sources: DataFrame, seed: int = SEED, shard_slots: int = SHARD_SLOT
     spark = sources.sparkSession
     some = sources.where("quota > 0").select("src", "blocks", "quota", "base", "slots")
     some = some.withColumn("begin", F.explode(F.sequence(F.lit(0).cast("long"), F.col("quota") - 1, F.lit(RANGE_SLOTS).cast("long"))))
-    some = some.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1), "src", "begin")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    some = some.repartition(tasks, "src", "begin")
     last = F.least(F.col("begin") + RANGE_SLOTS, F.col("quota")) - 1
     some = some.withColumn("j", F.explode(F.sequence("begin", last))).drop("begin", "quota")
-    some = permuted(some, "place", F.col("base") + F.col("j"), F.col("slots"), F.xxhash64(F.lit(seed), F.lit("shards")))
-    some = permuted(some, "block", F.pmod("j", "blocks"), F.col("blocks"), F.xxhash64(F.lit(seed), F.col("src"), F.expr("j DIV blocks")))
+    some = permuted(some, "place", F.col("base") + F.col("j"), F.col("slots"), F.xxhash64(F.lit(seed), F.lit("shards")), tasks)
+    some = permuted(some, "block", F.pmod("j", "blocks"), F.col("blocks"), F.xxhash64(F.lit(seed), F.col("src"), F.expr("j DIV blocks")), tasks)
     # Written, so that no condition on the slots is pushed through the rounds, which would spell them out again and again.
     return cut(some.select("src", "block", F.expr(f"place DIV {shard_slots}").alias("shard"), F.pmod("place", F.lit(shard_slots).cast("long")).alias("slot")))
 
