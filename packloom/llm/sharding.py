@@ -114,7 +114,7 @@ def level_cuts(boundaries: DataFrame, total: int, capacity: int, greedy: list[in
         return greedy
     share = total / shards
     k = F.round(F.col("start") / share).cast("int")
-    rows = boundaries.select("start").distinct().withColumn("k", k).where((F.col("k") > 0) & (F.col("k") < shards))
+    rows = boundaries.select("start").withColumn("k", k).where((F.col("k") > 0) & (F.col("k") < shards))
     rows = rows.withColumn("rank", F.row_number().over(W.partitionBy("k").orderBy(F.abs(F.col("start") - F.col("k") * share), "start"))).where(F.col("rank") <= near)
     path = [*greedy, *[total] * (shards + 1 - len(greedy))]
     may: list[set[int]] = [{0}, *({x} for x in path[1:shards]), {total}]
