@@ -175,9 +175,8 @@ class Words:
         return [self.buf[a:b].tobytes().split() for a, b in zip(self.offsets[:-1].tolist(), self.offsets[1:].tolist())]
 
     def spelled(self) -> tuple[np.ndarray, np.ndarray]:
-        """Each row's words, each with one space behind it, in a row, and the bounds of the rows."""
-        size = self.ends - self.starts + 1
-        stop = np.concatenate([[0], np.cumsum(size)])
+        """All words, each with one space behind it, in a row, and where each begins there (one more: the end)."""
+        stop = np.concatenate([[0], np.cumsum(self.ends - self.starts + 1)])
         out = np.full(int(stop[-1]), 0x20, np.uint8)
         on = np.ones(len(out), bool)
         on[stop[1:] - 1] = False
@@ -185,7 +184,7 @@ class Words:
         inside[self.starts] = 1
         inside[self.ends] -= 1
         out[on] = self.buf[np.cumsum(inside[:-1], dtype=np.int8).view(bool)]
-        return out, stop[self.bounds]
+        return out, stop
 
     def sound(self) -> bool:
         """Whether equal hashes are equal words."""

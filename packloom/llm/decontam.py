@@ -32,77 +32,107 @@ PERCENT = 75
 _MASK = np.uint64((1 << 20) - 1)
 
 
-def windows(w: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """All k-word shingles of all rows and their rows; a row of fewer words has one, the whole."""
-    counts = np.diff(bounds)
-    row = np.repeat(np.arange(len(counts)), counts)
-    every = _text.sequences(w, k)
-    inside = row[: len(every)] == row[k - 1 :] if len(every) else np.zeros(0, bool)
-    hashes, rows = [every[inside]], [row[: len(every)][inside]]
-    for r in np.flatnonzero((counts > 0) & (counts < k)).tolist():
-        a, b = int(bounds[r]), int(bounds[r + 1])
-        with np.errstate(over="ignore"):
-            hashes.append(_text.sequences(w[a:b], b - a) + np.uint64(b - a))
-        rows.append(np.array([r]))
-    return np.concatenate(hashes), np.concatenate(rows)
-
-
-def grams(words: list[bytes], k: int) -> list[tuple[bytes, ...]]:
-    """The k-word sequences of a text in order; of fewer words, the whole."""
-    return [tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))] if words else []
-
-
-def lowered(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+class Windows:
+    """All k-word shingles of a column's rows in order (a row of fewer words has one, the whole): their hashes, rows and bytes."""
+
+    def __init__(self, arr: pa.Array, k: int):
+        words = _text.Words(arr, lower=True)
+        w, bounds, counts = words.w, words.bounds, np.diff(words.bounds)
+        row = np.repeat(np.arange(len(counts)), counts)
+        every = _text.sequences(w, k)
+        first = np.flatnonzero(row[: len(every)] == row[k - 1 :]) if len(every) else np.zeros(0, np.int64)
+        hashes, size = [every[first]], [np.full(len(first), k)]
+        short = np.flatnonzero((counts > 0) & (counts < k))
+        for a, n in zip(bounds[short].tolist(), counts[short].tolist()):
+            with np.errstate(over="ignore"):
+                hashes.append(_text.sequences(w[a : a + n], n) + np.uint64(n))
+        first, size = np.concatenate([first, bounds[short]]), np.concatenate([*size, counts[short]])
+        self.hashes, self.rows = np.concatenate(hashes), row[first] if len(row) else first
+        self.first, self.size = first, size
+        if len(short):
+            order = np.argsort(self.rows, kind="stable")
+            self.hashes, self.rows, self.first, self.size = self.hashes[order], self.rows[order], first[order], size[order]
+        self.begin = np.searchsorted(self.rows, np.arange(len(counts) + 1))
+        self.sizes = np.diff(self.begin)
+        self._words = words
+
+    def spell(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The rows' words in a buffer, and where each shingle begins and ends there."""
+        raw, stop = self._words.spelled()
+        return _text.padded(raw)[0], stop[self.first], stop[self.first + self.size]
 
 
 class Index:
-    """Items' shingles, each with its hash and its words, and the sketches by which they are found."""
+    """Items' distinct shingles, each with its hash and its words, and the sketches by which they are found; all in arrays."""
 
     def __init__(self, ids: list[int | None], texts: list[str | None], k: int, percent: int):
-        w, bounds = _text.word_hashes(pa.array(texts, pa.string()), lower=True)
-        hashes, rows = windows(w, bounds, k)
-        order = np.argsort(rows, kind="stable")
-        hashes, begin = hashes[order], np.searchsorted(rows[order], np.arange(len(texts) + 1))
-        self.ids, self.shingles, self.need, sketch = ids, [], np.zeros(len(ids), np.int64), []
-        for i, text in enumerate(texts):
-            mine = dict(zip(grams(lowered(text), k), hashes[begin[i] : begin[i + 1]]))  # distinct by their words
-            n, need = len(mine), -(-percent * len(mine) // 100)
-            h = np.fromiter(mine.values(), np.uint64, n)
-            self.shingles.append((h, list(mine)))
-            self.need[i] = need
-            sketch.append(h[np.argsort(_text.mix(h), kind="stable")[: n - need + 1]])
-        item = np.repeat(np.arange(len(ids)), [len(s) for s in sketch])
-        hashes = np.concatenate([*sketch, np.zeros(0, np.uint64)])
+        found = Windows(pa.array(texts, pa.string()), k)
+        self.ids = ids
+        self.buf, start, end = found.spell()
+        order = np.lexsort((found.hashes, found.rows))
+        view, h, item, start, end = _text.numbers(self.buf), found.hashes[order], found.rows[order], start[order], end[order]
+        twin = np.flatnonzero((h[1:] == h[:-1]) & (item[1:] == item[:-1])) + 1
+        keep = np.ones(len(h), bool)
+        keep[twin[_text.same_spans(view, start[twin], end[twin], view, start[twin - 1], end[twin - 1])]] = False
+        if keep[twin].any():  # two shingles of one item and one hash: tell them all by their bytes
+            seen: set[tuple[int, bytes]] = set()
+            for i, (r, a, b) in enumerate(zip(item.tolist(), start.tolist(), end.tolist())):
+                key = (r, self.buf[a:b].tobytes())
+                keep[i] = key not in seen
+                seen.add(key)
+        self.h, self.start, self.end, item = h[keep], start[keep], end[keep], item[keep]
+        self.begin = np.searchsorted(item, np.arange(len(ids) + 1))
+        self.n = np.diff(self.begin)
+        self.need = -(-percent * self.n // 100)
+        order = np.lexsort((_text.mix(self.h), item))
+        rank = np.arange(len(order)) - self.begin[item]
+        sketch = order[rank <= (self.n - self.need)[item]]
+        hashes, item = self.h[sketch], item[sketch]
         self.seen = np.zeros(int(_MASK) + 1, bool)
         self.seen[(hashes & _MASK).astype(np.int64)] = True
-        size = np.array([len(mine) for _, mine in self.shingles], np.int64)
-        part = np.floor(np.log2(np.maximum(size, 1))).astype(np.int64)[item]
+        part = np.floor(np.log2(np.maximum(self.n, 1))).astype(np.int64)[item]
         self.parts = []  # (least need, sketch hashes in order, their items)
         for p in np.unique(part).tolist():
             mine = np.flatnonzero(part == p)
             mine = mine[np.argsort(hashes[mine], kind="stable")]
             self.parts.append((int(self.need[item[mine]].min()), hashes[mine], item[mine]))
 
-    def candidates(self, hashes: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    def candidates(self, docs: Windows) -> np.ndarray:
         """Distinct (row, item) whose row has a sketch hash of the item and the size to hold it."""
-        near, found = np.flatnonzero(self.seen[(hashes & _MASK).astype(np.int64)]), [np.zeros((0, 2), np.int64)]
+        near, found = np.flatnonzero(self.seen[(docs.hashes & _MASK).astype(np.int64)]), [np.zeros((0, 2), np.int64)]
         for least, own, items in self.parts:
-            fit = near[sizes[rows[near]] >= least]
-            lo = np.searchsorted(own, hashes[fit], "left")
-            n = np.searchsorted(own, hashes[fit], "right") - lo
+            fit = near[docs.sizes[docs.rows[near]] >= least]
+            lo = np.searchsorted(own, docs.hashes[fit], "left")
+            n = np.searchsorted(own, docs.hashes[fit], "right") - lo
             inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            row, item = np.repeat(rows[fit], n), items[np.repeat(lo, n) + inner]
-            fits = sizes[row] >= self.need[item]
+            row, item = np.repeat(docs.rows[fit], n), items[np.repeat(lo, n) + inner]
+            fits = docs.sizes[row] >= self.need[item]
             found.append(np.stack([row[fits], item[fits]], 1))
         return np.unique(np.concatenate(found), axis=0)
 
-    def shared(self, item: int, hashes: np.ndarray, places: np.ndarray, words: list[bytes], k: int) -> int:
-        """How many of the item's shingles a text has, by its sorted hashes, their places and its words."""
-        h, mine = self.shingles[item]
-        lo, hi = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
-        at = np.flatnonzero(hi > lo)
-        return sum(any(tuple(words[p : p + k]) == mine[j] for p in places[a:b].tolist()) for j, a, b in zip(at.tolist(), lo[at].tolist(), hi[at].tolist()))
+    def leaks(self, docs: Windows) -> list[tuple[int, int, int]]:
+        """(row, item, shared) of the rows that have enough of an item's shingles, word for word."""
+        pairs, out = self.candidates(docs), []
+        if not len(pairs):
+            return out
+        buf, start, end = docs.spell()
+        view, own = _text.numbers(buf), _text.numbers(self.buf)
+        last = -1
+        for r, i in pairs.tolist():
+            if r != last:
+                last, a, b = r, int(docs.begin[r]), int(docs.begin[r + 1])
+                places = a + np.argsort(docs.hashes[a:b], kind="stable")
+                h = docs.hashes[places]
+            mine = np.arange(self.begin[i], self.begin[i + 1])
+            lo = np.searchsorted(h, self.h[mine], "left")
+            n = np.searchsorted(h, self.h[mine], "right") - lo
+            j = np.repeat(mine, n)
+            p = places[np.repeat(lo, n) + np.arange(len(j)) - np.repeat(np.cumsum(n) - n, n)]
+            same = _text.same_spans(view, start[p], end[p], own, self.start[j], self.end[j])
+            shared = len(np.unique(j[same]))
+            if shared >= self.need[i]:
+                out.append((r, i, shared))
+        return out
 
 
 def leak_pairs(docs: DataFrame, items: DataFrame, k: int = WORDS, percent: int = PERCENT, block_bytes: int = 16 << 20) -> DataFrame:
@@ -127,24 +157,11 @@ def leak_pairs(docs: DataFrame, items: DataFrame, k: int = WORDS, percent: int =
             found = index.value
             for whole in batches:
                 for batch in _text.slices(whole, "text", *BATCH):
-                    w, bounds = _text.word_hashes(batch.column("text"), lower=True)
-                    hashes, rows = windows(w, bounds, k)
-                    order = np.argsort(rows, kind="stable") if np.any(np.diff(rows) < 0) else None
-                    if order is not None:
-                        hashes, rows = hashes[order], rows[order]
-                    pairs = found.candidates(hashes, rows, np.bincount(rows, minlength=batch.num_rows))
-                    begin = np.searchsorted(rows, np.arange(batch.num_rows + 1))
-                    doc_ids, got, last = batch.column("doc_id"), [], -1
-                    for r, item in pairs.tolist():
-                        if r != last:
-                            last, mine, words = r, hashes[begin[r] : begin[r + 1]], lowered(batch.column("text")[r].as_py())
-                            places = np.argsort(mine, kind="stable")
-                            mine = mine[places]
-                        shared, n = found.shared(item, mine, places, words, k), len(found.shingles[item][1])
-                        if 100 * shared >= percent * n:
-                            got.append((doc_ids[r].as_py(), found.ids[item], n, shared, shared / n))
+                    got = found.leaks(Windows(batch.column("text"), k))
                     if got:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*got), schema)], schema=schema)
+                        doc_ids = batch.column("doc_id")
+                        rows = [(doc_ids[r].as_py(), found.ids[i], n := int(found.n[i]), shared, shared / n) for r, i, shared in got]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
         some = docs.mapInArrow(search, "doc_id long, item_id long, n_item_shingles long, n_shared long, containment double")
         out = some if out is None else out.unionByName(some)

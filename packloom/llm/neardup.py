@@ -125,8 +125,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _digests(words: _text.Words) -> np.ndarray:
     """A 128-bit digest of each row's word sequence, as two longs."""
-    raw, bounds = words.spelled()
-    raw = memoryview(raw)
+    raw, stop = words.spelled()
+    raw, bounds = memoryview(raw), stop[words.bounds]
     found = b"".join(hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()))
     return np.frombuffer(found, "<i8").reshape(-1, 2)
 

@@ -487,7 +487,7 @@ def test_permutation(spark):
 
     for n in (1, 2, 7, 100):
         rows = spark.createDataFrame([(i,) for i in range(n)], "id long")
-        got = {r.id: r.p for r in mixing.permuted(rows, "p", F.col("id"), F.lit(n), F.lit(5).cast("long")).collect()}
+        got = {r.id: r.p for r in mixing.permuted(rows, "p", F.col("id"), F.lit(n), F.lit(5).cast("long"), 2).collect()}
         assert sorted(got.values()) == list(range(n)) and (n < 100 or got != {i: i for i in range(n)})
         assert got == {i: brute_permuted(i, n, 5) for i in range(n)}
 
@@ -530,18 +530,10 @@ def test_leaks_compare_words(monkeypatch, spark):
     for bits in (64, 2):
         monkeypatch.setattr(_text, "span_hashes", lambda *a, m=np.uint64(2**bits - 1): real(*a) & m)
         index = decontam.Index(list(range(3)), items, 5, 75)
-        assert index.need.tolist() == [6, 12, 1] and [len(s) for _, s in index.shingles] == [8, 16, 1] and len(index.parts) == 3
-        w, bounds = _text.word_hashes(pa.array(texts), lower=True)
-        hashes, rows = decontam.windows(w, bounds, 5)
-        order = np.argsort(rows, kind="stable")
-        hashes, rows = hashes[order], rows[order]
-        got = {}
-        for r, i in index.candidates(hashes, rows, np.bincount(rows, minlength=len(texts))).tolist():
-            mine = hashes[rows == r]
-            places = np.argsort(mine, kind="stable")
-            got[r, i] = index.shared(i, mine[places], places, decontam.lowered(texts[r]), 5)
+        assert index.need.tolist() == [6, 12, 1] and index.n.tolist() == [8, 16, 1] and len(index.parts) == 3
+        got = {(r, i): n for r, i, n in index.leaks(decontam.Windows(pa.array(texts), 5))}
         sets = [shingles(t) for t in texts]
-        assert {k: v for k, v in got.items() if v >= index.need[k[1]]} == {(r, i): len(shingles(items[i]) & s) for i in range(3) for r, s in enumerate(sets) if len(shingles(items[i]) & s) >= index.need[i]}
+        assert got == {(r, i): len(shingles(items[i]) & s) for i in range(3) for r, s in enumerate(sets) if len(shingles(items[i]) & s) >= index.need[i]}
     monkeypatch.undo()
     left, right = thue_morse(10)
     docs = spark.createDataFrame([(1, f"a {left} c d e f"), (2, f"a {right} c d e f")], "doc_id long, text string")
