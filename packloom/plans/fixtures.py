@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from packloom.plans import views as V
 from packloom.ship import ship
-from packloom.sources.pack_files import filesystem
+from packloom.sources.shared import filesystem
 
 #: File names of documents by doc_id, how such a file begins, and the type that it has.
 SUFFIXES = (".txt", ".pdf", ".csv", ".json", ".md", ".log", ".zip")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from packloom.operators import dictionary
 from packloom.plans.dictionaries import DictionaryResult
 from packloom.plans.pack import PackResult
-from packloom.sources.pack_files import filesystem
+from packloom.sources.shared import filesystem
 
 
 def flat(df: DataFrame) -> DataFrame:

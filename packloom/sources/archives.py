@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packloom.operators.members import ArchiveLimits
-from packloom.sources.pack_files import filesystem, scan
+from packloom.sources.pack_files import scan
+from packloom.sources.shared import filesystem
 
 LISTED = (
     "archive string, archive_path string, archive_depth int, entries int, corrupt string, idx int, member_path string, is_dir boolean, "

@@ -12,6 +12,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from packloom.functions.files import IGNORED_NAMES, TEMPORARY_PREFIX
 from packloom.ship import ship
+from packloom.sources.shared import filesystem
 
 SCHEMA = (
     "path string, relative_path string, file_name string, size_bytes bigint, bytes_read bigint, "
@@ -24,12 +25,6 @@ _MARKER = re.compile(rb"/Type ?/Page")
 _KEEP = 16  # a marker is shorter
 
 
-def filesystem(uri: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri) if re.match(r"[a-z][a-z0-9+.-]*:/", uri) else (fs.LocalFileSystem(), uri)
-
-
 class _Files(InputPartition):
     def __init__(self, files: list[tuple[str, str, int]]):
         self.files = files
@@ -91,7 +86,7 @@ class PackReader(DataSourceReader):
                         times[1] = times[2] = time.perf_counter()
             except OSError as e:
                 digest, error = None, str(e)[:200]
-            yield path, relative, name, size, n, digest, head, markers, error, (times[1] - times[0]) * 1000, (times[2] - times[1]) * 1000
+            yield f"{self.root}/{relative}", relative, name, size, n, digest, head, markers, error, (times[1] - times[0]) * 1000, (times[2] - times[1]) * 1000
 
 
 class PackFiles(DataSource):

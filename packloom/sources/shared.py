@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -36,24 +37,29 @@ def scratch(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
-def _fs(uri: str):
+def filesystem(uri: str):
+    """The file system of a path or URI, and the path in it. Names are taken as they are: nothing in them is an escape."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+    m = re.match(r"([a-z][a-z0-9+.-]*):(?://([^/]*))?(/.*)?$", uri, re.DOTALL)
+    if not m or m[1] == "file":
+        return fs.LocalFileSystem(), (m[3] or "/") if m else uri
+    where, base = fs.FileSystem.from_uri(f"{m[1]}://{m[2] or ''}/")
+    return where, base.rstrip("/") + (m[3] or "/")
 
 
 def make_dir(uri: str) -> None:
-    where, path = _fs(uri)
+    where, path = filesystem(uri)
     where.create_dir(path, recursive=True)
 
 
 def open_write(uri: str):
-    where, path = _fs(uri)
+    where, path = filesystem(uri)
     return where.open_output_stream(path, compression=None)
 
 
 def open_read(uri: str):
-    where, path = _fs(uri)
+    where, path = filesystem(uri)
     return where.open_input_file(path)
 
 
@@ -61,7 +67,7 @@ def remove_dir(uri: str) -> None:
     """Delete a scratch folder; one that is gone already is fine."""
     from pyarrow import fs
 
-    where, path = _fs(uri)
+    where, path = filesystem(uri)
     if where.get_file_info(path).type == fs.FileType.Directory:
         where.delete_dir(path)
 

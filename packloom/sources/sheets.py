@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from packloom.ship import ship
-from packloom.sources.pack_files import filesystem
+from packloom.sources.shared import filesystem
 
 SCHEMA = "row_number int, cells array<string>, types array<string>"
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"

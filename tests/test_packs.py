@@ -10,9 +10,9 @@ import pytest
 
 from packloom.operators.members import ArchiveLimits
 from packloom.operators.timings import PACK_STAGES, to_stderr
-from packloom.plans import pack, sinks
+from packloom.plans import dictionaries, pack, sinks
 from packloom.sources.pack_files import BLOCK, scan
-from test_dictionary import write_xlsx
+from test_dictionary import ORDER, ROWS, write_xlsx
 
 
 def zipped(entries):
@@ -162,6 +162,21 @@ def test_unreadable_files(spark, tmp_path, monkeypatch):
         pack.ingest_source_pack(spark, str(root), fail_on_unreadable=True)
 
 
+def test_roots_may_be_uris(spark, tmp_path):
+    """Names aren't escaped: spaces, signs and percent signs stay as they are."""
+    root = tmp_path / "a b"
+    root.mkdir()
+    (root / "x #1 50%20.csv").write_bytes(b"one,two\n1,2\n")
+    (root / "y z.zip").write_bytes(zipped([("in side.txt", b"deep")]))
+    for place in (str(root), f"file://{root}", f"{root}/"):
+        r = pack.ingest_source_pack(spark, place)
+        got = {x.logical_path: (x.metadata or {}).get("columns") for x in r.registry.collect()}
+        assert got == {"x #1 50%20.csv": "one|two", "y z.zip": None, "y z.zip!/in side.txt": None}
+        r.release()
+    paths = sinks.write_dictionary(dictionaries.ingest_dictionary(spark, f"file://{write_xlsx(root / 'd.xlsx', {'s': [ORDER, ROWS[0]]})}"), f"file://{root}/out", single_file=True)
+    assert open(paths["normalized_targets_csv"].removeprefix("file://")).readline().startswith("target_row_id")
+
+
 def test_progress(spark, tree, capsys):
     root, _ = tree
     told = []
