@@ -77,7 +77,7 @@ def _split(words: _text.Words, span: int, seed: int) -> tuple[np.ndarray, ...] |
 
 
 def _pieces(batch: pa.RecordBatch, span: int, seed: int, hot: np.ndarray) -> pa.RecordBatch | None:
-    """The batch's pieces. Those that go have no windows and a key of no meaning."""
+    """The batch's pieces. Those that go have no windows and a key of no meaning; such that follow each other are one row."""
     words = _text.Words(batch.column("text"), lower=False)
     if (found := _split(words, span, seed)) is None:
         return None
@@ -111,10 +111,15 @@ def _pieces(batch: pa.RecordBatch, span: int, seed: int, hot: np.ndarray) -> pa.
     stay = np.ones(len(n), bool)
     stay[gone] = False
     raw = window.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]
+    raw = np.ascontiguousarray(raw[np.repeat(stay, n)]).tobytes()
+    of, place = row[first], at[first]
+    on = np.zeros(len(n), bool)  # goes, right behind another one that does: they are one row
+    on[1:] = ~stay[1:] & ~stay[:-1] & (of[1:] == of[:-1]) & (place[1:] == place[:-1] + n[:-1])
+    lead = np.flatnonzero(~on)
+    n, stay, key, doc, th, start = np.add.reduceat(n, lead), stay[lead], key[lead], doc[lead], th[lead], start[lead]
     ends = np.concatenate([[0], np.cumsum(np.where(stay, n, 0))]) * HASH_BYTES
     with np.errstate(over="ignore"):
         spread = _text.mix(doc.view(np.uint64) ^ th.view(np.uint64))
-    raw = np.ascontiguousarray(raw[np.repeat(stay, n)]).tobytes()
     data = pa.Array.from_buffers(pa.binary(), len(n), [pa.array(stay).buffers()[1], pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(raw)])
     return pa.RecordBatch.from_arrays([pa.array(np.where(stay, key, spread).view(np.int64)), pa.array(doc), pa.array(th), pa.array(start), pa.array(n.astype(np.int32)), data], names=[x.split()[0] for x in PIECE.split(", ")])
 
