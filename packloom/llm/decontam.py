@@ -27,7 +27,7 @@ from packloom.ship import ship
 
 WORDS = 5
 #: Rows and bytes of text searched at once.
-BATCH = 2000, 8 << 20
+BATCH = 1000, 4 << 20
 PERCENT = 75
 _MASK = np.uint64((1 << 20) - 1)
 
