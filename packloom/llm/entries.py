@@ -1,11 +1,11 @@
-"""Queries op1 to op10 and the pipeline, and their SQL where SQL can express them."""
+"""Queries op1 to op13 and the pipeline, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packloom.llm import decontam, langid, mixing, neardup, quality, sharding, substring, tokens, urlfilter, warc
+from packloom.llm import centroids, decontam, langid, mixing, neardup, negatives, quality, sharding, substring, tokens, urlfilter, warc
 from packloom.llm._store import cut, remove_dir, scratch
 
 
@@ -162,6 +162,51 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(len(js), 0) AS n_removed, sha256(co
 FROM d LEFT JOIN gl ON d.doc_id = gl.doc_id LEFT JOIN k ON d.doc_id = k.doc_id
 """
 
+def op11_elkan_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_read(spark, sf_dir, "embeddings"))
+
+
+def _op11_sql(rounds: int = centroids.ROUNDS) -> str:
+    """The rounds one after the other; sums are divided towards minus infinity."""
+    nearest = """SELECT r, k, d FROM (SELECT r, k, d, row_number() OVER (PARTITION BY r ORDER BY d, k) AS n
+  FROM (SELECT x.r, c.k, sum((x.x - c.c) * (x.x - c.c))::BIGINT AS d FROM x JOIN c{i} c ON x.i = c.i GROUP BY x.r, c.k)) WHERE n = 1"""
+    steps = "".join(f""",
+a{i} AS MATERIALIZED ({nearest.format(i=i)}),
+c{i + 1} AS MATERIALIZED (SELECT c.k, c.i, coalesce(((s - ((s % n) + n) % n) // n)::BIGINT, c.c) AS c FROM c{i} c
+  LEFT JOIN (SELECT a.k, x.i, sum(x.x) AS s, count(*) AS n FROM a{i} a JOIN x ON a.r = x.r GROUP BY a.k, x.i) m ON c.k = m.k AND c.i = m.i)""" for i in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (SELECT r, unnest(v) AS x, unnest(range(1, 65)) AS i FROM kept),
+c0 AS MATERIALIZED (SELECT k, unnest(v) AS c, unnest(range(1, 65)) AS i
+  FROM (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS k, v FROM kept WHERE vec_id IS NOT NULL) WHERE k < 8){steps},
+e AS MATERIALIZED ({nearest.format(i=rounds)}),
+s AS (SELECT k, sha256(string_agg(c::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY k)
+SELECT vec_id, e.k::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY e.k))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM e JOIN kept ON e.r = kept.r JOIN s ON e.k = s.k
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+OP13_SQL = """
+WITH r AS MATERIALIZED (SELECT row_number() OVER () AS u, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.u, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+  coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id % 50 = 0 AND b.vec_id IS DISTINCT FROM a.vec_id OR a.vec_id % 50 = 0 AND a.label <> b.label),
+p AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY score DESC, vec_id NULLS LAST) AS k FROM s WHERE same),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, (row_number() OVER (PARTITION BY p.u, p.k ORDER BY s.score DESC, s.vec_id NULLS LAST))::INTEGER AS rank,
+  s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+  FROM p JOIN s ON p.u = s.u AND p.k <= 5 AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT * FROM n WHERE rank <= 3
+"""
+
 QUERIES = {
     "op1_warc_salvage": op1_warc_salvage,
     "op2_minimax_shards": op2_minimax_shards,
@@ -173,6 +218,8 @@ QUERIES = {
     "op8_rans_tokens": op8_rans_tokens,
     "op9_debruijn_spans": op9_debruijn_spans,
     "op10_url_cascade": op10_url_cascade,
+    "op11_elkan_centroids": op11_elkan_centroids,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 SQL = {
     "op1_warc_salvage": OP1_SQL,
@@ -181,4 +228,6 @@ SQL = {
     "op7_superminhash": OP7_SQL,
     "op9_debruijn_spans": OP9_SQL,
     "op10_url_cascade": OP10_SQL,
+    "op11_elkan_centroids": _op11_sql(),
+    "op13_hard_negatives": OP13_SQL,
 }
