@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packloom.llm import centroids, decontam, langid, mixing, neardup, negatives, quality, sharding, substring, tokens, urlfilter, warc
+from packloom.llm import centroids, decontam, langid, mixing, neardup, negatives, quality, sharding, substring, suffixes, tokens, urlfilter, warc
 from packloom.llm._store import cut, remove_dir, scratch
 
 
@@ -187,6 +187,28 @@ FROM e JOIN kept ON e.r = kept.r JOIN s ON e.k = s.k
 """
 
 
+def op12_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.cut_repeated_bytes(_read(spark, sf_dir, "documents"), with_text=False)
+
+
+#: Bytes as hexadecimal digits, two each.
+OP12_SQL = """
+WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS i FROM d WHERE length(h) >= 200),
+g AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 200)) AS s FROM p),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM g),
+m AS (SELECT doc_id, i, max(i) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM f WHERE k > 1),
+r AS (SELECT doc_id, i, sum(CASE WHEN b IS NULL OR i > b + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM m),
+s AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS e FROM r GROUP BY doc_id, run),
+k AS (SELECT s.doc_id, count(*) AS n_spans, sum(e - a)::BIGINT AS n_removed, max(e) AS last,
+  string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+  FROM (SELECT *, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM s) s JOIN d ON s.doc_id = d.doc_id GROUP BY s.doc_id)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -219,6 +241,7 @@ QUERIES = {
     "op9_debruijn_spans": op9_debruijn_spans,
     "op10_url_cascade": op10_url_cascade,
     "op11_elkan_centroids": op11_elkan_centroids,
+    "op12_suffix_array": op12_suffix_array,
     "op13_hard_negatives": op13_hard_negatives,
 }
 SQL = {
@@ -229,5 +252,6 @@ SQL = {
     "op9_debruijn_spans": OP9_SQL,
     "op10_url_cascade": OP10_SQL,
     "op11_elkan_centroids": _op11_sql(),
+    "op12_suffix_array": OP12_SQL,
     "op13_hard_negatives": OP13_SQL,
 }
