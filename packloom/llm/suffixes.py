@@ -34,8 +34,8 @@ LENGTH, GRAM = 100, 32
 PACK_BYTES = 4 << 20
 #: Sampled places in a range of the sort, and in all that its cuts are taken from.
 RANGE_ROWS, CUT_ROWS = 1 << 19, 1 << 17
-#: Bytes that a sampled place takes in the widest shuffle.
-PLACE_BYTES = 48
+#: Bytes that a sampled place takes in the widest shuffle, and the share of the texts' bytes that one pass may shuffle.
+PLACE_BYTES, PASS_SHARE = 40, 0.5
 #: Bytes hashed at once.
 SLAB = 1 << 16
 #: The cover's period, the most that a sampled place lies behind any other, and the bytes of a name.
@@ -61,6 +61,20 @@ def _numbers(column: pa.Array, row: int, kind) -> np.ndarray:
     return np.frombuffer(buf, kind) if buf is not None and buf.size else np.zeros(0, kind)
 
 
+def _packed(a: np.ndarray) -> bytes:
+    """Numbers as the bytes that the largest of them needs, byte by byte."""
+    width = max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 1
+    return bytes([width]) + np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def _unpacked(x: pa.Scalar) -> np.ndarray:
+    raw = np.frombuffer(x.as_buffer(), np.uint8)
+    width = int(raw[0])
+    out = np.zeros(((len(raw) - 1) // width, 8), np.uint8)
+    out[:, :width] = raw[1:].reshape(width, -1).T
+    return out.view("<u8").ravel()
+
+
 # ---- packs
 
 
@@ -314,14 +328,14 @@ def _blocks(ident: int, bucket: np.ndarray, lo: int, hi: int, columns: dict[str,
     made = []
     for c in columns.values():
         c = c[order]
-        made.append(_binary(*[c[cuts[b] : cuts[b + 1]] for b in some]))
+        made.append(pa.array([_packed(c[cuts[b] : cuts[b + 1]]) for b in some], pa.binary()))
     return pa.RecordBatch.from_arrays([pa.array(some + lo), pa.array(np.full(len(some), ident)), *made], names=["bucket", "id", *columns])
 
 
-def _joined(rows: pa.Table, kinds: dict[str, type]) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+def _joined(rows: pa.Table, names: list[str]) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
     """The arrays of one range, packs in ascending order: the packs, the pack of each element (its place among them), the columns."""
     rows = rows.sort_by("id")
-    cols = {c: [np.frombuffer(x.as_buffer(), k) for x in rows.column(c)] for c, k in kinds.items()}
+    cols = {c: [_unpacked(x) for x in rows.column(c)] for c in names}
     sizes = [len(x) for x in cols["place"]]
     return rows.column("id").to_numpy(), np.repeat(np.arange(len(sizes)), sizes), {c: np.concatenate(v) for c, v in cols.items()}
 
@@ -330,22 +344,22 @@ def _back(ids: np.ndarray, pack: np.ndarray, columns: dict[str, np.ndarray], **c
     """Elements in ascending order of ``pack``, by pack."""
     cuts = np.searchsorted(pack, np.arange(len(ids) + 1))
     some = np.flatnonzero(np.diff(cuts))
-    made = {c: _binary(*[v[cuts[b] : cuts[b + 1]] for b in some]) for c, v in columns.items()}
+    made = {c: pa.array([_packed(v[cuts[b] : cuts[b + 1]]) for b in some], pa.binary()) for c, v in columns.items()}
     return pa.table({"id": pa.array(ids[some]), **{k: pa.array(np.full(len(some), v)) for k, v in constant.items()}, **made})
 
 
 def _named(rows: pa.Table, n_words: int) -> pa.Table:
-    """Names of the sampled places of one range: equal ones for equal NAME bytes, in the bytes' order."""
-    ids, pack, c = _joined(rows, {"place": np.uint32} | {f"w{i}": np.uint64 for i in range(n_words)})
+    """Names of the sampled places of one range, from 0: equal ones for equal NAME bytes, in the bytes' order; and how many there are."""
+    ids, pack, c = _joined(rows, ["place", *[f"w{i}" for i in range(n_words)]])
     keys = [c[f"w{i}"] for i in reversed(range(n_words))]
     order = np.lexsort(keys) if n_words > 1 else np.argsort(keys[0], kind="stable")
     new = np.zeros(len(order), bool)
     for k in keys:
         k = k[order]
         new[1:] |= k[1:] != k[:-1]
-    name = np.empty(len(order), np.uint32)
+    name = np.empty(len(order), np.int64)
     name[order] = np.cumsum(new)
-    return _back(ids, pack, {"place": c["place"], "name": name}, bucket=rows.column("bucket")[0].as_py())
+    return _back(ids, pack, {"place": c["place"], "name": name}, bucket=rows.column("bucket")[0].as_py(), names=int(new.sum()) + 1)
 
 
 def _order(c: dict[str, np.ndarray], n_names: int) -> tuple[np.ndarray, np.ndarray]:
@@ -361,8 +375,8 @@ def _order(c: dict[str, np.ndarray], n_names: int) -> tuple[np.ndarray, np.ndarr
 
 def _repeats(rows: pa.Table, n_names: int) -> pa.Table:
     """For each sampled place of one range, the distances before it at which a window begins that has an equal one at a smaller place."""
-    kinds = {"place": np.uint32, "mask": np.uint16, "tail": np.uint64, "before": np.uint64, "behind": np.uint64} | {f"n{i}": np.uint64 for i in range(n_names)}
-    ids, pack, c = _joined(rows, kinds)
+    ids, pack, c = _joined(rows, ["place", "mask", "tail", "before", "behind", *[f"n{i}" for i in range(n_names)]])
+    c["mask"] = c["mask"].astype(np.uint16)
     order, run = _order(c, n_names)
     mask, before, behind = (c[k][order] for k in ("mask", "before", "behind"))
     n, out = len(order), np.zeros(len(order), np.uint16)
@@ -408,7 +422,7 @@ class Sorter:
         total = state.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
         places = total * int(_COVER.sum()) // PERIOD + 1
         self.ranges = max(-(-places // RANGE_ROWS), 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-        self.passes = max(1, -(-places * PLACE_BYTES // max(1, text_bytes)))
+        self.passes = max(1, -(-places * PLACE_BYTES // max(1, int(text_bytes * PASS_SHARE))))
         stride = max(1, places // CUT_ROWS)
 
         def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -429,7 +443,7 @@ class Sorter:
         return [(a, b) for a, b in zip(ends, ends[1:]) if a < b]
 
     def named(self) -> DataFrame:
-        """The state with ranges and names of all sampled places."""
+        """The state with the names of all sampled places; ``firsts`` then has the first name of each range."""
         words, length, sent = self.words, self.length, self.spark.sparkContext.broadcast(self.cuts)
         n_words = -(-NAME // words.symbols)
         cols = ["place", *[f"w{i}" for i in range(n_words)]]
@@ -446,30 +460,32 @@ class Sorter:
                         mine = (bucket >= lo) & (bucket < hi)
                         at, w, bucket = at[mine], w[mine], bucket[mine]
                         more = [s.word(at, k * words.symbols) for k in range(1, n_words)]
-                        out = _blocks(batch.column("id")[i].as_py(), bucket, lo, hi, dict(zip(cols, [at.astype(np.uint32), w, *more])))
+                        out = _blocks(batch.column("id")[i].as_py(), bucket, lo, hi, dict(zip(cols, [at, w, *more])))
                         if out is not None:
                             yield out
 
             rows = self.state.select("id", "text", "froms", "lens", "valid").mapInArrow(deal, "bucket long, id long, " + ", ".join(f"{c} binary" for c in cols))
-            rows = rows.groupBy("bucket").applyInArrow(lambda t: _named(t, n_words), "id long, bucket long, place binary, name binary")
+            rows = rows.groupBy("bucket").applyInArrow(lambda t: _named(t, n_words), "id long, bucket long, names long, place binary, name binary")
             names, folder = table(rows, "names")
             folders.append(folder)
             done = names if done is None else done.unionByName(names)
 
+        sizes = np.zeros(self.ranges, np.int64)
+        for r in done.groupBy("bucket").agg(F.max("names").alias("n")).collect():
+            sizes[r.bucket] = r.n
+        self.firsts = np.cumsum(sizes) - sizes
+        firsts = self.spark.sparkContext.broadcast(self.firsts)
+
         def gather(state: pa.Table, names: pa.Table) -> pa.Table:
-            if not state.num_rows:
-                return state.select([]).append_column("id", pa.array([], pa.int64()))
             s = Suffixes(state, 0, words, length)
-            bucket, name = np.zeros(s.n, np.uint32), np.zeros(s.n, np.uint32)
+            name = np.zeros(s.n, np.uint64)
             for b, place, found in zip(*(names.column(c) for c in ("bucket", "place", "name"))):
-                place = np.frombuffer(place.as_buffer(), np.uint32)
-                bucket[place], name[place] = b.as_py(), np.frombuffer(found.as_buffer(), np.uint32)
-            at = s.sampled()
-            return state.append_column("bucket", _binary(bucket[at])).append_column("name", _binary(name[at]))
+                name[_unpacked(place).astype(np.int64)] = _unpacked(found) + _U(firsts.value[b.as_py()])
+            return state.append_column("name", pa.array([_packed(name[s.sampled()])], pa.binary()))
 
         fields = "id long, text binary, froms array<int>, lens array<int>, valid binary"
         some = self.state.select("id", "text", "froms", "lens", "valid")
-        out = table(some.groupBy("id").cogroup(done.groupBy("id")).applyInArrow(gather, fields + ", bucket binary, name binary"), "named")[0]
+        out = table(some.groupBy("id").cogroup(done.groupBy("id")).applyInArrow(gather, fields + ", name binary"), "named")[0]
         for folder in folders:
             remove_dir(folder)
         return out
@@ -477,6 +493,7 @@ class Sorter:
     def repeats(self, named: DataFrame) -> DataFrame:
         """id, place (binary) and found (binary): of sampled places, the distances before them at which windows are removed."""
         words, length, steps, tail = self.words, self.length, self.names, self.tail
+        firsts = self.spark.sparkContext.broadcast(self.firsts)
         cols = ["place", "mask", "tail", "before", "behind", *[f"n{i}" for i in range(len(steps))]]
         done = None
         for lo, hi in self.spread():
@@ -487,14 +504,14 @@ class Sorter:
                         s = Suffixes(batch, i, words, length)
                         at = s.sampled()
                         name = np.zeros(s.n + length, np.uint64)
-                        bucket = _numbers(batch.column("bucket"), i, np.uint32)
-                        name[at] = (bucket.astype(np.uint64) << _U(32)) | _numbers(batch.column("name"), i, np.uint32)
+                        name[at] = own = _unpacked(batch.column("name")[i])
+                        bucket = np.searchsorted(firsts.value, own.astype(np.int64), "right") - 1
                         mask = s.distances(at)
                         mine = (mask > 0) & (bucket >= lo) & (bucket < hi)
                         at = at[mine]
                         behind = at + steps[-1] + NAME
-                        made = [at.astype(np.uint32), mask[mine], s.eight(behind, tail), s.eight(at - 8), s.eight(behind + tail), *[name[at + k] for k in steps]]
-                        out = _blocks(batch.column("id")[i].as_py(), bucket[mine].astype(np.int64), lo, hi, dict(zip(cols, made)))
+                        made = [at, mask[mine], s.eight(behind, tail), s.eight(at - 8), s.eight(behind + tail), *[name[at + k] for k in steps]]
+                        out = _blocks(batch.column("id")[i].as_py(), bucket[mine], lo, hi, dict(zip(cols, made)))
                         if out is not None:
                             yield out
 
@@ -525,7 +542,7 @@ def _spans(state: pa.Table, found: pa.Table, words: Words, length: int) -> pa.Ta
     s = Suffixes(state, 0, words, length)
     on = np.zeros(s.n, bool)
     for place, mask in zip(found.column("place"), found.column("found")):
-        place, mask = np.frombuffer(place.as_buffer(), np.uint32).astype(np.int64), np.frombuffer(mask.as_buffer(), np.uint16)
+        place, mask = _unpacked(place).astype(np.int64), _unpacked(mask).astype(np.uint16)
         for d in range(PERIOD):
             on[place[(mask >> np.uint16(d)) & np.uint16(1) > 0] - d] = True
     at = np.flatnonzero(on)
