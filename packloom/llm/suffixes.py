@@ -35,7 +35,7 @@ PACK_BYTES = 4 << 20
 #: Sampled places in a range of the sort, and in all that its cuts are taken from.
 RANGE_ROWS, CUT_ROWS = 1 << 19, 1 << 17
 #: Bytes that a sampled place takes in the widest shuffle, and the share of the texts' bytes that one pass may shuffle.
-PLACE_BYTES, PASS_SHARE = 40, 0.5
+PLACE_BYTES, PASS_SHARE = 40, 0.8
 #: Bytes hashed at once.
 SLAB = 1 << 16
 #: The cover's period, the most that a sampled place lies behind any other, and the bytes of a name.
@@ -129,36 +129,49 @@ def _windows(starts: np.ndarray, owns: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts[part] + np.arange(len(part)) - np.repeat(np.cumsum(owns) - owns, owns), part
 
 
-def _anchors(grams: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
-    """The place of the anchor of each window."""
+def _anchors(grams: np.ndarray, length: int) -> np.ndarray:
+    """The place of the anchor of the window at each place."""
     width = length - GRAM + 1
-    with np.errstate(over="ignore"):
-        order = (grams * _Q) & ~_U(0xFFFFFFFF)
-    low = order | np.arange(len(order), dtype=np.uint64)  # ties by place: the first
-    size = 1
-    while size * 2 <= width:
-        low = np.minimum(low[:-size], low[size:])
-        size *= 2
-    low = np.minimum(low[: len(order) - width + 1], low[width - size : width - size + len(order) - width + 1])
-    return (low[places] & _U(0xFFFFFFFF)).astype(np.int64)
+    n = max(0, len(grams) - width + 1)
+    out = np.empty(n, np.int64)
+    for a in range(0, n, SLAB):
+        b = min(a + SLAB, n)
+        with np.errstate(over="ignore"):
+            low = (grams[a : b + width - 1] * _Q) & ~_U(0xFFFFFFFF)
+        low |= np.arange(a, b + width - 1, dtype=np.uint64)  # ties by place: the first
+        size = 1
+        while size * 2 <= width:
+            low = np.minimum(low[:-size], low[size:])
+            size *= 2
+        out[a:b] = np.minimum(low[: b - a], low[width - size : width - size + b - a]) & _U(0xFFFFFFFF)
+    return out
 
 
 def _keys(data: np.ndarray, starts: np.ndarray, owns: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Of all windows of a pack: places, parts, anchors' places and anchors' hashes; and the hashes of all GRAM-byte strings."""
+    """Of all windows of a pack: places and parts; of their runs of one anchor: sizes, and the anchors' hashes; and the hashes of all GRAM-byte strings."""
     grams = _hashes(data)
     places, part = _windows(starts, owns)
-    anchor = _anchors(grams, places, length)
-    return places, part, anchor, _text.mix(grams[anchor]), grams
+    anchor = _anchors(grams, length)[places]
+    heads = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+    return places, part, np.diff(np.append(heads, len(anchor))), _text.mix(grams[anchor[heads]]), grams
+
+
+def _twice(key: np.ndarray) -> np.ndarray:
+    """Those that occur more than once."""
+    key = np.sort(key)
+    return np.unique(key[1:][key[1:] == key[:-1]])
+
+
+def _among(key: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Whether each is one of some sorted ones."""
+    return some[np.minimum(np.searchsorted(some, key), len(some) - 1)] == key if len(some) else np.zeros(len(key), bool)
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int, ranges: int) -> Iterator[pa.RecordBatch]:
     """The distinct anchors of each pack, in blocks by ranges of their hashes."""
     for batch in batches:
         for i in range(batch.num_rows):
-            _, _, anchor, key, _ = _keys(_numbers(batch.column("text"), i, np.uint8), _ints(batch.column("starts"), i), _ints(batch.column("owns"), i), length)
-            new = np.ones(len(key), bool)
-            new[1:] = anchor[1:] != anchor[:-1]
-            key = np.unique(key[new])
+            key = np.unique(_keys(_numbers(batch.column("text"), i, np.uint8), _ints(batch.column("starts"), i), _ints(batch.column("owns"), i), length)[3])
             bucket = (key >> _U(40)).astype(np.int64) * ranges >> 24
             cuts = np.searchsorted(bucket, np.arange(ranges + 1))
             some = np.flatnonzero(np.diff(cuts))
@@ -196,17 +209,13 @@ def _candidates(pack: pa.Table, flags: pa.Table, length: int) -> tuple[list, lis
     """What of a pack goes into the sort (a row of STATE), and the spans that its own equal windows remove (rows of doc, th, from, to)."""
     raw = _numbers(pack.column("text"), 0, np.uint8)
     docs, ths, begins, starts, owns = (_ints(pack.column(c), 0) for c in ("docs", "ths", "begins", "starts", "owns"))
-    places, part, anchor, key, grams = _keys(raw, starts, owns, length)
+    places, part, sizes, key, grams = _keys(raw, starts, owns, length)
     shared = np.sort(np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(x.as_buffer(), np.uint64) for x in flags.column("keys")]]))
-    hit = shared[np.minimum(np.searchsorted(shared, key), len(shared) - 1)] == key if len(shared) else np.zeros(len(key), bool)
-    new = np.ones(len(key), bool)
-    new[1:] = anchor[1:] != anchor[:-1]
-    heads = np.sort(key[new])
-    twice = np.unique(heads[1:][heads[1:] == heads[:-1]])
-    own = twice[np.minimum(np.searchsorted(twice, key), len(twice) - 1)] == key if len(twice) else np.zeros(len(key), bool)
+    hit, own = _among(key, shared), _among(key, _twice(key))
+    run = np.repeat(np.arange(len(sizes)), sizes)
     # Equal windows of the pack: all but the first are settled.
-    gone = np.zeros(len(key), bool)
-    if len(at := np.flatnonzero(own)):
+    gone = np.zeros(len(run), bool)
+    if len(at := np.flatnonzero(own[run])):
         h = grams[places[at]]
         with np.errstate(over="ignore"):
             for k in [*range(GRAM, length - GRAM, GRAM), length - GRAM]:
@@ -219,14 +228,9 @@ def _candidates(pack: pa.Table, flags: pa.Table, length: int) -> tuple[list, lis
         buf = np.concatenate([raw, np.zeros(8, np.uint8)])
         later[later] = _same(buf, places[at[order[later]]], places[at[head[later]]], length)
         gone[at[order[later]]] = True
-    left = (hit | own) & ~gone
-    some = np.flatnonzero(left & ~hit)  # alone in its pack now?
-    if len(some):
-        begin = np.ones(len(some), bool)
-        begin[1:] = anchor[some[1:]] != anchor[some[:-1]]
-        heads = np.sort(key[some[begin]])
-        twice = np.unique(heads[1:][heads[1:] == heads[:-1]])
-        left[some] = np.isin(key[some], twice)
+    left = (hit | own)[run] & ~gone
+    some = np.unique(run[left & ~hit[run]])  # of these anchors, one alone has nothing left to meet
+    left &= (hit | _among(key, _twice(key[some])))[run]
     spans = []
     if len(at := np.flatnonzero(gone)):
         a, b = _runs(places[at], part[at], length)
@@ -258,7 +262,7 @@ class Words:
 
     @staticmethod
     def of(found: list[int]) -> Words:
-        number = np.zeros(256, np.uint64)
+        number = np.zeros(256, np.uint16)
         number[sorted(found)] = np.arange(1, len(found) + 1)
         base, symbols = len(found) + 1, 1
         while base ** (symbols + 1) <= 2**64 and symbols < NAME:
@@ -275,10 +279,10 @@ class Suffixes:
         self.begins = np.cumsum(self.lens + 1) - self.lens - 1
         self.n, self.words, self.length = int((self.lens + 1).sum()), words, length
         place = np.arange(len(text)) + np.repeat(np.arange(len(self.lens)), self.lens)
-        self.sym = np.zeros(self.n + length + 64, np.uint64)
+        self.sym = np.zeros(self.n + length + 64, np.uint8 if words.base <= 256 else np.uint16)
         self.sym[place] = words.number[text]
-        self.bytes = np.zeros(self.n + length + 64, np.uint8)
-        self.bytes[place] = text
+        self.bytes = np.zeros(self.n + length + 80, np.uint8)
+        self.bytes[place + 8] = text
         self.valid = np.zeros(self.n + PERIOD, bool)
         self.valid[place] = np.unpackbits(_numbers(batch.column("valid"), row, np.uint8), count=len(text)).view(bool)
 
@@ -291,9 +295,12 @@ class Suffixes:
     def word(self, at: np.ndarray, skip: int = 0) -> np.ndarray:
         """The word of the symbols that begin ``skip`` behind each place, NAME in all at most."""
         w, base = np.zeros(len(at), np.uint64), _U(self.words.base)
-        for k in range(skip, min(skip + self.words.symbols, NAME)):
-            w *= base
-            w += self.sym[at + k]
+        for a in range(0, len(at), SLAB):
+            some, part = w[a : a + SLAB], at[a : a + SLAB] + skip
+            for _ in range(skip, min(skip + self.words.symbols, NAME)):
+                some *= base
+                some += self.sym[part]
+                part += 1
         return w
 
     def distances(self, at: np.ndarray) -> np.ndarray:
@@ -305,10 +312,7 @@ class Suffixes:
 
     def eight(self, at: np.ndarray, n: int = 8) -> np.ndarray:
         """The ``n`` bytes at each place as a number that sorts like them; what lies outside is zero."""
-        w = np.zeros(len(at), np.uint64)
-        for k in range(n):
-            w = (w << _U(8)) | np.where(at + k >= 0, self.bytes[np.maximum(at + k, 0)], 0).astype(np.uint64)
-        return w
+        return _text.numbers(self.bytes)[at + 8].byteswap() >> _U(64 - 8 * n) if n else np.zeros(len(at), np.uint64)
 
 
 def _steps(length: int) -> tuple[list[int], int]:
@@ -365,6 +369,8 @@ def _named(rows: pa.Table, n_words: int) -> pa.Table:
 def _order(c: dict[str, np.ndarray], n_names: int) -> tuple[np.ndarray, np.ndarray]:
     """The sampled suffixes of a range sorted by their names and what follows, ties by pack and place; and the run of equals of each."""
     keys = [c["tail"], *[c[f"n{i}"] for i in reversed(range(n_names))]]
+    if all(not len(k) or k.max() < 1 << 32 for k in keys):  # two in one
+        keys = [(b << _U(32)) | a for a, b in zip(keys[::2], keys[1::2])] + keys[len(keys) // 2 * 2 :]
     order = np.lexsort(keys)
     new = np.zeros(len(order), bool)
     for k in keys:
@@ -378,21 +384,27 @@ def _repeats(rows: pa.Table, n_names: int) -> pa.Table:
     ids, pack, c = _joined(rows, ["place", "mask", "tail", "before", "behind", *[f"n{i}" for i in range(n_names)]])
     c["mask"] = c["mask"].astype(np.uint16)
     order, run = _order(c, n_names)
-    mask, before, behind = (c[k][order] for k in ("mask", "before", "behind"))
+    twin = run[1:] == run[:-1]
+    met = np.zeros(len(order), bool)
+    met[1:] |= twin
+    met[:-1] |= twin
+    order, run = order[met], run[met]
     n, out = len(order), np.zeros(len(order), np.uint16)
+    if not n:
+        return _back(ids, pack[:0], {"place": c["place"][:0], "found": out})
+    mask, before, behind = (c[k][order] for k in ("mask", "before", "behind"))
     heads = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
     size = np.diff(np.append(heads, n))
     even = np.ones(len(heads), bool)  # runs whose members agree in all bytes around, too
     for k in (before, behind):
         even &= np.minimum.reduceat(k, heads) == np.maximum.reduceat(k, heads)
     even = np.repeat(even, size)
-    alone = np.repeat(size == 1, size)
     index = np.arange(n)
     for d in range(PERIOD):
         has = (mask >> np.uint16(d)) & np.uint16(1) > 0
         first = np.repeat(np.minimum.reduceat(np.where(has, index, n), heads), size)
         out |= ((has & even & (index > first)).astype(np.uint16)) << np.uint16(d)
-        at = np.flatnonzero(has & ~even & ~alone)
+        at = np.flatnonzero(has & ~even)
         if len(at):
             # The d bytes before, then those behind: eight in all.
             around = behind[at] if d == 0 else before[at] & _U((1 << 8 * d) - 1)
@@ -402,7 +414,7 @@ def _repeats(rows: pa.Table, n_names: int) -> pa.Table:
             later = np.zeros(len(at), bool)
             later[1:] = (run[at][by][1:] == run[at][by][:-1]) & (around[by][1:] == around[by][:-1])
             out[at[by[later]]] |= np.uint16(1 << d)
-    found = np.zeros(n, np.uint16)
+    found = np.zeros(len(pack), np.uint16)
     found[order] = out
     on = np.flatnonzero(found)
     return _back(ids, pack[on], {"place": c["place"][on], "found": found[on]})
@@ -506,8 +518,10 @@ class Sorter:
                         name = np.zeros(s.n + length, np.uint64)
                         name[at] = own = _unpacked(batch.column("name")[i])
                         bucket = np.searchsorted(firsts.value, own.astype(np.int64), "right") - 1
+                        mine = (bucket >= lo) & (bucket < hi)
+                        at, bucket = at[mine], bucket[mine]
                         mask = s.distances(at)
-                        mine = (mask > 0) & (bucket >= lo) & (bucket < hi)
+                        mine = mask > 0
                         at = at[mine]
                         behind = at + steps[-1] + NAME
                         made = [at, mask[mine], s.eight(behind, tail), s.eight(at - 8), s.eight(behind + tail), *[name[at + k] for k in steps]]
