@@ -7,10 +7,10 @@ which a ridge regression for each language is fitted. Scoring multiplies batches
 landmarks' presence matrix, and the kernels with the fitted weights.
 
 The best of k languages always scores at least 1 / k, so a score can't tell that a text is of none of them. That is told by the cover: the share
-of the text's distinct sequences that a language's landmarks have. A text whose cover is below the bound of every language is ``und``. A
-language's bound lies half way between the cover of all but the lowest hundredth of its own fitted rows (a landmark's by the other
+of the text's distinct sequences that a language's landmarks have. A text whose cover is below the bound of every language is of none of them: it gets its best language like
+any other, but is told apart (``known``), and ``identified`` rejects it. A language's bound lies half way between the cover of all but the lowest hundredth of its own fitted rows (a landmark's by the other
 landmarks) and the median cover of the other languages' rows. The
-longer a text, the more rare sequences it has: a long one below the bounds is ``und`` only if most of its pieces of ``PIECE_CHARS`` are, too.
+longer a text, the more rare sequences it has: a long one below the bounds is of none only if most of its pieces of ``PIECE_CHARS`` are, too.
 
 Fitting takes at most ``fit_rows`` labelled rows a language, none longer than ``fit_chars`` characters, picked by a hash of doc_id; the driver
 fits, the executors score every whole text.
@@ -192,11 +192,11 @@ def fit_rows(docs: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS) -> l
 _tables: dict[str, np.ndarray] = {}
 
 
-def _predict(m: Model | None, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-    """Languages and scores of whole texts, in slabs of bounded size."""
+def _predict(m: Model | None, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Languages and scores of whole texts, in slabs of bounded size, and whether they are of any learned language."""
     if m is not None and m.letters not in _tables:
         _tables[m.letters] = letter_table(m.letters)
-    pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    pred, score, sure = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
     todo, size = [], 0
     for i in range(len(texts) + 1):
         if todo and (i == len(texts) or size > SLAB_CHARS or len(todo) == 64):
@@ -206,32 +206,32 @@ def _predict(m: Model | None, texts: list[str | None]) -> tuple[list[str], np.nd
                 pieces = [text[a : a + PIECE_CHARS] for a in range(0, len(text), PIECE_CHARS)]
                 known[j] = 2 * sum(int(m.score(pieces[a : a + 64], _tables[m.letters])[1].sum()) for a in range(0, len(pieces), 64)) >= len(pieces)
             best = got.argmax(1)
-            score[todo] = np.where(known, np.clip((got[np.arange(len(todo)), best] + 1) / 2, 0, 1), 0)
-            for k, b, ok in zip(todo, best.tolist(), known.tolist()):
-                pred[k] = m.langs[b] if ok else UNKNOWN
+            score[todo], sure[todo] = np.clip((got[np.arange(len(todo)), best] + 1) / 2, 0, 1), known
+            for k, b in zip(todo, best.tolist()):
+                pred[k] = m.langs[b]
             todo, size = [], 0
         if i < len(texts) and m is not None and texts[i] and any(map(str.isalpha, texts[i])):
             todo.append(i)
             size += len(texts[i])
-    return pred, score
+    return pred, score, sure
 
 
 def identified(docs: DataFrame, min_score: float, rows: int = FIT_ROWS, chars: int = FIT_CHARS) -> DataFrame:
-    """``docs`` without those that are ``und`` or score less than ``min_score``; all columns stay as they are. ``rows`` and ``chars`` bound the sample that the model is fitted on."""
+    """``docs`` without those that are ``und``, of none of the learned languages, or score less than ``min_score``; all columns stay as they are. ``rows`` and ``chars`` bound the sample that the model is fitted on."""
     model = docs.sparkSession.sparkContext.broadcast(fit(fit_rows(docs, rows, chars)))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pred, score = _predict(model.value, batch.column("text").to_pylist())
-            yield batch.filter(pa.array([p != UNKNOWN and s >= min_score for p, s in zip(pred, score.tolist())], pa.bool_()))
+            _, score, sure = _predict(model.value, batch.column("text").to_pylist())
+            yield batch.filter(pa.array(sure & (score >= min_score)))
 
     return docs.mapInArrow(keep, docs.schema)
 
 
 def identify(docs: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS) -> DataFrame:
-    """doc_id, held_out, lang_pred and score (0 to 1) of every row. ``rows`` (a language) and ``chars`` bound the sample that the model is fitted on.
+    """doc_id, held_out, lang_pred, score (0 to 1) and known of every row. ``rows`` (a language) and ``chars`` bound the sample that the model is fitted on.
 
-    Null texts, texts without letters or of none of the learned languages, and all texts where nothing can be learned, are ``und`` with score 0. Null doc_ids are not held
+    Null texts, texts without letters, and all texts where nothing can be learned, are ``und`` with score 0; any other text has a learned language, ``known`` tells whether it looks like a text of one. Null doc_ids are not held
     out and not learned from. Of languages that score alike the first by name is taken. A very long text is read whole, some 20 bytes of memory a character. Repeated rows are
     predicted alike; an empty table gives no rows; other columns don't matter.
     """
@@ -239,8 +239,8 @@ def identify(docs: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS) -> D
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pred, score = _predict(model.value, batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(pred, pa.string()), pa.array(score)], names=["doc_id", "held_out", "lang_pred", "score"])
+            pred, score, sure = _predict(model.value, batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(pred, pa.string()), pa.array(score), pa.array(sure)], names=["doc_id", "held_out", "lang_pred", "score", "known"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double, known boolean")

@@ -338,6 +338,16 @@ def test_language_identification(spark, docs, no_docs, rows):
     assert langid.identify(nothing).first().lang_pred == "und"
 
 
+def test_texts_of_no_learned_language(spark, rows):
+    """They get a learned language like any other text with a letter; only the filter rejects them."""
+    odd = [(901, "Η γρήγορη καφέ αλεπού πηδάει πάνω από το τεμπέλικο σκυλί " * 4), (902, "xkcd qwrtp zzgh bvnm plkj hgfd " * 9), (903, "1 2 3")]
+    docs = spark.createDataFrame(rows + [(i, t, None, None, len(t), *"abcdefghijk") for i, t in odd], SCHEMA)
+    got = {r.doc_id: r for r in langid.identify(docs).where("doc_id > 900 OR doc_id = 7").collect()}
+    assert got[901].lang_pred in ("en", "fr") and got[902].lang_pred in ("en", "fr") and not got[901].known and not got[902].known
+    assert got[903].lang_pred == "und" and got[903].score == 0 and got[7].known
+    assert {r.doc_id for r in langid.identified(docs, 0.2).where("doc_id > 900 OR doc_id = 7").collect()} == {7}
+
+
 def test_kernel_is_the_presence_kernel():
     texts = ["La maison, verte!", "la  Maison", "xyz", "é"]
     letters = "".join(sorted({c for t in texts for c in t.lower() if c.isalpha()}))
