@@ -743,7 +743,7 @@ def issues_artifact(spark, d):
 def _dictionary_file(spark, d, write, name, take):
     with _scratch(spark, "dictionary") as folder:
         write(f"{folder}/{name}")
-        result = dictionaries.ingest_dictionary(spark, f"{folder}/{name}")
+        result = dictionaries.ingest_dictionary(spark, f"{folder}/{name}", range_bytes=X.RANGE_BYTES)
         out = _kept(take(result, folder))
         result.release()
     return out
@@ -793,8 +793,10 @@ def dictionary_issues_artifact(spark, d):
 def inspected_dictionary(spark, d):
     with _scratch(spark, "dictionary") as folder:
         X.write_dictionary_csv(spark, d, f"{folder}/parts.csv")
-        got = dictionaries.inspect_dictionary(spark, f"{folder}/parts.csv")
-    return spark.createDataFrame([(got["source_name"], got["physical_rows"], got["blank_rows"])], "source_name string, physical_rows long, blank_rows long")
+        rows, raw, _, source = dictionaries.inspected_rows(spark, f"{folder}/parts.csv", range_bytes=X.RANGE_BYTES)
+        out = _kept(dictionaries.sheet_counts(rows).select(F.lit(source).alias("source_name"), "*"))
+        raw.unpersist()
+    return out
 
 
 @query(f"WITH {V.DICT} SELECT row_number, array_to_string(list_filter([CASE WHEN expected_field <> '' THEN 'Field Name' END, CASE WHEN sub_domain <> '' THEN 'Sub-Domain' END, CASE WHEN example IS NOT NULL THEN 'Example=' || example END], lambda x: x IS NOT NULL), '|') AS cells FROM dict WHERE {_OK}")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from packloom.functions import text as T
 from packloom.operators import dictionary as D
 from packloom.operators.timings import DICTIONARY_STAGES, Clock
+from packloom.sources.records import RANGE_BYTES
 from packloom.sources.sheets import SheetError, sheet_rows, sheets_of
 
 
@@ -69,44 +70,60 @@ def keyed_rows(raw: DataFrame, names: list[str], header_row: int) -> DataFrame:
     return after.select("row_number", F.map_from_arrays(keys, cleaned).alias("cells"), F.map_from_arrays(keys, kinds).alias("types"))
 
 
-def _selected(spark: SparkSession, path: str, sheet: str | None, header_row: int) -> tuple[DataFrame, list[str], str]:
+def _selected(spark: SparkSession, path: str, sheet: str | None, header_row: int, range_bytes: int = RANGE_BYTES) -> tuple[DataFrame, list[str], str]:
     names = sheets_of(path)
     if sheet is not None and names and sheet not in names:
         raise SheetError(f"no worksheet {sheet!r}; there are {names}")
-    if not path.lower().endswith((".csv", ".xlsx")):
+    if not path.lower().rstrip("/").endswith((".csv", ".xlsx")):
         raise SheetError(f"neither a CSV file nor a workbook: {path}")
-    raw = sheet_rows(spark, path, sheet if names else None).cache()
+    raw = sheet_rows(spark, path, sheet if names else None, range_bytes).cache()
     return raw, headers_of(raw, header_row), (sheet or names[0]) if names else _base(path)
 
 
+def sheet_counts(rows: DataFrame) -> DataFrame:
+    """physical_rows and blank_rows of ``keyed_rows``, one row."""
+    return rows.agg(F.count(F.lit(1)).alias("physical_rows"), F.count_if(D.blank_row(F.col("cells"))).alias("blank_rows"))
+
+
+def sheet_cells(rows: DataFrame) -> DataFrame:
+    """(column, value, type) of all cells of ``keyed_rows``."""
+    return rows.select(F.explode(F.arrays_zip(F.map_keys("cells").alias("column"), F.map_values("cells").alias("value"), F.map_values("types").alias("type"))).alias("c")).select("c.*")
+
+
+def inspected_rows(spark: SparkSession, path: str, sheet: str | None = None, header_row: int = 1, range_bytes: int = RANGE_BYTES) -> tuple[DataFrame, DataFrame, list[str], str]:
+    """A sheet's rows below the header; the cached rows that they are made of, for the caller to unpersist; the header; the source's name."""
+    raw, headers, source = _selected(spark, path, sheet, header_row, range_bytes)
+    return keyed_rows(raw, unique_names(headers), header_row), raw, headers, source
+
+
 def inspect_dictionary(spark: SparkSession, path: str, sheet: str | None = None, header_row: int = 1) -> dict[str, object]:
     """Counts and columns of a sheet, without normalising it."""
-    raw, headers, source = _selected(spark, path, sheet, header_row)
-    rows = keyed_rows(raw, unique_names(headers), header_row)
-    n = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(D.blank_row(F.col("cells"))).alias("b")).first()
-    cells = rows.select(F.explode(F.arrays_zip(F.map_keys("cells").alias("column"), F.map_values("cells").alias("value"), F.map_values("types").alias("type"))).alias("c")).select("c.*")
-    mixed = {r["column"]: r.types for r in D.mixed_types(cells).collect()}
+    rows, raw, headers, source = inspected_rows(spark, path, sheet, header_row)
+    n = sheet_counts(rows).first()
+    mixed = {r["column"]: r.types for r in D.mixed_types(sheet_cells(rows)).collect()}
     raw.unpersist()
     return {
         "source_name": source,
         "sheet_names": sheets_of(path),
         "columns": unique_names(headers),
-        "physical_rows": n.n,
-        "blank_rows": n.b,
-        "non_target_rows": n.b,
+        "physical_rows": n.physical_rows,
+        "blank_rows": n.blank_rows,
+        "non_target_rows": n.blank_rows,
         "duplicate_or_blank_columns": sorted({h for h in headers if h == "" or headers.count(h) > 1}),
         "mixed_type_columns": mixed,
     }
 
 
-def ingest_dictionary(spark: SparkSession, path: str, config: dict = D.TEMPLATE, sheet: str | None = None, progress: Callable[[str, str], None] | None = None) -> DictionaryResult:
-    """Targets, issues and counts of a dictionary file. SheetError and MappingError tell files and columns that can't be used."""
+def ingest_dictionary(
+    spark: SparkSession, path: str, config: dict = D.TEMPLATE, sheet: str | None = None, progress: Callable[[str, str], None] | None = None, range_bytes: int = RANGE_BYTES
+) -> DictionaryResult:
+    """Targets, issues and counts of a dictionary file; a CSV file may be a folder of parts, and tasks read ranges of ``range_bytes`` of it. SheetError and MappingError tell files and columns that can't be used."""
     clock = Clock(progress, DICTIONARY_STAGES)
     header_row = int(config.get("header_row", 1)) if isinstance(config, dict) else 1
     with clock("file_read_ms", path):
         sheets = sheets_of(path)
     with clock("worksheet_read_ms", path):
-        raw, headers, source = _selected(spark, path, sheet, header_row)
+        raw, headers, source = _selected(spark, path, sheet, header_row, range_bytes)
     names = unique_names(headers)
     mapping = D.bind_columns(config, names)
     rows = keyed_rows(raw, names, header_row)
@@ -122,7 +139,7 @@ def ingest_dictionary(spark: SparkSession, path: str, config: dict = D.TEMPLATE,
         "dictionary_filename": _base(path),
         "dictionary_id": mapping.dictionary_id,
         "source_name": source,
-        "format": path.rsplit(".", 1)[-1].lower(),
+        "format": path.rstrip("/").rsplit(".", 1)[-1].lower(),
         "sheet_names": sheets,
         "selected_sheet": source if sheets else None,
         "header_row": header_row,

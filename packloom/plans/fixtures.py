@@ -90,16 +90,21 @@ ARCHIVE_MEMBERS = f"""member0 AS (SELECT doc_id, doc_id % {ARCHIVES} AS a, CASE
 member AS (SELECT *, CASE WHEN a = 0 THEN 'a0.zip!/in/0.zip' ELSE 'a' || a || '.zip' END AS archive_path, strlen(content) AS size, k <= 500 AND doc_id % 19 <> 0 AS good FROM member0 WHERE k <= 500)"""
 
 
+#: Rows of a part of a written dictionary, and the bytes of the ranges in which queries read it: some ranges a part.
+PART_ROWS, RANGE_BYTES = 20_000, 1 << 16
+
+
 def write_dictionary_csv(spark: SparkSession, d: str, path: str) -> None:
-    """Parts as a CSV dictionary of one file."""
+    """Parts as a CSV dictionary: a folder of part files, each written by a task. Some cells span lines."""
     order = V.DICTIONARY_COLUMNS
+    rows = V.dictionary(spark, d)
     cells = [F.coalesce(F.try_element_at("cells", F.lit(c)), F.lit("")) for c in order]
+    cells = [F.when(F.col("row_number") % 3 == 0, F.concat(c, F.lit("\r\n"))).otherwise(c) for c in cells]  # goes when cells are cleaned
     quoted = [F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) for c in cells]
-    line = V.dictionary(spark, d).select("row_number", F.concat_ws(",", *quoted).alias("line"))
-    rows = line.groupBy().agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_number", "line"))), lambda x: x["line"]), "\n").alias("body"))
-    head = ",".join(f'"{c}"' for c in order)
-    base, name = path.rsplit("/", 1)
-    write_files(rows.select(F.lit(name).alias("name"), F.concat(F.lit(head + "\n"), "body", F.lit("\n")).alias("content")), base)
+    head = spark.range(1).select(F.lit(-(2**31)).alias("row_number"), F.lit(",".join(f'"{c}"' for c in order)).alias("line"))
+    lines = head.unionByName(rows.select("row_number", F.concat_ws(",", *quoted).alias("line")))
+    parts = 1 + rows.count() // PART_ROWS
+    lines.repartitionByRange(parts, "row_number").sortWithinPartitions("row_number").select("line").write.text(path)
 
 
 def write_dictionary_xlsx(spark: SparkSession, d: str, path: str, sheet: str) -> None:

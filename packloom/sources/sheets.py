@@ -1,6 +1,6 @@
 """Rows of a CSV file or of a workbook's sheet, with their physical numbers and the types of their cells.
 
-CSV rows are records (a quoted cell may span lines); empty lines are rows. Workbooks are read as OOXML with the standard library:
+CSV rows are records (a quoted cell may span lines); empty lines are rows; they are read by many tasks, see ``records``. Workbooks are read as OOXML with the standard library:
 cached values of formulas, shared and inline strings, numbers, booleans. Numbers in date formats stay numbers.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from packloom.ship import ship
+from packloom.sources.records import CELL_LIMIT, RANGE_BYTES, csv_records
 from packloom.sources.shared import filesystem
 
 SCHEMA = "row_number int, cells array<string>, types array<string>"
@@ -92,6 +93,7 @@ def workbook_rows(content: bytes, sheet: str | None = None) -> Iterator[list]:
 
 def csv_rows(stream) -> Iterator[list]:
     """Records of a byte stream, read as it goes."""
+    csv.field_size_limit(CELL_LIMIT)
     try:
         yield from csv.reader(io.TextIOWrapper(stream, "utf-8-sig", newline=""))
     except (UnicodeDecodeError, csv.Error) as e:
@@ -147,11 +149,18 @@ class SheetRows(DataSource):
         return SheetReader(self.options["path"], self.options.get("sheet"))
 
 
-def sheet_rows(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
+def sheet_rows(spark: SparkSession, path: str, sheet: str | None = None, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Every physical row (row_number, cells, types). A CSV file, or a folder of its parts, is read in ranges of ``range_bytes``; a workbook by one task, whose rows are dealt out at once."""
     ship(spark)
+    if path.lower().rstrip("/").endswith(".csv"):
+        try:
+            return csv_records(spark, path, range_bytes)
+        except ValueError as e:
+            raise SheetError(f"not a CSV file in UTF-8: {e}") from e
     spark.dataSource.register(SheetRows)
     reader = spark.read.format("sheet_rows")
-    return (reader.option("sheet", sheet) if sheet is not None else reader).load(path)
+    rows = (reader.option("sheet", sheet) if sheet is not None else reader).load(path)
+    return rows.repartition(spark.sparkContext.defaultParallelism, "row_number")
 
 
 def sheets_of(path: str) -> list[str]:
