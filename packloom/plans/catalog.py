@@ -716,17 +716,18 @@ def file_times(spark, d):
     return _ingested(spark, d, X.write_document_pack, lambda r: r.file_timings.select("relative_path", "file_size", "detected_type", status.alias("status"), sound.alias("timed")), limits=members.ArchiveLimits(max_depth=0))
 
 
-@query(f"WITH {X.ARCHIVE_MEMBERS} SELECT archive_path || '!/' || path AS logical_path, path AS archive_member_path, size AS size_bytes, sha256(content) AS file_hash, CASE WHEN a = 0 THEN 2 ELSE 1 END AS archive_depth FROM member WHERE good")
+@query(f"WITH {X.ARCHIVE_MEMBERS} SELECT archive_path || '!/' || path AS logical_path, path AS archive_member_path, size AS size_bytes, sha256(content) AS file_hash, CASE WHEN a = 0 THEN 2 ELSE 1 END AS archive_depth FROM member WHERE good UNION ALL SELECT 'a0.zip!/in/0.zip', 'in/0.zip', size, NULL, 1 FROM inner_zip")
 def members_registered(spark, d):
-    """Members of archives, and of one within another."""
-    take = lambda r: r.registry.where("archive_depth > 0 AND file_type <> 'zip'").select("logical_path", "archive_member_path", "size_bytes", "file_hash", "archive_depth")
+    """Members of archives, and of one within another, which is a member, too."""
+    file_hash = F.when(F.col("file_type") != "zip", F.col("file_hash")).alias("file_hash")
+    take = lambda r: r.registry.where("archive_depth > 0").select("logical_path", "archive_member_path", "size_bytes", file_hash, "archive_depth")
     return _ingested(spark, d, X.write_archive_pack, take)
 
 
-@query(f"WITH {X.ARCHIVE_MEMBERS} SELECT archive_path, count(*) AS member_count, count(*) FILTER (good) AS extracted_count, count(*) FILTER (NOT good) AS rejected_count, 0 AS ignored_count, CAST(coalesce(sum(size) FILTER (good), 0) AS BIGINT) AS total_uncompressed_bytes FROM member GROUP BY archive_path")
+@query(f"WITH {X.ARCHIVE_MEMBERS} SELECT archive_path, count(*) AS member_count, count(*) FILTER (good) AS extracted_count, count(*) FILTER (NOT good) AS rejected_count, 0 AS ignored_count, CAST(coalesce(sum(size) FILTER (good), 0) AS BIGINT) AS total_uncompressed_bytes FROM member GROUP BY archive_path UNION ALL SELECT 'a0.zip', 1, 1, 0, 0, size FROM inner_zip")
 def archive_counters(spark, d):
     names = ["archive_path", "member_count", "extracted_count", "rejected_count", "ignored_count", "total_uncompressed_bytes"]
-    return _ingested(spark, d, X.write_archive_pack, lambda r: r.archives.where("archive_path <> 'a0.zip'").select(*names))
+    return _ingested(spark, d, X.write_archive_pack, lambda r: r.archives.select(*names))
 
 
 @query(f"WITH {X.ARCHIVE_MEMBERS} SELECT 'ARCHIVE_ABSOLUTE_PATH' AS issue_code, 'error' AS severity, archive_path AS source_path, path AS archive_member_path FROM member WHERE NOT good")

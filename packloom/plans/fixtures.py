@@ -1,4 +1,4 @@
-"""Packs and dictionary files made of the tables, for queries over what the engine reads and writes: tasks write the files into the shared folder."""
+"""Test data for the catalog beside its views: packs and dictionary files made of the tables, for queries over what the engine reads and writes. Tasks write the files into the shared folder."""
 
 from __future__ import annotations
 
@@ -19,7 +19,8 @@ from packloom.sources.shared import filesystem
 SUFFIXES = (".txt", ".pdf", ".csv", ".json", ".md", ".log", ".zip")
 HEADS = ("", "%PDF-1.4 /Type /Page ", "", "", "", "", "")
 KINDS = ("text", "pdf", "csv", "json", "text", "text", "zip")
-ARCHIVES = 12
+#: Documents of an archive, fewer than an archive may have members.
+ARCHIVE_DOCS = 400
 
 
 def write_files(rows: DataFrame, folder: str) -> None:
@@ -59,35 +60,34 @@ def write_document_pack(spark: SparkSession, d: str, folder: str) -> None:
     write_files(document_files(spark, d), folder)
 
 
+def _zipped(entries: list[tuple[str, bytes]]) -> bytes:
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
+        for name, content in entries:
+            z.writestr(zipfile.ZipInfo(name), content)
+    return out.getvalue()
+
+
 def write_archive_pack(spark: SparkSession, d: str, folder: str) -> None:
-    """Documents as members of archives, dealt by doc_id; some members have absolute paths, and one archive holds another."""
+    """Documents as members of archives of ``ARCHIVE_DOCS`` doc_ids each; some members have absolute paths, and the first archive lies in another."""
     t, i = V.table(spark, d, "documents").select("doc_id", "text"), F.col("doc_id")
     path = F.concat(F.when(i % 19 == 0, "/").otherwise(""), F.lit("m/"), i, F.lit(".txt"))
-    rows = t.select((i % ARCHIVES).alias("archive"), i.alias("k"), path.alias("path"), F.coalesce("text", F.lit("")).cast("binary").alias("content"))
-    groups = rows.groupBy("archive").agg(F.array_sort(F.collect_list(F.struct("k", "path", "content"))).alias("e"))  # small tables only
+    rows = t.select(F.expr(f"doc_id DIV {ARCHIVE_DOCS}").alias("archive"), i.alias("k"), path.alias("path"), F.coalesce("text", F.lit("")).cast("binary").alias("content"))
     ship(spark)
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for archive, entries in zip(batch.column("archive").to_pylist(), batch.column("e").to_pylist()):
-                out = io.BytesIO()
-                with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
-                    for e in entries:
-                        z.writestr(zipfile.ZipInfo(e["path"]), e["content"])
-                data = out.getvalue()
-                if archive == 0:  # an archive in an archive
-                    out = io.BytesIO()
-                    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
-                        z.writestr(zipfile.ZipInfo("in/0.zip"), data)
-                    data = out.getvalue()
-                yield pa.RecordBatch.from_arrays([pa.array([f"a{archive}.zip"]), pa.array([data], pa.binary())], names=["name", "content"])
+    def pack(key: tuple, rows: pa.Table) -> pa.Table:
+        archive, rows = key[0].as_py(), rows.sort_by("k")
+        data = _zipped(list(zip(rows.column("path").to_pylist(), rows.column("content").to_pylist())))
+        data = _zipped([("in/0.zip", data)]) if archive == 0 else data
+        return pa.table({"name": [f"a{archive}.zip"], "content": pa.array([data], pa.binary())})
 
-    write_files(groups.mapInArrow(pack, "name string, content binary"), folder)
+    write_files(rows.groupBy("archive").applyInArrow(pack, "name string, content binary"), folder)
 
 
-#: The members of those archives; limits are those of the engine.
-ARCHIVE_MEMBERS = f"""member0 AS (SELECT doc_id, doc_id % {ARCHIVES} AS a, CASE WHEN doc_id % 19 = 0 THEN '/' ELSE '' END || 'm/' || doc_id || '.txt' AS path, coalesce(text, '') AS content, row_number() OVER (PARTITION BY doc_id % {ARCHIVES} ORDER BY doc_id) AS k FROM documents),
-member AS (SELECT *, CASE WHEN a = 0 THEN 'a0.zip!/in/0.zip' ELSE 'a' || a || '.zip' END AS archive_path, strlen(content) AS size, k <= 500 AND doc_id % 19 <> 0 AS good FROM member0 WHERE k <= 500)"""
+#: The members of those archives, stored with 76 bytes and twice their name each, and 22 bytes an archive.
+ARCHIVE_MEMBERS = f"""member0 AS (SELECT doc_id, doc_id // {ARCHIVE_DOCS} AS a, CASE WHEN doc_id % 19 = 0 THEN '/' ELSE '' END || 'm/' || doc_id || '.txt' AS path, coalesce(text, '') AS content FROM documents),
+member AS (SELECT *, CASE WHEN a = 0 THEN 'a0.zip!/in/0.zip' ELSE 'a' || a || '.zip' END AS archive_path, strlen(content) AS size, doc_id % 19 <> 0 AS good FROM member0),
+inner_zip AS (SELECT CAST(22 + sum(76 + 2 * strlen(path) + size) AS BIGINT) AS size FROM member WHERE a = 0 HAVING count(*) > 0)"""
 
 
 #: Rows of a part of a written dictionary, and the bytes of the ranges in which queries read it: some ranges a part.
@@ -108,24 +108,25 @@ def write_dictionary_csv(spark: SparkSession, d: str, path: str) -> None:
 
 
 def write_dictionary_xlsx(spark: SparkSession, d: str, path: str, sheet: str) -> None:
-    """The same as a workbook of one sheet with inline strings."""
+    """The same as a workbook of one sheet with inline strings, which one task writes as the rows come."""
     order = V.DICTIONARY_COLUMNS
     ship(spark)
     rows = V.dictionary(spark, d).select("row_number", F.array(*[F.try_element_at("cells", F.lit(c)) for c in order]).alias("cells"))
-    every = rows.groupBy().agg(F.array_sort(F.collect_list(F.struct("row_number", "cells"))).alias("e"))
 
     def book(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
         rel = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
         row = lambda n, cells: f'<row r="{n}">' + "".join(f'<c r="{chr(65 + i)}{n}" t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>' for i, v in enumerate(cells) if v is not None) + "</row>"
-        for batch in batches:
-            for e in batch.column("e").to_pylist():
-                out = io.BytesIO()
-                with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-                    z.writestr("xl/workbook.xml", f'<workbook {main} {rel}><sheets><sheet name="{sheet}" sheetId="1" r:id="rId1"/></sheets></workbook>')
-                    z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>')
-                    body = row(1, order) + "".join(row(r["row_number"] + 1, r["cells"]) for r in e)
-                    z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {main}><sheetData>{body}</sheetData></worksheet>")
-                yield pa.RecordBatch.from_arrays([pa.array([path.rsplit("/", 1)[1]]), pa.array([out.getvalue()], pa.binary())], names=["name", "content"])
-
-    write_files(every.mapInArrow(book, "name string, content binary"), path.rsplit("/", 1)[0])
+        where, name = filesystem(path)
+        where.create_dir(name.rsplit("/", 1)[0], recursive=True)
+        with where.open_output_stream(name, compression=None) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("xl/workbook.xml", f'<workbook {main} {rel}><sheets><sheet name="{sheet}" sheetId="1" r:id="rId1"/></sheets></workbook>')
+            z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>')
+            with z.open("xl/worksheets/sheet1.xml", "w") as part:
+                part.write(f"<worksheet {main}><sheetData>{row(1, order)}".encode())
+                for batch in batches:
+                    part.write("".join(row(n + 1, cells) for n, cells in zip(batch.column("row_number").to_pylist(), batch.column("cells").to_pylist())).encode())
+                part.write(b"</sheetData></worksheet>")
+        yield pa.RecordBatch.from_arrays([pa.array([path])], names=["name"])
+
+    rows.repartition(1).sortWithinPartitions("row_number").mapInArrow(book, "name string").count()

@@ -22,8 +22,9 @@ from packloom.operators import classify, duplicates, members, timings
 from packloom.operators.dictionary import histogram
 from packloom.operators.members import ArchiveLimits
 from packloom.operators.schemas import SOURCE_ISSUE
-from packloom.sources.archives import extract_members, list_archives, open_source
+from packloom.sources.archives import PLACE, extract_members, list_archives, open_source
 from packloom.sources.pack_files import pack_files
+from packloom.sources.records import CELL_LIMIT
 from packloom.sources.shared import remove_dir, scratch, written
 from packloom.sources.sheets import SheetError, sheet_names
 
@@ -63,16 +64,23 @@ def source_pack_id(root: str) -> str:
     return "sp_" + hashlib.sha256(place.casefold().encode()).hexdigest()[:16]
 
 
-def discover(spark: SparkSession, root: str, hashed: bool = True) -> DataFrame:
-    """Every file with its type and disposition; unless hashed only heads are read."""
-    rows = held(pack_files(spark, root, hashed), {"detected_type": files.file_type(F.col("head"), F.col("file_name"))})
-    return rows.withColumns({"extension": files.extension(F.col("file_name")), "disposition": files.disposition(F.col("file_name"), F.col("detected_type"), F.col("error").isNull())})
+def discover(spark: SparkSession, root: str, hashed: bool = True) -> tuple[DataFrame, str]:
+    """Every file with its type and disposition, as a written table, and its folder; unless hashed only heads are read."""
+    rows, listing = pack_files(spark, root, hashed)
+    rows = held(rows, {"detected_type": files.file_type(F.col("head"), F.col("file_name"))})
+    rows = rows.withColumns({"extension": files.extension(F.col("file_name")), "disposition": files.disposition(F.col("file_name"), F.col("detected_type"), F.col("error").isNull())})
+    folder = scratch(spark, "discovered")
+    out = written(rows, folder)
+    for x in listing:
+        remove_dir(x)
+    return out, folder
 
 
 def _facts_of(kind: str, stream) -> dict[str, str]:
     if kind == "xlsx":
         names = sheet_names(stream)
         return {"sheet_count": str(len(names)), "sheet_names": "|".join(names)}
+    csv.field_size_limit(CELL_LIMIT)
     header = next(csv.reader(io.TextIOWrapper(stream, "utf-8-sig", newline="")), [])
     return {"column_count": str(len(header)), "columns": "|".join(header[:HEADER_COLUMNS])}
 
@@ -190,7 +198,8 @@ def ingest_source_pack(spark: SparkSession, root: str, limits: ArchiveLimits = A
         return written(df, kept[-1])
 
     with clock("discovery_ms", root):  # files are hashed as they are read
-        found = keep(discover(spark, root))
+        found, folder = discover(spark, root)
+        kept.append(folder)
     lost = F.col("sha256").isNull() & F.col("disposition").isin("registered", "registered_with_warnings", "rejected")
     if fail_on_unreadable and (bad := found.where(lost).select("relative_path", "error").first()):
         raise OSError(f"{bad.relative_path}: {bad.error}")
@@ -203,8 +212,9 @@ def ingest_source_pack(spark: SparkSession, root: str, limits: ArchiveLimits = A
             listed = keep(list_archives(zips, limits))
             heads.append(listed.where("idx IS NULL").select("archive", "archive_path", "archive_depth", "entries", "corrupt", "duration_ms"))
             checked = members.check_members(listed.where("idx IS NOT NULL").drop("entries", "corrupt", "duration_ms"), limits)
-            passed = checked.where("status = 'registered'").select("archive", "idx", "member_path")
+            passed = checked.where("status = 'registered'").select("archive", "idx", "member_path", *PLACE)
             data = keep(extract_members(zips, passed))
+            checked = checked.drop("header_offset", "method", "stored_name")
         broken = F.lit("ARCHIVE_EXTRACTION_FAILED")
         checked = checked.join(data.select("archive", "idx", "failure", "duration_ms"), ["archive", "idx"], "left")
         failed = F.col("failure").isNotNull()
@@ -306,8 +316,8 @@ def pack_summary(found: DataFrame, sources: DataFrame, archives: DataFrame, grou
 
 
 def inspect_source_pack(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """What a pack holds, by heads alone: files, extension counts, repeated names, archives, unsupported files."""
-    found = discover(spark, root, hashed=False).drop("head").cache()
+    """What a pack holds, by heads alone: files, extension counts, repeated names, archives, unsupported files; all read one written table, which stays in the shared folder."""
+    found = discover(spark, root, hashed=False)[0].drop("head")
     name = casefold(F.col("file_name"))
     return {
         "files": found.select("path", "relative_path", "file_name", "extension", "detected_type", "size_bytes", "disposition"),

@@ -54,7 +54,7 @@ def test_settings(tmp_path):
     assert (s.environment_name, s.log_level, s.hosted_llm_enabled) == ("ci", "DEBUG", True)
     assert "secret" not in repr(s) and "secret" not in json.dumps(s.public())
     with pytest.raises(ValueError):
-        Settings(log_level="LOUD")
+        Settings(log_level="CHATTY")
     f.write_text("nonsense: 1\n")
     with pytest.raises(ValueError, match="nonsense"):
         load_settings(str(f), {})
