@@ -238,14 +238,15 @@ SELECT (SELECT count(*) FROM pack) AS files_discovered, 0 AS files_rejected, (SE
 ))
 def pack_summary(spark, d):
     """The plan's summary, over sources, archives and members that the tables stand for."""
-    rows = V.pack(spark, d)
     odd = F.col("doc_id") % 17 == 0
-    found = rows.select("doc_id", F.col("logical_path").alias("relative_path"), F.col("file_type").alias("detected_type"), files.disposition(F.col("file_name"), F.when(odd, "unknown").otherwise(F.col("file_type"))).alias("disposition"), F.lit(None).cast("string").alias("error"))
-    sources = rows.where(~files.is_ignored(F.col("file_name")))
-    checked = _checked(spark, d).withColumns({"archive_path": F.col("archive").cast("string"), "failure": F.lit(None).cast("string")})
-    archives = members.archive_summaries(checked).withColumns({"archive_path": F.col("archive").cast("string"), "corrupt": F.lit(None).cast("string"), "issues": F.array().cast("array<string>")})
-    out = pack_plan.pack_summary(found, sources, archives, duplicates.all_groups(sources), classify.classify_sources(sources), pack_plan.pack_issues(found, archives, checked))
-    return out.withColumns(_as_text("files_by_detected_type", "classification_counts", "warnings_by_code"))
+    with _scratch(spark, "pack") as folder:  # as the engine does, tables that are read several times are kept
+        rows = written(V.pack(spark, d), f"{folder}/rows")
+        found = rows.select("doc_id", F.col("logical_path").alias("relative_path"), F.col("file_type").alias("detected_type"), files.disposition(F.col("file_name"), F.when(odd, "unknown").otherwise(F.col("file_type"))).alias("disposition"), F.lit(None).cast("string").alias("error"))
+        sources = rows.where(~files.is_ignored(F.col("file_name")))
+        checked = written(_checked(spark, d).select("archive", "member_path", "uncompressed_size", "status", "issues", F.col("archive").cast("string").alias("archive_path"), F.lit(None).cast("string").alias("failure")), f"{folder}/checked")
+        archives = members.archive_summaries(checked).withColumns({"archive_path": F.col("archive").cast("string"), "corrupt": F.lit(None).cast("string"), "issues": F.array().cast("array<string>")})
+        out = pack_plan.pack_summary(found, sources, archives, duplicates.all_groups(sources), classify.classify_sources(sources), pack_plan.pack_issues(found, archives, checked))
+        return _kept(out.withColumns(_as_text("files_by_detected_type", "classification_counts", "warnings_by_code")))
 
 
 # Dictionary cells and headers

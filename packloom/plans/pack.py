@@ -291,28 +291,38 @@ def pack_issues(found: DataFrame, archives: DataFrame, checked: DataFrame) -> Da
     return failed.unionByName(file).unionByName(archive).unionByName(member)
 
 
-def _as_map(counts: DataFrame, name: str) -> DataFrame:
-    key, n = counts.columns
-    return counts.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, n)))).alias(name))
-
-
 def pack_summary(found: DataFrame, sources: DataFrame, archives: DataFrame, groups: DataFrame, classes: DataFrame, issues: DataFrame) -> DataFrame:
-    """One row of 13 counts; the maps have a few keys. Warnings are those of files, archives and members."""
-    d = F.col("disposition")
-    parts = [
-        found.agg(F.count(F.lit(1)).alias("files_discovered"), F.count_if(d == "rejected").alias("files_rejected"), F.count_if(d == "ignored").alias("files_ignored")),
-        sources.agg(F.count(F.lit(1)).alias("files_registered"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("total_source_bytes")),
-        archives.agg(F.count(F.lit(1)).alias("archives"), F.coalesce(F.sum("member_count"), F.lit(0)).alias("archive_members")),
-        groups.agg(F.count_if(F.col("duplicate_type") == "identical_content").alias("identical_content_groups"), F.count_if(F.col("duplicate_type") == "same_filename_different_content").alias("same_name_different_content_findings")),
-        classes.agg(F.count_if(F.col("primary_label") == "unknown").alias("unknown_classifications")),
-        _as_map(histogram(found, "detected_type"), "files_by_detected_type"),
-        _as_map(histogram(classes, "primary_label"), "classification_counts"),
-        _as_map(histogram(issues.where("origin <> 'registration'"), "issue_code"), "warnings_by_code"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.crossJoin(p)  # rows of one
-    return out
+    """One row of 13 counts, in one aggregate over narrow rows of all tables, each read once; the maps have a few keys. Warnings are those of files, archives and members."""
+
+    def facts(df: DataFrame, of: str, key: Column = F.lit(None), state: Column = F.lit(None), value: Column = F.lit(0)) -> DataFrame:
+        return df.select(F.lit(of).alias("of"), key.cast("string").alias("k"), state.cast("string").alias("state"), value.cast("long").alias("v"))
+
+    every = _union([
+        facts(found, "file", F.col("detected_type"), F.col("disposition")),
+        facts(sources, "source", value=F.col("size_bytes")),
+        facts(archives, "archive", value=F.col("member_count")),
+        facts(groups, "group", F.col("duplicate_type")),
+        facts(classes, "label", F.col("primary_label")),
+        facts(issues.where("origin <> 'registration'"), "code", F.col("issue_code")),
+    ])
+    counts = every.groupBy("of", "k").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("state") == "rejected").alias("rejected"), F.count_if(F.col("state") == "ignored").alias("ignored"), F.sum("v").alias("v"))
+    of = lambda x, c, key=None: F.coalesce(F.sum(F.when((F.col("of") == x) & (F.lit(True) if key is None else F.col("k") == key), F.col(c))), F.lit(0))
+    bars = lambda x: F.map_from_entries(F.array_sort(F.collect_list(F.when((F.col("of") == x) & F.col("k").isNotNull(), F.struct("k", "n")))))
+    return counts.agg(
+        of("file", "n").alias("files_discovered"),
+        of("file", "rejected").alias("files_rejected"),
+        of("file", "ignored").alias("files_ignored"),
+        of("source", "n").alias("files_registered"),
+        of("source", "v").alias("total_source_bytes"),
+        of("archive", "n").alias("archives"),
+        of("archive", "v").alias("archive_members"),
+        of("group", "n", "identical_content").alias("identical_content_groups"),
+        of("group", "n", "same_filename_different_content").alias("same_name_different_content_findings"),
+        of("label", "n", "unknown").alias("unknown_classifications"),
+        bars("file").alias("files_by_detected_type"),
+        bars("label").alias("classification_counts"),
+        bars("code").alias("warnings_by_code"),
+    )
 
 
 def inspect_source_pack(spark: SparkSession, root: str) -> dict[str, DataFrame]:
