@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from packloom.functions.text import casefold, strip
 from packloom.operators.schemas import CANDIDATE, DOMAINS, VALIDATION_CHECKS
+from packloom.sources.shared import remove_dir, scratch, written
 
 
 def violations(df: DataFrame, key: str, checks: dict[str, Column]) -> DataFrame:
@@ -48,14 +49,57 @@ def orphans(nodes: DataFrame) -> DataFrame:
     return nodes.where(F.coalesce(F.col("parent_id"), F.lit("")) != "").join(parents, "parent_id", "left_anti").select("node_id", "parent_id")
 
 
-def node_paths(nodes: DataFrame, max_depth: int = 10) -> DataFrame:
-    """node_id, path from its root and depth, level by level; a cycle is never entered, since levels start at the roots."""
-    level = nodes.where(F.coalesce(F.col("parent_id"), F.lit("")) == "").select("node_id", F.col("node_id").alias("path"), F.lit(0).alias("depth"))
-    out = level
-    for _ in range(max_depth):
-        level = nodes.select("node_id", "parent_id").join(level.select(F.col("node_id").alias("parent_id"), F.col("path").alias("p"), "depth"), "parent_id")
-        level = level.select("node_id", F.concat_ws("/", "p", "node_id").alias("path"), (F.col("depth") + 1).alias("depth"))
-        out = out.unionByName(level)
+def _climbed(nodes: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Two written tables, (node_id, depth) of the nodes below a root and (node_id, up) of those that no number of steps leads out of the tree; and the folders to remove.
+
+    Pointers double: after r rounds a node's pointer is 2**r ancestors up, so that a tree of any depth takes the logarithm of it. A node that has not come to a root or a missing parent after as many steps
+    as there are nodes is on a cycle or below one; its pointer is then on it.
+    """
+    spark, folders = nodes.sparkSession, []
+
+    def kept(df: DataFrame) -> DataFrame:
+        folders.append(scratch(spark, "climb"))
+        return written(df, folders[-1])
+
+    root = F.coalesce(F.col("parent_id"), F.lit("")) == ""
+    first = kept(nodes.select("node_id", F.when(~root, F.col("parent_id")).alias("up")).distinct())
+    every = kept(first.select("node_id", "up", F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("depth")))
+    steps, n = 1, every.where("up IS NOT NULL").count()
+    most = n  # no node has more ancestors
+    while n and steps <= most:
+        ahead = every.select(F.col("node_id").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("d2"))
+        moved = every.where("up IS NOT NULL").join(ahead, "up")  # what points to a missing node goes
+        every = kept(every.where("up IS NULL").unionByName(moved.select("node_id", F.col("up2").alias("up"), (F.col("depth") + F.col("d2")).alias("depth"))))
+        steps, n = 2 * steps, every.where("up IS NOT NULL").count()
+    return every.where("up IS NULL").select("node_id", "depth"), every.where("up IS NOT NULL").select("node_id", "up"), folders
+
+
+def node_paths(nodes: DataFrame) -> DataFrame:
+    """node_id, path from its root and depth of every node below a root, however deep. Nodes below a missing parent, on a cycle or below one have none."""
+    spark = nodes.sparkSession
+    rooted, _, folders = _climbed(nodes)
+    deepest = rooted.agg(F.coalesce(F.max("depth"), F.lit(0))).first()[0]
+    pairs = nodes.select("node_id", F.when(F.coalesce(F.col("parent_id"), F.lit("")) != "", F.col("parent_id")).alias("up")).distinct()
+    every, steps = pairs.join(rooted, "node_id").select("node_id", "up", F.col("node_id").alias("path"), "depth"), 1
+    while True:
+        folder = scratch(spark, "paths")
+        every = written(every, folder)
+        for x in folders:
+            remove_dir(x)
+        folders = [folder]
+        if steps > deepest:
+            return every.select("node_id", "path", F.col("depth").cast("int").alias("depth"))
+        ahead = every.select(F.col("node_id").alias("up"), F.col("up").alias("up2"), F.col("path").alias("p"))
+        moved = every.where("up IS NOT NULL").join(ahead, "up").select("node_id", F.col("up2").alias("up"), F.concat_ws("/", "p", "path").alias("path"), "depth")
+        every, steps = every.where("up IS NULL").unionByName(moved), 2 * steps
+
+
+def cycles(nodes: DataFrame) -> DataFrame:
+    """node_id of the nodes that are their own ancestors."""
+    _, stuck, folders = _climbed(nodes)
+    out = written(stuck.select(F.col("up").alias("node_id")).distinct(), scratch(nodes.sparkSession, "cycles"))
+    for x in folders:
+        remove_dir(x)
     return out
 
 

@@ -541,7 +541,18 @@ def index_unique(spark, d):
 
 @query(f"WITH RECURSIVE {V.NODES}, p(node_id, path, depth) AS (SELECT node_id, node_id, 0 FROM nodes WHERE parent_id IS NULL UNION ALL SELECT n.node_id, p.path || '/' || n.node_id, p.depth + 1 FROM nodes n JOIN p ON n.parent_id = p.node_id) SELECT * FROM p")
 def index_paths(spark, d):
-    return contracts.node_paths(V.nodes(spark, d), 4)
+    return contracts.node_paths(V.nodes(spark, d))
+
+
+@query(f"WITH RECURSIVE {V.CHAINS}, p(node_id, path, depth) AS (SELECT node_id, node_id, 0 FROM chain WHERE parent_id IS NULL UNION ALL SELECT n.node_id, p.path || '/' || n.node_id, p.depth + 1 FROM chain n JOIN p ON n.parent_id = p.node_id) SELECT node_id, sha256(path) AS path_hash, depth FROM p")
+def chain_paths(spark, d):
+    """Paths of hundreds of nodes; chains that begin with a cycle have none."""
+    return contracts.node_paths(V.chains(spark, d)).select("node_id", F.sha2("path", 256).alias("path_hash"), "depth")
+
+
+@query(f"WITH RECURSIVE {V.CHAINS}, r(node_id, up) AS (SELECT node_id, parent_id FROM chain WHERE parent_id IS NOT NULL UNION SELECT r.node_id, n.parent_id FROM r JOIN chain n ON r.up = n.node_id WHERE n.parent_id IS NOT NULL) SELECT node_id FROM r WHERE node_id = up")
+def chain_cycles(spark, d):
+    return contracts.cycles(V.chains(spark, d))
 
 
 # Telemetry

@@ -175,6 +175,20 @@ NODES = """nodes AS (SELECT 'r' || r_regionkey AS node_id, NULL AS parent_id, 's
   UNION ALL SELECT 'c' || c_custkey, 'n' || (c_nationkey + CASE WHEN c_custkey % 13 = 0 THEN 100 ELSE 0 END), 'page', c_name FROM customer)"""
 
 
+#: Nodes of a chain, and of the cycle that every other chain begins with.
+CHAIN, CYCLE = 500, 50
+
+
+def chains(spark: SparkSession, d: str) -> DataFrame:
+    """Parts as chains of nodes, each below the part before it."""
+    k = F.col("p_partkey").cast("long")
+    above = F.when(k % CHAIN != 1, k - 1).when(k % (2 * CHAIN) != 1, k + (CYCLE - 1))
+    return table(spark, d, "part").select(F.concat(F.lit("p"), k).alias("node_id"), F.concat(F.lit("p"), above).alias("parent_id"))
+
+
+CHAINS = f"""chain AS (SELECT 'p' || p_partkey AS node_id, 'p' || CASE WHEN p_partkey % {CHAIN} <> 1 THEN p_partkey - 1 WHEN p_partkey % {2 * CHAIN} <> 1 THEN p_partkey + {CYCLE - 1} END AS parent_id FROM part)"""
+
+
 def calls(spark: SparkSession, d: str) -> DataFrame:
     """Events as model calls."""
     t = table(spark, d, "events").select("event_id", "event_type", "user_id", "value", "props")

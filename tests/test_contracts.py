@@ -15,7 +15,7 @@ def test_tree(spark):
     nodes = spark.createDataFrame([("pack", None), ("doc", "pack"), ("page", "doc"), ("lost", "gone"), ("doc", "pack")], "node_id string, parent_id string")
     assert [r.node_id for r in contracts.orphans(nodes).collect()] == ["lost"]
     assert [r.node_id for r in contracts.repeated(nodes, "node_id").collect()] == ["doc"]
-    assert ("page", "pack/doc/page", 2) in {tuple(r) for r in contracts.node_paths(nodes, 3).collect()}
+    assert ("page", "pack/doc/page", 2) in {tuple(r) for r in contracts.node_paths(nodes).collect()}
 
 
 def test_telemetry(spark):
@@ -104,3 +104,17 @@ def test_capability(spark):
     assert unknown_columns(got.columns, schemas.fields(Echo.output_schema).names) == []
     with pytest.raises(TypeError):
         contracts.Capability()
+
+
+def test_trees_of_any_depth_and_cycles(spark):
+    """A chain of 5,000 nodes, a cycle with a tail, a node that is its own parent, one below a missing node, and a repeated row."""
+    pairs = [(f"c{i}", f"c{i - 1}" if i else None) for i in range(5000)] + [(f"o{i}", f"o{(i + 1) % 7}") for i in range(7)] + [("t0", "o3"), ("t1", "t0"), ("self", "self"), ("lost", "nowhere"), ("below", "lost"), ("alone", ""), ("c1", "c0")]
+    nodes = spark.createDataFrame(pairs, "node_id string, parent_id string").repartition(4)
+    got = contracts.node_paths(nodes).select("node_id", F.length("path").alias("n"), "depth", F.right("path", F.lit(11)).alias("end")).collect()
+    assert {r.node_id: r.depth for r in got} == {f"c{i}": i for i in range(5000)} | {"alone": 0} and len(got) == 5001
+    last = next(r for r in got if r.node_id == "c4999")
+    assert last.n == sum(len(f"c{i}") + 1 for i in range(5000)) - 1 and last.end == "c4998/c4999"
+    assert {r.node_id for r in contracts.cycles(nodes).collect()} == {f"o{i}" for i in range(7)} | {"self"}
+    assert {tuple(r) for r in contracts.orphans(nodes).collect()} == {("lost", "nowhere")}
+    none = nodes.limit(0)
+    assert not contracts.node_paths(none).count() and not contracts.cycles(none).count()
