@@ -1,7 +1,7 @@
 """Mixing sources to target weights, with DataFrame functions alone on the data's path.
 
 Each source's documents follow each other in a pseudorandom order and are packed into blocks of ``BLOCK_WORDS`` words (the last may be
-short). The mix is a number of slots, one block each, in output shards of ``SHARD_SLOTS`` slots. A source's quota is the number of slots that meets its target. The shards' counts of each source are
+short; a source of fewer than ``BLOCK_WORDS`` squared words has blocks of size / ``BLOCK_WORDS`` words, one at least, so that whole blocks meet its target as closely). The mix is a number of slots, one block each, in output shards of ``SHARD_SLOTS`` slots. A source's quota is the number of slots that meets its target. The shards' counts of each source are
 drawn together: a pseudorandom permutation deals the slots of all quotas over all shards, which is how independent multinomial draws of the
 shards are distributed, given that their sums meet the quotas. Slot j of a source is block perm(j mod n) of its n blocks, under a pseudorandom
 permutation for each pass over the source; slots and blocks meet in a join by index. Full passes take every block once, so no block is taken more often
@@ -77,7 +77,7 @@ def sized(docs: DataFrame, row: str | None = None) -> DataFrame:
 
 
 def sources_of(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """A written table of the sources: source, src (by code point, null last), docs, source_size, target, blocks, quota, base (quotas of the sources before), slots (all quotas).
+    """A written table of the sources: source, src (by code point, null last), docs, source_size, target, block_words, blocks, quota, base (quotas of the sources before), slots (all quotas).
 
     Targets are the lesser of ``most`` times the size and the weight's share of a level; the level is raised until they meet the total.
     """
@@ -93,7 +93,8 @@ def sources_of(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
             break
         level, full = (total - got[0]) / got[1], got[2]
     found = found.withColumn("target", F.when(F.col("w") * F.lit(level) > F.col("top"), F.col("top").cast("double")).otherwise(F.col("w") * F.lit(level)))
-    found = found.withColumn("blocks", F.ceil(F.col("source_size") / block_words).cast("long"))
+    found = found.withColumn("block_words", F.greatest(F.lit(1), F.least(F.lit(block_words), F.expr(f"source_size DIV {block_words}"))).cast("long"))
+    found = found.withColumn("blocks", F.ceil(F.col("source_size") / F.col("block_words")).cast("long"))
     found = found.withColumn("quota", F.when(F.col("source_size") > 0, F.round(F.col("target") * F.col("blocks") / F.col("source_size"))).otherwise(0).cast("long"))
     found = running(found.drop("w", "top"), [F.col("src")], {"base": F.col("quota")})
     slots = found.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0]
@@ -118,7 +119,7 @@ def slots_of(sources: DataFrame, seed: int = SEED, shard_slots: int = SHARD_SLOT
 def mix(rows: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED) -> dict[str, DataFrame]:
     """Of a kept table of ``sized`` rows: ``rows`` (with src, source_size and target), ``pieces`` (each row's share of each block), and ``slots`` (src, block, shard, slot)."""
     sources = sources_of(rows, block_words=block_words)
-    recipe = sources.select(F.col("source").alias("s"), "src", "source_size", "target", F.greatest(F.lit(1), F.ceil(F.col("docs") / BUCKET_ROWS)).cast("long").alias("parts"))
+    recipe = sources.select(F.col("source").alias("s"), "src", "source_size", "target", "block_words", F.greatest(F.lit(1), F.ceil(F.col("docs") / BUCKET_ROWS)).cast("long").alias("parts"))
     rows = rows.join(recipe, F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("part", F.pmod("h", "parts"))
 
     # Running sums in two levels: within parts of bounded size, and over the parts' totals.
@@ -126,10 +127,9 @@ def mix(rows: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED) -> di
     parts = rows.groupBy("src", "part").agg(F.sum("size").alias("n"))
     parts = parts.withColumn("base", F.coalesce(F.sum("n").over(W.partitionBy("src").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     placed = rows.withColumn("at", F.coalesce(F.sum("size").over(order), F.lit(0))).join(parts.select("src", "part", "base"), ["src", "part"])
-    begin = F.col("at") + F.col("base")
-    b = F.lit(block_words)
-    pieces = placed.where("size > 0").select("__row", "src", begin.alias("begin"), (begin + F.col("size")).alias("end"))
-    pieces = pieces.withColumn("block", F.explode(F.sequence(F.floor(F.col("begin") / b), F.floor((F.col("end") - 1) / b))))
+    begin, b = F.col("at") + F.col("base"), F.col("block_words")
+    pieces = placed.where("size > 0").select("__row", "src", b, begin.alias("begin"), (begin + F.col("size")).alias("end"))
+    pieces = pieces.withColumn("block", F.explode(F.sequence(F.expr("begin DIV block_words"), F.expr("(end - 1) DIV block_words"))))
     lo, hi = F.greatest(F.col("begin"), F.col("block") * b), F.least(F.col("end"), (F.col("block") + 1) * b)
     pieces = pieces.select("__row", "src", "block", (lo - F.col("begin")).alias("from"), (hi - lo).alias("words"))
     return {"rows": rows, "pieces": pieces, "slots": slots_of(sources, seed)}

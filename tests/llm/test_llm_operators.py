@@ -439,11 +439,12 @@ def brute_mix(rows):
         parts = max(1, -(-len(mine) // mixing.BUCKET_ROWS))
         mine.sort(key=lambda r: (order(r) % parts, order(r), r[0] is not None, r[0] or 0, r[3]))
         size = sum(r[3] for r in mine)
-        blocks = -(-size // mixing.BLOCK_WORDS)
+        words_ = max(1, min(mixing.BLOCK_WORDS, size // mixing.BLOCK_WORDS))
+        blocks = -(-size // words_)
         quota = int(target * blocks / size + 0.5) if size else 0
-        plan.append((src, mine, size, target, blocks, quota))
+        plan.append((src, mine, size, target, blocks, quota, words_))
     slots, base = sum(p[5] for p in plan), 0
-    for src, mine, size, target, blocks, quota in plan:
+    for src, mine, size, target, blocks, quota, words_ in plan:
         drawn, shard = Counter(), {}
         for j in range(quota):
             place = brute_permuted(base + j, slots, spark_hash((mixing.SEED, "i"), ("shards", "s")))
@@ -453,7 +454,7 @@ def brute_mix(rows):
         base += quota
         at = 0
         for doc_id, _, _, n in mine:
-            at, spans_ = at + n, [(at + i) // mixing.BLOCK_WORDS for i in range(n)]
+            at, spans_ = at + n, [(at + i) // words_ for i in range(n)]
             first = min((shard[b] for b in set(spans_) if b in shard), default=None)
             out.append((doc_id, n, size, target, sum(drawn[b] for b in spans_), first))
     return Counter(out)
@@ -486,6 +487,13 @@ def test_mixing(spark, docs, no_docs, rows, monkeypatch):
     assert mixing.mixed_documents(no_docs).count() == 0
 
 
+def test_small_sources_meet_their_targets(spark):
+    sizes = [1, 2, 3, 5, 65, 65, 65, 65, 100, 300, 7, 0]
+    rows = [(i, " ".join(f"w{j}" for j in range(n)), None, f"s{i:02}" if i else None, n, *"abcdefghijk") for i, n in enumerate(sizes)]
+    got = mixing.mix_shares(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert all(abs(r.taken - r.target) <= 4 and r.taken <= 3 * r.size for r in got) and sum(r.taken > 0 for r in got) > 8
+
+
 def test_targets():
     assert mixing.targets([100, 100, 100]) == [187.5, 75.0, 37.5]
     assert mixing.targets([10, 100, 100]) == [30.0, 120.0, 60.0]
