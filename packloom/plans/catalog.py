@@ -546,7 +546,7 @@ def index_paths(spark, d):
 
 @query(f"WITH RECURSIVE {V.CHAINS}, p(node_id, path, depth) AS (SELECT node_id, node_id, 0 FROM chain WHERE parent_id IS NULL UNION ALL SELECT n.node_id, p.path || '/' || n.node_id, p.depth + 1 FROM chain n JOIN p ON n.parent_id = p.node_id) SELECT node_id, sha256(path) AS path_hash, depth FROM p")
 def chain_paths(spark, d):
-    """Paths of hundreds of nodes; chains that begin with a cycle have none."""
+    """Paths of up to a hundred nodes; chains that begin with a cycle have none."""
     return contracts.node_paths(V.chains(spark, d)).select("node_id", F.sha2("path", 256).alias("path_hash"), "depth")
 
 

@@ -176,7 +176,7 @@ NODES = """nodes AS (SELECT 'r' || r_regionkey AS node_id, NULL AS parent_id, 's
 
 
 #: Nodes of a chain, and of the cycle that every other chain begins with.
-CHAIN, CYCLE = 500, 50
+CHAIN, CYCLE = 100, 20
 
 
 def chains(spark: SparkSession, d: str) -> DataFrame:
