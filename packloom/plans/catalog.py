@@ -45,7 +45,9 @@ def _as_text(*maps: str) -> dict:
 
 
 def _flat(groups: DataFrame) -> DataFrame:
-    return groups.withColumn("source_ids", F.array_join("source_ids", "|")).drop("rationale", "place")
+    """A row a group, all ids of which are one text: so much is asked for here, the operator's own rows are bounded."""
+    whole = groups.groupBy("group_id", "duplicate_type", "content_hash", "recommended_canonical_source_id").agg(F.array_sort(F.collect_list(F.struct("part", F.array_join("source_ids", "|").alias("s")))).alias("p"))
+    return whole.withColumn("source_ids", F.array_join(F.transform("p", lambda x: x["s"]), "|")).drop("p")
 
 
 def _group_sql(keys: str, having: str, kind: str, content: str, where: str = "") -> str:
@@ -85,6 +87,19 @@ def dup_all_union(spark, d):
     return _flat(duplicates.all_groups(V.pack(spark, d)))
 
 
+@query(f"""WITH {V.PACK}, kind AS (SELECT rank, key0, key1, source_id, logical_path, file_hash, file_name FROM (SELECT 0 AS rank, file_hash AS key0, NULL AS key1, * FROM pack UNION ALL SELECT 1, logical_path, NULL, * FROM pack
+    UNION ALL SELECT 2, parent_archive_source_id, archive_member_path, * FROM pack WHERE archive_member_path IS NOT NULL UNION ALL SELECT 3, lower(file_name), NULL, * FROM pack)),
+  g AS (SELECT rank, key0, key1, string_agg(source_id, '|' ORDER BY lower(logical_path), source_id) AS every,
+    CASE rank WHEN 0 THEN CASE WHEN count(DISTINCT file_name) > 1 THEN 'same_content_different_filenames' ELSE 'identical_content' END WHEN 1 THEN 'duplicate_relative_path'
+      WHEN 2 THEN 'duplicate_archive_member_path' ELSE 'same_filename_different_content' END AS duplicate_type
+    FROM kind GROUP BY rank, key0, key1 HAVING CASE WHEN rank = 3 THEN count(DISTINCT file_hash) > 1 ELSE count(*) > 1 END)
+  SELECT 'dup_' || substr(sha256(duplicate_type || '|' || every), 1, 16) AS group_id, duplicate_type,
+    row_number() OVER (PARTITION BY kind.rank, kind.key0, kind.key1 ORDER BY lower(logical_path), source_id) AS position, source_id
+  FROM kind JOIN g ON kind.rank = g.rank AND kind.key0 IS NOT DISTINCT FROM g.key0 AND kind.key1 IS NOT DISTINCT FROM g.key1""")
+def dup_group_members(spark, d):
+    return duplicates.group_members(duplicates.all_groups(V.pack(spark, d), part=16), part=16)
+
+
 @query(f"WITH {V.PACK} SELECT file_hash, first(source_id ORDER BY lower(logical_path), source_id) AS canonical, count(*) AS n FROM pack GROUP BY file_hash")
 def canonical_source(spark, d):
     order = F.struct(T.casefold(F.col("logical_path")), F.col("source_id"))

@@ -301,7 +301,7 @@ def pack_summary(found: DataFrame, sources: DataFrame, archives: DataFrame, grou
         facts(found, "file", F.col("detected_type"), F.col("disposition")),
         facts(sources, "source", value=F.col("size_bytes")),
         facts(archives, "archive", value=F.col("member_count")),
-        facts(groups, "group", F.col("duplicate_type")),
+        facts(groups.where("part = 0"), "group", F.col("duplicate_type")),
         facts(classes, "label", F.col("primary_label")),
         facts(issues.where("origin <> 'registration'"), "code", F.col("issue_code")),
     ])
