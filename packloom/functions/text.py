@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Mapping
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,9 +41,20 @@ def or_null(x: Column) -> Column:
     return F.when(x != "", x)
 
 
+@cache
+def _foldings() -> tuple[dict[str, str], dict[str, str]]:
+    """Unicode's full case folding as data: signs that fold to one sign, and those that fold to several."""
+    every = {c: c.casefold() for c in map(chr, range(sys.maxunicode + 1)) if c.casefold() != c}
+    return {c: f for c, f in every.items() if len(f) == 1}, {c: f for c, f in every.items() if len(f) > 1}
+
+
 def casefold(x: Column) -> Column:
-    """Lower case with ß as ss: equal to full case folding for Western European text."""
-    return F.replace(F.lower(x), F.lit("ß"), F.lit("ss"))
+    """Full case folding, without normalisation, as Python's ``str.casefold``. ASCII texts take the short way; the few signs that fold to several are looked up only in texts that have one."""
+    one, several = _foldings()
+    table = F.create_map(*[F.lit(v) for pair in several.items() for v in pair])
+    signs = F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0))
+    spelt = F.when(x.rlike(f"[{''.join(several)}]"), F.array_join(F.transform(signs, lambda c: F.coalesce(table[c], c)), "")).otherwise(x)
+    return F.when(F.length(x) == F.octet_length(x), F.lower(x)).otherwise(F.translate(spelt, "".join(one), "".join(one.values())))
 
 
 def any_in(text: Column, terms: Iterable[str]) -> Column:

@@ -1,10 +1,13 @@
 """Duplicate groups of any size against plain Python."""
 
 import hashlib
+import sys
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
+from packloom.functions.text import casefold
 from packloom.operators import duplicates
 
 SCHEMA = "source_id string, logical_path string, file_hash string, parent_archive_source_id string, archive_member_path string"
@@ -48,3 +51,20 @@ def test_kinds_nulls_and_no_rows(spark):
     for part in (1, 100):
         got = {(r.duplicate_type, r.source_count) for r in duplicates.all_groups(spark.createDataFrame(rows, SCHEMA), part).collect()}
         assert got == {("identical_content", 2), ("duplicate_relative_path", 2), ("duplicate_archive_member_path", 2), ("same_filename_different_content", 3)}, got
+
+
+def test_folding_of_every_sign(spark):
+    """Each code point alone and amid others, and words with final sigma, long s, ligatures and dotted I."""
+    signs = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    lines = ["".join(signs[i : i + 512]) for i in range(0, len(signs), 512)]
+    texts = [*lines, *[f"A{c}Z" for c in signs if c.casefold() != c], "ΟΔΥΣΣΕΥΣ ὀδυσσεύς", "ſtraße ﬁsh ŉ İstanbul I\u0307", "\U00010400\U0001F600ẞ", "", None, "Plain ASCII\n"]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", casefold(F.col("t")).alias("f")).collect()
+    wrong = [(texts[r.i], r.f) for r in got if r.f != (None if texts[r.i] is None else texts[r.i].casefold())]
+    assert not wrong, wrong[:5]
+
+
+def test_names_are_grouped_by_full_folding(spark):
+    names = ["ΣΟΦΟΣ.txt", "σοφος.txt", "σοφοσ.txt", "ﬁle.pdf", "FILE.pdf", "Straße.csv", "STRASSE.csv", "ſtrasse.csv"]
+    rows = [(f"s{i}", f"d/{n}", f"h{i}", None, None) for i, n in enumerate(names)]
+    got = {frozenset(r.source_ids) for r in duplicates.name_groups(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {frozenset({"s0", "s1", "s2"}), frozenset({"s3", "s4"}), frozenset({"s5", "s6", "s7"})}
