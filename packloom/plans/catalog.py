@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from packloom.functions import files, ids, text as T
-from packloom.operators import classify, contracts, dictionary, duplicates, members, timings
+from packloom.operators import capabilities, classify, contracts, dictionary, duplicates, members, timings
 from packloom.plans import dictionaries, sinks
 from packloom.plans import fixtures as X
 from packloom.plans import pack as pack_plan
@@ -652,6 +652,31 @@ def retrieval_totals(spark, d):
 # Bundles and validations
 
 
+_TERMS = ("tion", "hand ", "Thou", "was", "that er")
+_BUNDLE = 3
+
+
+@query(f"""WITH u AS (SELECT CAST(conv_id AS VARCHAR) AS target_row_id, turn, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS position FROM conversations),
+  p AS (SELECT *, (position - 1) // {_BUNDLE} AS part, count(*) OVER (PARTITION BY target_row_id, (position - 1) // {_BUNDLE}) AS units FROM u),
+  h AS (SELECT *, list_filter(string_split(text, chr(10)), lambda l: contains(lower(l), term)) AS lines FROM p, (SELECT unnest({[t.lower() for t in _TERMS]}) AS term) WHERE contains(lower(text), term))
+  SELECT target_row_id, term AS requirement_id, first(lines[1] ORDER BY position) AS candidate_value, CAST(part AS VARCHAR) AS page_or_sheet, 'mentioned_terms' AS capability_id, count(*) / max(units) AS confidence,
+    string_agg(CAST(position AS VARCHAR), ',' ORDER BY position) AS units_cited, CASE WHEN count(*) / max(units) < 0.5 THEN 'confidence < 0.5D' ELSE '' END AS rejected_by FROM h GROUP BY target_row_id, term, part""")
+def capability_candidates(spark, d):
+    units = V.table(spark, d, "conversations").withColumn("target_row_id", F.col("conv_id").cast("string"))
+    found, _ = capabilities.bounded_bundles(units, "target_row_id", ["turn", "role", "text"], ["text"], _BUNDLE)
+    ability = capabilities.MentionedTerms(_TERMS, least=0.5)
+    got = ability.judged(ability.extract(found))
+    return got.select("target_row_id", "requirement_id", "candidate_value", "page_or_sheet", "capability_id", "confidence", F.col("reasoning_summary").alias("units_cited"), F.array_join("rejected_by", "|").alias("rejected_by"))
+
+
+@query(f"""WITH u AS (SELECT conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1) // 2 AS part, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS position,
+    turn, length(coalesce(text, '')) AS chars FROM conversations) SELECT conv_id, part, string_agg(position || ':' || turn || ':' || chars, '|' ORDER BY position) AS units, count(*) AS n_units FROM u GROUP BY conv_id, part""")
+def bounded_bundles(spark, d):
+    found, _ = capabilities.bounded_bundles(V.table(spark, d, "conversations"), "conv_id", ["turn", "role", "text"], ["turn", "text"], 2)
+    told = F.array_join(F.transform("units", lambda u: F.concat_ws(":", u["position"], u["turn"], F.length(F.coalesce(u["text"], F.lit(""))))), "|")
+    return found.select("conv_id", "part", told.alias("units"), "n_units")
+
+
 @query("SELECT conv_id, string_agg(turn || ':' || coalesce(role, '') || ':' || length(coalesce(text, '')), '|' ORDER BY turn, role, length(coalesce(text, ''))) AS units, count(*) AS n_units FROM conversations GROUP BY conv_id")
 def bundle_assembly(spark, d):
     t = V.table(spark, d, "conversations").select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.length(F.coalesce("text", F.lit(""))).alias("chars"))
