@@ -68,20 +68,20 @@ def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP3_SQL = r"""
-WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
-  list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l FROM documents),
-g AS (SELECT doc_id, i, array_to_string(w[i:i+2], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
-twice AS (SELECT doc_id, s FROM g GROUP BY doc_id, s HAVING count(*) > 1),
-rep AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT g.doc_id, unnest(range(i, i + 3)) AS j FROM g JOIN twice t ON g.doc_id = t.doc_id AND g.s = t.s) GROUP BY doc_id),
-n AS (SELECT doc_id, source, trim(regexp_replace(lower(unnest(l)), '[\x20\x09-\x0D]+', ' ', 'g')) AS line FROM d),
-h AS (SELECT source, count(*) AS host_docs FROM d GROUP BY source),
+WITH d AS (SELECT r, doc_id, coalesce(CAST(doc_id AS VARCHAR), 'row ' || r) AS doc, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+  list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l FROM (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents)),
+g AS (SELECT r, i, array_to_string(w[i:i+2], ' ') AS s FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
+twice AS (SELECT r, s FROM g GROUP BY r, s HAVING count(*) > 1),
+rep AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT g.r, unnest(range(i, i + 3)) AS j FROM g JOIN twice t ON g.r = t.r AND g.s = t.s) GROUP BY r),
+n AS (SELECT r, doc, source, trim(regexp_replace(lower(unnest(l)), '[\x20\x09-\x0D]+', ' ', 'g')) AS line FROM d),
+h AS (SELECT source, count(DISTINCT doc) AS host_docs FROM d GROUP BY source),
 often AS (SELECT n.source, line FROM n JOIN h ON n.source IS NOT DISTINCT FROM h.source GROUP BY n.source, line, host_docs
-  HAVING count(DISTINCT doc_id) > 10 AND 100 * count(DISTINCT doc_id) > host_docs),
-c AS (SELECT doc_id, sum(length(n.line)) AS total, sum(CASE WHEN o.line IS NOT NULL THEN length(n.line) ELSE 0 END) AS gone
-  FROM n LEFT JOIN often o ON n.line = o.line AND n.source IS NOT DISTINCT FROM o.source GROUP BY doc_id),
+  HAVING count(DISTINCT doc) > 10 AND 100 * count(DISTINCT doc) > host_docs),
+c AS (SELECT r, sum(length(n.line)) AS total, sum(CASE WHEN o.line IS NOT NULL THEN length(n.line) ELSE 0 END) AS gone
+  FROM n LEFT JOIN often o ON n.line = o.line AND n.source IS NOT DISTINCT FROM o.source GROUP BY r),
 b AS (SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
   len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(total, 0) AS total, coalesce(gone, 0) AS gone
-  FROM d LEFT JOIN rep ON d.doc_id = rep.doc_id LEFT JOIN c ON d.doc_id = c.doc_id),
+  FROM d LEFT JOIN rep ON d.r = rep.r LEFT JOIN c ON d.r = c.r),
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND 100 * (total - gone) >= 30 * total AS kept FROM f
 """

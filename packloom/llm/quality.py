@@ -57,11 +57,24 @@ def _measures(docs: DataFrame) -> DataFrame:
     )
 
 
+def _documents(measured: DataFrame) -> DataFrame:
+    """(host, doc, lines): rows whose doc_id is null or only theirs are documents by themselves; a doc_id of several rows is one document a host, whose lines count once."""
+    named, rows = measured.where("doc_id IS NOT NULL"), measured.select("host", "doc_id", "lines")
+    several = cut(named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("again")))
+    marked = rows.where("doc_id IS NOT NULL").join(several, F.col("doc_id") == F.col("again"), "left").select("host", F.col("again").alias("doc"), "lines")
+    return marked.unionByName(rows.where("doc_id IS NULL").select("host", F.col("doc_id").alias("doc"), "lines"))
+
+
 def removed_lines(measured: DataFrame, min_docs: int = MIN_DOCS, percent: int = PERCENT_DOCS) -> DataFrame:
-    """The hashes of lines (each with its host) that go."""
-    hosts = measured.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    lines = measured.select("host", F.explode(F.array_distinct("lines")).alias("line"))
-    often = lines.groupBy("line").agg(F.count(F.lit(1)).alias("docs"), F.min("host").alias("host")).where(F.col("docs") > min_docs)
+    """The hashes of lines (each with its host) that go, by the distinct documents that have them."""
+    docs = _documents(measured)
+    count = F.count(F.lit(1)).alias("docs")
+    alone_, shared = docs.where("doc IS NULL"), docs.where("doc IS NOT NULL")
+    lines = lambda d: d.select("host", "doc", F.explode(F.array_distinct("lines")).alias("line"))
+    hosts = alone_.groupBy("host").agg(count).unionByName(shared.select("host", "doc").distinct().groupBy("host").agg(count))
+    hosts = hosts.groupBy("host").agg(F.sum("docs").alias("host_docs"))
+    seen = lines(alone_).select("host", "line").unionByName(lines(shared).distinct().select("host", "line"))
+    often = seen.groupBy("line").agg(count, F.min("host").alias("host")).where(F.col("docs") > min_docs)
     return cut(often.join(hosts, "host").where(100 * F.col("docs") > percent * F.col("host_docs")).select("line"))
 
 
@@ -69,7 +82,8 @@ def removed_lines(measured: DataFrame, min_docs: int = MIN_DOCS, percent: int =
 def judge_quality(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and kept of every row.
 
-    A row is a document: rows of one doc_id count and are judged apart. Null texts have no words and fail the base rules; the rows of a null source are one host.
+    Each row is measured and judged by itself; in the counts of a line and of its host, rows of one doc_id are one document, and each row of a null one is a document. Null texts have no words and fail the base
+    rules; the rows of a null source are one host. A very long text is one row, whose words and lines are arrays within it.
     An empty table gives no rows; other columns don't matter.
     """
     measured = cut(_measures(docs))

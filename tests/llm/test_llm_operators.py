@@ -290,12 +290,15 @@ def test_shard_documents(docs, no_docs, rows):
 
 def brute_quality(rows):
     lines = []
-    hosts = Counter(r[3] for r in rows)
-    seen = Counter()
-    for r in rows:
+    host_docs, line_docs = defaultdict(set), defaultdict(set)
+    for i, r in enumerate(rows):
         norm = [" ".join(words(x.lower())) for x in (r[1] or "").split("\n") if words(x)]
         lines.append(norm)
-        seen.update({(r[3], x) for x in norm})
+        doc = ("row", i) if r[0] is None else r[0]
+        host_docs[r[3]].add(doc)
+        for x in norm:
+            line_docs[r[3], x].add(doc)
+    hosts, seen = ({k: len(v) for k, v in x.items()} for x in (host_docs, line_docs))
     out = []
     for r, norm in zip(rows, lines):
         w = words(r[1])
@@ -320,6 +323,26 @@ def test_quality(spark, docs, no_docs, rows):
     assert "ommon" not in cleaned[1001] and cleaned[1001].startswith("unique 1") and cleaned[150] is None and cleaned[151] == ""
 
 
+def test_quality_counts_documents_not_rows(spark):
+    """Rows of one doc_id, in one host and in two, and rows of null doc_ids, against brute force and the SQL."""
+    import duckdb
+
+    long = lambda name: " ".join(f"{name}document{j}" for j in range(120))
+    said = lambda i, line: f"own {i} line\n{line}\n" + " ".join(f"w{i}x{j}" for j in range(60))
+    rows = [(7, said(7, "same line of one document"), "en", "a") for _ in range(12)] + [(7, said(7, "same line of one document"), "en", "b")] * 12
+    rows += [(i, said(i, long("eleven")), "en", "a") for i in range(20, 31)] + [(i, said(i, long("ten")), "en", "a") for i in range(40, 50)] * 2
+    rows += [(None, said(i, long("unnamed")), "en", "a") for i in range(11)] + [(i, f"plain {i}\n" * 3, "en", "b") for i in range(60, 90)] + [(91, None, None, None)]
+    rows = [(*r, 0, *"abcdefghijk") for r in rows]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = Counter(tuple(r) for r in quality.judge_quality(frame.repartition(5)).collect())
+    assert got == brute_quality(rows)
+    kept = {k[0]: k[-1] for k in got}
+    assert kept[7] and kept[40] and not kept[20] and not kept[None]
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": [r[1] for r in rows], "source": [r[3] for r in rows]}))
+    assert Counter(con.execute(entries.OP3_SQL).fetchall()) == got
+
+
 # 4
 
 
