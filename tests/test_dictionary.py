@@ -1,6 +1,8 @@
 import csv
+import dataclasses
 import hashlib
 import json
+import os
 import zipfile
 from xml.sax.saxutils import escape
 
@@ -183,3 +185,54 @@ def test_order_of_input_does_not_matter(spark, book):
     again = D.normalize_rows(r.rows.repartition(7), r.mapping, "Extraction Template", "dict.xlsx")
     key = lambda df: sorted(map(str, df.collect()))
     assert key(again) == key(r.results)
+
+
+def _held(folder):
+    return {str(p.relative_to(folder)): p.read_bytes() for p in sorted(folder.rglob("*")) if p.is_file()}
+
+
+@pytest.mark.parametrize("single", [True, False])
+def test_artifacts_appear_together(spark, book, tmp_path, monkeypatch, single):
+    """A task whose worker dies leaves the earlier set whole; a writer that ends amid its moves is followed up by ``settle``."""
+    out = tmp_path / "out"
+    result = dictionaries.ingest_dictionary(spark, book)
+    sinks.write_dictionary(result, str(out), single)
+    before = _held(out)
+
+    @F.udf("string")
+    def dies(x):
+        os._exit(1)
+
+    class Poisoned(dictionaries.DictionaryResult):
+        issues = property(lambda self: D.issue_rows(self.results).withColumn("message", dies("message")))
+
+    with pytest.raises(Exception):  # noqa: B017 - Spark's error for a lost worker
+        sinks.write_dictionary(Poisoned(**vars(result)), str(out), single)
+    assert _held(out) == before
+
+    real, moves = sinks.filesystem, []
+
+    class Stops:
+        def __init__(self, where):
+            self.where = where
+
+        def __getattr__(self, name):
+            return getattr(self.where, name)
+
+        def move(self, a, b):
+            if "/_staged-" in a and not a.endswith(".json") and "/part-" not in a and b.startswith(f"{out}/") and "/_staged-" not in b:
+                moves.append(b)
+                if len(moves) == 3:
+                    raise OSError("the driver is gone")
+            self.where.move(a, b)
+
+    fewer = dataclasses.replace(result, results=result.results.where(D.NORMALIZED).limit(1))
+    monkeypatch.setattr(sinks, "filesystem", lambda uri: (Stops(real(uri)[0]), real(uri)[1]))
+    with pytest.raises(OSError, match="the driver is gone"):
+        sinks.write_dictionary(fewer, str(out), single)
+    assert (out / sinks.JOURNAL).exists()
+    monkeypatch.setattr(sinks, "filesystem", real)
+    sinks.settle(str(out))
+    assert {p.name for p in out.iterdir() if not p.name.startswith(".")} == set(sinks.DICTIONARY_ARTIFACTS.values())
+    target = out / "normalized_targets.jsonl"
+    assert sum(len(p.read_text().splitlines()) for p in ([target] if single else target.glob("part-*"))) == 1
