@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import itertools
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from packloom.functions import files, ids, text as T
-from packloom.operators import capabilities, classify, contracts, dictionary, duplicates, members, timings
+from packloom.operators import capabilities, classify, contracts, dictionary, duplicates, members, terms, timings
 from packloom.plans import dictionaries, sinks
 from packloom.plans import fixtures as X
 from packloom.plans import pack as pack_plan
@@ -652,6 +653,16 @@ def retrieval_totals(spark, d):
 # Bundles and validations
 
 
+#: 512 terms, in order.
+_MANY = ["".join(x) for x in itertools.product("aeinorst", repeat=3)]
+
+
+@query(f"""WITH t AS (SELECT unnest({_MANY}) AS term) SELECT doc_id, count(term) AS n_terms, coalesce(string_agg(term, '|' ORDER BY term), '') AS terms FROM documents LEFT JOIN t ON contains(replace(lower(text), 'ß', 'ss'), term) GROUP BY doc_id""")
+def many_terms(spark, d):
+    found = V.table(spark, d, "documents").select("doc_id", F.coalesce(terms.terms_in(F.col("text"), _MANY), F.array().cast("array<string>")).alias("f"))
+    return found.select("doc_id", F.size("f").cast("bigint").alias("n_terms"), F.array_join("f", "|").alias("terms"))
+
+
 _TERMS = ("tion", "hand ", "Thou", "was", "that er")
 _BUNDLE = 3
 
