@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -64,14 +65,15 @@ def _numbers(column: pa.Array, row: int, kind) -> np.ndarray:
 def _packed(a: np.ndarray) -> bytes:
     """Numbers as the bytes that the largest of them needs, byte by byte."""
     width = max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 1
-    return bytes([width]) + np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    return bytes([width]) + a.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
 def _unpacked(x: pa.Scalar) -> np.ndarray:
     raw = np.frombuffer(x.as_buffer(), np.uint8)
     width = int(raw[0])
     out = np.zeros(((len(raw) - 1) // width, 8), np.uint8)
-    out[:, :width] = raw[1:].reshape(width, -1).T
+    for i, one in enumerate(raw[1:].reshape(width, -1)):  # faster than the whole, transposed
+        out[:, i] = one
     return out.view("<u8").ravel()
 
 
@@ -117,49 +119,53 @@ def _hashes(data: np.ndarray) -> np.ndarray:
         b = min(a + SLAB, n)
         h = _text.mix(view[a : b + GRAM - 8] ^ _P)
         with np.errstate(over="ignore"):
-            h = h[:-8] * _Q + h[8:]
-            h = h[: b - a] * _P + h[16 : 16 + b - a]
-            out[a:b] = h ^ (h >> _U(29))
+            two = h[:-8] * _Q
+            two += h[8:]
+            four = np.multiply(two[: b - a], _P, out=h[: b - a])
+            four += two[16 : 16 + b - a]
+            np.right_shift(four, _U(29), out=out[a:b])
+            out[a:b] ^= four
     return out
 
 
-def _windows(starts: np.ndarray, owns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The places of all windows of a pack, and the part of each."""
-    part = np.repeat(np.arange(len(owns)), owns)
-    return starts[part] + np.arange(len(part)) - np.repeat(np.cumsum(owns) - owns, owns), part
+def _pieces(a: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Slices of an array, one behind the other."""
+    return np.concatenate([a[:0], *[a[b : b + n] for b, n in zip(begins.tolist(), sizes.tolist())]])
+
+
+def _distinct(key: np.ndarray) -> np.ndarray:
+    """Distinct numbers in ascending order, by one sort (``np.unique`` takes a hash table, which is slower)."""
+    key = np.sort(key)
+    return key[np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]]
 
 
 def _anchors(grams: np.ndarray, length: int) -> np.ndarray:
     """The place of the anchor of the window at each place."""
     width = length - GRAM + 1
     n = max(0, len(grams) - width + 1)
-    out = np.empty(n, np.int64)
+    out = np.empty(n, np.uint32)
+    step = np.arange(min(SLAB, n) + width - 1, dtype=np.uint64)
     for a in range(0, n, SLAB):
         b = min(a + SLAB, n)
         with np.errstate(over="ignore"):
-            low = (grams[a : b + width - 1] * _Q) & ~_U(0xFFFFFFFF)
-        low |= np.arange(a, b + width - 1, dtype=np.uint64)  # ties by place: the first
+            low = grams[a : b + width - 1] * _Q
+        low &= ~_U(0xFFFFFFFF)
+        low |= step[: len(low)]  # ties by place: the first
         size = 1
         while size * 2 <= width:
             low = np.minimum(low[:-size], low[size:])
             size *= 2
-        out[a:b] = np.minimum(low[: b - a], low[width - size : width - size + b - a]) & _U(0xFFFFFFFF)
+        out[a:b] = np.minimum(low[: b - a], low[width - size : width - size + b - a])  # its low half
+        out[a:b] += np.uint32(a)
     return out
 
 
 def _keys(data: np.ndarray, starts: np.ndarray, owns: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Of all windows of a pack: places and parts; of their runs of one anchor: sizes, and the anchors' hashes; and the hashes of all GRAM-byte strings."""
+    """Of all windows of a pack, in order: their runs of one anchor (the first of each, and how many), and the anchors' hashes; and the hashes of all GRAM-byte strings."""
     grams = _hashes(data)
-    places, part = _windows(starts, owns)
-    anchor = _anchors(grams, length)[places]
+    anchor = _pieces(_anchors(grams, length), starts, owns)
     heads = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-    return places, part, np.diff(np.append(heads, len(anchor))), _text.mix(grams[anchor[heads]]), grams
-
-
-def _twice(key: np.ndarray) -> np.ndarray:
-    """Those that occur more than once."""
-    key = np.sort(key)
-    return np.unique(key[1:][key[1:] == key[:-1]])
+    return heads, np.diff(np.append(heads, len(anchor))), _text.mix(grams[anchor[heads]]), grams
 
 
 def _among(key: np.ndarray, some: np.ndarray) -> np.ndarray:
@@ -171,7 +177,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int, ranges: int) ->
     """The distinct anchors of each pack, in blocks by ranges of their hashes."""
     for batch in batches:
         for i in range(batch.num_rows):
-            key = np.unique(_keys(_numbers(batch.column("text"), i, np.uint8), _ints(batch.column("starts"), i), _ints(batch.column("owns"), i), length)[3])
+            key = _distinct(_keys(_numbers(batch.column("text"), i, np.uint8), _ints(batch.column("starts"), i), _ints(batch.column("owns"), i), length)[2])
             bucket = (key >> _U(40)).astype(np.int64) * ranges >> 24
             cuts = np.searchsorted(bucket, np.arange(ranges + 1))
             some = np.flatnonzero(np.diff(cuts))
@@ -199,6 +205,18 @@ def _same(buf: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndar
     return same
 
 
+def _alike(raw: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+    """Whether the windows at ``a`` and ``b`` have the same bytes. Windows that follow one another on both sides are compared as one string, those of unequal strings one by one."""
+    heads = np.flatnonzero(np.concatenate([[True], (a[1:] - a[:-1] != 1) | (b[1:] - b[:-1] != 1)])[: len(a)])
+    size = np.diff(np.append(heads, len(a)))
+    text = raw.tobytes()
+    same = np.repeat(np.array([text[i : i + n] == text[j : j + n] for i, j, n in zip(a[heads].tolist(), b[heads].tolist(), (size + length - 1).tolist())], bool), size)
+    rest = np.flatnonzero(~same)
+    if len(rest):
+        same[rest] = _same(np.concatenate([raw, np.zeros(8, np.uint8)]), a[rest], b[rest], length)
+    return same
+
+
 def _runs(at: np.ndarray, part: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
     """First and last places of the runs of windows of one part whose distance is ``gap`` at most."""
     cut = np.flatnonzero((at[1:] - at[:-1] > gap) | (part[1:] != part[:-1]))
@@ -209,44 +227,63 @@ def _candidates(pack: pa.Table, flags: pa.Table, length: int) -> tuple[list, lis
     """What of a pack goes into the sort (a row of STATE), and the spans that its own equal windows remove (rows of doc, th, from, to)."""
     raw = _numbers(pack.column("text"), 0, np.uint8)
     docs, ths, begins, starts, owns = (_ints(pack.column(c), 0) for c in ("docs", "ths", "begins", "starts", "owns"))
-    places, part, sizes, key, grams = _keys(raw, starts, owns, length)
+    heads, sizes, key, grams = _keys(raw, starts, owns, length)
     shared = np.sort(np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(x.as_buffer(), np.uint64) for x in flags.column("keys")]]))
-    hit, own = _among(key, shared), _among(key, _twice(key))
-    run = np.repeat(np.arange(len(sizes)), sizes)
+    by = np.argsort(key)
+    new = np.concatenate([[True], key[by[1:]] != key[by[:-1]]])
+    rank = np.empty(len(key), np.int64)  # among the distinct anchors
+    rank[by] = np.cumsum(new) - 1
+    hit, own = _among(key[by[new]], shared)[rank], (np.bincount(rank) > 1)[rank]
+    ends = np.cumsum(owns)
+    shift = starts - ends + owns  # from a window's number to its place
+
+    def part(window: np.ndarray) -> np.ndarray:
+        return np.searchsorted(ends, window, "right")
+
     # Equal windows of the pack: all but the first are settled.
-    gone = np.zeros(len(run), bool)
-    if len(at := np.flatnonzero(own[run])):
-        h = grams[places[at]]
+    gone = np.zeros(ends[-1], bool)
+    if len(at := np.flatnonzero(np.repeat(own, sizes))):
+        place = at + shift[np.repeat(part(heads[own]), sizes[own])]
+        h = grams[place]
         with np.errstate(over="ignore"):
             for k in [*range(GRAM, length - GRAM, GRAM), length - GRAM]:
-                h = h * _Q + grams[places[at] + k]
-        order = np.argsort(h, kind="stable")
+                h *= _Q
+                h += grams[k:][place]
+        # Sorted by their first bits with each one's number in the last: places ascend among equals.
+        bits = _U(len(at).bit_length())
+        h >>= bits
+        h <<= bits
+        h |= np.arange(len(at), dtype=np.uint64)
+        h.sort()
+        order = (h & ((_U(1) << bits) - _U(1))).astype(np.int64)
+        h >>= bits
+        later = np.flatnonzero(h[1:] == h[:-1]) + 1
         first = np.ones(len(at), bool)
-        first[1:] = h[order[1:]] != h[order[:-1]]
-        head = order[np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))]
-        later = ~first
-        buf = np.concatenate([raw, np.zeros(8, np.uint8)])
-        later[later] = _same(buf, places[at[order[later]]], places[at[head[later]]], length)
-        gone[at[order[later]]] = True
-    left = (hit | own)[run] & ~gone
-    some = np.unique(run[left & ~hit[run]])  # of these anchors, one alone has nothing left to meet
-    left &= (hit | _among(key, _twice(key[some])))[run]
+        first[later] = False
+        twin = np.full(len(at), -1)
+        twin[order[later]] = order[np.flatnonzero(first)[np.cumsum(first)[later] - 1]]
+        later = np.flatnonzero(twin >= 0)
+        gone[at[later[_alike(raw, place[later], place[twin[later]], length)]]] = True
+    left = np.repeat(hit | own, sizes) & ~gone
+    some = np.logical_or.reduceat(left, heads) & ~hit  # of these anchors, one alone has nothing left to meet
+    left &= np.repeat(hit | (np.bincount(rank[some], minlength=len(key)) > 1)[rank], sizes)
     spans = []
     if len(at := np.flatnonzero(gone)):
-        a, b = _runs(places[at], part[at], length)
+        p = part(at)
+        a, b = _runs(at + shift[p], p, length)
         p = np.searchsorted(starts, a, "right") - 1
-        shift = begins[p] - starts[p]
-        spans = [docs[p], ths[p], a + shift, b + shift + length]
+        move = begins[p] - starts[p]
+        spans = [docs[p], ths[p], a + move, b + move + length]
     at = np.flatnonzero(left)
     if not len(at):
         return [], spans
-    a, b = _runs(places[at], part[at], length)
+    p = part(at)
+    at += shift[p]
+    a, b = _runs(at, p, length)
     lens = b - a + length
-    ends = np.cumsum(lens)
-    inside = np.arange(ends[-1]) - np.repeat(ends - lens, lens) + np.repeat(a, lens)
     valid = np.zeros(len(raw), bool)
-    valid[places[at]] = True
-    return [docs, ths, begins, starts, raw[inside].tobytes(), a, lens, np.packbits(valid[inside]).tobytes()], spans
+    valid[at] = True
+    return [docs, ths, begins, starts, _pieces(raw, a, lens).tobytes(), a, lens, np.packbits(_pieces(valid, a, lens)).tobytes()], spans
 
 
 # ---- suffixes of a pack
@@ -274,23 +311,63 @@ class Suffixes:
     """The regions of a pack with a zero behind each: symbols, windows to judge, and sampled places."""
 
     def __init__(self, batch, row: int, words: Words, length: int):
-        text = _numbers(batch.column("text"), row, np.uint8)
+        self.batch, self.row, self.words, self.length = batch, row, words, length
+        self.text = _numbers(batch.column("text"), row, np.uint8)
         self.lens, self.froms = _ints(batch.column("lens"), row), _ints(batch.column("froms"), row)
-        self.begins = np.cumsum(self.lens + 1) - self.lens - 1
-        self.n, self.words, self.length = int((self.lens + 1).sum()), words, length
-        place = np.arange(len(text)) + np.repeat(np.arange(len(self.lens)), self.lens)
-        self.sym = np.zeros(self.n + length + 64, np.uint8 if words.base <= 256 else np.uint16)
-        self.sym[place] = words.number[text]
-        self.bytes = np.zeros(self.n + length + 80, np.uint8)
-        self.bytes[place + 8] = text
-        self.valid = np.zeros(self.n + PERIOD, bool)
-        self.valid[place] = np.unpackbits(_numbers(batch.column("valid"), row, np.uint8), count=len(text)).view(bool)
+        self.ends = np.cumsum(self.lens + 1) - 1
+        self.begins = self.ends - self.lens
+        self.n = int((self.lens + 1).sum())
+        self.on = np.ones(self.n, bool)
+        self.on[self.ends] = False
+
+    @cached_property
+    def sym(self) -> np.ndarray:
+        out = np.zeros(self.n + self.length + 64, np.uint8 if self.words.base <= 256 else np.uint16)
+        out[: self.n][self.on] = self.words.number.astype(out.dtype)[self.text]
+        return out
+
+    @cached_property
+    def bytes(self) -> np.ndarray:
+        out = np.zeros(self.n + self.length + 80, np.uint8)
+        out[8 : self.n + 8][self.on] = self.text
+        return out
+
+    @cached_property
+    def valid(self) -> np.ndarray:
+        out = np.zeros(self.n + 16, np.uint8)
+        out[8 : self.n + 8][self.on] = np.unpackbits(_numbers(self.batch.column("valid"), self.row, np.uint8), count=len(self.text))
+        return out
+
+    def samples(self) -> np.ndarray:
+        """Of all places, whether they are sampled and a name begins there."""
+        some = np.tile(_COVER, -(-self.n // PERIOD))[: self.n]
+        late = (self.ends[:, None] - np.arange(NAME)).ravel()  # too near to their region's end
+        some[late[late >= 0]] = False
+        return some
 
     def sampled(self) -> np.ndarray:
         """Sampled places that a name begins at."""
-        some = np.tile(_COVER, -(-self.n // PERIOD))[: self.n]
-        rest = np.repeat(self.begins + self.lens, self.lens + 1) - np.arange(self.n)
-        return np.flatnonzero(some & (rest >= NAME))
+        return np.flatnonzero(self.samples())
+
+    def between(self, low: int | None, high: int | None) -> np.ndarray:
+        """Sampled places whose word is ``low`` at least and below ``high`` (None: no bound)."""
+        some, base = self.samples(), self.words.base
+        if base**4 < 1 << 32:  # the first four symbols of all places leave few whose words are made
+            first, rest = self.sym[: self.n + 3].astype(np.uint32), base ** (self.words.symbols - 4)
+            first = first[:-1] * np.uint32(base) + first[1:]
+            first = first[:-2] * np.uint32(base * base) + first[2:]
+            if low is not None:
+                some &= first >= np.uint32(low // rest)
+            if high is not None:
+                some &= first <= np.uint32((high - 1) // rest)
+        at = np.flatnonzero(some)
+        w = self.word(at)
+        mine = np.ones(len(at), bool)
+        if low is not None:
+            mine &= w >= _U(low)
+        if high is not None:
+            mine &= w < _U(high)
+        return at[mine]
 
     def word(self, at: np.ndarray, skip: int = 0) -> np.ndarray:
         """The word of the symbols that begin ``skip`` behind each place, NAME in all at most."""
@@ -305,9 +382,10 @@ class Suffixes:
 
     def distances(self, at: np.ndarray) -> np.ndarray:
         """For each sampled place, a bit for each distance at which a window to judge begins before it."""
-        mask = np.zeros(len(at), np.uint16)
-        for d in range(PERIOD):
-            mask |= (self.valid[np.maximum(at - d, 0)] & (at >= d)).astype(np.uint16) << np.uint16(d)
+        with np.errstate(over="ignore"):  # the eight before as bits of the first byte, the last one lowest
+            mask = (_text.numbers(self.valid)[at] * _U(0x8040201008040201) >> _U(56)).astype(np.uint16)
+        mask <<= np.uint16(1)
+        mask |= self.valid[at + 8]
         return mask
 
     def eight(self, at: np.ndarray, n: int = 8) -> np.ndarray:
@@ -352,31 +430,102 @@ def _back(ids: np.ndarray, pack: np.ndarray, columns: dict[str, np.ndarray], **c
     return pa.table({"id": pa.array(ids[some]), **{k: pa.array(np.full(len(some), v)) for k, v in constant.items()}, **made})
 
 
-def _named(rows: pa.Table, n_words: int) -> pa.Table:
-    """Names of the sampled places of one range, from 0: equal ones for equal NAME bytes, in the bytes' order; and how many there are."""
-    ids, pack, c = _joined(rows, ["place", *[f"w{i}" for i in range(n_words)]])
-    keys = [c[f"w{i}"] for i in reversed(range(n_words))]
-    order = np.lexsort(keys) if n_words > 1 else np.argsort(keys[0], kind="stable")
-    new = np.zeros(len(order), bool)
+def _by_words(keys: list[np.ndarray]) -> np.ndarray:
+    """The order of elements by several words, the first one first, ties as they come: sorted by as many bits as fit beside each one's number, then those alike by the next bits."""
+    order, left = np.arange(len(keys[0])), np.arange(len(keys[0]))
+    group, bits = np.zeros(len(order), np.uint64), 0
+    todo = [(k - k.min(), int(k.max() - k.min()).bit_length()) for k in keys] if len(order) else []
+    while todo and len(left):
+        at, own = order[left], len(left).bit_length()
+        room = 64 - own - bits
+        while room and todo:
+            k, width = todo.pop(0)
+            n = min(room, width)
+            group = (group << _U(n)) | ((k[at] >> _U(width - n)) & _U((1 << n) - 1))
+            room -= n
+            if n < width:
+                todo.insert(0, (k, width - n))
+        group <<= _U(own)
+        group |= np.arange(len(left), dtype=np.uint64)
+        group.sort()
+        order[left] = at[(group & _U((1 << own) - 1)).astype(np.int64)]
+        group >>= _U(own)
+        same = group[1:] == group[:-1]
+        tied = np.zeros(len(left), bool)
+        tied[1:] = same
+        tied[:-1] |= same
+        new = np.concatenate([[True], ~same])[tied]
+        left, group = left[tied], np.cumsum(new).astype(np.uint64)
+        bits = int(group[-1]).bit_length() if len(group) else 0
+    return order
+
+
+def _in_order(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Elements sorted by several words, the first one first, ties in the order they have; and the run of equals of each, from 0.
+
+    Equals are brought together by a hash, and one of each is sorted.
+    """
+    n = len(keys[0])
+    bits = _U(n.bit_length())
+    with np.errstate(over="ignore"):
+        h = keys[0] * _P
+        for k in keys[1:]:
+            h = (h ^ (h >> _U(32)) ^ k) * _Q
+        h = _text.mix(h)
+    h >>= bits
+    h <<= bits
+    h |= np.arange(n, dtype=np.uint64)
+    h.sort()
+    h &= (_U(1) << bits) - _U(1)
+    order = h.astype(np.int64)
+    new = np.zeros(n, bool)
+    new[:1] = True
     for k in keys:
         k = k[order]
         new[1:] |= k[1:] != k[:-1]
+    heads = np.flatnonzero(new)
+    size = np.diff(np.append(heads, n))
+    one = order[heads]
+    some = [k[one] for k in keys]
+    by = _by_words(some)
+    apart = np.zeros(max(0, len(by) - 1), bool)
+    for k in some:
+        k = k[by]
+        apart |= k[1:] != k[:-1]
+    if not apart.all():  # unequal ones of one hash lie between equals
+        order, new = np.lexsort(keys[::-1]), np.zeros(n, bool)
+        for k in keys:
+            k = k[order]
+            new[1:] |= k[1:] != k[:-1]
+        return order, np.cumsum(new)
+    size = size[by]
+    return order[np.repeat(heads[by] - np.cumsum(size) + size, size) + np.arange(n)], np.repeat(np.arange(len(by)), size)
+
+
+def _named(rows: pa.Table, n_words: int) -> pa.Table:
+    """Names of the sampled places of one range, from 0: equal ones for equal NAME bytes, in the bytes' order; and how many there are."""
+    ids, pack, c = _joined(rows, ["place", *[f"w{i}" for i in range(n_words)]])
+    order, run = _in_order([c[f"w{i}"] for i in range(n_words)])
     name = np.empty(len(order), np.int64)
-    name[order] = np.cumsum(new)
-    return _back(ids, pack, {"place": c["place"], "name": name}, bucket=rows.column("bucket")[0].as_py(), names=int(new.sum()) + 1)
+    name[order] = run
+    return _back(ids, pack, {"place": c["place"], "name": name}, bucket=rows.column("bucket")[0].as_py(), names=int(run[-1]) + 1)
 
 
 def _order(c: dict[str, np.ndarray], n_names: int) -> tuple[np.ndarray, np.ndarray]:
     """The sampled suffixes of a range sorted by their names and what follows, ties by pack and place; and the run of equals of each."""
-    keys = [c["tail"], *[c[f"n{i}"] for i in reversed(range(n_names))]]
-    if all(not len(k) or k.max() < 1 << 32 for k in keys):  # two in one
-        keys = [(b << _U(32)) | a for a, b in zip(keys[::2], keys[1::2])] + keys[len(keys) // 2 * 2 :]
-    order = np.lexsort(keys)
-    new = np.zeros(len(order), bool)
+    keys = [*[c[f"n{i}"] for i in range(n_names)], c["tail"]]
+    keys[0] = keys[0] - keys[0].min()
+    # As many in one word as fit.
+    made, room = [], 0
     for k in keys:
-        k = k[order]
-        new[1:] |= k[1:] != k[:-1]
-    return order, np.cumsum(new)
+        n = int(k.max()).bit_length()
+        if not made or n > room:
+            made.append(k.astype(np.uint64))
+            room = 64 - n
+        else:
+            made[-1] = (made[-1] << _U(n)) | k
+            room -= n
+    return _in_order(made)
 
 
 def _repeats(rows: pa.Table, n_names: int) -> pa.Table:
@@ -466,13 +615,9 @@ class Sorter:
                 for batch in batches:
                     for i in range(batch.num_rows):
                         s = Suffixes(batch, i, words, length)
-                        at = s.sampled()
-                        w = s.word(at)
-                        bucket = np.searchsorted(sent.value, w, "right")
-                        mine = (bucket >= lo) & (bucket < hi)
-                        at, w, bucket = at[mine], w[mine], bucket[mine]
-                        more = [s.word(at, k * words.symbols) for k in range(1, n_words)]
-                        out = _blocks(batch.column("id")[i].as_py(), bucket, lo, hi, dict(zip(cols, [at, w, *more])))
+                        at = s.between(int(sent.value[lo - 1]) if lo else None, int(sent.value[hi - 1]) if hi <= len(sent.value) else None)
+                        made = [s.word(at, k * words.symbols) for k in range(n_words)]
+                        out = _blocks(batch.column("id")[i].as_py(), np.searchsorted(sent.value, made[0], "right"), lo, hi, dict(zip(cols, [at, *made])))
                         if out is not None:
                             yield out
 
@@ -517,15 +662,17 @@ class Sorter:
                         at = s.sampled()
                         name = np.zeros(s.n + length, np.uint64)
                         name[at] = own = _unpacked(batch.column("name")[i])
-                        bucket = np.searchsorted(firsts.value, own.astype(np.int64), "right") - 1
-                        mine = (bucket >= lo) & (bucket < hi)
-                        at, bucket = at[mine], bucket[mine]
+                        mine = own >= _U(firsts.value[lo])
+                        if hi < len(firsts.value):
+                            mine &= own < _U(firsts.value[hi])
+                        at = at[mine]
                         mask = s.distances(at)
                         mine = mask > 0
                         at = at[mine]
+                        bucket = np.searchsorted(firsts.value, name[at].astype(np.int64), "right") - 1
                         behind = at + steps[-1] + NAME
                         made = [at, mask[mine], s.eight(behind, tail), s.eight(at - 8), s.eight(behind + tail), *[name[at + k] for k in steps]]
-                        out = _blocks(batch.column("id")[i].as_py(), bucket[mine], lo, hi, dict(zip(cols, made)))
+                        out = _blocks(batch.column("id")[i].as_py(), bucket, lo, hi, dict(zip(cols, made)))
                         if out is not None:
                             yield out
 

@@ -133,3 +133,53 @@ def test_windows_of_one_pack_are_compared_byte_for_byte(spark, unique, monkeypat
     left = set((places[valid[: len(places)]] - starts[1]).tolist())
     truly = {i for i in range(30, 71)} | {i for i in range(170, 171)}
     assert settled and settled <= truly and set(range(30, 71)) <= settled | left
+
+
+def make_state(rng, n, symbols):
+    raw = rng.integers(97, 97 + symbols, n).astype(np.uint8)
+    lens = [n // 4, n - n // 4]
+    valid = np.packbits(rng.integers(0, 2, n).astype(bool)).tobytes()
+    return raw, pa.table({"text": pa.array([raw.tobytes()]), "froms": pa.array([[0, n // 4]]), "lens": pa.array([lens]), "valid": pa.array([valid])})
+
+
+@pytest.mark.parametrize("symbols", [2, 20, 150])
+def test_a_pass_makes_the_words_of_its_ranges_only(monkeypatch, symbols):
+    """Work over all passes is that of few, however many there are, and each sampled place is in one of them."""
+    raw, state = make_state(np.random.default_rng(5), 40_000, symbols)
+    words = suffixes.Words.of(list(range(97, 97 + symbols)))
+    whole = suffixes.Suffixes(state, 0, words, 100)
+    at = whole.sampled()
+    w = whole.word(at)
+    cuts = np.unique(np.sort(w)[np.arange(1, 20) * len(w) // 20])
+    made, real = [], suffixes.Suffixes.word
+    monkeypatch.setattr(suffixes.Suffixes, "word", lambda s, places, skip=0: made.append(len(places)) or real(s, places, skip))
+    bounds = [None, *cuts.tolist(), None]
+    found = [suffixes.Suffixes(state, 0, words, 100).between(a, b) for a, b in zip(bounds, bounds[1:])]
+    bucket = np.searchsorted(cuts, w, "right")
+    assert all(f.tolist() == at[bucket == i].tolist() for i, f in enumerate(found))
+    assert symbols == 2 or sum(made) < 2 * len(at)
+
+
+def test_distances_and_orders_against_plain_ones():
+    rng = np.random.default_rng(6)
+    raw, state = make_state(rng, 5000, 9)
+    s = suffixes.Suffixes(state, 0, suffixes.Words.of(list(range(97, 106))), 100)
+    valid = np.insert(np.unpackbits(np.frombuffer(state.column("valid")[0].as_py(), np.uint8), count=5000), [1250, 5000], 0)
+    at = np.arange(s.n)
+    assert s.distances(at).tolist() == [sum(int(valid[i - d]) << d for d in range(9) if i >= d) for i in at]
+    for most in (1, 3, 1 << 30, (1 << 64) - 1):
+        keys = [rng.integers(0, most, 3000, np.uint64, True) for _ in range(3)]
+        keys = [k[rng.integers(0, 400, 3000)] for k in keys[:1]] + keys[1:]
+        assert suffixes._by_words(keys).tolist() == np.lexsort(keys[::-1]).tolist()
+        order, run = suffixes._in_order(keys)
+        assert order.tolist() == np.lexsort(keys[::-1]).tolist()
+        rows = np.stack([k[order] for k in keys], 1)
+        assert run.tolist() == np.concatenate([[0], np.cumsum((rows[1:] != rows[:-1]).any(1))]).tolist()
+
+
+def test_windows_in_runs_are_alike_where_their_bytes_are():
+    """Runs that differ in one byte are told apart window by window."""
+    raw = np.frombuffer(b"ab" * 150 + b"c" + b"ab" * 150, np.uint8)
+    a, b = np.arange(200, 400), np.arange(0, 200)
+    assert suffixes._alike(raw, a, b, 100).tolist() == [raw[i : i + 100].tobytes() == raw[j : j + 100].tobytes() for i, j in zip(a, b)]
+    assert suffixes._alike(raw, a[:0], b[:0], 100).tolist() == []
