@@ -65,7 +65,10 @@ def _numbers(column: pa.Array, row: int, kind) -> np.ndarray:
 def _packed(a: np.ndarray) -> bytes:
     """Numbers as the bytes that the largest of them needs, byte by byte."""
     width = max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 1
-    return bytes([width]) + a.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    raw, out = a.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8), np.empty((width, len(a)), np.uint8)
+    for i in range(width):
+        out[i] = raw[:, i]
+    return bytes([width]) + out.tobytes()
 
 
 def _unpacked(x: pa.Scalar) -> np.ndarray:
@@ -322,10 +325,26 @@ class Suffixes:
 
     @cached_property
     def sym(self) -> np.ndarray:
-        out = np.zeros(self.n + self.length + 64, np.uint8 if self.words.base <= 256 else np.uint16)
-        out[: self.n][self.on] = self.words.number.astype(out.dtype)[self.text]
+        if self.words.base > 256:
+            out = np.zeros(self.n + self.length + 64, np.uint16)
+            out[: self.n][self.on] = self.words.number[self.text]
+        else:
+            out = np.zeros(self.n + self.length + 64, np.uint8)
+            out[: self.n][self.on] = np.frombuffer(self.text.tobytes().translate(self.words.number.astype(np.uint8).tobytes()), np.uint8)
         return out
 
+    @cached_property
+    def fours(self) -> np.ndarray | None:
+        """The number of the four symbols at each place, if it fits in 32 bits."""
+        base = self.words.base
+        if base**4 >= 1 << 32:
+            return None
+        two = self.sym[:-1] * np.uint32(base)
+        two += self.sym[1:]
+        four = two[:-2] * np.uint32(base * base)
+        four += two[2:]
+        return four
+
     @cached_property
     def bytes(self) -> np.ndarray:
         out = np.zeros(self.n + self.length + 80, np.uint8)
@@ -349,13 +368,11 @@ class Suffixes:
         """Sampled places that a name begins at."""
         return np.flatnonzero(self.samples())
 
-    def between(self, low: int | None, high: int | None) -> np.ndarray:
-        """Sampled places whose word is ``low`` at least and below ``high`` (None: no bound)."""
-        some, base = self.samples(), self.words.base
-        if base**4 < 1 << 32:  # the first four symbols of all places leave few whose words are made
-            first, rest = self.sym[: self.n + 3].astype(np.uint32), base ** (self.words.symbols - 4)
-            first = first[:-1] * np.uint32(base) + first[1:]
-            first = first[:-2] * np.uint32(base * base) + first[2:]
+    def between(self, low: int | None, high: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Sampled places whose word is ``low`` at least and below ``high`` (None: no bound), and their words."""
+        some = self.samples()
+        if self.fours is not None:  # the first four symbols leave few whose words are made
+            first, rest = self.fours[: self.n], self.words.base ** (self.words.symbols - 4)
             if low is not None:
                 some &= first >= np.uint32(low // rest)
             if high is not None:
@@ -367,17 +384,18 @@ class Suffixes:
             mine &= w >= _U(low)
         if high is not None:
             mine &= w < _U(high)
-        return at[mine]
+        return at[mine], w[mine]
 
     def word(self, at: np.ndarray, skip: int = 0) -> np.ndarray:
         """The word of the symbols that begin ``skip`` behind each place, NAME in all at most."""
-        w, base = np.zeros(len(at), np.uint64), _U(self.words.base)
+        w, base, size = np.zeros(len(at), np.uint64), self.words.base, min(self.words.symbols, NAME - skip)
+        steps = [4] * (size // 4) + [1] * (size % 4) if self.fours is not None else [1] * size
         for a in range(0, len(at), SLAB):
             some, part = w[a : a + SLAB], at[a : a + SLAB] + skip
-            for _ in range(skip, min(skip + self.words.symbols, NAME)):
-                some *= base
-                some += self.sym[part]
-                part += 1
+            for n in steps:
+                some *= _U(base**n)
+                some += (self.sym if n == 1 else self.fours)[part]
+                part += n
         return w
 
     def distances(self, at: np.ndarray) -> np.ndarray:
@@ -402,8 +420,9 @@ def _steps(length: int) -> tuple[list[int], int]:
 
 def _blocks(ident: int, bucket: np.ndarray, lo: int, hi: int, columns: dict[str, np.ndarray]) -> pa.RecordBatch | None:
     """Arrays in blocks by range, of the ranges from ``lo`` to before ``hi``."""
-    order = np.argsort(bucket.astype(np.uint16) if hi < 1 << 16 else bucket, kind="stable")
-    cuts = np.searchsorted(bucket, np.arange(lo, hi + 1), sorter=order)
+    bucket = bucket - lo
+    order = np.argsort(bucket.astype(np.uint16) if hi - lo < 1 << 16 else bucket, kind="stable")  # 16 bits: by radix
+    cuts = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=hi - lo))])
     some = np.flatnonzero(np.diff(cuts))
     if not len(some):
         return None
@@ -615,9 +634,9 @@ class Sorter:
                 for batch in batches:
                     for i in range(batch.num_rows):
                         s = Suffixes(batch, i, words, length)
-                        at = s.between(int(sent.value[lo - 1]) if lo else None, int(sent.value[hi - 1]) if hi <= len(sent.value) else None)
-                        made = [s.word(at, k * words.symbols) for k in range(n_words)]
-                        out = _blocks(batch.column("id")[i].as_py(), np.searchsorted(sent.value, made[0], "right"), lo, hi, dict(zip(cols, [at, *made])))
+                        at, w = s.between(int(sent.value[lo - 1]) if lo else None, int(sent.value[hi - 1]) if hi <= len(sent.value) else None)
+                        made = [w, *[s.word(at, k * words.symbols) for k in range(1, n_words)]]
+                        out = _blocks(batch.column("id")[i].as_py(), np.searchsorted(sent.value[lo : hi - 1], w, "right") + lo, lo, hi, dict(zip(cols, [at, *made])))
                         if out is not None:
                             yield out
 
@@ -669,7 +688,7 @@ class Sorter:
                         mask = s.distances(at)
                         mine = mask > 0
                         at = at[mine]
-                        bucket = np.searchsorted(firsts.value, name[at].astype(np.int64), "right") - 1
+                        bucket = np.searchsorted(firsts.value[lo:hi].astype(np.uint64), name[at], "right") - 1 + lo
                         behind = at + steps[-1] + NAME
                         made = [at, mask[mine], s.eight(behind, tail), s.eight(at - 8), s.eight(behind + tail), *[name[at + k] for k in steps]]
                         out = _blocks(batch.column("id")[i].as_py(), bucket, lo, hi, dict(zip(cols, made)))
@@ -702,10 +721,9 @@ def _spans(state: pa.Table, found: pa.Table, words: Words, length: int) -> pa.Ta
         return _span_rows([], [], [], [])
     s = Suffixes(state, 0, words, length)
     on = np.zeros(s.n, bool)
-    for place, mask in zip(found.column("place"), found.column("found")):
-        place, mask = _unpacked(place).astype(np.int64), _unpacked(mask).astype(np.uint16)
-        for d in range(PERIOD):
-            on[place[(mask >> np.uint16(d)) & np.uint16(1) > 0] - d] = True
+    place, mask = (np.concatenate([_unpacked(x) for x in found.column(c)]).astype(kind) for c, kind in (("place", np.int64), ("found", np.uint16)))
+    for d in range(PERIOD):
+        on[place[mask & np.uint16(1 << d) > 0] - d] = True
     at = np.flatnonzero(on)
     region = np.searchsorted(s.begins, at, "right") - 1
     a, b = _runs(at, region, length)

@@ -156,7 +156,7 @@ def test_a_pass_makes_the_words_of_its_ranges_only(monkeypatch, symbols):
     bounds = [None, *cuts.tolist(), None]
     found = [suffixes.Suffixes(state, 0, words, 100).between(a, b) for a, b in zip(bounds, bounds[1:])]
     bucket = np.searchsorted(cuts, w, "right")
-    assert all(f.tolist() == at[bucket == i].tolist() for i, f in enumerate(found))
+    assert all(f.tolist() == at[bucket == i].tolist() and v.tolist() == w[bucket == i].tolist() for i, (f, v) in enumerate(found))
     assert symbols == 2 or sum(made) < 2 * len(at)
 
 
